@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import chat, decontaminate
+from shelfspark.llm import bpe, chat, decontaminate, licences, neardup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +62,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_license_scans": op2_license_scans,
+    "op5_bpe_encoding": op5_bpe_encoding,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE_SQL = {"op1_chat_formatting": OP1_SQL}

@@ -2,49 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Frames of at most this many narrow rows (ids, hashes) may be broadcast after a count has shown it.
-BROADCAST_ROWS = 1_000_000
+from shelfspark.storage import BROADCAST_ROWS, materialize, shared_dir, small
+
+__all__ = ["BROADCAST_ROWS", "CHUNK_BYTES", "chunks", "held_out", "materialize", "shared_dir", "small"]
 
 #: Text handed to one vectorised step inside a Python worker.
 CHUNK_BYTES = 2_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder (set here only where unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "/tmp/shelfspark-checkpoints"
-    return f"{base.rstrip('/')}/shelfspark-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
-
-    Cuts the lineage and survives lost executors; later readers share one result.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    schema = df.schema
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it holds at most ``limit`` rows, else unchanged (shuffle join).
-
-    ``df`` should be cheap to count: a written table or a tiny input.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True where crc32 of the decimal id falls in ``fold`` of ``folds``; null ids count as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
