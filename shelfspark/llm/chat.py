@@ -30,20 +30,25 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def _ends(lengths: Column) -> Column:
-    """Running sums of an int array in two levels, so that the work stays near linear."""
-    steps = F.transform(
-        F.sequence(F.lit(0), (F.size(lengths) - 1).cast("int"), F.lit(_STEP)),
-        lambda s: F.aggregate(F.slice(lengths, s + 1, _STEP), F.lit(0).cast("long"), lambda a, x: a + x),
+def _with_ends(df: DataFrame, lengths: str) -> DataFrame:
+    """Adds ``ends``: running sums of the int array ``lengths`` in two levels, so that the work stays near linear.
+
+    Every array that a lambda reads is a column of its own and is referenced twice: an expression that
+    the optimizer moved into the lambda would be computed again for each element.
+    """
+    total = lambda array, first=0: F.aggregate(array, F.lit(first).cast("long"), lambda a, x: a + x)
+    stepped = df.withColumn(
+        "steps",
+        F.transform(
+            F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(_STEP)), lambda s: total(F.slice(lengths, s + 1, _STEP))
+        ),
     )
 
     def upto(i: Column) -> Column:
-        whole = F.floor(i / _STEP).cast("int")
-        before = F.aggregate(F.slice(steps, 1, whole), F.lit(0).cast("long"), lambda a, x: a + x)
-        rest = F.slice(lengths, whole * _STEP + 1, i - whole * _STEP + 1)
-        return F.aggregate(rest, before, lambda a, x: a + x)
+        whole = F.least(F.floor(i / _STEP).cast("int"), F.size("steps"))
+        return total(F.slice("steps", F.lit(1), whole)) + total(F.slice(lengths, whole * _STEP + 1, i - whole * _STEP + 1))
 
-    return F.transform(lengths, lambda _, i: upto(i))
+    return stepped.withColumn("ends", F.transform(lengths, lambda _, i: upto(i)))
 
 
 def format_chat(
@@ -90,22 +95,18 @@ def format_chat(
     before = lambda x, i: F.when(
         opens(i), F.length(x["role"]) + 2 + F.when(i == 0, 3).otherwise(4)
     ).otherwise(3)
-    placed = blocks.withColumn("ends", _ends(F.transform(t, lambda x, i: before(x, i) + F.length(x["text"]))))
-    spans = F.filter(
-        F.transform(
-            t,
-            lambda x, i: F.struct(
-                (F.col("ends")[i] - F.length(x["text"])).alias("start"),
-                F.length(x["text"]).cast("long").alias("len"),
-                (x["role"] == escape(F.lit(learn))).alias("on"),
-            ),
+    measured = blocks.withColumn("lengths", F.transform(t, lambda x, i: before(x, i) + F.length(x["text"])))
+    placed = _with_ends(measured, "lengths")
+    spans = F.transform(
+        F.filter(F.arrays_zip("t", "ends"), lambda z: z["t"]["role"] == escape(F.lit(learn))),
+        lambda z: F.struct(
+            (z["ends"] - F.length(z["t"]["text"])).alias("start"), F.length(z["t"]["text"]).cast("long").alias("len")
         ),
-        lambda s: s["on"],
     )
     return placed.select(
         "conv_id",
         F.concat(F.lit("<s>"), F.array_join("blocks", "</s>"), F.lit("</s>")).alias("formatted"),
-        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["len"].alias("len"))).alias("loss_spans"),
+        spans.alias("loss_spans"),
     )
 
 
