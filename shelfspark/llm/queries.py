@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, decontaminate, licences, neardup
+from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,26 @@ FROM n GROUP BY conv_id
 """
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -66,6 +86,23 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.capture_index(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest, coalesce(html, '') AS payload
+  FROM pages
+), m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS response FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM m
+"""
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,8 +116,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_license_scans": op2_license_scans,
+    "op4_warc": op4_warc,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-ORACLE_SQL = {"op1_chat_formatting": OP1_SQL}
+ORACLE_SQL = {"op1_chat_formatting": OP1_SQL, "op4_warc": OP4_SQL, "op9_exact_topk": OP9_SQL}
