@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, topk, warc
+from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,10 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -116,6 +120,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_license_scans": op2_license_scans,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
