@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, topk, toxicity, warc
+from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, suffixdedup, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +113,11 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixdedup.digests(suffixdedup.remove_repeats(documents))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -123,6 +128,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_bpe_encoding": op5_bpe_encoding,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
