@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, decontaminate, licences, neardup, suffixdedup, topk, toxicity, warc
+from shelfspark.llm import bpe, chat, decontaminate, licences, lm, neardup, suffixdedup, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ FROM n GROUP BY conv_id
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -130,6 +134,7 @@ QUERIES = {
     "op5_bpe_encoding": op5_bpe_encoding,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
