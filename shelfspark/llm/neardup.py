@@ -113,11 +113,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     Each text travels once as a member for each of its pairs and once for each block of
     ``PER_CENTRE`` members of a centre ``b``; a block is read in order, its centre first.
     """
-    involved = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    # Rows of one id count as one document: the first text in order.
-    texts = materialize(
-        docs.select(F.col("doc_id").cast("long"), "text").join(small(involved), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    )
+    texts = materialize(_first_texts(docs, materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())))
     sizes = pairs.groupBy("b").agg(F.count("*").alias("n"))
     salts = sizes.select("b", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PER_CENTRE).cast("int"))).alias("salt"), "n")
     members = pairs.join(sizes, "b").select(
@@ -141,12 +137,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
                     centre, block = own.copy(), (b, s)
                     continue
                 assert block == (b, s)
-                small_, large = (own, centre) if len(own) <= len(centre) else (centre, own)
-                if not len(small_) or 100 * len(small_) < percent * len(large):
-                    continue
-                at = np.minimum(np.searchsorted(large, small_), len(large) - 1)
-                common = int((large[at] == small_).sum())
-                if 100 * common >= percent * (len(own) + len(centre) - common):
+                if _similar(own, centre, percent):
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"]
@@ -160,39 +151,70 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     )
 
 
-def _within_blocks(members: DataFrame, t: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a bucket whose sketches allow the similarity.
+def _first_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of some ids; rows of one id count as one document, its text the first in order."""
+    own = docs.select(F.col("doc_id").cast("long"), "text").join(small(ids), "doc_id")
+    return own.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * common >= percent * union; empty sets have not."""
+    few, many = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(few) or 100 * len(few) < percent * len(many):
+        return False
+    common = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
-    A bucket's members are dealt to blocks; each task compares two blocks. The bound lies seven standard
-    deviations below the threshold.
+
+def _within_blocks(members: DataFrame, t: int, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) that join different components within buckets, confirmed on full sets.
+
+    A bucket's members are dealt to blocks and each task holds two of them. A pair is looked at in the first
+    band that it shares, if its sketches allow the similarity (five standard deviations below) and no link found so far
+    joins its components: the rest of a class needs no further links, and a task gives fewer links than rows.
     """
     p = percent / 100
-    least = t * (p - 7 * (p * (1 - p) / t) ** 0.5)
+    least = t * (p - 5 * (p * (1 - p) / t) ** 0.5)
     blocks = F.floor((F.col("n") - 1) / BLOCK).cast("int") + 1
     dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), "blocks").cast("int"))
-    replicas = dealt.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component", "n_shingles", "sketch"
-    )
+    replicas = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component", "n_shingles",
+        "sketch", "bands", "text",
+    )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        x, y = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
-        if x.empty or y.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        sx, sy = (np.frombuffer(b"".join(z["sketch"]), np.int16).reshape(len(z), t) for z in (x, y))
-        out = []
-        size_y, comp_y, rep_y = (y[c].to_numpy() for c in ("n_shingles", "component", "rep"))
-        for row, rep, size, comp in zip(sx, x["rep"].to_numpy(), x["n_shingles"].to_numpy(), x["component"].to_numpy(), strict=True):
-            ok = (comp_y != comp) & (100 * np.minimum(size_y, size) >= percent * np.maximum(size_y, size))
-            ok[ok] = (sy[ok] == row).sum(axis=1) >= least
+        i, j, band = pdf["i"].iat[0], pdf["j"].iat[0], pdf["band"].iat[0]
+        pdf = pdf.sort_values(["own", "rep"], ignore_index=True)
+        values, offsets = shingle_sets(pa.array(pdf["text"], pa.large_string()), shingle)
+        sets = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        s = np.frombuffer(b"".join(pdf["sketch"]), np.int16).reshape(len(pdf), t)
+        bands = np.stack(pdf["bands"].to_numpy())[:, :band]
+        own, rep, size, comp = (pdf[c].to_numpy() for c in ("own", "rep", "n_shingles", "component"))
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        found, likely = [], []
+        for x in np.flatnonzero(own == i):
+            ok = (own == j) & (comp != comp[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
             if i == j:
-                ok &= rep_y > rep
-            out += [(max(rep, r), min(rep, r)) for r in rep_y[ok]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return replicas.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+                ok &= rep > rep[x]
+            y = np.flatnonzero(ok)
+            y = y[~(bands[y] == bands[x]).any(axis=1)]
+            same = (s[y] == s[x]).sum(axis=1)
+            keep = same >= least
+            likely += zip((-same[keep]).tolist(), [x] * int(keep.sum()), y[keep].tolist(), strict=True)
+        for _, x, y in sorted(likely):
+            cx, cy = root(comp[x]), root(comp[y])
+            if cx != cy and _similar(sets[x], sets[y], percent):
+                parent[cx] = cy
+                found.append((max(rep[x], rep[y]), min(rep[x], rep[y])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return replicas.groupBy("key", "band", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -212,7 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
         classes.select("rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").dropDuplicates(["rep"])
     )
     buckets = reps.select("rep", F.posexplode("bands").alias("band", "value")).select(
-        "rep", F.xxhash64("band", "value").alias("key")
+        "rep", "band", F.xxhash64("band", "value").alias("key")
     )
     shared = materialize(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     member = materialize(buckets.join(small(shared), "key"))
@@ -237,14 +259,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     labels = materialize(connected_components(links, "a", "b"))
     placed = (
         member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "n", "rep", F.coalesce("component", "rep").alias("component"))
+        .select("key", "band", "n", "rep", F.coalesce("component", "rep").alias("component"))
     )
     apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = placed.join(apart.select("key"), "key", "left_semi").join(reps.select("rep", "n_shingles", "sketch"), "rep")
-    more = materialize(_within_blocks(rest, bands * rows, percent))
+    rest = materialize(placed.join(apart.select("key"), "key", "left_semi"))
+    texts = _first_texts(source, materialize(rest.select(F.col("rep").alias("doc_id")).distinct())).withColumnRenamed("doc_id", "rep")
+    full = rest.join(reps.select("rep", "n_shingles", "sketch", "bands").join(texts, "rep"), "rep")
+    more = materialize(_within_blocks(full, bands * rows, shingle, percent))
     if not more.isEmpty():
-        links = links.union(_verified(more, source, shingle, percent))
-        labels = materialize(connected_components(links, "a", "b"))
+        labels = materialize(connected_components(links.union(more), "a", "b"))
 
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *digest, F.coalesce("component", "rep").alias("component_id")
