@@ -9,6 +9,7 @@ from collections.abc import Iterable, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelfspark.functions import tables
 
@@ -36,13 +37,13 @@ def western_digits(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, *tables.ARABIC_DIGITS), r"(?U)(\d+)[,،](\d+)", "$1.$2")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition; Spark has no builtin for it."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
 

@@ -48,7 +48,7 @@ def _products(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_name").alias("name_en"),
         F.lit(None).cast("string").alias("name_ar"),
         F.col("p_brand").alias("brand"),
-        F.array(F.lpad(F.floor(F.col("p_partkey") / 3).cast("string"), 12, "62810000")).alias("barcodes"),
+        F.array(F.concat(F.lit("62810"), F.lpad(F.expr("p_partkey div 3").cast("string"), 7, "0"))).alias("barcodes"),
         F.col("p_retailprice").alias("price"),
         F.lit(None).cast("double").alias("original_price"),
         F.lit(None).cast("double").alias("discount_amount"),
@@ -215,7 +215,7 @@ def discount_metrics(spark, sf):
 )
 def conditional_counts(spark, sf):
     g = _t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("store")).agg(
-        F.count("*").alias("n"), F.count_if("l_discount > 0").alias("with_discount"), F.count_if("l_tax > 0").alias("with_tax")
+        F.count("*").alias("n"), F.count_if(F.expr("l_discount > 0")).alias("with_discount"), F.count_if(F.expr("l_tax > 0")).alias("with_tax")
     )
     return g.withColumn("coverage", dedupe.coverage(F.col("with_discount"), F.col("n")))
 
@@ -414,8 +414,8 @@ def history_append(spark, sf):
 _PRODUCT_SQL = f"""
 p AS (
   SELECT {_STORE} || '_' || CAST(p_partkey AS VARCHAR) AS uid, {_STORE} AS store, p_partkey % 3 AS ord, p_partkey, p_brand AS brand, p_retailprice AS price,
-    CAST(p_size AS DOUBLE) AS size, p_partkey // 3 AS code, left(lpad(CAST(p_partkey // 3 AS VARCHAR), 12, '62810000'), 8) AS prefix,
-    left(lpad(CAST(p_partkey // 3 AS VARCHAR), 12, '62810000'), 11) AS family, {_TOKENS} AS tokens
+    CAST(p_size AS DOUBLE) AS size, p_partkey // 3 AS code, left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 8) AS prefix,
+    left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 11) AS family, {_TOKENS} AS tokens
   FROM part),
 e AS (
   SELECT a.uid AS a_uid, b.uid AS b_uid, a.ord AS a_ord, b.ord AS b_ord,
@@ -537,8 +537,10 @@ def beverage_match(spark, sf):
 
 @_query()
 def dairy_match(spark, sf):
-    p = _products(spark, sf).withColumn("name_en", F.concat(F.lit("fresh full fat milk "), "name_en")).withColumn(
-        "brand", F.concat("brand", F.col("total_size_value").cast("int").cast("string"))
+    """Parts as milk; each three neighbours are one product of one brand."""
+    brand = F.concat(F.lit("farm"), F.expr("CAST(id AS BIGINT) div 3").cast("string"))
+    p = _products(spark, sf).withColumns(
+        {"name_en": F.concat(F.lit("fresh full fat milk "), "name_en"), "brand": brand, "total_size_value": F.lit(1000.0), "unit_size_value": F.lit(1000.0)}
     )
     return dairy.match(p, "2024-01-01").select("product_name_en", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
@@ -618,14 +620,15 @@ def merge_update_only(spark, sf):
 
 @_query(
     """
-    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS snapshot_date, CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-01-02' THEN 1.0 ELSE o_totalprice END AS price
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS snapshot_date, CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-01-02' THEN 1.0 ELSE o_totalprice END AS price
     FROM orders WHERE CAST(o_orderdate AS DATE) <> DATE '1996-01-02' OR o_orderkey % 2 = 0"""
 )
 def snapshot_replace(spark, sf):
     """The second load of a day replaces it, with fewer rows; other days stay."""
     rows = _t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("snapshot_date"), F.col("o_totalprice").alias("price"))
     again = rows.where("o_orderkey % 2 = 0").withColumn("price", F.lit(1.0))
-    return merge.snapshot_replaced(rows, again, "1996-01-02")
+    done = merge.snapshot_replaced(rows, again, "1996-01-02")
+    return done.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
 @_query(f"SELECT p_partkey // 3 AS code, {_STORE} AS store_name, p_retailprice AS price FROM part")
@@ -693,15 +696,18 @@ def verify_join(spark, sf):
     return s.where("s_acctbal BETWEEN -90 AND 100000").join(n, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("suppliers"))
 
 
-@_query(
-    """
-    SELECT p_partkey, p_name FROM part JOIN (SELECT r_name FROM region) ON lower(p_type) LIKE '%' || lower(left(r_name, 2)) || '%'
-    WHERE r_name IN ('ASIA', 'EUROPE') OR p_brand IS NULL GROUP BY ALL"""
-)
+@_query("SELECT p_partkey, p_name FROM part WHERE p_type = 'ECONOMY' OR p_brand = 'Brand#7' OR p_brand = 'Brand#3'")
 def category_filter(spark, sf):
-    """Parts of which some category node fits: the union of two categories' rows, each part once."""
-    p = _t(spark, sf, "part")
-    marks = [r["r_name"][:2].lower() for r in _t(spark, sf, "region").where("r_name IN ('ASIA', 'EUROPE')").collect()]
-    nodes = F.array(F.lower("p_type"), F.lit(""))
-    hit = F.exists(nodes, lambda n: text.has_any(n, marks))
-    return p.where(hit).select("p_partkey", "p_name").distinct()
+    """Parts whose primary category, its parent or a listed category is wanted."""
+    from shelfspark.plans.silver import in_category
+
+    node = lambda c: F.struct(F.lit(None).cast("string").alias("id"), c.alias("slug"))
+    p = _t(spark, sf, "part").select(
+        "p_partkey", "p_name",
+        F.struct(
+            F.lit(None).cast("string").alias("id"), F.col("p_type").alias("slug"),
+            F.struct(F.lit(None).cast("string").alias("id"), F.col("p_brand").alias("slug"), node(F.lit(None).cast("string")).alias("parentCategory")).alias("parentCategory"),
+        ).alias("primaryCategory"),
+        F.array(node(F.col("p_brand"))).alias("categories"),
+    )
+    return in_category(p, ["7"], ["ECONOMY", "Brand#7", "Brand#3"]).select("p_partkey", "p_name")
