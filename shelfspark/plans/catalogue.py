@@ -61,11 +61,22 @@ def _products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# Rounding of an exact binary value to two decimals, half to even, as ``numbers.round2``.
 def _round2(x: str) -> str:
     return f"(round_even(({x}) * 100, 0) / 100)"
 
 
+def _exact2(x: str) -> str:
+    """Rounding of the exact binary value to two decimals, half to even, as ``numbers.round2``."""
+    big = "CAST(134217729 AS DOUBLE)"
+    high = f"({x} * {big} - ({x} * {big} - {x}))"
+    error = f"(({high} * 100 - {x} * 100) + ({x} - {high}) * 100)"
+    half = f"{x} * 100 - floor({x} * 100) = CAST(0.5 AS DOUBLE)"
+    return (
+        f"(CASE WHEN {half} AND {error} > 0 THEN floor({x} * 100) + 1 WHEN {half} AND {error} < 0 THEN floor({x} * 100) "
+        f"ELSE round_even({x} * 100, 0) END / 100)"
+    )
+
+
 # ---------------------------------------------------------------- projections and scalars
 
 
@@ -221,12 +232,12 @@ def conditional_counts(spark, sf):
 
 
 @_query(
-    """
+    f"""
     WITH b AS (
-      SELECT l_partkey, l_suppkey, min(l_extendedprice / l_quantity) AS price, max(l_discount) AS off FROM lineitem GROUP BY ALL),
-    r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE WHEN off >= 0.1 THEN 0 ELSE 1 END, price, l_suppkey) AS i FROM b)
-    SELECT l_partkey, round_even(price * 100, 0) / 100 AS price, CASE WHEN off >= 0.1 THEN round_even((price + 1) * 100, 0) / 100 END AS original_price
-    FROM r WHERE i = 1"""
+      SELECT l_partkey, l_suppkey, min(l_extendedprice / l_quantity) AS x, max(l_discount) AS off FROM lineitem GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE WHEN off >= 0.1 THEN 0 ELSE 1 END, x, l_suppkey) AS i FROM b),
+    c AS (SELECT l_partkey, x, CASE WHEN off >= 0.1 THEN x + 1 END AS y FROM r WHERE i = 1)
+    SELECT l_partkey, {_exact2("x")} AS price, {_exact2("y")} AS original_price FROM c"""
 )
 def best_branch_price(spark, sf):
     """Suppliers as branches; a branch with a discount of a tenth sells a unit below its original price."""
