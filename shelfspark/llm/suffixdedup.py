@@ -193,18 +193,20 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     spans = copies.union(sorted_).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            merged = []
-            for own in batch.column(1).to_pylist():
-                out: list[list[int]] = []
-                for s in own:
-                    if out and s["start"] <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], s["end"])
-                    else:
-                        out.append([s["start"], s["end"]])
-                merged.append([{"start": a, "end": b} for a, b in out])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, kind)], ["doc_id", "spans"])
+            lists = batch.column(1)
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            start, end = (flat.field(i).to_numpy() for i in range(2))
+            # Sorted within a document; the document's number in the high bits keeps documents apart.
+            base = owner.astype(np.int64) << 32
+            reach = np.maximum.accumulate(base + end)
+            fresh = np.concatenate([[True], base[1:] + start[1:] > reach[:-1]])
+            heads = np.flatnonzero(fresh)
+            ends = np.append(heads[1:], len(start)) - 1
+            merged = pa.StructArray.from_arrays([pa.array(start[heads]), pa.array(reach[ends] - base[ends])], ["start", "end"])
+            offsets = np.searchsorted(owner[heads], np.arange(len(lists) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), merged)], ["doc_id", "spans"])
 
     return spans.mapInArrow(merge, "doc_id long, spans array<struct<start: bigint, end: bigint>>")
 
@@ -218,11 +220,12 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     spans = materialize(repeated_spans(docs, length))
     ids = spans.select("doc_id")
+    docs_at = docs.columns.index("text")
     kind = "kept binary, spans array<struct<start: bigint, end: bigint>>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, by = batch.schema.get_field_index("text"), batch.schema.get_field_index("spans")
+        for batch in chunks(batches, docs_at):
+            at, by = docs_at, len(batch.schema) - 1
             kept = []
             for text, own in zip(batch.column(at).to_pylist(), batch.column(by).to_pylist(), strict=True):
                 raw, parts, place = (text or "").encode(), [], 0
