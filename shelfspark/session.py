@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -10,6 +10,7 @@ import json
 import os
 from collections.abc import Iterable, Iterator
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 
@@ -51,7 +52,7 @@ class _Reader(DataSourceReader):
 
 
 class PagedSource(DataSource):
-    """``spark.dataSource.register(PagedSource)``, then ``spark.read.format("paged").load(folder)``."""
+    """After ``register(spark)``: ``spark.read.format("paged").load(folder)``."""
 
     @classmethod
     def name(cls) -> str:
@@ -67,3 +68,9 @@ class PagedSource(DataSource):
 def first_with_hits(candidates: list[str], count) -> str | None:
     """The first facet for which ``count`` finds rows."""
     return next((c for c in candidates if count(c) > 0), None)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the source known, with filters pushed down to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedSource)
