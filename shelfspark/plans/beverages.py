@@ -37,12 +37,13 @@ def features(products: DataFrame) -> DataFrame:
 def compatible(a: str = "a", b: str = "b") -> Column:
     """No conflicting variants, prices within 1.55, equal packs, sizes within 5 %."""
     c = lambda p, n: F.col(f"{p}_{n}")
+    # Cheap tests first: conjuncts are evaluated in order.
     return (
-        ~text.conflicting_tokens(c(a, "tokens"), c(b, "tokens"))
-        & numbers.price_ratio_ok(c(a, "price"), c(b, "price"))
+        numbers.price_ratio_ok(c(a, "price"), c(b, "price"))
         & numbers.packages_match(
             c(a, "pack_qty"), c(a, "total_size_value"), c(a, "size_unit"), c(b, "pack_qty"), c(b, "total_size_value"), c(b, "size_unit")
         )
+        & ~text.conflicting_tokens(c(a, "tokens"), c(b, "tokens"))
     )
 
 
@@ -75,10 +76,10 @@ def pair_edges(featured: DataFrame) -> DataFrame:
         .drop("code")
         .dropDuplicates(["a_uid", "b_uid"])
     )
-    by_brand = a.where("a_norm_brand <> 'unbranded'").join(b, (F.col("a_norm_brand") == F.col("b_norm_brand")) & ordered).where(
-        ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
-    )
-    return by_code.unionByName(by_brand).where(compatible()).withColumn("tier", tier()).where("tier IS NOT NULL").select("a_uid", "b_uid", "tier")
+    apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
+    by_brand = a.where("a_norm_brand <> 'unbranded'").join(b, (F.col("a_norm_brand") == F.col("b_norm_brand")) & ordered)
+    tied = by_code.where(compatible()).unionByName(by_brand.where(compatible() & apart))
+    return tied.withColumn("tier", tier()).where("tier IS NOT NULL").select("a_uid", "b_uid", "tier")
 
 
 def representatives(featured: DataFrame, components: DataFrame) -> DataFrame:

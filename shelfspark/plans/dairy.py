@@ -92,8 +92,8 @@ def _evidence(df: DataFrame) -> DataFrame:
     same_defining = F.lit(True)
     for k in DEFINING:
         same_defining = same_defining & a[k].eqNullSafe(b[k])
-    df = df.where((F.size(semantic_conflicts(a, b)) == 0) & (F.size(package_conflicts(pa, pb)) == 0))
-    df = df.where((pa["unit"] == pb["unit"]) & (pa["total"] != 0) & (pb["total"] != 0))
+    sized = (pa["unit"] == pb["unit"]) & (pa["total"] != 0) & (pb["total"] != 0) & close(pa["total"], pb["total"])
+    df = df.where(sized & (F.size(package_conflicts(pa, pb)) == 0) & (F.size(semantic_conflicts(a, b)) == 0))
     df = df.withColumns(
         {
             "code_level": barcode.evidence(F.col("a_codes"), F.col("a_valid"), F.col("b_codes"), F.col("b_valid")),

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from shelfspark.functions.text import decode_page
 
@@ -25,16 +26,10 @@ def json_array(spark: SparkSession, path: str, schema: str, required: bool = Fal
     if not _exists(spark, path) and not required:
         return spark.createDataFrame([], f"{schema}, pos int")
     whole = spark.read.text(path, wholetext=True).select(unwrap(F.parse_json("value")).alias("rows"))
-    items = whole.select(F.from_json(F.to_json("rows"), f"array<struct<{_as_struct(schema)}>>").alias("rows"))
+    items = whole.select(F.from_json(F.to_json("rows"), ArrayType(StructType.fromDDL(schema))).alias("rows"))
     return items.select(F.posexplode("rows").alias("pos", "row")).select("row.*", "pos")
 
 
-def _as_struct(schema: str) -> str:
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(schema).simpleString()[len("struct<") : -1]
-
-
 def unwrap(v):
     """The array itself or that in an object's ``records`` or ``products``; anything else is an error."""
     found = F.coalesce(F.try_variant_get(v, "$.records", "variant"), F.try_variant_get(v, "$.products", "variant"), v)
