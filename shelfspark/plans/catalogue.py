@@ -39,7 +39,7 @@ _STORE = "CASE p_partkey % 3 WHEN 0 THEN 'bindawood' WHEN 1 THEN 'panda' ELSE 't
 
 
 def _products(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts as products: twelve-digit barcodes shared by each three neighbours."""
+    """Parts as products: each three neighbours share a twelve-digit barcode and a size."""
     return _t(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("id"),
         F.expr(_STORE).alias("store"),
@@ -54,8 +54,8 @@ def _products(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("double").alias("discount_amount"),
         F.lit(None).cast("double").alias("discount_percentage"),
         F.lit(1).alias("pack_qty"),
-        F.col("p_size").cast("double").alias("unit_size_value"),
-        F.col("p_size").cast("double").alias("total_size_value"),
+        F.expr("CAST((p_partkey div 3) % 50 + 1 AS DOUBLE)").alias("unit_size_value"),
+        F.expr("CAST((p_partkey div 3) % 50 + 1 AS DOUBLE)").alias("total_size_value"),
         F.lit("g").alias("size_unit"),
         F.lit(None).cast("string").alias("image_url"),
     )
@@ -425,7 +425,7 @@ def history_append(spark, sf):
 _PRODUCT_SQL = f"""
 p AS (
   SELECT {_STORE} || '_' || CAST(p_partkey AS VARCHAR) AS uid, {_STORE} AS store, p_partkey % 3 AS ord, p_partkey, p_brand AS brand, p_retailprice AS price,
-    CAST(p_size AS DOUBLE) AS size, p_partkey // 3 AS code, left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 8) AS prefix,
+    CAST((p_partkey // 3) % 50 + 1 AS DOUBLE) AS size, p_partkey // 3 AS code, left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 8) AS prefix,
     left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 11) AS family, {_TOKENS} AS tokens
   FROM part),
 e AS (
