@@ -9,8 +9,6 @@ members are scored exactly, and the shards' lists are merged by (score, vec_id).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame

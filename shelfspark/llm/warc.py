@@ -36,7 +36,7 @@ def url_key(url: Column) -> Column:
 
 
 def _header_value(c: Column) -> Column:
-    """A value that stays on its line; ``url_decode`` isn't needed to find it again."""
+    """A value that stays on its line: control characters and line separators become ``%20``."""
     return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"[\x00-\x1f\x7f\u0085  ]", "%20")
 
 
