@@ -1,10 +1,10 @@
 """Exact top-k inner products by an impact-ordered, score-at-a-time index.
 
-Vectors are dealt to shards. A shard's index holds, for each dimension, one posting segment per
-quantised impact, the largest impact first. A query takes up all segments of the dimensions with
-non-zero weight in descending order of quantised contribution and adds them to score bounds; it stops
-only when what is left can't lift any other vector to the k-th score. The vectors that may still be
-members are scored exactly, and the shards' lists are merged by (score, vec_id).
+Vectors are dealt to shards. A shard's index holds, for each dimension and sign, posting segments of
+quantised impact, the largest impact first. Queries take up the segments plane by plane in descending
+impact and add them to score bounds; a query stops only when what is left can't lift any other vector to
+its k-th score. The vectors that may still be members are scored exactly, and the shards' lists are
+merged by (score, vec_id).
 """
 
 from __future__ import annotations
@@ -19,79 +19,71 @@ from pyspark.sql import Window
 SHARD = 8192
 QUERY_BLOCK = 256
 
-#: Levels of quantised impact on either side of zero.
-LEVELS = 16
+#: Planes of quantised impact.
+PLANES = 6
 
 
 class ImpactIndex:
-    """One shard: integer vectors (rows) and their posting segments."""
+    """One shard: integer vectors (rows) and their postings in planes of quantised impact, the largest first.
+
+    A posting's impact is its component's size; a segment holds the postings of one dimension, plane and
+    sign and knows the least and largest component among them. Planes are kept as matrices, so that a
+    block of queries takes up all segments of a plane at once.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        n, dims = self.vectors.shape
-        self.low = np.zeros((dims, 2 * LEVELS), np.int64)
-        self.high = np.zeros((dims, 2 * LEVELS), np.int64)
-        #: Of each dimension and level, the rows and the least and largest component among them.
-        self.rows: list[list[np.ndarray]] = []
-        for d in range(dims):
-            column = self.vectors[:, d]
-            top = max(1, int(np.abs(column).max(initial=0)))
-            level = np.clip((column + top) * (2 * LEVELS) // (2 * top + 1), 0, 2 * LEVELS - 1)
-            by = np.argsort(level, kind="stable")
-            cuts = np.searchsorted(level[by], np.arange(2 * LEVELS + 1))
-            self.rows.append([by[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
-            for s, rows in enumerate(self.rows[-1]):
-                if len(rows):
-                    self.low[d, s], self.high[d, s] = column[rows].min(), column[rows].max()
-        self.filled = np.array([[len(r) > 0 for r in row] for row in self.rows])
-
-    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows but ``own``, ties to the smaller id."""
-        n = len(self.ids)
-        if n == 0:
-            return self.ids, np.zeros(0, np.int64)
-        dims = np.flatnonzero(query)
-        weight = query[dims][:, None]
-        a, b = weight * self.low[dims], weight * self.high[dims]
-        least, most = np.minimum(a, b), np.maximum(a, b)
-        used = self.filled[dims]
-        # Until a dimension's segment of a row is seen, the row is bounded by the dimension's remaining segments.
-        floor_left = np.where(used, least, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        lower = np.full(n, floor_left.sum() if len(dims) else 0)
-        mean = (least + most) // 2
-        where = np.argwhere(used)
-        order = where[np.argsort(-mean[used], kind="stable")]
-        # Segments come by descending contribution, so a dimension's next segment bounds its unseen rows.
-        pending = [[s for d_, s in order if d_ == d] for d in range(len(dims))]
-        at = np.zeros(len(dims), np.int64)
-        ceiling = np.array([most[d, p].max() for d, p in enumerate(pending)], np.int64) if len(dims) else np.zeros(0, np.int64)
-        credit = np.zeros(n, np.int64)
-        alive = np.arange(n)
-        step = max(1, len(order) // 8)
-        unseen = np.ones((len(dims), n), bool) if len(dims) else np.ones((0, n), bool)
-        for i, (d, s) in enumerate(order):
-            rows = self.rows[dims[d]][s]
-            lower[rows] += least[d, s] - floor_left[d]
-            credit[rows] += most[d, s]
-            unseen[d, rows] = False
-            at[d] += 1
-            rest = pending[d][at[d] :]
-            ceiling[d] = most[d, rest].max() if rest else 0
-            if (i + 1) % step == 0 or i + 1 == len(order):
-                upper = credit + ceiling @ unseen
-                others = lower[self.ids != own]
-                if len(others) <= k:
-                    break
-                kth = np.partition(others, len(others) - k)[len(others) - k]
-                alive = np.flatnonzero(upper >= kth)
-                # Proof: every row outside ``alive`` scores less than k rows; go on only while it still pays.
-                if len(alive) <= 4 * k:
-                    break
-        alive = alive[self.ids[alive] != own]
-        scores = self.vectors[alive] @ query
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return self.ids[alive][best], scores[best]
+        size = np.abs(self.vectors)
+        top = size.max(axis=0, initial=0)
+        plane = size * PLANES // (top + 1)
+        #: Of each plane: largest and least component of each posting's segment, the postings, and the size left below.
+        self.planes: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        for p in range(PLANES - 1, -1, -1):
+            inside = plane == p
+            high, low = np.zeros(self.vectors.shape), np.zeros(self.vectors.shape)
+            for sign in (self.vectors >= 0, self.vectors < 0):
+                own = inside & sign
+                most = np.where(own, self.vectors, np.iinfo(np.int64).min).max(axis=0, initial=np.iinfo(np.int64).min)
+                least = np.where(own, self.vectors, np.iinfo(np.int64).max).min(axis=0, initial=np.iinfo(np.int64).max)
+                high, low = np.where(own, most, high), np.where(own, least, low)
+            left = np.where(plane < p, size, 0).max(axis=0, initial=0).astype(float)
+            self.planes.append((high, low, inside, left))
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query ids and scores of the k best rows but ``own``, ties to the smaller id."""
+        n, m = len(self.ids), len(queries)
+        out: list[tuple[np.ndarray, np.ndarray]] = [(self.ids[:0], np.zeros(0, np.int64))] * m
+        at = np.searchsorted(self.ids, own)
+        mine = (at < n) & (self.ids[np.minimum(at, n - 1)] == own)
+        up, down = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
+        weight = np.abs(queries).astype(float)
+        upper, lower = np.zeros((m, n)), np.zeros((m, n))
+        unseen = np.ones(self.vectors.shape)
+        # Sums of large components may round; bounds are widened by more than that.
+        margin = (weight @ np.abs(self.vectors).max(axis=0, initial=0).astype(float)) * 1e-12 + 0.5
+        open_ = np.arange(m)
+        for last, (high, low, inside, left) in zip([False] * (PLANES - 1) + [True], self.planes, strict=True):
+            upper[open_] += up[open_] @ high.T + down[open_] @ low.T
+            lower[open_] += up[open_] @ low.T + down[open_] @ high.T
+            unseen[inside] = 0
+            slack = (weight[open_] * left) @ unseen.T + margin[open_, None]
+            most, least = upper[open_] + slack, lower[open_] - slack
+            hit = np.flatnonzero(mine[open_])
+            most[hit, at[open_][hit]] = least[hit, at[open_][hit]] = -np.inf
+            kth = np.partition(least, max(0, n - k), axis=1)[:, max(0, n - k)]
+            # Rows outside can't reach k others: that is the proof. Go on only while many are left.
+            alive = (most >= kth[:, None]) & (most > -np.inf)
+            done = (alive.sum(axis=1) <= 4 * k) | last
+            for i in np.flatnonzero(done):
+                rows = np.flatnonzero(alive[i])
+                scores = self.vectors[rows] @ queries[open_[i]]
+                best = np.lexsort((self.ids[rows], -scores))[:k]
+                out[open_[i]] = (self.ids[rows][best], scores[best])
+            open_ = open_[~done]
+            if not len(open_):
+                break
+        return out
 
 
 def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float = 1024.0) -> DataFrame:
@@ -132,9 +124,9 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
             if rows.empty or queries.empty:
                 continue
             index = ImpactIndex(rows["vec_id"].to_numpy(), np.stack(rows["x"].to_numpy()).astype(np.int64))
-            for q, x in zip(queries["vec_id"], queries["x"], strict=True):
-                ids, scores = index.search(np.asarray(x, np.int64), k, q)
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}))
+            own = queries["vec_id"].to_numpy()
+            found = index.search(np.stack(queries["x"].to_numpy()).astype(np.int64), own, k)
+            out += [pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}) for q, (ids, scores) in zip(own, found, strict=True)]
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     found = index.unionByName(asked).groupBy("shard", "block").applyInPandas(run, "query_id long, vec_id long, score long")
