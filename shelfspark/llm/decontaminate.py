@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders that keep their value as a slot. Windows of five
 canonical tokens are hash-joined with those of the benchmark; an item is found in a document when at
 least ``min_containment`` of its distinct windows occur there and, along the best aligned diagonal,
-every slot value of the item stands for one value in the document.
+every slot value of the item stands for one value in the document. Capitals tell names, so each window
+has a second form that takes names as words in lower case: a copy in other letter case is found by it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def tokens(text: Column) -> Column:
     t = F.lower(t)
     units = "|".join(UNITS.split())
     numbered = F.regexp_replace(
-        F.regexp_replace(t, rf"(?<!{_WORD})({_NUM})\s?({units}|[%$€£])(?!{_WORD})", f"{_NUMBER}$1 {_UNIT}$2"),
+        F.regexp_replace(t, rf"(?<!{_WORD})({_NUM})\s?{_NAME}?({units}|[%$€£])(?!{_WORD})", f"{_NUMBER}$1 {_UNIT}$2"),
         rf"(?<![\p{{L}}\p{{N}}\p{{M}}.,:/{_NUMBER}])({_NUM})(?!{_WORD})",
         f"{_NUMBER}$1",
     )
@@ -46,6 +47,19 @@ def _canonical(x: Column) -> Column:
     return F.when(mark <= _UNIT, mark).otherwise(x)
 
 
+def _folded(x: Column) -> Column:
+    return F.when(F.left(x, F.lit(1)) == _NAME, _value(x)).otherwise(_canonical(x))
+
+
+def _value(x: Column) -> Column:
+    return F.ltrim(x, F.lit(_NAME + _NUMBER + _UNIT))
+
+
+def _forms(tokenised: DataFrame, raw: str) -> DataFrame:
+    """With ``canonical`` and ``folded``: tokens whose names are placeholders, and those whose names are words."""
+    return tokenised.withColumns({"canonical": F.transform(raw, _canonical), "folded": F.transform(raw, _folded)})
+
+
 def _windows(column: str, n: int) -> Column:
     """Hashes of all windows of ``n`` tokens, in order; a shorter text is one window, an empty one none.
 
@@ -64,6 +78,7 @@ def contamination(
 ) -> DataFrame:
     """Leaks, a row for each (doc_id, item_id): ``n_windows, n_hit, containment, n_slots, n_changed, kind``.
 
+    A window counts once, whether its canonical or its folded form occurs in the document.
     ``kind`` is ``verbatim`` or, where slots hold other values than the item's, ``reparameterised``.
     Null texts count as empty and an item of fewer than ``min_words`` tokens is never searched for (one
     word would condemn any document). Rows of one id count as one document or item; null ids can't be
@@ -71,23 +86,25 @@ def contamination(
 
     Only benchmark windows are broadcast, after counting them; more than the bound are joined by shuffle.
     """
-    b = (
+    items = (
         benchmark.where(F.col("item_id").isNotNull())
         .select("item_id", tokens(F.col("text")).alias("raw"))
         .where(F.size("raw") >= min_words)
-        .withColumn("canonical", F.transform("raw", _canonical))
-        .withColumn("windows", _windows("canonical", n))
     )
-    item_windows = materialize(b.select("item_id", "raw", F.posexplode("windows").alias("item_pos", "window")))
-    distinct = item_windows.select("item_id", "window").distinct()
-    sizes = distinct.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
+    b = _forms(items, "raw").select("item_id", "raw", F.posexplode(both).alias("item_pos", "w"))
+    # A window's key is its canonical form; either form finds it.
+    forms = F.explode(F.array_distinct(F.array("w.key", "w.folded")))
+    item_windows = materialize(b.select("item_id", "raw", "item_pos", F.col("w.key").alias("key"), forms.alias("window")))
+    distinct = item_windows.select("item_id", "key", "window").distinct()
+    sizes = distinct.groupBy("item_id").agg(F.count_distinct("key").alias("n_windows"))
 
     source = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    found = source.select("doc_id", F.transform(tokens(F.col("text")), _canonical).alias("canonical")).select(
-        "doc_id", F.explode(_windows("canonical", n)).alias("window")
+    found = _forms(source.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw").select(
+        "doc_id", F.explode(F.array_distinct(F.concat(_windows("canonical", n), _windows("folded", n)))).alias("window")
     )
     hits = (
-        found.join(small(distinct), "window").groupBy("doc_id", "item_id").agg(F.count_distinct("window").alias("n_hit"))
+        found.join(small(distinct), "window").groupBy("doc_id", "item_id").agg(F.count_distinct("key").alias("n_hit"))
     )
     likely = materialize(
         hits.join(small(sizes), "item_id")
@@ -96,15 +113,18 @@ def contamination(
     )
 
     # Second look, at likely documents only: align windows and compare slot values.
+    likely_docs = source.join(small(likely.select("doc_id").distinct()), "doc_id", "left_semi")
+    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
     again = (
-        source.join(small(likely.select("doc_id").distinct()), "doc_id", "left_semi")
-        .select("doc_id", tokens(F.col("text")).alias("doc_raw"))
-        .withColumn("canonical", F.transform("doc_raw", _canonical))
-        .select("doc_id", "doc_raw", F.posexplode(_windows("canonical", n)).alias("doc_pos", "window"))
+        _forms(likely_docs.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw")
+        .select("doc_id", "doc_raw", F.posexplode(both).alias("doc_pos", "w"))
+        .select("doc_id", "doc_raw", "doc_pos", F.explode(F.array_distinct(F.array("w.key", "w.folded"))).alias("window"))
     )
     part = lambda raw, at: F.slice(raw, F.col(at) + 1, n)
+    # The document's values without their type, which may be told by letter case.
+    values_of = F.transform(part(F.col("doc_raw"), "doc_pos"), _value)
     pairs = F.filter(
-        F.arrays_zip(part(F.col("doc_raw"), "doc_pos").alias("d"), part(F.col("raw"), "item_pos").alias("i")),
+        F.arrays_zip(values_of.alias("d"), part(F.col("raw"), "item_pos").alias("i")),
         lambda p: F.left(p["i"], F.lit(1)) <= _UNIT,
     )
     aligned = again.join(small(item_windows), "window").select(
@@ -128,7 +148,7 @@ def contamination(
             "n_hit",
             "containment",
             F.size("slots").alias("n_slots"),
-            F.size(F.filter("slots", lambda p: p["d"] != p["i"])).alias("n_changed"),
+            F.size(F.filter("slots", lambda p: p["d"] != _value(p["i"]))).alias("n_changed"),
         )
         .withColumn("kind", F.when(F.col("n_changed") > 0, "reparameterised").otherwise("verbatim"))
     )

@@ -313,3 +313,14 @@ def test_decontamination(spark):
     assert kept.columns == docs(spark, rows).columns and sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "6", "None"]
     assert decontaminate.contamination(docs(spark, rows).limit(0), bench).count() == 0
     assert decontaminate.contamination(docs(spark, rows), bench.limit(0)).count() == 0
+
+
+def test_decontamination_whatever_the_letter_case(spark):
+    item = "If Alice has 12 apples and gives Bob 3 kg then Alice has how many apples left today?"
+    rows = [
+        (1, "INTRO WORDS. " + item.upper()), (2, item.lower()), (3, item.title()), (4, item), (5, "zz " + item.replace("Alice", "Carla", 1)),
+        (6, item.upper().replace("12", "15")), (7, item.upper()[:30]),
+    ]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: (r.containment, r.kind) for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert got == dict.fromkeys((1, 2, 3, 4), (1.0, "verbatim")) | {6: (1.0, "reparameterised")}
