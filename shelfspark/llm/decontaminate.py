@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed placeholders that keep their value as a slot. Windows of five
 canonical tokens are hash-joined with those of the benchmark; an item is found in a document when at
-least ``min_containment`` of its distinct windows occur there and, along the best aligned diagonal,
+least ``min_containment`` of its distinct windows occur there and, along a well aligned diagonal,
 every slot value of the item stands for one value in the document. Capitals tell names, so each window
 has a second form that takes names as words in lower case: a copy in other letter case is found by it.
 """
@@ -133,14 +133,19 @@ def contamination(
     per_diagonal = aligned.groupBy("doc_id", "item_id", "diagonal").agg(
         F.count_distinct("item_pos").alias("on"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
     )
+    values = lambda k: F.size(F.array_distinct(F.transform("slots", lambda p: p[k])))
+    # One value in the document for each value of the item.
+    consistent = F.size("slots") == values("i")
     best = per_diagonal.groupBy("doc_id", "item_id").agg(
-        F.max_by("slots", F.struct("on", -F.col("diagonal"))).alias("slots")
+        F.max("on").alias("top"),
+        F.max(F.when(consistent, F.struct("on", (-F.col("diagonal")).alias("first"), "slots"))).alias("good"),
     )
-    values = lambda k: F.size(F.array_distinct(F.transform("slots", lambda p: p[k])))
+    # Another copy in the document, consistent or not, takes nothing from a diagonal with enough windows.
+    enough = F.col("good.on") >= F.least(F.col("top"), min_containment * F.col("n_windows"))
     return (
         likely.join(best, ["doc_id", "item_id"])
-        # One value in the document for each value of the item.
-        .where(F.size("slots") == values("i"))
+        .where(enough)
+        .withColumn("slots", F.col("good.slots"))
         .select(
             "doc_id",
             "item_id",

@@ -324,3 +324,12 @@ def test_decontamination_whatever_the_letter_case(spark):
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")
     got = {r.doc_id: (r.containment, r.kind) for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
     assert got == dict.fromkeys((1, 2, 3, 4), (1.0, "verbatim")) | {6: (1.0, "reparameterised")}
+
+
+def test_decontamination_finds_a_copy_beside_an_inconsistent_one(spark):
+    item = "If Alice has 12 apples and gives Bob 3 kg then Alice has how many apples left today?"
+    other = item.replace("Alice", "Carla", 1)
+    rows = [(1, f"{other} {item}"), (2, f"{item} {other}"), (3, f"{other} {other}"), (4, f"{other} {item[:-12]}")]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: r.kind for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert got == dict.fromkeys((1, 2, 4), "verbatim")
