@@ -60,6 +60,12 @@ def _forms(tokenised: DataFrame, raw: str) -> DataFrame:
     return tokenised.withColumns({"canonical": F.transform(raw, _canonical), "folded": F.transform(raw, _folded)})
 
 
+def _placed(n: int) -> Column:
+    """``pos, key, folded`` of all windows of ``n`` tokens: the place and the hashes of both forms."""
+    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
+    return F.transform(both, lambda w, i: F.struct(i.alias("pos"), w["key"].alias("key"), w["folded"].alias("folded")))
+
+
 def _windows(column: str, n: int) -> Column:
     """Hashes of all windows of ``n`` tokens, in order; a shorter text is one window, an empty one none.
 
@@ -91,17 +97,20 @@ def contamination(
         .select("item_id", tokens(F.col("text")).alias("raw"))
         .where(F.size("raw") >= min_words)
     )
-    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
-    b = _forms(items, "raw").select("item_id", "raw", F.posexplode(both).alias("item_pos", "w"))
+    b = _forms(items, "raw").select("item_id", "raw", F.explode(_placed(n)).alias("w"))
     # A window's key is its canonical form; either form finds it.
     forms = F.explode(F.array_distinct(F.array("w.key", "w.folded")))
-    item_windows = materialize(b.select("item_id", "raw", "item_pos", F.col("w.key").alias("key"), forms.alias("window")))
+    item_windows = materialize(b.select("item_id", "raw", F.col("w.pos").alias("item_pos"), F.col("w.key").alias("key"), forms.alias("window")))
     distinct = item_windows.select("item_id", "key", "window").distinct()
     sizes = distinct.groupBy("item_id").agg(F.count_distinct("key").alias("n_windows"))
 
     source = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    # An item of fewer than n tokens is one window of its own length.
+    length = F.size("raw")
+    shorter = sorted(row[0] for row in items.select(length).where((length > 0) & (length < n)).distinct().collect())
+
     found = _forms(source.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw").select(
-        "doc_id", F.explode(F.array_distinct(F.concat(_windows("canonical", n), _windows("folded", n)))).alias("window")
+        "doc_id", F.explode(F.array_distinct(F.concat(*[_windows(c, k) for k in (n, *shorter) for c in ("canonical", "folded")]))).alias("window")
     )
     hits = (
         found.join(small(distinct), "window").groupBy("doc_id", "item_id").agg(F.count_distinct("key").alias("n_hit"))
@@ -114,11 +123,10 @@ def contamination(
 
     # Second look, at likely documents only: align windows and compare slot values.
     likely_docs = source.join(small(likely.select("doc_id").distinct()), "doc_id", "left_semi")
-    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
     again = (
         _forms(likely_docs.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw")
-        .select("doc_id", "doc_raw", F.posexplode(both).alias("doc_pos", "w"))
-        .select("doc_id", "doc_raw", "doc_pos", F.explode(F.array_distinct(F.array("w.key", "w.folded"))).alias("window"))
+        .select("doc_id", "doc_raw", F.explode(F.concat(*[_placed(k) for k in (n, *shorter)])).alias("w"))
+        .select("doc_id", "doc_raw", F.col("w.pos").alias("doc_pos"), F.col("w.key").alias("doc_key"), F.explode(F.array_distinct(F.array("w.key", "w.folded"))).alias("window"))
     )
     part = lambda raw, at: F.slice(raw, F.col(at) + 1, n)
     # The document's values without their type, which may be told by letter case.
@@ -128,24 +136,39 @@ def contamination(
         lambda p: F.left(p["i"], F.lit(1)) <= _UNIT,
     )
     aligned = again.join(small(item_windows), "window").select(
-        "doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "item_pos", pairs.alias("slots")
+        "doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "item_pos", pairs.alias("slots"),
+        F.when(F.col("doc_key") == F.col("key"), F.col("key")).alias("same"),
     )
+    # By all windows, and by those alone whose canonical forms are equal.
+    slots = lambda x: F.array_distinct(F.flatten(F.collect_set(x)))
+    typed = F.col("same").isNotNull()
     per_diagonal = aligned.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.count_distinct("item_pos").alias("on"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+        F.count_distinct("item_pos").alias("on"),
+        slots("slots").alias("slots"),
+        F.count_distinct(F.when(typed, F.col("item_pos"))).alias("typed_on"),
+        slots(F.when(typed, F.col("slots"))).alias("typed_slots"),
+        F.collect_set("same").alias("keys"),
     )
-    values = lambda k: F.size(F.array_distinct(F.transform("slots", lambda p: p[k])))
-    # One value in the document for each value of the item.
-    consistent = F.size("slots") == values("i")
+
+    def good(on: str, slots: str) -> Column:
+        # One value in the document for each value of the item.
+        values = F.size(F.array_distinct(F.transform(slots, lambda p: p["i"])))
+        return F.max(F.when(F.size(slots) == values, F.struct(F.col(on).alias("on"), (-F.col("diagonal")).alias("first"), F.col(slots).alias("slots"))))
+
     best = per_diagonal.groupBy("doc_id", "item_id").agg(
         F.max("on").alias("top"),
-        F.max(F.when(consistent, F.struct("on", (-F.col("diagonal")).alias("first"), "slots"))).alias("good"),
+        good("on", "slots").alias("all"),
+        F.max("typed_on").alias("typed_top"),
+        good("typed_on", "typed_slots").alias("typed"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("typed_hit"),
     )
     # Another copy in the document, consistent or not, takes nothing from a diagonal with enough windows.
-    enough = F.col("good.on") >= F.least(F.col("top"), min_containment * F.col("n_windows"))
+    windows = min_containment * F.col("n_windows")
+    enough = lambda g, top: F.when(F.col(f"{g}.on") >= F.least(F.col(top), windows), F.col(f"{g}.slots"))
     return (
         likely.join(best, ["doc_id", "item_id"])
-        .where(enough)
-        .withColumn("slots", F.col("good.slots"))
+        .withColumn("slots", F.coalesce(F.when(F.col("typed_hit") >= windows, enough("typed", "typed_top")), enough("all", "top")))
+        .where("slots IS NOT NULL")
         .select(
             "doc_id",
             "item_id",

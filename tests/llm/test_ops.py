@@ -333,3 +333,10 @@ def test_decontamination_finds_a_copy_beside_an_inconsistent_one(spark):
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")
     got = {r.doc_id: r.kind for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
     assert got == dict.fromkeys((1, 2, 4), "verbatim")
+
+
+def test_decontamination_finds_short_items_inside_documents(spark):
+    rows = [(1, "He asked: what is 2+2? Nobody knew the answer."), (2, "What is 2+2?"), (3, "what is this, 2 and 2"), (4, "so, what is 3+3 then, and what is 3+4")]
+    bench = spark.createDataFrame([(7, "What is 2+2?"), (8, "short one")], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.kind) for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert got == {1: (7, "verbatim"), 2: (7, "verbatim"), 4: (7, "reparameterised")}
