@@ -146,16 +146,30 @@ def _sorted_shards(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+
+
+def first_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of ids in several rows with a text: the first text in order. Only ids are shuffled for the others."""
+    source = _source(docs)
+    again = materialize(source.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    return materialize(source.join(small(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+
+
+def repeated_spans(docs: DataFrame, length: int = 100, firsts: DataFrame | None = None) -> DataFrame:
     """``doc_id, spans``: merged byte spans, array<struct<start,end>>, of strings that also start earlier.
 
     Earlier means a smaller doc_id, or an earlier start in the same text. Texts are UTF-8 bytes; null
     texts are empty; null ids take no part; of repeated ids the first text in order counts. Only
-    documents with such spans are returned.
+    documents with such spans are returned. ``firsts`` is ``first_texts(docs)`` where it is at hand.
     """
-    source = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
+    firsts = first_texts(docs) if firsts is None else firsts
+    source = _source(docs)
+    if not firsts.isEmpty():
+        source = source.join(small(firsts.select("doc_id")), "doc_id", "left_anti").unionByName(firsts)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
@@ -214,11 +228,12 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """The columns of ``docs`` with ``kept`` (binary: the text without its repeated spans) and ``spans``.
 
-    Null texts count as empty; rows of one id whose text isn't the first in order are left as they are
-    only if nothing of that id repeats, else cut at the same spans; rows with a null id are left whole. Every row stays; an
+    Null texts count as empty; of rows of one id those with the first text in order are cut, the others
+    left as they are; rows with a null id are left whole. Every row stays; an
     empty table gives no rows. Extra columns must not be named ``kept`` or ``spans``.
     """
-    spans = materialize(repeated_spans(docs, length))
+    firsts = first_texts(docs)
+    spans = materialize(repeated_spans(docs, length, firsts))
     ids = spans.select("doc_id")
     docs_at = docs.columns.index("text")
     kind = "kept binary, spans array<struct<start: bigint, end: bigint>>"
@@ -242,8 +257,14 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     from pyspark.sql.types import StructType
 
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(kind).fields])
-    touched = docs.join(small(ids), "doc_id", "left_semi").join(spans, "doc_id").select(*docs.columns, "spans").mapInArrow(cut, schema)
-    whole = docs.join(small(ids), "doc_id", "left_anti").select(
+    cuttable, others = docs, docs.limit(0)
+    if not firsts.isEmpty():
+        digest = lambda x: F.sha2(F.col(x).cast("string").cast("binary"), 256)
+        keys = firsts.select("doc_id", digest("text").alias("__first"))
+        keyed = docs.join(small(keys), "doc_id", "left").withColumn("__other", F.col("__first").isNotNull() & ~F.col("__first").eqNullSafe(digest("text")))
+        cuttable, others = (keyed.where(x).select(*docs.columns) for x in ("NOT __other", "__other"))
+    touched = cuttable.join(small(ids), "doc_id", "left_semi").join(spans, "doc_id").select(*docs.columns, "spans").mapInArrow(cut, schema)
+    whole = cuttable.join(small(ids), "doc_id", "left_anti").select(*docs.columns).unionByName(others).select(
         *docs.columns,
         F.coalesce("text", F.lit("")).cast("binary").alias("kept"),
         F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),

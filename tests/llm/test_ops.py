@@ -340,3 +340,16 @@ def test_decontamination_finds_short_items_inside_documents(spark):
     bench = spark.createDataFrame([(7, "What is 2+2?"), (8, "short one")], "item_id long, text string")
     got = {r.doc_id: (r.item_id, r.kind) for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
     assert got == {1: (7, "verbatim"), 2: (7, "verbatim"), 4: (7, "reparameterised")}
+
+
+def test_suffix_dedup_takes_one_text_of_a_repeated_id(spark):
+    a, b = ("".join(random.Random(k).choices("abcdefgh ", k=300)) for k in (1, 2))
+    rows = [(1, a), (1, a), (2, min(a, b)), (2, max(a, b)), (3, b), (4, None), (4, b), (None, a)]
+    got = suffixdedup.remove_repeats(docs(spark, rows)).collect()
+    first = {1: a, 2: min(a, b), 3: b, 4: b}
+    seen, spans = [], {}
+    for i, t in first.items():
+        spans[i] = t in seen
+        seen.append(t)
+    expected = [(i, "" if spans.get(i) and t == first[i] else t or "") for i, t in rows]
+    assert sorted((str(r.doc_id), r.kept.decode()) for r in got) == sorted((str(i), t) for i, t in expected)
