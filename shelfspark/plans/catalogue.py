@@ -460,6 +460,12 @@ def components(spark, sf):
     return connected_components(edges)
 
 
+@_query()
+def components_all_parts(spark, sf):
+    """Seven long paths over all parts; recursive SQL is quadratic in a path's length."""
+    return connected_components(_t(spark, sf, "part").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") + 7).alias("dst")))
+
+
 _TRIO_SQL = f"""
 {_PRODUCT_SQL},
 x AS (SELECT * FROM e WHERE tier = 'exact_barcode'),

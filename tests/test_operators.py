@@ -29,6 +29,22 @@ def test_components_match_a_plain_search(spark):
     assert got == {n: root(n) for n in parent}
 
 
+def test_components_of_all_parts_are_long_paths(spark):
+    from shelfspark.plans.catalogue import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    parts = {r[0] for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect()}
+
+    def least(n):
+        while n - 7 in parts:
+            n -= 7
+        return n
+
+    expected = {n: least(n) for p in parts for n in (p, p + 7)}
+    assert dict(QUERIES["components_all_parts"](spark, sf).select("node", "component").collect()) == expected
+    assert max(list(expected.values()).count(c) for c in set(expected.values())) > 3
+
+
 def test_no_edges_no_components(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
