@@ -11,7 +11,7 @@ are complete.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfspark.llm.util import chunks
+from shelfspark.llm.util import chunks, mapped
 
-#: Words kept with their tokens in one Python worker; then the memory is emptied and filled anew.
-CACHE_WORDS = 300_000
+#: Letters of the words that a generation of remembered words holds (two are kept, about 60 MB), and token pairs
+#: kept with whether they may stand together (about 30 MB).
+CACHE_LETTERS, CACHE_PAIRS = 600_000, 200_000
 
 _NEVER = 1 << 60
 
@@ -53,15 +54,17 @@ class TrieEncoder:
             self.parts.setdefault(self.ids[a + b], (self.ids[a], self.ids[b], r))
         self.inner = {s: i for s, i in self.ids.items() if not s.endswith(self.end)}
         self.final = {s[: -len(self.end)]: i for s, i in self.ids.items() if s.endswith(self.end)}
-        self.longest_inner = max(map(len, self.inner))
-        self.longest_final = max(map(len, self.final))
+        self.inner_reach, self.final_reach = _reach(self.inner), _reach(self.final)
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         # White space as the library's engine has it: U+001C to U+001F are none.
         self.word = regex.compile(splits[0].replace(r"\s", r"\t-\r \x85\p{Z}"))
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.bytes_as = _byte_names()
         self.may_follow: dict[tuple[int, int], bool] = {}
+        #: Words with their tokens: those met since the last turn of generations, and those of the one before.
         self.known: dict[str, tuple[list[int], str]] = {}
+        self.older: dict[str, tuple[list[int], str]] = {}
+        self.letters = 0
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The symbols at a token's edge over time, each with the rank of the merge that takes it up."""
@@ -86,14 +89,14 @@ class TrieEncoder:
                         break
                 if not found:
                     break
-            if len(self.may_follow) > 2_000_000:
+            if len(self.may_follow) > CACHE_PAIRS:
                 self.may_follow.clear()
             self.may_follow[key] = found
         return found
 
-    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], longest: int) -> int:
+    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], reach: dict[str, int]) -> int:
         """State of ``text[:n]``, given those of all shorter prefixes."""
-        for start in range(max(0, n - longest), n):
+        for start in range(max(0, n - reach.get(text[n - 3 : n], 2)) if n > 2 else 0, n):
             token = table.get(text[start:n])
             if token is not None and (start == 0 or self.follows(states[start], token)):
                 return token
@@ -110,9 +113,9 @@ class TrieEncoder:
                 shared += 1
             del states[shared + 1 :]
             for n in range(len(states), len(word)):
-                states.append(self._last(word, n, states, self.inner, self.longest_inner))
+                states.append(self._last(word, n, states, self.inner, self.inner_reach))
             before = word
-            token = self._last(word, len(word), states, self.final, self.longest_final)
+            token = self._last(word, len(word), states, self.final, self.final_reach)
             out, at = [token], len(word) - (len(names[token]) - end)
             while at > 0:
                 token = states[at]
@@ -120,6 +123,7 @@ class TrieEncoder:
                 at -= len(names[token])
             out.reverse()
             self.known[word] = (out, " ".join([names[t] for t in out]))
+            self.letters += len(word)
 
     def words(self, text: str) -> list[str]:
         """Normalised words of a text without special tokens."""
@@ -149,12 +153,25 @@ class TrieEncoder:
         as_ = self.bytes_as
         return [w if w.isprintable() else "".join([as_[ord(c)] for c in w]) for w in words]
 
+    def forget(self) -> None:
+        """Empty the memories of words and pairs."""
+        self.known, self.older, self.letters = {}, {}, 0
+        self.may_follow.clear()
+
     def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
         """(ids, decoded text) of each text."""
         rows = [self.pieces(t or "") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = {w for r in rows for w in r}.difference(self.known)
+        if self.letters > CACHE_LETTERS:
+            # Words in use come back from the older generation, the others go.
+            self.known, self.older, self.letters = {}, self.known, 0
+        new = set()
+        for w in {w for r in rows for w in r}.difference(self.known):
+            before = self.older.get(w)
+            if before is None:
+                new.add(w)
+            else:
+                self.known[w] = before
+                self.letters += len(w)
         for w in [w for w in new if w[0] == "\0"]:
             new.discard(w)
             self.known[w] = ([self.special[w[1:]]], w[1:])
@@ -168,6 +185,15 @@ class TrieEncoder:
         return out
 
 
+def _reach(tokens: Iterable[str]) -> dict[str, int]:
+    """For the last three characters of tokens the length of the longest token that ends so."""
+    out: dict[str, int] = {}
+    for t in tokens:
+        if len(t) > 2:
+            out[t[-3:]] = max(len(t), out.get(t[-3:], 0))
+    return out
+
+
 def _byte_names() -> list[str]:
     """The character that stands for each byte: itself if printable, else the next from U+0100 on."""
     names, extra = [], 0x100
@@ -180,7 +206,7 @@ def _byte_names() -> list[str]:
     return names
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)
 
@@ -210,7 +236,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return docs.select(id_col, F.col(text_col).cast("string")).transform(mapped(run, f"`{id_col}` {kind}, ids array<int>, decoded string", lambda: encoder.cache_clear()))
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 _M = np.uint64(0x9E3779B97F4A7C15 | 1)
 _M_INVERSE = np.uint64(pow(int(_M), -1, 1 << 64))
-_powers: dict[int, np.ndarray] = {}
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -27,16 +28,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if size <= 1 << 23:
-            _powers[int(base)] = have
-    return have[:n]
+    """base**0 .. base**(n-1) modulo 2**64, put together from two short tables (nothing of length ``n`` is kept)."""
+    low, high = _tables(int(base))
+    if n <= len(low):
+        return low[:n]
+    rows = -(-n // len(low))
+    if rows > len(high):
+        high = np.full(rows, high[1], np.uint64)
+        high[0] = 1
+        high = np.multiply.accumulate(high)
+    return np.multiply.outer(high[:rows], low).ravel()[:n]
+
+
+@lru_cache(maxsize=16)
+def _tables(base: int, size: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """base**0 .. base**(size-1), and the same for base**size."""
+    out = []
+    for b in (base, pow(base, size, 1 << 64)):
+        table = np.full(size, np.uint64(b))
+        table[0] = 1
+        out.append(np.multiply.accumulate(table))
+    return out[0], out[1]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

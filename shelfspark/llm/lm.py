@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import hashing
-from shelfspark.llm.util import chunks, held_out, materialize
+from shelfspark.llm.util import chunks, held_out, mapped, materialize
 
 #: Words with counts in every scorer; of these, words with a class by company; words beside which company is counted.
 HEAD, CLASSED, ANCHORS = 1 << 17, 1 << 14, 64
@@ -103,7 +103,7 @@ def _summed(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], np.ndarray
         total = sum(np.frombuffer(d, kind) for d in pdf["data"])
         return pd.DataFrame({"block": [pdf["block"].iat[0]], "data": [total.astype(kind).tobytes()]})
 
-    rows = df.mapInArrow(run, "block int, data binary").groupBy("block").applyInPandas(add, "block int, data binary").collect()
+    rows = df.transform(mapped(run, "block int, data binary")).groupBy("block").applyInPandas(add, "block int, data binary").collect()
     return np.concatenate([np.frombuffer(r["data"], kind) for r in sorted(rows)])
 
 
@@ -131,7 +131,7 @@ def count_words(training: DataFrame) -> DataFrame:
         words, counts = merge()
         yield give()
 
-    return materialize(training.mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
+    return materialize(training.transform(mapped(run, "word long, c long")).groupBy("word").agg(F.sum("c").alias("c")))
 
 
 def _classes(head: Head, company: np.ndarray, rounds: int = 25) -> np.ndarray:
@@ -295,7 +295,7 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
                 )
 
     ddl = "row long, doc_id long, word long, n long, known long, base double, logs double"
-    scored = materialize(source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, ddl))
+    scored = materialize(source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").transform(mapped(score, ddl)))
     c = F.coalesce("c", F.lit(0))
     tail = (
         scored.where("word IS NOT NULL").select("row", "word", "n").join(counts, "word", "left")

@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm import hashing
 from shelfspark.llm.suffixes import repeats
-from shelfspark.llm.util import chunks, materialize, small
+from shelfspark.llm.util import chunks, materialize, mapped, small
 
 #: Context bytes that a shard sorts at once; a single group may hold more.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
+
+#: Text whose windows are anchored at once: some twenty arrays of eight bytes a letter.
+ANCHOR_BYTES = 256_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -172,15 +175,15 @@ def repeated_spans(docs: DataFrame, length: int = 100, firsts: DataFrame | None
         source = source.join(small(firsts.select("doc_id")), "doc_id", "left_anti").unionByName(firsts)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, ANCHOR_BYTES):
             found = contexts(*hashing.text_bytes(batch.column(1)), length)
             ids = batch.column(0).to_numpy()
             columns = [found["anchor"].view(np.int64), found["content"].view(np.int64), ids[found["text"]], found["first"], found["last"]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", "first", "last"])
 
-    listed = source.mapInArrow(anchors, "anchor long, content long, doc_id long, first long, last long")
+    listed = source.transform(mapped(anchors, "anchor long, content long, doc_id long, first long, last long"))
     grouped = listed.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "first")
-    repeated = materialize(grouped.mapInArrow(_repeated, _CONTEXT_DDL))
+    repeated = materialize(grouped.transform(mapped(_repeated, _CONTEXT_DDL)))
     copies = repeated.where("NOT sort").select("doc_id", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     # Texts of contexts to sort: a document's contexts meet its text once.
@@ -200,8 +203,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, firsts: DataFrame | None
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types, strict=True)], ["anchor", "doc_id", "first", "piece"])
 
     holders = source.join(small(wanted.select("doc_id")), "doc_id", "left_semi")
-    pieces = holders.join(wanted, "doc_id").select("doc_id", "text", "contexts").mapInArrow(cut, "anchor long, doc_id long, first long, piece binary")
-    sorted_ = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_shards(length), "doc_id long, start long, end long")
+    pieces = holders.join(wanted, "doc_id").select("doc_id", "text", "contexts").transform(mapped(cut, "anchor long, doc_id long, first long, piece binary"))
+    sorted_ = pieces.repartition("anchor").sortWithinPartitions("anchor").transform(mapped(_sorted_shards(length), "doc_id long, start long, end long"))
 
     # Spans that overlap or touch become one.
     spans = copies.union(sorted_).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
@@ -263,7 +266,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         keys = firsts.select("doc_id", digest("text").alias("__first"))
         keyed = docs.join(small(keys), "doc_id", "left").withColumn("__other", F.col("__first").isNotNull() & ~F.col("__first").eqNullSafe(digest("text")))
         cuttable, others = (keyed.where(x).select(*docs.columns) for x in ("NOT __other", "__other"))
-    touched = cuttable.join(small(ids), "doc_id", "left_semi").join(spans, "doc_id").select(*docs.columns, "spans").mapInArrow(cut, schema)
+    touched = cuttable.join(small(ids), "doc_id", "left_semi").join(spans, "doc_id").select(*docs.columns, "spans").transform(mapped(cut, schema))
     whole = cuttable.join(small(ids), "doc_id", "left_anti").select(*docs.columns).unionByName(others).select(
         *docs.columns,
         F.coalesce("text", F.lit("")).cast("binary").alias("kept"),

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.util import chunks, held_out, materialize, small
+from shelfspark.llm.util import chunks, held_out, materialize, mapped, small
 
 #: Bounds of the labelled sample and of the lexicon that reach the driver.
 MAX_LABELLED = 20_000
@@ -66,7 +66,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, limit: int = MAX_TERMS, least: i
                 ["term", "clean", "toxic"],
             )
 
-    counted = own.mapInArrow(run, "term string, clean long, toxic long").groupBy("term").agg(
+    counted = own.transform(mapped(run, "term string, clean long, toxic long")).groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
     )
     n = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -97,7 +97,7 @@ class Reader:
         for w in words:
             own = known.get(w)
             if own is None:
-                if len(known) > 500_000:
+                if len(known) > 100_000:
                     known.clear()
                 own = known[w] = tuple(ids[t] for t in terms(w) if t in ids)
             if own:
@@ -223,7 +223,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     training = source.where(~held_out(F.col("doc_id"), _FOLDS, _FOLD)).join(F.broadcast(sample), "doc_id", "left")
-    voted = materialize(training.select("text", "toxic").mapInArrow(votes, "votes int, label int, n long, terms array<int>"))
+    voted = materialize(training.select("text", "toxic").transform(mapped(votes, "votes int, label int, n long, terms array<int>")))
     counts = np.zeros((1 << _VOTERS, 3))
     for r in voted.groupBy("votes", "label").agg(F.sum("n").alias("n")).collect():
         counts[r["votes"], 0 if r["label"] is None else 1 + r["label"]] += r["n"]
@@ -243,7 +243,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
             z = np.array([bias + sum(by_term[i] for i in reader.read(t)[0]) for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], ["doc_id", "score"])
 
-    return source.mapInArrow(score, "doc_id long, score double").select(
+    return source.transform(mapped(score, "doc_id long, score double")).select(
         "doc_id",
         held_out(F.col("doc_id"), _FOLDS, _FOLD).alias("held_out"),
         "score",
