@@ -4,25 +4,30 @@ Archives are written by Spark's own text writer into the shared folder (gzip, CR
 reach any store that Spark can write and appear only once a task commits. Every record is UTF-8 text:
 ASCII headers and a payload that is the page's html.
 
-The index merge sorts each archive's captures into a run by (url key, timestamp, page) and deals the
-runs to url-key ranges; each range merges its k runs with a loser tree.
+The index merge writes each reading task's captures as a run, sorted locally by (url key, timestamp, page).
+Range borders are read off the runs at even steps, every run is cut at them into packed blocks, and each range merges
+the blocks of its k runs with a loser tree. Only blocks are shuffled, and no task sorts what runs have sorted.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.llm.util import shared_dir
+from shelfspark.llm.util import materialize, mapped, shared_dir, small
 
 #: Payloads below this size are never deduplicated.
 MIN_REVISIT_BYTES = 1000
 
+#: Captures that a range of the merged index holds, about; a task keeps one range in memory. Most borders' samples.
+RANGE_CAPTURES, SAMPLES = 200_000, 100_000
+
 _VERSION = "WARC/1.1"
 
 
@@ -58,8 +63,12 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
         keyed.where("same IS NOT NULL").groupBy("same").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1").drop("n")
     )
+    # Payloads without a key, and those of their own, meet nothing.
+    groups = materialize(groups)
+    known = keyed.where("same IS NOT NULL").join(small(groups), "same", "left")
+    alone = keyed.where("same IS NULL").withColumn("response_id", F.lit(None).cast(groups.schema["response_id"].dataType))
     return (
-        keyed.join(groups, "same", "left")
+        known.unionByName(alone)
         .withColumn(
             "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("response_id")), F.col("response_id"))
         )
@@ -188,11 +197,11 @@ def read_archives(spark, path: str) -> DataFrame:
         if reader.headers is not None:
             raise ValueError(f"{archive} ends within a record")
 
-    return lines.mapInArrow(
-        run,
+    ddl = (
         "archive string, position long, page_id long, url string, captured string, record_type string, payload_bytes long, "
-        "payload_digest string, refers_to long",
+        "payload_digest string, refers_to long"
     )
+    return lines.transform(mapped(run, ddl))
 
 
 class LoserTree:
@@ -237,38 +246,85 @@ class LoserTree:
             self.losers[0] = winner
 
 
+def _keys(batch: pa.RecordBatch) -> list[tuple]:
+    """Sort keys of captures; a null page goes first, as in Spark's order."""
+    url, captured, page = (batch.column(c).to_pylist() for c in ("url_key", "captured", "page_id"))
+    archive, position = (batch.column(c).to_pylist() for c in ("archive", "position"))
+    return [(u, c, p is not None, p or 0, a, n) for u, c, p, a, n in zip(url, captured, page, archive, position, strict=True)]
+
+
 def merge_index(captures: DataFrame, ranges: int | None = None) -> DataFrame:
     """``captures`` (as read from archives) in global order of (url key, timestamp, page), in capture histories.
 
     Adds ``url_key``, the range ``part`` and the place ``part_pos`` in it; (part, part_pos) is the order.
-    Ranges are cut by (url key, timestamp, page), so a host or url with a third of all captures spreads
-    over many ranges. Within a range each archive's slice is a sorted run; a loser tree merges them.
+    Range borders are full sort keys, so a host or url with a third of all captures spreads over many ranges;
+    there are as many ranges as the number of captures asks for (or ``ranges``).
     """
-    n = ranges or int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["url_key", "captured", "page_id", "archive", "position"]
-    keyed = captures.withColumn("url_key", url_key(F.col("url")))
-    schema = T.StructType([*keyed.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("part_pos", T.LongType())])
-    names = keyed.columns
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        context = TaskContext.get()
-        part = context.partitionId() if context else 0
-        rows = pd.concat([f for f in frames] or [pd.DataFrame(columns=names)], ignore_index=True)
-        runs = []
-        for _, own in rows.groupby("archive", sort=True):
-            # Spark has sorted each archive's slice already.
-            keys = zip(own["url_key"], own["captured"], own["page_id"].fillna(-(1 << 62)), own["archive"], own["position"], strict=True)
-            runs.append(zip(keys, own.index, strict=True))
-        merged = [i for _, i in LoserTree(runs)]
-        out = rows.loc[merged]
-        for at in range(0, max(1, len(out)), 10_000):
-            piece = out.iloc[at : at + 10_000].copy()
-            piece["part"], piece["part_pos"] = part, range(at, at + len(piece))
-            yield piece[names + ["part", "part_pos"]]
-
-    return keyed.repartitionByRange(n, *order).sortWithinPartitions("archive", *order).mapInPandas(run, schema)
+    sorted_ = captures.withColumn("url_key", url_key(F.col("url"))).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    runs = materialize(sorted_.withColumn("run", F.shiftright(place, 33)).withColumn("run_pos", place.bitwiseAND(F.lit((1 << 33) - 1))))
+    names = [c for c in runs.columns if c not in ("run", "run_pos")]
+    total = runs.count()
+    n = ranges or max(1, -(-total // RANGE_CAPTURES))
+    borders: list[tuple] = []
+    if n > 1:
+        step = max(1, min(RANGE_CAPTURES, total // n) // 16, total // SAMPLES)
+        sample = runs.where(F.col("run_pos") % step == step // 2).select(*order).collect()
+        keys = sorted((r["url_key"], r["captured"], r["page_id"] is not None, r["page_id"] or 0, r["archive"], r["position"]) for r in sample)
+        borders = [keys[len(keys) * i // n] for i in range(1, n)] if keys else []
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of one run and range each: ``part, run, run_pos, block``."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, pos = batch.column("run").to_numpy(), batch.column("run_pos").to_numpy()
+            parts = np.fromiter((bisect_right(borders, k) for k in _keys(batch)), np.int64, batch.num_rows)
+            fresh = np.flatnonzero((np.diff(own) != 0) | (np.diff(parts) != 0) | (np.diff(pos) != 1)) + 1
+            starts = [0, *fresh.tolist()]
+            blocks = []
+            for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                sink = pa.BufferOutputStream()
+                piece = batch.slice(a, b - a).select(names)
+                with pa.ipc.new_stream(sink, piece.schema) as out:
+                    out.write_batch(piece)
+                blocks.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts[starts], pa.int32()), pa.array(own[starts]), pa.array(pos[starts]), pa.array(blocks, pa.binary())], ["part", "run", "run_pos", "block"]
+            )
+
+    def merged(part: int, blocks: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        pieces = [pa.ipc.open_stream(b).read_all().combine_chunks().to_batches()[0] for _, b in blocks]
+        of_run: dict[int, list[tuple]] = {}
+        at = 0
+        for (run, _), piece in zip(blocks, pieces, strict=True):
+            keys = _keys(piece)
+            of_run.setdefault(run, []).extend(zip(keys, range(at, at + len(keys)), strict=True))
+            at += len(keys)
+        rows = pa.concat_batches(pieces)
+        places = pa.array([i for _, i in LoserTree(list(of_run.values()))], pa.int64())
+        for start in range(0, at, 10_000):
+            piece = rows.take(places[start : start + 10_000])
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns, pa.array(np.full(piece.num_rows, part, np.int32)), pa.array(np.arange(start, start + piece.num_rows))], [*names, "part", "part_pos"]
+            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blocks = None, []
+        for batch in batches:
+            for p, r, b in zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), strict=True):
+                if p != part and blocks:
+                    yield from merged(part, blocks)
+                    blocks = []
+                part = p
+                blocks.append((r, b))
+        if blocks:
+            yield from merged(part, blocks)
+
+    packed = runs.transform(mapped(cut, "part int, run long, run_pos long, block binary"))
+    schema = T.StructType([runs.schema[c] for c in names] + [T.StructField("part", T.IntegerType()), T.StructField("part_pos", T.LongType())])
+    return packed.repartition("part").sortWithinPartitions("part", "run", "run_pos").transform(mapped(merge, schema))
 
 
 def capture_index(pages: DataFrame, path: str | None = None) -> DataFrame:
