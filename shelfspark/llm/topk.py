@@ -1,54 +1,73 @@
 """Exact top-k inner products by an impact-ordered, score-at-a-time index.
 
-Vectors are dealt to shards. A shard's index holds, for each dimension and sign, posting segments of
-quantised impact, the largest impact first. Queries take up the segments plane by plane in descending
-impact and add them to score bounds; a query stops only when what is left can't lift any other vector to
-its k-th score. The vectors that may still be members are scored exactly, and the shards' lists are
-merged by (score, vec_id).
+Vectors are dealt to shards, and each shard is indexed once: the components of a dimension are posted by
+quantised impact (their size in steps of the shard's largest), so a posting segment holds the rows
+of one dimension and impact. A block of queries takes up segments by descending impact over all dimensions.
+It adds them to approximate scores and stops when what is left and the rounding of impacts can't lift
+any row outside a set of possible members to a query's k-th score, and scoring that set is cheaper than going on.
+Possible members are scored exactly, and the shards' lists are merged by (score, vec_id). Queries
+travel to the shards in packed blocks; vectors are shuffled once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from shelfspark.llm.util import materialize, mapped
 
 #: Vectors of a shard and queries of a block: what one task holds.
-SHARD = 8192
-QUERY_BLOCK = 256
+SHARD, QUERY_BLOCK = 16384, 256
 
-#: Planes of quantised impact.
-PLANES = 6
+#: Steps of quantised impact, and the share of postings after which queries look for their proof.
+LEVELS, LOOK = 32, 0.2
 
 
 class ImpactIndex:
-    """One shard: integer vectors (rows) and their postings in planes of quantised impact, the largest first.
+    """One shard: integer vectors (rows of one length) and their postings by descending quantised impact.
 
-    A posting's impact is its component's size; a segment holds the postings of one dimension, plane and
-    sign and knows the least and largest component among them. Planes are kept as matrices, so that a
-    block of queries takes up all segments of a plane at once.
+    ``segments[l]`` lists, for impact ``LEVELS - l``, (dimension, rows with a positive component, rows with a
+    negative one). A component of impact ``i`` has a size in ((i - 1) * step, i * step] and counts as the middle;
+    zeros aren't posted. ``rest[l]`` is, for each row, the length of what its postings down to that level leave
+    out: the unseen components and the rounding of the seen ones. By Cauchy-Schwarz a row's score lies
+    within ``rest * |query|`` of its sum.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        size = np.abs(self.vectors)
-        top = size.max(axis=0, initial=0)
-        plane = size * PLANES // (top + 1)
-        #: Of each plane: largest and least component of each posting's segment, the postings, and the size left below.
-        self.planes: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        for p in range(PLANES - 1, -1, -1):
-            inside = plane == p
-            high, low = np.zeros(self.vectors.shape), np.zeros(self.vectors.shape)
-            for sign in (self.vectors >= 0, self.vectors < 0):
-                own = inside & sign
-                most = np.where(own, self.vectors, np.iinfo(np.int64).min).max(axis=0, initial=np.iinfo(np.int64).min)
-                least = np.where(own, self.vectors, np.iinfo(np.int64).max).min(axis=0, initial=np.iinfo(np.int64).max)
-                high, low = np.where(own, most, high), np.where(own, least, low)
-            left = np.where(plane < p, size, 0).max(axis=0, initial=0).astype(float)
-            self.planes.append((high, low, inside, left))
+        n, dims = self.vectors.shape
+        x = self.vectors.astype(float)
+        size = np.abs(x)
+        self.top = size.max(axis=0, initial=0)
+        self.step = max(float(self.top.max(initial=0)), 1.0) / LEVELS
+        impact = np.minimum(np.ceil(size / self.step), LEVELS).astype(np.int16)
+        self.segments: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(LEVELS)]
+        for d in range(dims):
+            by = np.argsort(-impact[:, d], kind="stable").astype(np.int32)
+            cuts = np.searchsorted(-impact[by, d], np.arange(-LEVELS, 1))
+            for level, (start, end) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if end > start:
+                    rows = by[start:end]
+                    up = self.vectors[rows, d] > 0
+                    self.segments[level].append((d, rows[up], rows[~up]))
+        sizes = [sum(len(up) + len(down) for _, up, down in level) for level in self.segments]
+        #: Postings left after each level, and those touched so far by all queries.
+        self.left = np.cumsum(sizes[::-1])[::-1] - sizes
+        self.touched = 0
+        self.rest = np.zeros((LEVELS, n), np.float32)
+        squares = (x * x).sum(axis=1)
+        for level, segments in enumerate(self.segments):
+            middle = (LEVELS - level - 0.5) * self.step
+            for d, up, down in segments:
+                for rows in (up, down):
+                    squares[rows] += (size[rows, d] - middle) ** 2 - size[rows, d] ** 2
+            # Rounded up, as sums in single precision and the differences above may err.
+            self.rest[level] = np.sqrt(np.maximum(squares, 0)) * (1 + 1e-6) + 1e-6 * np.sqrt((x * x).sum(axis=1))
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query ids and scores of the k best rows but ``own``, ties to the smaller id."""
@@ -56,36 +75,57 @@ class ImpactIndex:
         out: list[tuple[np.ndarray, np.ndarray]] = [(self.ids[:0], np.zeros(0, np.int64))] * m
         at = np.searchsorted(self.ids, own)
         mine = (at < n) & (self.ids[np.minimum(at, n - 1)] == own)
-        up, down = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
-        weight = np.abs(queries).astype(float)
-        upper, lower = np.zeros((m, n)), np.zeros((m, n))
-        unseen = np.ones(self.vectors.shape)
-        # Sums of large components may round; bounds are widened by more than that.
-        margin = (weight @ np.abs(self.vectors).max(axis=0, initial=0).astype(float)) * 1e-12 + 0.5
+        norm = np.sqrt((queries.astype(float) ** 2).sum(axis=1))
+        # No sum of terms in single precision errs by more than this.
+        margin = (np.abs(queries).astype(float) @ self.top) * (self.vectors.shape[1] + 4) * 2.0**-22 + 1
+        scores = np.zeros((n, m), np.float32)
         open_ = np.arange(m)
-        for last, (high, low, inside, left) in zip([False] * (PLANES - 1) + [True], self.planes, strict=True):
-            upper[open_] += up[open_] @ high.T + down[open_] @ low.T
-            lower[open_] += up[open_] @ low.T + down[open_] @ high.T
-            unseen[inside] = 0
-            slack = (weight[open_] * left) @ unseen.T + margin[open_, None]
-            most, least = upper[open_] + slack, lower[open_] - slack
-            hit = np.flatnonzero(mine[open_])
-            most[hit, at[open_][hit]] = least[hit, at[open_][hit]] = -np.inf
-            kth = np.partition(least, max(0, n - k), axis=1)[:, max(0, n - k)]
-            # Rows outside can't reach k others: that is the proof. Go on only while many are left.
-            alive = (most >= kth[:, None]) & (most > -np.inf)
-            done = (alive.sum(axis=1) <= 4 * k) | last
-            for i in np.flatnonzero(done):
-                rows = np.flatnonzero(alive[i])
-                scores = self.vectors[rows] @ queries[open_[i]]
-                best = np.lexsort((self.ids[rows], -scores))[:k]
-                out[open_[i]] = (self.ids[rows][best], scores[best])
-            open_ = open_[~done]
+        looked = self.vectors.size
+        for level in range(LEVELS):
+            middle = np.float32((LEVELS - level - 0.5) * self.step)
+            asked = queries[open_].astype(np.float32)
+            for d, up, down in self.segments[level]:
+                add = asked[:, d] * middle
+                if add.any():
+                    scores[up] += add
+                    scores[down] -= add
+                    self.touched += (len(up) + len(down)) * len(open_)
+            left, last = self.left[level], level == LEVELS - 1
+            # Look before more than a share of all postings has gone by since the last look.
+            if not last and looked - self.left[level + 1] <= LOOK * self.vectors.size:
+                continue
+            looked = left
+            done = np.zeros(len(open_), bool)
+            for i, q in enumerate(open_):
+                sums = scores[:, i].astype(float)
+                reach = self.rest[level] * norm[q] + margin[q]
+                if mine[q]:
+                    sums[at[q]] = -np.inf
+                kth = np.partition(sums - reach, max(0, n - k))[max(0, n - k)]
+                # Rows below can't reach k others: that is the proof.
+                alive = np.flatnonzero((sums + reach >= kth) & (sums > -np.inf))
+                # Go on where the postings left cost less than scoring all possible members.
+                if not last and 2 * len(alive) * self.vectors.shape[1] > left:
+                    continue
+                exact = self.vectors[alive] @ queries[q]
+                best = np.lexsort((self.ids[alive], -exact))[:k]
+                out[q] = (self.ids[alive][best], exact[best])
+                done[i] = True
+            if done.any():
+                open_, scores = open_[~done], np.ascontiguousarray(scores[:, ~done])
             if not len(open_):
                 break
         return out
 
 
+def _pack(ids: np.ndarray, vectors: np.ndarray) -> bytes:
+    return ids.astype(np.int64).tobytes() + vectors.astype(np.int64).tobytes()
+
+
+def _matrix(batch: pa.RecordBatch, column: str, dims: int) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy().reshape(-1, dims)
+
+
 def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float = 1024.0) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose vec_id is divisible by ``every``, the k best others.
 
@@ -94,10 +134,10 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
     candidates. Rows of one id are the first in order. Fewer than k candidates give them all; an empty
     table gives no rows; other columns are ignored.
 
-    Query blocks meet every shard: each task holds one shard and one block; the k best of each shard are
-    merged by a window over (query, shards) rows.
+    Each shard is one key: its vectors are read first and indexed, then query blocks are answered one after
+    another. The k best of each shard are merged by a window over (query, shards) rows.
     """
-    clean = (
+    clean = materialize(
         vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL")
         .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
         .where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
@@ -106,29 +146,56 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
         .agg(F.min("x").alias("x"))
         .withColumn("dims", F.size("x"))
     )
-    total = max(1, clean.count())
-    shards, blocks = -(-total // SHARD), max(1, -(-total // (every * QUERY_BLOCK)))
-    index = clean.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).select(
-        "shard", "vec_id", "x", "dims", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("asks")
-    )
-    asked = (
-        clean.where(F.col("vec_id") % every == 0)
-        .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-        .select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "vec_id", "x", "dims", "block", F.lit(True).alias("asks"))
-    )
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, same in pdf.groupby("dims"):
-            rows, queries = same[~same["asks"]], same[same["asks"]]
-            if rows.empty or queries.empty:
+    sizes = {r["dims"]: r["n"] for r in clean.groupBy("dims").agg(F.count("*").alias("n")).collect()}
+    shards = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, -(-n // SHARD))]), "dims"), F.lit(1)) if sizes else F.lit(1)
+    index = clean.select("dims", F.pmod(F.xxhash64("vec_id"), shards).cast("int").alias("shard"), F.lit(0).alias("turn"), "vec_id", "x", F.lit(None).cast("binary").alias("block"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dims").to_numpy()
+            for d in np.unique(dims).tolist():
+                own = batch.filter(pa.array(dims == d))
+                ids, x = own.column("vec_id").to_numpy(), _matrix(own, "x", d) if d else np.zeros((own.num_rows, 0), np.int64)
+                starts = range(0, len(ids), QUERY_BLOCK)
+                blocks = [_pack(ids[a : a + QUERY_BLOCK], x[a : a + QUERY_BLOCK]) for a in starts]
+                yield pa.RecordBatch.from_arrays([pa.array([d] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], ["dims", "block"])
+
+    asked = clean.where(F.col("vec_id") % every == 0).transform(mapped(pack, "dims int, block binary"))
+    asked = asked.select(
+        "dims", F.explode(F.sequence(F.lit(0), (shards - 1).cast("int"))).alias("shard"), F.lit(1).alias("turn"),
+        F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<bigint>").alias("x"), "block",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        index, key = None, None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            index = ImpactIndex(rows["vec_id"].to_numpy(), np.stack(rows["x"].to_numpy()).astype(np.int64))
-            own = queries["vec_id"].to_numpy()
-            found = index.search(np.stack(queries["x"].to_numpy()).astype(np.int64), own, k)
-            out += [pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}) for q, (ids, scores) in zip(own, found, strict=True)]
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    found = index.unionByName(asked).groupBy("shard", "block").applyInPandas(run, "query_id long, vec_id long, score long")
+            columns = np.stack([batch.column(c).to_numpy() for c in ("dims", "shard", "turn")])
+            cuts = [0, *(np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                dims, shard, turn = columns[:, start].tolist()
+                piece = batch.slice(start, end - start)
+                if (dims, shard) != key:
+                    key, index, held = (dims, shard), None, []
+                if turn == 0:
+                    held.append((piece.column("vec_id").to_numpy(), _matrix(piece, "x", dims) if dims else np.zeros((piece.num_rows, 0), np.int64)))
+                    continue
+                if index is None and not held:
+                    continue  # a shard that no vector fell into
+                if index is None:
+                    index, held = ImpactIndex(*(np.concatenate(c) for c in zip(*held, strict=True))), []
+                for block in piece.column("block").to_pylist():
+                    data = np.frombuffer(block, np.int64)
+                    m = len(data) // (dims + 1)
+                    found = index.search(data[m:].reshape(m, dims), data[:m], k)
+                    sizes = [len(ids) for ids, _ in found]
+                    arrays = [np.repeat(data[:m], sizes), *(np.concatenate([f[i] for f in found]) for i in range(2))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], ["query_id", "vec_id", "score"])
+
+    found = index.unionByName(asked).repartition("dims", "shard").sortWithinPartitions("dims", "shard", "turn").transform(
+        mapped(run, "query_id long, vec_id long, score long")
+    )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
