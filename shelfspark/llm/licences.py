@@ -9,6 +9,7 @@ statistics: a phrase stands where the match is at least as long and its state li
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.util import chunks
+from shelfspark.llm.util import chunks, mapped
 
 #: Phrases whose words, one after another, carry a label.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -30,6 +31,10 @@ TEMPLATES = {
         "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
         "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
         "and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "Released under the MIT License.",
     ),
     "apache-2": (
@@ -43,6 +48,17 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
         "conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+        "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
         "Licensed under the BSD 3-Clause License.",
         "Licensed under the BSD License.",
     ),
@@ -87,14 +103,14 @@ class SuffixAutomaton:
             last = 0
             for token in s:
                 last = self._extend(last, token)
-        #: Of each state: template -> position after one place where the state's strings end.
-        self.places: list[dict[int, int]] = [{} for _ in self.next]
+        #: Of each state: template -> all positions after places where the state's strings end.
+        self.places: list[dict[int, list[int]]] = [{} for _ in self.next]
         for k, s in enumerate(sequences):
             at = 0
             for i, token in enumerate(s):
                 at = up = self.next[at][token]
-                while up > 0 and k not in self.places[up]:
-                    self.places[up][k] = i + 1
+                while up > 0:
+                    self.places[up].setdefault(k, []).append(i + 1)
                     up = self.link[up]
 
     def _new(self, length: int, link: int, out: dict[int, int]) -> int:
@@ -185,26 +201,43 @@ class LicenceScanner:
                         base.append((a + i - size + 1, label))
                 # A run that the next word doesn't lengthen is maximal.
                 if before[1] >= self.min_run and n <= before[1]:
-                    for k, end in self.automaton.places[before[0]].items():
+                    for k, ends in self.automaton.places[before[0]].items():
                         if k < len(self.sizes):
-                            runs.append((k, a + i - before[1], before[1], end))
+                            runs += [(k, a + i - before[1], before[1], end) for end in ends]
                 before = (v, n)
         return {"base": base, "spans": self._chain(runs)}
 
     def _chain(self, runs: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Runs (template, start, words, template end) joined in order, per template, across small gaps."""
+        """Runs (template, start, words, template end) joined in order, per template, across small gaps.
+
+        The chain that ends in a run is the best over all runs before it within reach, so a stray run doesn't
+        end a span. Chains are given by falling cover; one that shares words with a better one is left out.
+        """
         spans = []
         for k in sorted({r[0] for r in runs}):
-            start = at = place = covered = -1
-            for _, s, n, end in [*sorted(r for r in runs if r[0] == k), (k, 1 << 60, 0, 0)]:
-                if start >= 0 and s - at <= self.max_gap and end > place and end - n - place <= self.max_gap:
-                    covered += min(n, s + n - at, end - place)
-                    at, place = s + n, end
+            own = sorted(r[1:] for r in runs if r[0] == k)
+            longest = max(n for _, n, _ in own)
+            covered, first, low = [], [], 0
+            for j, (s, n, end) in enumerate(own):
+                while own[low][0] + longest + self.max_gap < s:
+                    low += 1
+                best, start = n, s
+                for i in range(low, j):
+                    at, place = own[i][0] + own[i][1], own[i][2]
+                    gain = min(n, s + n - at, end - place)
+                    if gain > 0 and s - at <= self.max_gap and end - n - place <= self.max_gap and covered[i] + gain > best:
+                        best, start = covered[i] + gain, first[i]
+                covered.append(best)
+                first.append(start)
+            taken: list[tuple[int, int]] = []
+            for j in sorted(range(len(own)), key=lambda j: (-covered[j], first[j])):  # noqa: B023
+                begin, after = first[j], own[j][0] + own[j][1]
+                at = bisect_left(taken, (begin, after))
+                if (at and taken[at - 1][1] > begin) or (at < len(taken) and taken[at][0] < after):
                     continue
-                if start >= 0:
-                    spans.append((k, start, at - start, min(1.0, covered / self.sizes[k])))
-                start, at, place, covered = s, s + n, end, n
-        return spans
+                taken.insert(at, (begin, after))
+                spans.append((k, begin, after - begin, min(1.0, covered[j] / self.sizes[k])))
+        return sorted(spans)
 
 
 @lru_cache(maxsize=4)
@@ -248,8 +281,8 @@ def scan_licences(docs: DataFrame, min_run: int = 4, max_gap: int = 8, min_cover
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run,
+    ddl = (
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-        "score double, spans array<struct<label string, first_word long, n_words long, cover double>>",
+        "score double, spans array<struct<label string, first_word long, n_words long, cover double>>"
     )
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(mapped(run, ddl))
