@@ -14,10 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Turns per step of the two-level running sum of positions.
-_STEP = 128
-
-
 def escape(c: Column) -> Column:
     for raw, code in (("\\", "\\s"), ("<", "\\l"), ("[", "\\b"), ("]", "\\e")):
         c = F.replace(c, F.lit(raw), F.lit(code))
@@ -30,25 +26,29 @@ def unescape(c: Column) -> Column:
     return c
 
 
+def _step(array: Column | str) -> Column:
+    """Elements per step of two-level work on an array: the root of its size."""
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(array)))).cast("int")
+
+
 def _with_ends(df: DataFrame, lengths: str) -> DataFrame:
-    """Adds ``ends``: running sums of the int array ``lengths`` in two levels, so that the work stays near linear.
+    """Adds ``ends``: running sums of the int array ``lengths`` in two levels, sqrt(n) additions for each element.
 
     Every array that a lambda reads is a column of its own and is referenced twice: an expression that
     the optimizer moved into the lambda would be computed again for each element.
     """
-    total = lambda array, first=0: F.aggregate(array, F.lit(first).cast("long"), lambda a, x: a + x)
-    stepped = df.withColumn(
-        "steps",
-        F.transform(
-            F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(_STEP)), lambda s: total(F.slice(lengths, s + 1, _STEP))
-        ),
+    total = lambda array: F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
+    step = F.col("step")
+    stepped = df.withColumn("step", _step(lengths)).withColumn(
+        "steps", F.transform(F.sequence(F.lit(0), F.size(lengths) - 1, step), lambda s: total(F.slice(lengths, s + 1, step)))
     )
+    summed = stepped.withColumn("earlier", F.transform("steps", lambda _, i: total(F.slice("steps", F.lit(1), i))))
 
     def upto(i: Column) -> Column:
-        whole = F.least(F.floor(i / _STEP).cast("int"), F.size("steps"))
-        return total(F.slice("steps", F.lit(1), whole)) + total(F.slice(lengths, whole * _STEP + 1, i - whole * _STEP + 1))
+        whole = F.least(F.floor(i / step).cast("int"), F.size("earlier") - 1)
+        return F.get("earlier", whole) + total(F.slice(lengths, whole * step + 1, i - whole * step + 1))
 
-    return stepped.withColumn("ends", F.transform(lengths, lambda _, i: upto(i)))
+    return summed.withColumn("ends", F.transform(lengths, lambda _, i: upto(i)))
 
 
 def format_chat(
@@ -127,7 +127,18 @@ def parse_chat(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["len"].cast("int")))), ""
+    """All text under the loss mask, unescaped, nothing between.
+
+    A place in a string is found by counting from its start, so spans are read off in steps: one piece of
+    the whole for the root of their number, and the spans off that piece.
+    """
+    step = _step(spans)
+    first = lambda own: F.get(own, F.lit(0))["start"]
+    reach = lambda own: F.element_at(own, -1)["start"] + F.element_at(own, -1)["len"] - first(own)
+    cut = lambda text, start, size: F.substr(text, (start + 1).cast("int"), size.cast("int"))
+    stepped = F.transform(F.sequence(F.lit(0), F.size(spans) - 1, step), lambda s: F.slice(spans, s + 1, step))
+    pieces = F.transform(stepped, lambda own: F.struct(own.alias("own"), cut(formatted, first(own), reach(own)).alias("piece")))
+    texts = F.transform(
+        pieces, lambda p: F.array_join(F.transform(p["own"], lambda s: unescape(cut(p["piece"], s["start"] - first(p["own"]), s["len"]))), "")
     )
+    return F.when(F.size(spans) > 0, F.array_join(texts, "")).otherwise("")
