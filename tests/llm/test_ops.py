@@ -353,3 +353,100 @@ def test_suffix_dedup_takes_one_text_of_a_repeated_id(spark):
         seen.append(t)
     expected = [(i, "" if spans.get(i) and t == first[i] else t or "") for i, t in rows]
     assert sorted((str(r.doc_id), r.kept.decode()) for r in got) == sorted((str(i), t) for i, t in expected)
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    a, b, c = (" ".join(random.Random(k).choices("abcdefghijk", k=60)) for k in (1, 2, 3))
+    rows = [(1, min(a, b)), (2, min(a, b)), (2, max(a, b)), (3, max(a, b)), (4, c), (4, c), (5, None), (5, c), (None, c), (6, None), (6, "")]
+    got = sorted((str(r.doc_id), r.component_id, r.kept) for r in neardup.near_duplicates(docs(spark, rows)).collect())
+    classes = {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, None: None}
+    assert got == sorted((str(i), classes[i], classes[i] == i) for i, _ in rows)
+    assert neardup.near_duplicates(docs(spark, rows).limit(0)).count() == 0
+    kept = neardup.keep_representatives(docs(spark, rows))
+    assert kept.columns == docs(spark, rows).columns and len(kept.collect()) == 1 + 1 + 2 + 1 + 2
+
+
+def test_near_duplicates_recall_is_measured(spark):
+    """Planted pairs just above the threshold: banding finds them, pairs just below stay apart."""
+    rng = random.Random(9)
+    rows, above = [], set()
+    for k in range(300):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+        # A changed word takes five shingles of 196: five changes leave 171 of 221 (0.774), seven leave 161 of 231 (0.697).
+        changes = 5 if k % 2 else 7
+        other = list(words)
+        for at in range(10, 10 + 25 * changes, 25):
+            other[at] = "changed"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        if k % 2:
+            above.add(2 * k + 1)
+    got = {r.doc_id for r in neardup.near_duplicates(docs(spark, rows)).where("NOT kept").collect()}
+    assert got == above
+
+
+def test_top_k_skips_postings_of_skewed_vectors():
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.standard_t(1.2, size=(5000, 32)) * 100).astype(np.int64)
+    index = topk.ImpactIndex(np.arange(5000), x)
+    queries = x[::100]
+    found = index.search(queries, np.arange(0, 5000, 100), 10)
+    assert index.touched < 0.25 * len(queries) * x.size
+    for q, (ids, scores) in zip(range(0, 5000, 100), found, strict=True):
+        every = x @ x[q]
+        expected = sorted((-int(s), i) for i, s in enumerate(every) if i != q)[:10]
+        assert [(-int(s), int(i)) for i, s in zip(ids, scores, strict=True)] == expected
+
+
+def test_top_k_with_unlike_lengths(spark):
+    rows = [(0, [1.0]), (100, []), (1, [2.0]), (2, []), (3, [1.0, 2.0]), (200, [1.0, 1.0])]
+    got = sorted(tuple(r) for r in topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(0, 1, 1, 2 << 20), (100, 1, 2, 0), (200, 1, 3, 3 << 20)]
+
+
+def test_warc_keeps_large_and_null_ids(spark):
+    big, first = "x" * 1500, 9007199254740993
+    rows = [(first, "u/a", big), (first + 2, "u/a", big), (None, "u/b", big), (7, None, ""), (7, None, ""), (8, "http://h/" + "p" * 5000, "é" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"run": F.lit(1), "part": F.lit("x")}).coalesce(1)
+    index = warc.capture_index(pages)
+    got = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in index.collect())
+    expected = [(first, 1500, "revisit", first + 2), (first + 2, 1500, "response", None), (None, 1500, "revisit", first + 2), (7, 0, "response", None), (7, 0, "response", None), (8, 600_000, "response", None)]
+    assert got == sorted((str(i), *rest) for i, *rest in expected)
+
+
+def test_warc_merges_runs_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_CAPTURES", 150)
+    rng = random.Random(4)
+    rows = [(i if rng.random() < 0.9 else None, f"http://{rng.choice('aab')}.example.com/{rng.randint(0, 9)}", "x" * rng.randint(0, 3)) for i in range(1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    index = warc.capture_index(pages)
+    got = index.orderBy("part", "part_pos").collect()
+    keys = [(r.url_key, r.captured, r.page_id is not None, r.page_id or 0) for r in got]
+    assert len(got) == 1500 and keys == sorted(keys)
+    parts = Counter(r.part for r in got)
+    assert len(parts) > 5 and max(parts.values()) < 400 and all(r.part_pos < parts[r.part] for r in got)
+
+
+def test_licence_phrases_equal_a_plain_search(spark):
+    rng = random.Random(12)
+    words = "under the mit license apache version 2 cc by nc x".split()
+    rows = [(i, "".join(rng.choice(words).upper() if rng.random() < 0.2 else rng.choice(words) for _ in range(1)) + "".join(
+        rng.choice([" ", ", ", "-", " é "]) + rng.choice(words + list(licences.PHRASES)) for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    rows += [(1000, "cc by nc " * 30_000)]
+    got = {r.doc_id: r for r in licences.scan_licences(docs(spark, rows)).collect()}
+    for i, text in rows:
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+        found = [(k, label) for phrase, label in licences.PHRASES.items() for p in [phrase.split()] for k in range(len(own) - len(p) + 1) if own[k : k + len(p)] == p]
+        r = got[i]
+        places = [k for k, _ in found]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(own), len(places), min(places, default=None), max(places, default=None))
+        assert r.base_labels == ",".join(sorted({label for _, label in found})) and set(r.base_labels.split(",")) <= set(r.labels.split(",") if r.labels else [""])
+
+
+def test_licence_chains_pass_stray_runs():
+    scan = licences.LicenceScanner()
+    text = licences.TEMPLATES["mit"][0]
+    whole = licences.split_words(text)
+    stray = [*whole[:30], *whole[60:65], *whole[30:]]
+    spans = scan.scan(stray)["spans"]
+    assert max(c for k, _, _, c in spans if scan.labels[k] == "mit") == 1.0
+    assert scan.scan(whole[: len(whole) // 2])["spans"][0][3] == pytest.approx(0.5, abs=0.02)
