@@ -4,9 +4,10 @@ Every ``length``-byte window picks an anchor by its content: the leftmost of the
 ``length // 2``-byte strings inside it. Equal windows pick equal anchors, so windows are compared within
 the group of their anchor's string only. The windows that pick one anchor form a context, a stretch of
 at most 150 bytes for a length of 100. Contexts are named by content (two 64-bit hashes), as substrings
-are in the recursion of induced sorting: of equal contexts all but the first are repeats. Where a group holds
-unlike contexts, their texts are suffix sorted, shard by shard, and classes of equal windows are read
-off common prefixes. What repeats is the same whatever the partitioning.
+are in the recursion of induced sorting: of equal contexts all but the first are repeats. Those that a task sees
+itself are settled before anything is shuffled, so a passage that many documents share doesn't gather in one task.
+Where a group holds unlike contexts, the first of each is suffix sorted, shard by shard, and classes of equal
+windows are read off the common prefixes. What repeats is the same whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -15,15 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import hashing
-from shelfspark.llm.suffixes import repeats
-from shelfspark.llm.util import chunks, materialize, mapped, small
+from shelfspark.llm.suffixes import Shard
+from shelfspark.llm.util import chunks, mapped, materialize, shared_dir, small
 
-#: Context bytes that a shard sorts at once; a single group may hold more.
-SHARD_BYTES = 1_000_000
+#: Context bytes that a shard sorts at once; a single group may hold more, of which TEXT_BYTES stay in memory.
+SHARD_BYTES, TEXT_BYTES = 1_000_000, 16_000_000
+
+#: Contexts of a task that are compared with each other before they are shuffled.
+LOCAL_CONTEXTS = 400_000
 
 #: Text whose windows are anchored at once: some twenty arrays of eight bytes a letter.
 ANCHOR_BYTES = 256_000
@@ -86,15 +91,58 @@ _CONTEXT = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("first",
 _CONTEXT_DDL = "anchor long, doc_id long, first long, last long, sort boolean"
 
 
+class _Local:
+    """Contexts of one task: copies among them become spans, the first of each is left for the shuffle."""
+
+    def __init__(self, length: int):
+        self.length, self.held, self.n = length, [], 0
+
+    def add(self, found: dict[str, np.ndarray], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        row = (found["anchor"].view(np.int64), found["content"].view(np.int64), ids[found["text"]], found["first"], found["last"])
+        self.held.append(np.stack(row))
+        self.n += len(row[0])
+        if self.n >= LOCAL_CONTEXTS:
+            yield self.flush()
+
+    def flush(self) -> pa.RecordBatch:
+        anchor, content, doc, first, last = np.concatenate(self.held or [np.zeros((5, 0), np.int64)], axis=1)
+        self.held, self.n = [], 0
+        order = np.lexsort((first, doc, content, anchor))
+        anchor, content, doc, first, last = (x[order] for x in (anchor, content, doc, first, last))
+        copy = np.zeros(len(anchor), bool)
+        copy[1:] = (content[1:] == content[:-1]) & (anchor[1:] == anchor[:-1])
+        start, end, owner = first[copy], last[copy] + self.length, doc[copy]
+        order = np.lexsort((start, owner))
+        start, end, owner = start[order], end[order], owner[order]
+        number = np.cumsum(np.concatenate([[0], owner[1:] != owner[:-1]])) if len(owner) else owner
+        reach = np.maximum.accumulate((number << 32) + end) if len(owner) else end
+        heads = np.flatnonzero(np.concatenate([[True], (number[1:] << 32) + start[1:] > reach[:-1]])) if len(owner) else number
+        ends = np.append(heads[1:], len(start)) - 1
+        owner, start, end = owner[heads], start[heads], reach[ends] - (number[ends] << 32) if len(heads) else end
+        # Spans go anywhere: their key only deals them out evenly.
+        deal = hashing.mix(owner.view(np.uint64) ^ hashing.mix(start.view(np.uint64))).view(np.int64)
+        rows = [(deal, anchor), (np.zeros_like(deal), content), (owner, doc), (start, first), (end - self.length, last)]
+        columns = [pa.array(np.concatenate([x, y[~copy]])) for x, y in rows]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(len(columns[0])) < len(deal))], _LISTED)
+
+
+_LISTED = ["anchor", "content", "doc_id", "first", "last", "span"]
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams contexts (anchor, content, doc_id, first, last) sorted in that order.
+    """Streams contexts (anchor, content, doc_id, first, last, span) sorted in that order.
 
     Gives each context that repeats an earlier one of its content (``sort`` false) and, of anchors with
-    several contents, the first context of each (``sort`` true). One row is held, whatever a group's size.
+    several contents, the first context of each (``sort`` true). Rows marked ``span`` are repeats already.
+    One row is held, whatever a group's size.
     """
     previous: tuple[int, int] | None = None
     waiting = None  # the first row of an anchor that has shown one content so far
     for batch in batches:
+        spans = batch.filter(batch.column(5))
+        if spans.num_rows:
+            yield pa.RecordBatch.from_arrays([*(spans.column(i) for i in (0, 2, 3, 4)), pa.array(np.zeros(spans.num_rows, bool))], schema=_CONTEXT)
+            batch = batch.filter(pa.compute.invert(batch.column(5)))
         if batch.num_rows == 0:
             continue
         anchor, content, *rest = (batch.column(i).to_numpy() for i in range(5))
@@ -117,34 +165,32 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out] + [pa.array(flags, pa.bool_())], schema=_CONTEXT)
 
 
-def _sorted_shards(length: int):
-    """Suffix sorts the contexts (anchor, doc_id, first, piece) of whole anchors and gives repeats as spans."""
+def _sorted_shards(length: int, folder: str):
+    """Suffix sorts the contexts (anchor, doc_id, first, piece) of whole anchors and gives repeats as spans.
+
+    Contexts come by (anchor, document, place), so that the first of equal strings in the shard starts earliest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "end"]
+        shard, last = Shard(length, folder, TEXT_BYTES), None
 
-        def sort(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-            # By document and place, so that the first of equal strings in the shard starts earliest.
-            rows.sort(key=lambda r: (r[1], r[2]))
+        def spans() -> pa.RecordBatch:
             out: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
-            for (_, doc, first, _), found in zip(rows, repeats([r[3] for r in rows], length), strict=True):
-                if len(found):
-                    cut = np.flatnonzero(np.diff(found) != 1)
-                    a, b = found[np.concatenate([[0], cut + 1])], found[np.append(cut, len(found) - 1)]
-                    out.append(np.stack([np.full(len(a), doc), first + a, first + b + length], axis=1))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out).T], names)
-
-        rows: list[tuple[int, int, int, bytes]] = []
-        size = 0
+            for (doc, first), found in shard.repeats():
+                cut = np.flatnonzero(np.diff(found) != 1)
+                a, b = found[np.concatenate([[0], cut + 1])], found[np.append(cut, len(found) - 1)]
+                out.append(np.stack([np.full(len(a), doc), first + a, first + b + length], axis=1))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out).T], ["doc_id", "start", "end"])
+
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size > SHARD_BYTES and row[0] != rows[-1][0]:
-                    yield sort(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[3])
-        if rows:
-            yield sort(rows)
+            for anchor, doc, first, piece in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if shard.size > SHARD_BYTES and anchor != last:
+                    yield spans()
+                    shard = Shard(length, folder, TEXT_BYTES)
+                shard.add((doc, first), piece)
+                last = anchor
+        if shard.size:
+            yield spans()
 
     return run
 
@@ -175,13 +221,12 @@ def repeated_spans(docs: DataFrame, length: int = 100, firsts: DataFrame | None
         source = source.join(small(firsts.select("doc_id")), "doc_id", "left_anti").unionByName(firsts)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = _Local(length)
         for batch in chunks(batches, 1, ANCHOR_BYTES):
-            found = contexts(*hashing.text_bytes(batch.column(1)), length)
-            ids = batch.column(0).to_numpy()
-            columns = [found["anchor"].view(np.int64), found["content"].view(np.int64), ids[found["text"]], found["first"], found["last"]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", "first", "last"])
+            yield from local.add(contexts(*hashing.text_bytes(batch.column(1)), length), batch.column(0).to_numpy())
+        yield local.flush()
 
-    listed = source.transform(mapped(anchors, "anchor long, content long, doc_id long, first long, last long"))
+    listed = source.transform(mapped(anchors, "anchor long, content long, doc_id long, first long, last long, span boolean"))
     grouped = listed.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "first")
     repeated = materialize(grouped.transform(mapped(_repeated, _CONTEXT_DDL)))
     copies = repeated.where("NOT sort").select("doc_id", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
@@ -204,7 +249,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, firsts: DataFrame | None
 
     holders = source.join(small(wanted.select("doc_id")), "doc_id", "left_semi")
     pieces = holders.join(wanted, "doc_id").select("doc_id", "text", "contexts").transform(mapped(cut, "anchor long, doc_id long, first long, piece binary"))
-    sorted_ = pieces.repartition("anchor").sortWithinPartitions("anchor").transform(mapped(_sorted_shards(length), "doc_id long, start long, end long"))
+    shards = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "first")
+    sorted_ = shards.transform(mapped(_sorted_shards(length, shared_dir(docs.sparkSession)), "doc_id long, start long, end long"))
 
     # Spans that overlap or touch become one.
     spans = copies.union(sorted_).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
@@ -233,8 +279,9 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     Null texts count as empty; of rows of one id those with the first text in order are cut, the others
     left as they are; rows with a null id are left whole. Every row stays; an
-    empty table gives no rows. Extra columns must not be named ``kept`` or ``spans``.
+    empty table gives no rows. Columns of ``docs`` named ``kept`` or ``spans`` give way to these.
     """
+    docs = docs.drop("kept", "spans")
     firsts = first_texts(docs)
     spans = materialize(repeated_spans(docs, length, firsts))
     ids = spans.select("doc_id")
@@ -289,6 +336,8 @@ def digests(removed: DataFrame) -> DataFrame:
 
 def drop_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """``docs`` with texts cut; parts of letters left at a border are dropped, ``n_chars`` follows the text."""
+    own = {c: f"own_{c}_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
+    names, docs = docs.columns, docs.withColumnsRenamed(own)
     text = F.when(F.col("text").isNull(), F.lit(None).cast("string")).otherwise(
         F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string")).otherwise(
             F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
@@ -297,4 +346,4 @@ def drop_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     cut = remove_repeats(docs, length).withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return cut.select(*docs.columns).withColumnsRenamed({v: k for k, v in own.items()}).select(*names)
