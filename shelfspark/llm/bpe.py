@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,13 @@ CACHE_LETTERS, CACHE_PAIRS = 600_000, 200_000
 
 _NEVER = 1 << 60
 
+#: Letters at a token's end by which candidates are looked up, and the lengths below that.
+_TAIL = 4
+_SHORT = tuple(range(_TAIL - 1, 0, -1))
+
+#: Characters of words that aren't printable.
+_CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+
 #: Texts of characters below this one (Latin letters, nothing to compose) need no Unicode tables.
 _PLAIN_BELOW = "\u0130"
 
@@ -54,13 +62,14 @@ class TrieEncoder:
             self.parts.setdefault(self.ids[a + b], (self.ids[a], self.ids[b], r))
         self.inner = {s: i for s, i in self.ids.items() if not s.endswith(self.end)}
         self.final = {s[: -len(self.end)]: i for s, i in self.ids.items() if s.endswith(self.end)}
-        self.inner_reach, self.final_reach = _reach(self.inner), _reach(self.final)
+        self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         # White space as the library's engine has it: U+001C to U+001F are none.
         self.word = regex.compile(splits[0].replace(r"\s", r"\t-\r \x85\p{Z}"))
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.bytes_as = _byte_names()
-        self.may_follow: dict[tuple[int, int], bool] = {}
+        #: Left id in the upper, right id in the lower half of the key.
+        self.may_follow: dict[int, bool] = {}
         #: Words with their tokens: those met since the last turn of generations, and those of the one before.
         self.known: dict[str, tuple[list[int], str]] = {}
         self.older: dict[str, tuple[list[int], str]] = {}
@@ -76,59 +85,67 @@ class TrieEncoder:
         return spine
 
     def follows(self, left: int, right: int) -> bool:
-        key = (left, right)
-        found = self.may_follow.get(key)
-        if found is None:
-            rank, others, found = self.rank, self._spine(right, 0), True
-            for a, a_until in self._spine(left, 1):
-                for b, b_until in others:
-                    r = rank.get((a, b))
-                    # Of merges of one rank, the one further left comes first.
-                    if r is not None and r < a_until and r <= b_until:
-                        found = False
-                        break
-                if not found:
+        rank, others, found = self.rank, self._spine(right, 0), True
+        for a, a_until in self._spine(left, 1):
+            for b, b_until in others:
+                r = rank.get((a, b))
+                # Of merges of one rank, the one further left comes first.
+                if r is not None and r < a_until and r <= b_until:
+                    found = False
                     break
-            if len(self.may_follow) > CACHE_PAIRS:
-                self.may_follow.clear()
-            self.may_follow[key] = found
+            if not found:
+                break
+        if len(self.may_follow) > CACHE_PAIRS:
+            self.may_follow.clear()
+        self.may_follow[left << 32 | right] = found
         return found
 
-    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], reach: dict[str, int]) -> int:
+    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], sizes: dict[str, tuple[int, ...]]) -> int:
         """State of ``text[:n]``, given those of all shorter prefixes."""
-        for start in range(max(0, n - reach.get(text[n - 3 : n], 2)) if n > 2 else 0, n):
+        may_follow = self.may_follow
+        for size in sizes.get(text[n - _TAIL : n], _SHORT) if n >= _TAIL else _SHORT:
+            if size > n:
+                continue
+            start = n - size
             token = table.get(text[start:n])
-            if token is not None and (start == 0 or self.follows(states[start], token)):
-                return token
+            if token is not None:
+                if start == 0:
+                    return token
+                found = may_follow.get(states[start] << 32 | token)
+                if self.follows(states[start], token) if found is None else found:
+                    return token
         raise ValueError(f"no token ends {text[:n]!r}")
 
     def learn(self, words: list[str]) -> None:
         """Work out the tokens of distinct words (already as byte characters), in trie order."""
         states: list[int] = [-1]
         before = ""
-        names, end = self.names, len(self.end)
+        names, end, last = self.names, len(self.end), self._last
+        inner, inner_sizes, final, final_sizes = self.inner, self.inner_sizes, self.final, self.final_sizes
         for word in sorted(words):
-            shared, most = 0, min(len(before), len(word) - 1)
+            shared, size = 0, len(word)
+            most = min(len(before), size - 1)
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del states[shared + 1 :]
-            for n in range(len(states), len(word)):
-                states.append(self._last(word, n, states, self.inner, self.inner_reach))
+            for n in range(len(states), size):
+                states.append(last(word, n, states, inner, inner_sizes))
             before = word
-            token = self._last(word, len(word), states, self.final, self.final_reach)
-            out, at = [token], len(word) - (len(names[token]) - end)
+            token = last(word, size, states, final, final_sizes)
+            out, at = [token], size - (len(names[token]) - end)
             while at > 0:
                 token = states[at]
                 out.append(token)
                 at -= len(names[token])
             out.reverse()
             self.known[word] = (out, " ".join([names[t] for t in out]))
-            self.letters += len(word)
+            self.letters += size
 
     def words(self, text: str) -> list[str]:
         """Normalised words of a text without special tokens."""
         if text.isascii():
-            return self._named(self.word.findall(text.lower()))
+            found = self.word.findall(text.lower())
+            return self._named(found) if _CONTROL.search(text) else found
         if max(text) >= _PLAIN_BELOW:
             # Composition, case and classes of letters here depend on the library's Unicode version.
             whole = self.library.normalizer.normalize_str(text)
@@ -178,20 +195,18 @@ class TrieEncoder:
         self.learn(list(new))
         known, out = self.known, []
         for r in rows:
-            ids: list[int] = []
-            for w in r:
-                ids += known[w][0]
-            out.append((ids, " ".join([known[w][1] for w in r])))
+            found = [known[w] for w in r]
+            out.append((list(chain.from_iterable([ids for ids, _ in found])), " ".join([text for _, text in found])))
         return out
 
 
-def _reach(tokens: Iterable[str]) -> dict[str, int]:
-    """For the last three characters of tokens the length of the longest token that ends so."""
-    out: dict[str, int] = {}
+def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """For the last ``_TAIL`` characters of tokens the falling lengths of tokens that end so, then the shorter ones."""
+    out: dict[str, set[int]] = {}
     for t in tokens:
-        if len(t) > 2:
-            out[t[-3:]] = max(len(t), out.get(t[-3:], 0))
-    return out
+        if len(t) >= _TAIL:
+            out.setdefault(t[-_TAIL:], set()).add(len(t))
+    return {tail: (*sorted(sizes, reverse=True), *_SHORT) for tail, sizes in out.items()}
 
 
 def _byte_names() -> list[str]:
@@ -225,7 +240,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             done = enc.encode_batch(batch.column(1).to_pylist())
             ends = np.zeros(len(done) + 1, np.int32)
             np.cumsum([len(ids) for ids, _ in done], out=ends[1:])
-            flat = np.fromiter((i for ids, _ in done for i in ids), np.int32, int(ends[-1]))
+            flat = np.fromiter(chain.from_iterable([ids for ids, _ in done]), np.int32, int(ends[-1]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
