@@ -6,13 +6,16 @@ class, whose maximum-likelihood solution is the share of counts. Frequent words
 company they keep (k-means over counts beside the commonest words) and by frequency, the rest of
 the head by frequency, all other words are one class.
 
-Counts come from all training texts by a shuffle. Weights are trained by distributed gradient updates:
-trainers take AdaGrad steps on batches of their share of all training texts and their updates are
-averaged. Texts are scored in numpy batches; words outside the head get their counts by a join.
+Counts come from all training texts by a shuffle. Weights are trained by distributed gradient updates: in each
+round every shard of the training texts takes AdaGrad steps from the common weights, and the shards'
+weights are averaged. The rows of hashed features and with them the size of a shard grow with the
+root of the number of tokens, whatever the cluster. Texts are scored in numpy batches; words outside the
+head get their counts by a join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,8 +30,8 @@ from shelfspark.llm.util import chunks, held_out, mapped, materialize
 
 #: Words with counts in every scorer; of these, words with a class by company; words beside which company is counted.
 HEAD, CLASSED, ANCHORS = 1 << 17, 1 << 14, 64
-#: Rows of hashed features; batch of a gradient step, in tokens.
-FEATURES, BATCH = 1 << 15, 8192
+#: Batch of a gradient step, in tokens; tokens of a shard for each row of features; rounds of averaging.
+BATCH, PER_ROW, ROUNDS = 8192, 128, 2
 _CLUSTERS, _BINS, _LEVELS = 10, 4, 4
 #: Classes by company and frequency, by frequency alone, of the tail, of the end.
 TAIL = _CLUSTERS * _BINS + _LEVELS
@@ -60,10 +63,15 @@ def _history(tokens: np.ndarray, offsets: np.ndarray, back: int) -> np.ndarray:
     return out
 
 
-def features(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def feature_rows(tokens: int) -> int:
+    """Rows of hashed features for so many training tokens: four times their root, as a power of two."""
+    return 1 << max(10, (4 * math.isqrt(max(1, tokens)) - 1).bit_length())
+
+
+def features(tokens: np.ndarray, offsets: np.ndarray, rows: int) -> np.ndarray:
     """Hashed features of each token's history (tokens x 4): word before, its skip, bigram, skip bigram."""
     a, b, c = (_history(tokens, offsets, k) for k in (1, 2, 3))
-    mask = np.uint64(FEATURES - 1)
+    mask = np.uint64(rows - 1)
     salted = (a, b ^ np.uint64(2), a * np.uint64(3) + hashing.mix(b), b * np.uint64(5) + hashing.mix(c))
     return np.stack([(hashing.mix(x) >> np.uint64(7) & mask).astype(np.int64) for x in salted], axis=1)
 
@@ -175,12 +183,11 @@ def log_softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
 
 
 class Trainer:
-    """AdaGrad over batches of (features, class)."""
+    """AdaGrad over batches of (features, class), from weights ``w``."""
 
-    def __init__(self, bias: np.ndarray, rate: float = 0.15):
-        self.bias, self.rate = bias.astype(np.float32), rate
-        self.w = np.zeros((FEATURES, CLASSES), np.float32)
-        self.g2 = np.full(FEATURES, 1e-4, np.float32)
+    def __init__(self, w: np.ndarray, bias: np.ndarray, rate: float = 0.15):
+        self.w, self.bias, self.rate = w.copy(), bias.astype(np.float32), rate
+        self.g2 = np.full(len(w), 1e-4, np.float32)
 
     def step(self, f: np.ndarray, y: np.ndarray) -> None:
         n, k = f.shape
@@ -196,33 +203,75 @@ class Trainer:
         self.w[rows] -= self.rate * grad / np.sqrt(self.g2[rows])[:, None]
 
 
-def train(training: DataFrame, head: Head, classes: np.ndarray, bias: np.ndarray, trainers: int) -> np.ndarray:
-    """Averaged weights of ``trainers`` trainers over all training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        trainer, seen = Trainer(bias), 0
-        for batch in chunks(batches, 0):
-            tokens, offsets = token_stream(batch.column(0))
-            f, (_, y) = features(tokens, offsets), class_of(head, classes, tokens)
-            for at in range(0, len(y), BATCH):
-                trainer.step(f[at : at + BATCH], y[at : at + BATCH])
-            seen += len(y)
-        return np.append(trainer.w.ravel() * float(seen), float(seen))
+def train(training: DataFrame, head: Head, classes: np.ndarray, bias: np.ndarray, rows: int, shards: int, blocks: int = 64) -> np.ndarray:
+    """Weights after ``ROUNDS`` rounds over all of ``training`` (doc_id, text).
 
-    total = _summed(training.coalesce(trainers), run, np.float64)
-    return (total[:-1] / max(1.0, total[-1])).astype(np.float32).reshape(FEATURES, CLASSES)
+    Texts are dealt to shards and rounds, and ordered within, by hashes of their rows.
+    """
+    spark = training.sparkSession
+    place = lambda salt: F.xxhash64("doc_id", "text", F.lit(salt))
+    dealt = training.select(F.pmod(place(1), F.lit(shards)).cast("int").alias("shard"), place(2).alias("place"), "text")
+    w = np.zeros((rows, CLASSES), np.float32)
+    for r in range(ROUNDS):
+        common = spark.sparkContext.broadcast((head, classes, bias, w))
+
+        def run(batches: Iterator[pa.RecordBatch], common=common) -> Iterator[pa.RecordBatch]:
+            head, classes, bias, w = common.value
+            trainer, shard, seen = None, None, 0
+
+            def trained() -> pa.RecordBatch:
+                parts = [p.tobytes() for p in np.array_split(trainer.w.ravel(), blocks)]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(range(blocks), pa.int32()), pa.array([seen] * blocks, pa.int64()), pa.array(parts, pa.binary())], ["block", "seen", "data"]
+                )
+
+            for batch in batches:
+                own = batch.column(0).to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)] if len(own) else [0]
+                for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                    if own[start] != shard:
+                        if trainer is not None:
+                            yield trained()
+                        trainer, shard, seen = Trainer(w, bias), own[start], 0
+                    for piece in chunks(iter([batch.slice(start, end - start)]), 1):
+                        tokens, offsets = token_stream(piece.column(1))
+                        f, (_, y) = features(tokens, offsets, rows), class_of(head, classes, tokens)
+                        for at in range(0, len(y), BATCH):
+                            trainer.step(f[at : at + BATCH], y[at : at + BATCH])
+                        seen += len(y)
+            if trainer is not None:
+                yield trained()
+
+        def average(pdf: pd.DataFrame) -> pd.DataFrame:
+            total = sum(n * np.frombuffer(d, np.float32).astype(float) for n, d in zip(pdf["seen"], pdf["data"], strict=True)) / pdf["seen"].sum()
+            return pd.DataFrame({"block": [pdf["block"].iat[0]], "data": [total.astype(np.float32).tobytes()]})
+
+        own = dealt.where(F.pmod("place", F.lit(ROUNDS)) == r).repartition(shards, "shard").sortWithinPartitions("shard", "place")
+        found = own.select("shard", "text").transform(mapped(run, "block int, seen long, data binary")).groupBy("block").applyInPandas(average, "block int, data binary")
+        got = sorted(tuple(x) for x in found.collect())
+        if got:
+            w = np.concatenate([np.frombuffer(d, np.float32) for _, d in got]).reshape(rows, CLASSES)
+        common.unpersist()
+    return w
+
+
+def word_logs(head: Head, classes: np.ndarray, in_class: np.ndarray) -> np.ndarray:
+    """log10 of each head word's share of its class."""
+    return np.log10(head.counts / np.maximum(in_class[classes], 1)) if len(classes) else np.zeros(0)
 
 
 def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row.
 
     Trained on rows outside the held-out fold. A null text counts as empty: its one token is the end.
+    ``trainers`` is the number of shards, by default as many as the number of tokens asks for.
     Null ids fall into a fold as the empty string does; repeated rows count and are scored each; an empty
     table gives no rows; other columns are ignored. Unknown words share one place in the tail class.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    training = source.where(~held_out(F.col("doc_id"), _FOLDS, _FOLD)).select("text")
+    learnt = source.where(~held_out(F.col("doc_id"), _FOLDS, _FOLD))
+    training = learnt.select("text")
     counts = count_words(training)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = int(total["n"]), int(total["v"])
@@ -252,8 +301,9 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
     in_class[TAIL] = tail_n
     # The tail's softmax keeps a place for unknown words.
     bias = np.log((in_class + 0.5) / (in_class.sum() + 0.5 * CLASSES))
-    weights = train(training, head, classes, bias, trainers or max(2, spark.sparkContext.defaultParallelism))
-    word_log = np.log10(head.counts / np.maximum(in_class[classes], 1)) if len(classes) else np.zeros(0)
+    rows = feature_rows(n)
+    weights = train(learnt, head, classes, bias, rows, trainers or -(-max(1, n) // (PER_ROW * rows)))
+    word_log = word_logs(head, classes, in_class)
     base_log = np.log10((head.counts + 0.5) / (n + 0.5 * (v + 1)))
     none_log = float(np.log10(0.5 / (n + 0.5 * (v + 1))))
     shared = spark.sparkContext.broadcast((head, classes, bias.astype(np.float32), weights, word_log, base_log))
@@ -262,7 +312,7 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
         head, classes, bias, weights, word_log, base_log = shared.value
         for batch in chunks(batches, 2):
             tokens, offsets = token_stream(batch.column(2))
-            f, (at, y) = features(tokens, offsets), class_of(head, classes, tokens)
+            f, (at, y) = features(tokens, offsets, rows), class_of(head, classes, tokens)
             logs = np.zeros(len(tokens))
             for i in range(0, len(y), BATCH):
                 part = log_softmax(weights, bias, f[i : i + BATCH])
@@ -276,8 +326,8 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
             lost = ~known & (tokens == _END)
             base[lost] = none_log
             per = lambda x: np.add.reduceat(x, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)
-            rows = batch.column(0).to_numpy()
-            doc_rows = [pa.array(rows), batch.column(1), pa.nulls(len(rows), pa.int64()), pa.array(np.diff(offsets)),
+            ids = batch.column(0).to_numpy()
+            doc_rows = [pa.array(ids), batch.column(1), pa.nulls(len(ids), pa.int64()), pa.array(np.diff(offsets)),
                         pa.array(per(known.astype(np.int64))), pa.array(per(base)), pa.array(per(logs))]
             names = ["row", "doc_id", "word", "n", "known", "base", "logs"]
             yield pa.RecordBatch.from_arrays(doc_rows, names)
@@ -290,7 +340,7 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
                 times = np.diff(np.append(begin, len(word)))
                 k = len(begin)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[owner[begin]]), pa.nulls(k, pa.int64()), pa.array(word[begin].view(np.int64)), pa.array(times),
+                    [pa.array(ids[owner[begin]]), pa.nulls(k, pa.int64()), pa.array(word[begin].view(np.int64)), pa.array(times),
                      pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names
                 )
 
