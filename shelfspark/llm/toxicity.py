@@ -1,12 +1,14 @@
 """Toxicity by weak supervision.
 
 1. A lexicon of words and word beginnings is read off labelled documents.
-2. Voters, ten in all, say "toxic" or abstain: fixed insults, shares of the learned lexicon, patterns; one
-   votes for the absence of all of these.
+2. Voters say "toxic" or abstain: fixed insults, eight shares of the learned lexicon, several hits at once,
+   masked words, exclamations, address of a reader, threats, shouting; one votes for the absence of all of these.
 3. A generative label model sees only how often each combination of votes occurs, with and without a
-   label, over all training documents. Expectation maximisation estimates each voter's accuracy and
-   the annotator's; voters correlated within a class share their evidence.
-4. A linear classifier over lexicon terms is trained on the posterior labels and scores every text.
+   label, over all training documents. Within a class a vote depends on one other voter (a tree, the one that
+   explains most), so the model holds accuracies and correlations and is a distribution still. Expectation
+   maximisation estimates it together with the annotator's accuracy.
+4. A linear classifier over lexicon terms is trained on the posterior labels of labelled and unlabelled documents
+   and scores every text.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm.util import chunks, held_out, materialize, mapped, small
 
-#: Bounds of the labelled sample and of the lexicon that reach the driver.
+#: Bounds of the labelled and the unlabelled sample and of the lexicon that reach the driver.
 MAX_LABELLED = 20_000
+MAX_UNLABELLED = 20_000
 MAX_TERMS = 4_000
 
 #: Common English insults.
@@ -33,11 +36,14 @@ INSULTS = frozenset(
     "idiot idiots stupid moron morons scum trash loser losers clown pathetic worthless disgusting dumb imbecile filth vermin".split()
 )
 
-_VOTERS = 10
-_SHARES = 6
+_SHARES = 8
+#: Voters in order of their bits.
+VOTERS = ("insults", *(f"lexicon{i}" for i in range(_SHARES)), "several", "masked", "exclaimed", "addressed", "threat", "shouted", "none")
 _FOLDS, _FOLD = 4, 2
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}|!{3,}")
+_MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}")
+_SHOUTED = re.compile(r"\b[A-Z]{3,}\W+[A-Z]{3,}\W+[A-Z]{3,}\b")
+_THREAT = re.compile(r"\b(?:kill|hurt|destroy|burn|hang) (?:you|yourself|them|him|her)\b")
 _ADDRESS = re.compile(r"\b(?:you are|you're|du bist|tu es|vous êtes|eres|shut up)\b")
 
 
@@ -51,9 +57,9 @@ def lexicon(docs: DataFrame, labels: DataFrame, limit: int = MAX_TERMS, least: i
 
     Each with its odds and whether it is strong: rare in clean texts, in one of 100 toxic ones or more.
 
-    ``labels`` (doc_id, toxic) is bounded; texts that repeat count once.
+    ``labels`` (doc_id, toxic) is bounded; texts that repeat count once, with the largest of their labels.
     """
-    own = docs.join(F.broadcast(labels), "doc_id").dropDuplicates(["text"]).select("text", "toxic")
+    own = docs.join(F.broadcast(labels), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 0):
@@ -103,62 +109,94 @@ class Reader:
             if own:
                 found.update(own)
                 hits += any(i in self.strong for i in own)
-        votes = 0
-        if words & INSULTS:
-            votes |= 1
+        said = [bool(words & INSULTS)] + [False] * _SHARES
         for i in found:
             if i in self.strong:
-                votes |= 2 << self.strong[i]
-        if hits >= 2:
-            votes |= 1 << 7
-        if _MASKED.search(lower) and _ADDRESS.search(lower):
-            votes |= 1 << 8
-        if not votes:
-            votes |= 1 << 9
+                said[1 + self.strong[i]] = True
+        said += [hits >= 2, bool(_MASKED.search(lower)), "!!!" in lower, bool(_ADDRESS.search(lower)), bool(_THREAT.search(lower)), bool(_SHOUTED.search(text or ""))]
+        votes = sum(1 << i for i, v in enumerate(said) if v) or 1 << len(said)
         return sorted(found), votes
 
 
 @dataclass
 class LabelModel:
-    """Posterior of "toxic" for each combination of votes and label (none, 0, 1)."""
+    """P(toxic), the annotator's P(label 1) for each class, and P(vote | vote of its parent, class) along a tree of voters."""
 
     prior: float
-    theta: np.ndarray
     annotator: np.ndarray
-    share: np.ndarray
+    parent: np.ndarray
+    table: np.ndarray  # class, voter, vote of the parent (0 for the root) -> P(vote)
 
     @staticmethod
-    def fit(counts: np.ndarray, rounds: int = 100) -> LabelModel:
-        """``counts``: 2**voters x 3 (no label, label 0, label 1)."""
-        bits = (np.arange(len(counts))[:, None] >> np.arange(_VOTERS) & 1).astype(float)
-        model = LabelModel(0.1, np.zeros((2, _VOTERS)), np.array([0.02, 0.98]), np.ones(_VOTERS))
+    def fit(bits: np.ndarray, counts: np.ndarray, rounds: int = 60) -> LabelModel:
+        """``bits``: combinations x voters; ``counts``: combinations x 3 (no label, label 0, label 1)."""
+        n, k = bits.shape
+        model = LabelModel(0.1, np.array([0.05, 0.95]), np.full(k, -1), np.zeros((2, k, 2)))
         seen = counts[:, 1:]
         total = seen.sum(axis=0)
         model.prior = float((total[1] + 1) / (total.sum() + 10))
-        model.theta = ((seen.T @ bits) + 0.5) / (total[:, None] + 5)
+        # Labelled documents first; then all of them by their posteriors.
+        model._estimate(bits, seen.T)
         for _ in range(rounds):
             p = model.posterior(bits)
             weight = np.stack([(counts * (1 - p)).sum(axis=1), (counts * p).sum(axis=1)])
             mass = weight.sum(axis=1)
             model.prior = float((mass[1] + 1) / (mass.sum() + 10))
-            model.theta = (weight @ bits + 0.5) / (mass[:, None] + 5)
             labelled = np.stack([(seen * (1 - p[:, 1:])).sum(axis=0), (seen * p[:, 1:]).sum(axis=0)])
-            model.annotator = np.clip((labelled[:, 1] + np.array([0.1, 9.9])) / (labelled.sum(axis=1) + 10), 1e-3, 1 - 1e-3)
-            # Correlations of voters within a class: what two voters say together counts once.
-            strongest = np.zeros((_VOTERS, _VOTERS))
-            for w, t in zip(weight, model.theta, strict=True):
-                centred = bits - t
-                cov = (centred * w[:, None]).T @ centred / max(w.sum(), 1.0)
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                strongest = np.maximum(strongest, np.abs(cov / np.outer(sd, sd)))
-            np.fill_diagonal(strongest, 0.0)
-            model.share = 1 / (1 + np.where(strongest > 0.2, strongest, 0.0).sum(axis=1))
+            model.annotator = np.clip((labelled[:, 1] + np.array([0.1, 1.9])) / (labelled.sum(axis=1) + 2), 1e-3, 1 - 1e-3)
+            model._estimate(bits, weight)
         return model
 
+    def _estimate(self, bits: np.ndarray, weight: np.ndarray) -> None:
+        """The tree of voters with the most mutual information given the class, and its tables."""
+        k = bits.shape[1]
+        mass = weight.sum(axis=1)
+        one = weight @ bits
+        both = np.stack([(bits * w[:, None]).T @ bits for w in weight])
+        gain = np.zeros((k, k))
+        for y in range(2):
+            whole = mass[y] + 4
+            for a in (0, 1):
+                for b in (0, 1):
+                    pair = both[y] if a and b else one[y][:, None] - both[y] if a else one[y][None, :] - both[y] if b else mass[y] - one[y][:, None] - one[y][None, :] + both[y]
+                    p = (pair + 1) / whole
+                    pa = ((one[y] if a else mass[y] - one[y]) + 2) / whole
+                    pb = ((one[y] if b else mass[y] - one[y]) + 2) / whole
+                    gain += (whole / (mass.sum() + 8)) * p * np.log(p / np.outer(pa, pb))
+        # Largest gains first from the first voter on.
+        self.parent = np.full(k, -1)
+        inside, best = np.zeros(k, bool), np.zeros(k, int)
+        inside[0] = True
+        for _ in range(k - 1):
+            open_ = np.where(inside, -np.inf, gain[best, np.arange(k)])
+            j = int(open_.argmax())
+            self.parent[j], inside[j] = best[j], True
+            best = np.where(gain[j] > gain[best, np.arange(k)], j, best)
+        for y in range(2):
+            for j in range(k):
+                u = self.parent[j]
+                if u < 0:
+                    self.table[y, j] = (one[y, j] + 0.5) / (mass[y] + 5)
+                    continue
+                rate = (one[y, j] + 0.5) / (mass[y] + 5)
+                # Rare parents lean on the voter's own rate.
+                on, off = both[y, u, j], one[y, j] - both[y, u, j]
+                self.table[y, j, 1] = (on + 2 * rate) / (one[y, u] + 2)
+                self.table[y, j, 0] = (off + 2 * rate) / (mass[y] - one[y, u] + 2)
+        self.table = np.clip(self.table, 1e-6, 1 - 1e-6)
+
+    def log_votes(self, bits: np.ndarray) -> np.ndarray:
+        """log P(votes | class), combinations x 2."""
+        out = np.zeros((len(bits), 2))
+        for j, u in enumerate(self.parent):
+            p = self.table[:, j, :][:, bits[:, u].astype(int) if u >= 0 else np.zeros(len(bits), int)].T
+            out += np.where(bits[:, [j]] > 0, np.log(p), np.log(1 - p))
+        return out
+
     def posterior(self, bits: np.ndarray) -> np.ndarray:
-        theta = np.clip(self.theta, 1e-6, 1 - 1e-6)
-        ratio = np.where(bits > 0, np.log(theta[1] / theta[0]), np.log((1 - theta[1]) / (1 - theta[0])))
-        base = np.log(self.prior / (1 - self.prior)) + (ratio * self.share).sum(axis=1)
+        """P(toxic) for each combination without a label, with label 0 and with label 1."""
+        by_class = self.log_votes(bits)
+        base = np.log(self.prior / (1 - self.prior)) + by_class[:, 1] - by_class[:, 0]
         a = self.annotator
         labels = np.array([0.0, np.log((1 - a[1]) / (1 - a[0])), np.log(a[1] / a[0])])
         return 1 / (1 + np.exp(-np.clip(base[:, None] + labels, -40, 40)))
@@ -181,12 +219,15 @@ def fit_linear(rows: list[list[int]], targets: np.ndarray, n: int, rounds: int =
     return w[:n], float(w[n])
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> DataFrame:
+def toxicity_scores(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS,
+    max_unlabelled: int = MAX_UNLABELLED,
+) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
     Only labels of rows outside the held-out fold are read, ``max_labelled`` of them at most (by a hash
     of the id; of several labels of one id the largest). Votes are counted over all documents outside
-    that fold. Null texts count as empty and get the score of a text without terms, null ids are never
+    that fold; beside the labelled rows, ``max_unlabelled`` others at most (by a hash of the row) train the classifier. Null texts count as empty and get the score of a text without terms, null ids are never
     labelled; repeated rows are scored each, an empty table gives no rows and other columns are ignored. Without
     usable labels every score rests on the fixed insults' voter alone.
     """
@@ -209,32 +250,44 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = make()
-        schema = pa.schema([("votes", pa.int32()), ("label", pa.int32()), ("n", pa.int64()), ("terms", pa.list_(pa.int32()))])
+        kinds = [("votes", pa.int32()), ("label", pa.int32()), ("n", pa.int64()), ("place", pa.int64()), ("terms", pa.list_(pa.int32()))]
+        schema = pa.schema(kinds)
         for batch in chunks(batches, 0):
             counts: Counter = Counter()
             rows = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, label, place, drawn in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 ids, bits = reader.read(text)
-                if label is None:
-                    counts[bits] += 1
+                if label is not None or drawn:
+                    rows.append((bits, label, 1, place, ids))
                 else:
-                    rows.append((bits, label, 1, ids))
-            rows += [(bits, None, n, None) for bits, n in counts.items()]
+                    counts[bits] += 1
+            rows += [(bits, None, n, None, None) for bits, n in counts.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     training = source.where(~held_out(F.col("doc_id"), _FOLDS, _FOLD)).join(F.broadcast(sample), "doc_id", "left")
-    voted = materialize(training.select("text", "toxic").transform(mapped(votes, "votes int, label int, n long, terms array<int>")))
-    counts = np.zeros((1 << _VOTERS, 3))
+    place = F.xxhash64("doc_id", "text")
+    share = min(1.0, 2 * max_unlabelled / max(1, source.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000)
+    asked = training.select("text", "toxic", place.alias("place"), drawn.alias("drawn"))
+    voted = materialize(asked.transform(mapped(votes, "votes int, label int, n long, place long, terms array<int>")))
+    #: At most 2**16 combinations of 16 voters.
+    tally: dict[int, np.ndarray] = {}
     for r in voted.groupBy("votes", "label").agg(F.sum("n").alias("n")).collect():
-        counts[r["votes"], 0 if r["label"] is None else 1 + r["label"]] += r["n"]
-    model = LabelModel.fit(counts)
-    bits = (np.arange(1 << _VOTERS)[:, None] >> np.arange(_VOTERS) & 1).astype(float)
-    posterior = model.posterior(bits)
-    labelled = voted.where("label IS NOT NULL").select("votes", "label", "terms").limit(2 * max_labelled).collect()
-    if not labelled:
-        labelled = [{"votes": 1, "label": 1, "terms": [names.index(w)]} for w in sorted(INSULTS)] + [{"votes": 1 << 9, "label": 0, "terms": []}] * 50
-    targets = np.array([posterior[r["votes"], 1 + r["label"]] for r in labelled])
-    weights, bias = fit_linear([r["terms"] for r in labelled], targets, len(names))
+        tally.setdefault(r["votes"], np.zeros(3))[0 if r["label"] is None else 1 + r["label"]] += r["n"]
+    combinations = np.array(sorted(tally) or [1], np.int64)
+    bits = (combinations[:, None] >> np.arange(len(VOTERS)) & 1).astype(float)
+    model = LabelModel.fit(bits, np.array([tally.get(c, np.zeros(3)) for c in combinations.tolist()]))
+    posterior = dict(zip(combinations.tolist(), model.posterior(bits), strict=True))
+    drawn_rows = voted.where("terms IS NOT NULL").select("votes", "label", "terms", "place")
+    take = lambda which, most: drawn_rows.where(which).orderBy("place", "votes", "label").limit(most).collect()
+    labelled = take("label IS NOT NULL", 2 * max_labelled)
+    if labelled:
+        known = [(r["terms"], float(posterior[r["votes"]][1 + r["label"]])) for r in labelled]
+        known += [(r["terms"], float(posterior[r["votes"]][0])) for r in take("label IS NULL", max_unlabelled)]
+    else:
+        known = [([names.index(w)], 0.9) for w in sorted(INSULTS)] + [([], 0.01)] * 50
+    targets = np.array([t for _, t in known])
+    weights, bias = fit_linear([t for t, _ in known], targets, len(names))
     by_term = {i: float(x) for i, x in enumerate(weights)}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
