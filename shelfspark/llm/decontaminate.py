@@ -85,22 +85,20 @@ def contamination(
     """Leaks, a row for each (doc_id, item_id): ``n_windows, n_hit, containment, n_slots, n_changed, kind``.
 
     A window counts once, whether its canonical or its folded form occurs in the document.
-    ``kind`` is ``verbatim`` or, where slots hold other values than the item's, ``reparameterised``.
-    Null texts count as empty and an item of fewer than ``min_words`` tokens is never searched for (one
-    word would condemn any document). Rows of one id count as one document or item; null ids can't be
+    ``kind`` is ``verbatim`` or, where slots hold other values than the item's, ``reparameterised``. Within a document
+    one value stands for one value of the item, and unlike names or units stay unlike; numbers may meet.
+    Null texts count as empty. An item of fewer than ``min_words`` tokens is found in a document that holds
+    nothing else (inside others one word would condemn any document). Rows of one id count as one document or item; null ids can't be
     reported and are left out. Empty tables give no rows; other columns are ignored.
 
-    Only benchmark windows are broadcast, after counting them; more than the bound are joined by shuffle.
+    Only benchmark windows and tokens are broadcast, after measuring them; more than the bound are joined by shuffle.
     """
-    items = (
-        benchmark.where(F.col("item_id").isNotNull())
-        .select("item_id", tokens(F.col("text")).alias("raw"))
-        .where(F.size("raw") >= min_words)
-    )
-    b = _forms(items, "raw").select("item_id", "raw", F.explode(_placed(n)).alias("w"))
+    searched = materialize(benchmark.where(F.col("item_id").isNotNull()).select("item_id", tokens(F.col("text")).alias("raw")))
+    items = searched.where(F.size("raw") >= min_words)
+    b = _forms(items, "raw").select("item_id", F.explode(_placed(n)).alias("w"))
     # A window's key is its canonical form; either form finds it.
     forms = F.explode(F.array_distinct(F.array("w.key", "w.folded")))
-    item_windows = materialize(b.select("item_id", "raw", F.col("w.pos").alias("item_pos"), F.col("w.key").alias("key"), forms.alias("window")))
+    item_windows = materialize(b.select("item_id", F.col("w.pos").alias("item_pos"), F.col("w.key").alias("key"), forms.alias("window")))
     distinct = item_windows.select("item_id", "key", "window").distinct()
     sizes = distinct.groupBy("item_id").agg(F.count_distinct("key").alias("n_windows"))
 
@@ -135,7 +133,7 @@ def contamination(
         F.arrays_zip(values_of.alias("d"), part(F.col("raw"), "item_pos").alias("i")),
         lambda p: F.left(p["i"], F.lit(1)) <= _UNIT,
     )
-    aligned = again.join(small(item_windows), "window").select(
+    aligned = again.join(small(item_windows), "window").join(small(items), "item_id").select(
         "doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"), "item_pos", pairs.alias("slots"),
         F.when(F.col("doc_key") == F.col("key"), F.col("key")).alias("same"),
     )
@@ -151,9 +149,11 @@ def contamination(
     )
 
     def good(on: str, slots: str) -> Column:
-        # One value in the document for each value of the item.
-        values = F.size(F.array_distinct(F.transform(slots, lambda p: p["i"])))
-        return F.max(F.when(F.size(slots) == values, F.struct(F.col(on).alias("on"), (-F.col("diagonal")).alias("first"), F.col(slots).alias("slots"))))
+        # One value in the document for each value of the item; for names and units the other way round too.
+        unlike = lambda pairs, of: F.size(F.array_distinct(F.transform(pairs, of)))
+        named = F.filter(slots, lambda p: F.left(p["i"], F.lit(1)) != _NUMBER)
+        fits = (unlike(slots, lambda p: p["i"]) == F.size(slots)) & (unlike(named, lambda p: F.struct(F.left(p["i"], F.lit(1)), p["d"])) == F.size(named))
+        return F.max(F.when(fits, F.struct(F.col(on).alias("on"), (-F.col("diagonal")).alias("first"), F.col(slots).alias("slots"))))
 
     best = per_diagonal.groupBy("doc_id", "item_id").agg(
         F.max("on").alias("top"),
@@ -165,7 +165,7 @@ def contamination(
     # Another copy in the document, consistent or not, takes nothing from a diagonal with enough windows.
     windows = min_containment * F.col("n_windows")
     enough = lambda g, top: F.when(F.col(f"{g}.on") >= F.least(F.col(top), windows), F.col(f"{g}.slots"))
-    return (
+    found_inside = (
         likely.join(best, ["doc_id", "item_id"])
         .withColumn("slots", F.coalesce(F.when(F.col("typed_hit") >= windows, enough("typed", "typed_top")), enough("all", "top")))
         .where("slots IS NOT NULL")
@@ -181,6 +181,23 @@ def contamination(
         .withColumn("kind", F.when(F.col("n_changed") > 0, "reparameterised").otherwise("verbatim"))
     )
 
+    # Items too short for windows: the document's tokens are theirs, value by value.
+    count = lambda raw: F.size(F.filter(raw, lambda x: F.left(x, F.lit(1)) <= _UNIT))
+    said = lambda raw: F.transform(raw, _value)
+    brief = searched.where((length > 0) & (length < min_words)).select("item_id", said("raw").alias("words"), count("raw").alias("n_slots"))
+    if brief.isEmpty():
+        return found_inside
+    longest = brief.agg(F.max(F.length(F.array_join("words", " ")))).first()[0]
+    # A text of that many tokens isn't longer than they are but for what stands between them.
+    wordy = F.length(F.regexp_replace("text", r"[^\p{L}\p{N}\p{M}]+", " ")) <= longest + 2
+    whole = source.where(wordy).select("doc_id", said(tokens(F.col("text"))).alias("words")).distinct()
+    return found_inside.unionByName(
+        whole.join(small(brief), "words").select(
+            "doc_id", "item_id", F.lit(1).cast("long").alias("n_windows"), F.lit(1).cast("long").alias("n_hit"), F.lit(1.0).alias("containment"),
+            "n_slots", F.lit(0).alias("n_changed"), F.lit("verbatim").alias("kind"),
+        )
+    )
+
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id stay."""
