@@ -450,3 +450,87 @@ def test_licence_chains_pass_stray_runs():
     spans = scan.scan(stray)["spans"]
     assert max(c for k, _, _, c in spans if scan.labels[k] == "mit") == 1.0
     assert scan.scan(whole[: len(whole) // 2])["spans"][0][3] == pytest.approx(0.5, abs=0.02)
+
+
+def test_external_sort_carries_common_prefixes(monkeypatch):
+    """Queues, texts and names go to scratch files, strings of names are sorted by recursion, blocks are short."""
+    rng = random.Random(6)
+    for _ in range(120):
+        monkeypatch.setattr(suffixes, "BLOCK", rng.choice([3, 17, 1 << 16]))
+        monkeypatch.setattr(suffixes.Text, "PIECE", rng.choice([5, 1 << 18]))
+        s = [rng.randint(1, rng.choice([2, 3, 9])) for _ in range(rng.randint(1, 90))] + [0]
+        scratch, cap = suffixes.Scratch(), rng.choice([3, 50])
+        blocks = list(suffixes.suffixes(suffixes.Text(np.array(s, np.uint16)), 10, cap, scratch, rng.choice([40, 1 << 20]), rng.choice([2, 1 << 20])))
+        scratch.close()
+        order, common = (np.concatenate([b[i] for b in blocks]).tolist() for i in range(2))
+        assert order == sorted(range(len(s)), key=lambda i: s[i:])  # noqa: B023
+        for k in range(1, len(s)):
+            a, b = s[order[k - 1] :], s[order[k] :]
+            assert common[k] == min(cap, next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
+
+
+def test_repeats_of_shards_beyond_memory(monkeypatch):
+    rng = random.Random(7)
+    for _ in range(60):
+        monkeypatch.setattr(suffixes, "BLOCK", rng.choice([17, 1 << 16]))
+        base = bytes(rng.choice(b"ab") for _ in range(200))
+        texts = [base[(i := rng.randint(0, 190)) : i + rng.randint(0, 60)] + bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(1, 12))]
+        length, seen = rng.choice([8, 20]), set()
+        got = suffixes.repeats(texts, length, rng.choice([200, 1 << 20]), rng.choice([4, 1 << 20]), rng.choice([30, 1 << 24]))
+        for t, found in zip(texts, got, strict=True):
+            expected = []
+            for p in range(len(t) - length + 1):
+                if t[p : p + length] in seen:
+                    expected.append(p)
+                seen.add(t[p : p + length])
+            assert found.tolist() == expected
+
+
+def test_suffix_dedup_with_clashing_names_nulls_and_nothing(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "LOCAL_CONTEXTS", 50)
+    a = "".join(random.Random(1).choices("abcdefgh ", k=400))
+    rows = [(1, a), (2, "x" + a), (2, "x" + a), (None, a), (3, None), (4, "")]
+    table = docs(spark, rows).withColumns({"kept": F.lit("k"), "spans": F.lit(2), "first": F.lit(3), "n_chars": F.lit(0).cast("long")})
+    got = suffixdedup.drop_repeats(table)
+    assert got.columns == table.columns
+    assert sorted((str(r.doc_id), r.text, r.kept, r.spans, r.first) for r in got.collect()) == sorted(
+        (str(i), t, "k", 2, 3) for i, t in [(1, a), (2, "x"), (2, "x"), (None, a), (3, None), (4, "")]
+    )
+    assert suffixdedup.remove_repeats(table).count() == 6
+    assert suffixdedup.drop_repeats(table.limit(0)).count() == 0 and suffixdedup.remove_repeats(table.limit(0)).count() == 0
+
+
+def test_decontamination_equals_plain_windows_on_plain_words(spark):
+    """Without names, numbers or units the windows are those of the words."""
+    rng = random.Random(21)
+    words = [f"{a}{b}" for a in ("ba", "ke", "lo", "mi") for b in ("ra", "se", "ti")]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(5, 14)))) for i in range(12)]
+    rows = []
+    for d in range(120):
+        w = rng.choices(words, k=rng.randint(0, 25))
+        if d % 3:
+            own = rng.choice(items)[1].split()
+            cut = own[rng.randint(0, 2) :]
+            if rng.random() < 0.4:
+                cut[rng.randrange(len(cut))] = "changed"
+            w[rng.randint(0, len(w)) :] = cut
+        rows.append((d, " ".join(w)))
+    windows = lambda t: {tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_hit) for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    expected = {}
+    for d, t in rows:
+        for i, item in items:
+            own, hit = windows(item), len(windows(item) & windows(t))
+            if own and hit >= 0.75 * len(own):
+                expected[d, i] = (len(own), hit)
+    assert got == expected and expected
+
+
+def test_decontamination_slots_both_ways_and_brief_items(spark):
+    item = "If Alice has 12 apples and gives Bob 3 kg then Alice has how many apples left today with Bob?"
+    both = lambda a, b: item.replace("Alice", a).replace("Bob", b)
+    rows = [(1, both("Carla", "Carla")), (2, both("Carla", "Dan")), (3, item.replace("12", "3")), (4, "Short one!"), (5, "a short one here"), (6, "yes"), (7, None), (8, "short ONE")]
+    bench = spark.createDataFrame([(7, item), (8, "short one"), (9, ""), (10, "Yes.")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert got == {(2, 7): "reparameterised", (3, 7): "reparameterised", (4, 8): "verbatim", (8, 8): "verbatim", (6, 10): "verbatim"}
