@@ -69,6 +69,18 @@ def packages_match(pack_a: Column, total_a: Column, unit_a: Column, pack_b: Colu
     ).otherwise(True)
 
 
+def listed_price(listed: Column, off: Column) -> Column:
+    """(price, original_price, discount_amount, discount_percentage) of a listed price above 0 less a discount."""
+    full, cut = F.coalesce(tolerant(listed), F.lit(0.0)), F.coalesce(tolerant(off), F.lit(0.0))
+    sold, less = full > 0, (full > 0) & (cut > 0)
+    return F.struct(
+        F.when(sold, round2(full - cut)).alias("price"),
+        F.when(less, round2(full)).alias("original_price"),
+        F.when(less, round2(cut)).alias("discount_amount"),
+        F.when(less, round2(cut / full * 100)).alias("discount_percentage"),
+    )
+
+
 def discount(price: Column, original: Column) -> tuple[Column, Column]:
     """Amount and percentage of a discount, null where the original isn't above the price."""
     on = (original > price) & (original > 0)

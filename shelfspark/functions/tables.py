@@ -5,60 +5,50 @@ from __future__ import annotations
 ARABIC_DIGITS = ("٠١٢٣٤٥٦٧٨٩٫", "0123456789.")
 
 
-def _words(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
-def _table(text: str) -> dict[str, str]:
-    """``value: word, word`` lines, as word -> value in order."""
-    out = {}
-    for line in text.strip().splitlines():
-        value, _, words = line.partition(":")
-        for word in words.split(","):
-            out.setdefault(word.strip(), value.strip())
-    return out
-
-
-def _units(text: str) -> dict[str, tuple[str, float]]:
-    """``unit factor: word, word`` lines."""
-    return {w: (v.split()[0], float(v.split()[1])) for w, v in _table(text).items()}
+def _by_word(groups: dict) -> dict:
+    """Word -> value of the first group that lists it, in reading order."""
+    found: dict = {}
+    for value, words in groups.items():
+        for word in words:
+            found.setdefault(word, value)
+    return found
 
 
 # Units of each retailer's size text.
-TAMIMI_UNITS = _units("""
-ml 1000: l, ltr, litre, liter, لتر, ل
-ml 1: ml, milliliter, مل, ملل
-g 1000: kg, kilo, kilogram, كيلو, كجم, كغ, كغم
-g 1: g, gram, grams, غرام, جرام, غم, جم
-slices 1: slice, slices, شريحة, شرائح
-triangles 1: portion, portions, مثلث, مثلثات
-pcs 1: pc, pcs, pack, can, cans, حبة, حبات, قطعة, قطع, علبة, علب, count, counts
-""")
-BINDAWOOD_UNITS = _units("""
-ml 1000: l, ltr, litre, liter, لتر, ل
-ml 1: ml, milliliter, مل, ملل
-ml 10: cl, centiliter, centiliters
-g 1000: kg, kilo, kilogram, كيلو, كجم, كغ, كغم
-g 1: g, gm, gram, grams, غرام, جرام, غم, جم
-slices 1: slice, slices, شريحة, شرائح
-triangles 1: portion, portions, مثلث, مثلثات
-pcs 1: pc, pcs, pack, can, cans, حبة, حبات, قطعة, قطع, علبة, علب
-""")
-PANDA_UNITS = _units("""
-ml 1000: l, liter, litre, ltr
-ml 1: ml, milliliter
-g 1000: kg, kilogram, kilo
-g 1: g, gm, gram, grams
-pcs 1: pcs, pc, piece, pieces
-slices 1: slice, slices
-""")
-DAIRY_UNITS = _units("""
-g 1: g, gm, gram, grams, جرام, غ
-g 1000: kg, كيلو جرام, كجم
-ml 1: ml, مل
-ml 1000: l, liter, litre, litres, liters, لتر
-pcs 1: pcs, count, slices, triangles
-""")
+TAMIMI_UNITS = _by_word({
+    ("ml", 1000.0): ("l", "ltr", "litre", "liter", "لتر", "ل"),
+    ("ml", 1.0): ("ml", "milliliter", "مل", "ملل"),
+    ("g", 1000.0): ("kg", "kilo", "kilogram", "كيلو", "كجم", "كغ", "كغم"),
+    ("g", 1.0): ("g", "gram", "grams", "غرام", "جرام", "غم", "جم"),
+    ("slices", 1.0): ("slice", "slices", "شريحة", "شرائح"),
+    ("triangles", 1.0): ("portion", "portions", "مثلث", "مثلثات"),
+    ("pcs", 1.0): ("pc", "pcs", "pack", "can", "cans", "حبة", "حبات", "قطعة", "قطع", "علبة", "علب", "count", "counts"),
+})
+BINDAWOOD_UNITS = _by_word({
+    ("ml", 1000.0): ("l", "ltr", "litre", "liter", "لتر", "ل"),
+    ("ml", 1.0): ("ml", "milliliter", "مل", "ملل"),
+    ("ml", 10.0): ("cl", "centiliter", "centiliters"),
+    ("g", 1000.0): ("kg", "kilo", "kilogram", "كيلو", "كجم", "كغ", "كغم"),
+    ("g", 1.0): ("g", "gm", "gram", "grams", "غرام", "جرام", "غم", "جم"),
+    ("slices", 1.0): ("slice", "slices", "شريحة", "شرائح"),
+    ("triangles", 1.0): ("portion", "portions", "مثلث", "مثلثات"),
+    ("pcs", 1.0): ("pc", "pcs", "pack", "can", "cans", "حبة", "حبات", "قطعة", "قطع", "علبة", "علب"),
+})
+PANDA_UNITS = _by_word({
+    ("ml", 1000.0): ("l", "liter", "litre", "ltr"),
+    ("ml", 1.0): ("ml", "milliliter"),
+    ("g", 1000.0): ("kg", "kilogram", "kilo"),
+    ("g", 1.0): ("g", "gm", "gram", "grams"),
+    ("pcs", 1.0): ("pcs", "pc", "piece", "pieces"),
+    ("slices", 1.0): ("slice", "slices"),
+})
+DAIRY_UNITS = _by_word({
+    ("g", 1.0): ("g", "gm", "gram", "grams", "جرام", "غ"),
+    ("g", 1000.0): ("kg", "كيلو جرام", "كجم"),
+    ("ml", 1.0): ("ml", "مل"),
+    ("ml", 1000.0): ("l", "liter", "litre", "litres", "liters", "لتر"),
+    ("pcs", 1.0): ("pcs", "count", "slices", "triangles"),
+})
 TAMIMI_UNIT_WORDS = (
     "milliliter|kilogram|portions?|triangles?|slices?|liter|litre|ltr|grams?|kilo|pack|cans|can|pcs|ml|kg|gm|pc|l|g|كيلو|جرام|غرام|كغم|"
     "كجم|ملل|لتر|قطع|قطعة|حبات|حبة|علب|علبة|كغ|غم|جم|مل|شريحة|شرائح|مثلث|مثلثات|ل|counts?|count"
@@ -76,49 +66,52 @@ COUNT_WORDS = "حبة|حبات|قطع|قطعة|pcs|pc|pack|can|cans|علبة|ع
 DAIRY_UNIT_WORDS = r"(?:كيلو جرام|liters?|litres?|grams?|جرام|كجم|لتر|مل|kg|gm|ml|g|l)(?![a-zء-ي])"
 
 # Beverages.
-FLUFF_WORDS = _words(
-    "fresh pure premium quality original natural classic plastic bottle bot tetra pack packet box can cans tray bag pouch drink product "
-    "taste style offer promo soft carbonated flavoured flavored طازج طازجة طبيعي بلاستيك علبة قارورة كرتون عرض شراب مشروب غازي"
+FLUFF_WORDS = (
+    "fresh", "pure", "premium", "quality", "original", "natural", "classic", "plastic", "bottle", "bot", "tetra",
+    "pack", "packet", "box", "can", "cans", "tray", "bag", "pouch", "drink", "product", "taste", "style", "offer",
+    "promo", "soft", "carbonated", "flavoured", "flavored", "طازج", "طازجة", "طبيعي", "بلاستيك", "علبة", "قارورة",
+    "كرتون", "عرض", "شراب", "مشروب", "غازي",
 )
-BEVERAGE_SYNONYMS = _table("""
-diet_var: zero, diet, max, light, lite, دايت, زيرو, ماكس, لايت
-regular_var: regular, عادي
-lemon_flavor: lemon, lime, ليمون
-pom_flavor: pomegranate, رمان
-punch_var: punch, mixed, مشكل, فواكه
-orange_flavor: orange, برتقال
-apple_flavor: apple, تفاح
-mango_flavor: mango, مانجو
-berry_flavor: berry, raspberry, strawberry, توت, فراولة
-peach_flavor: peach, خوخ
-mojito_flavor: mojito, موهيتو
-mint_flavor: mint, نعناع
-plain_soda: soda, صودا
-mastic_flavor: mastic, مستكة
-""")
-FLAVOURS = _words(
-    "lemon_flavor pom_flavor punch_var orange_flavor apple_flavor mango_flavor berry_flavor peach_flavor mojito_flavor mint_flavor mastic_flavor"
+BEVERAGE_SYNONYMS = _by_word({
+    "diet_var": ("zero", "diet", "max", "light", "lite", "دايت", "زيرو", "ماكس", "لايت"),
+    "regular_var": ("regular", "عادي"),
+    "lemon_flavor": ("lemon", "lime", "ليمون"),
+    "pom_flavor": ("pomegranate", "رمان"),
+    "punch_var": ("punch", "mixed", "مشكل", "فواكه"),
+    "orange_flavor": ("orange", "برتقال"),
+    "apple_flavor": ("apple", "تفاح"),
+    "mango_flavor": ("mango", "مانجو"),
+    "berry_flavor": ("berry", "raspberry", "strawberry", "توت", "فراولة"),
+    "peach_flavor": ("peach", "خوخ"),
+    "mojito_flavor": ("mojito", "موهيتو"),
+    "mint_flavor": ("mint", "نعناع"),
+    "plain_soda": ("soda", "صودا"),
+    "mastic_flavor": ("mastic", "مستكة"),
+})
+FLAVOURS = (
+    "lemon_flavor", "pom_flavor", "punch_var", "orange_flavor", "apple_flavor", "mango_flavor", "berry_flavor",
+    "peach_flavor", "mojito_flavor", "mint_flavor", "mastic_flavor",
 )
 DISCRIMINATORS = (("diet_var", "regular_var"), FLAVOURS, ("sparkling", "still"))
 NAME_NOISE = "ml|ltr|liter|litre|pack|bottle|can|cans|drink|beverage|soft|carbonated|fresh|original|offer|promo"
 
 # Dairy and eggs: ordered patterns, the first that fits decides.
-BRAND_ALIASES = _table("""
-alsafi: alsafidanone, الصافي
-almarai: المراعي
-nadec: نادك
-nada: ندي
-saudia: السعوديه
-puck: بوك
-kiri: كيري
-kraft: كرافت
-president: بريزيدنت
-saha: صحه
-lurpak: لورباك
-baladi: بلدي
-balade: baladefarms
-threecows: thethreecows
-""")
+BRAND_ALIASES = _by_word({
+    "alsafi": ("alsafidanone", "الصافي"),
+    "almarai": ("المراعي",),
+    "nadec": ("نادك",),
+    "nada": ("ندي",),
+    "saudia": ("السعوديه",),
+    "puck": ("بوك",),
+    "kiri": ("كيري",),
+    "kraft": ("كرافت",),
+    "president": ("بريزيدنت",),
+    "saha": ("صحه",),
+    "lurpak": ("لورباك",),
+    "baladi": ("بلدي",),
+    "balade": ("baladefarms",),
+    "threecows": ("thethreecows",),
+})
 FAMILIES = (
     ("eggs", r"\beggs?\b|\bبيض(?:ه)?\b"),
     ("kefir", r"kefir|كفير"),
@@ -231,83 +224,84 @@ NOT_ORGANIC = r"conventional|non[ -]*organic|غير عضوي"
 WITH_LACTOSE = r"with lactose|contains lactose|يحتوي.*لاكتوز"
 PLAIN = r"\bplain\b|ساده"
 FLAVOURED = r"flavou?red|نكهه"
-DAIRY_STOP = _words(
-    "the and with for from fresh pure premium quality original natural classic pack packet box tray bottle plastic special offer price full "
-    "fat low milk eggs egg cheese yogurt yoghurt laban cream g ml kg pcs count"
+DAIRY_STOP = (
+    "the", "and", "with", "for", "from", "fresh", "pure", "premium", "quality", "original", "natural", "classic",
+    "pack", "packet", "box", "tray", "bottle", "plastic", "special", "offer", "price", "full", "fat", "low", "milk",
+    "eggs", "egg", "cheese", "yogurt", "yoghurt", "laban", "cream", "g", "ml", "kg", "pcs", "count",
 )
-TOKEN_ALIASES = _table("""
-yogurt: yoghurt
-feta: fetta
-slices: sliced, slice
-strawberry: strawbery
-spread: spreadable
-jar: aljarra, jarra
-date: dates
-""")
+TOKEN_ALIASES = _by_word({
+    "yogurt": ("yoghurt",),
+    "feta": ("fetta",),
+    "slices": ("sliced", "slice"),
+    "strawberry": ("strawbery",),
+    "spread": ("spreadable",),
+    "jar": ("aljarra", "jarra"),
+    "date": ("dates",),
+})
 
 # Produce: keywords of each commodity, searched in this order; the first group goes before the second.
-FIRST_ROOTS = _table("""
-tomatoes: طماطم, طماطة, tomato, tomatoes
-pepper: فلفل, pepper, peppers, chili, chilli, capsicum
-eggplant: باذنجان, eggplant, eggplants, aubergine, aubergines
-cucumber: خيار, cucumber, cucumbers
-zucchini: كوسة, zucchini, zucchinis, courgette, courgettes
-green_beans: فاصوليا, green bean, green beans
-""")
-ROOTS = _table("""
-banana: موز, banana, bananas
-dates: تمر, date, dates, رطب, rotab, rutab, إخلاص, ikhlas
-fig: تين, fig, figs
-mango: منجا, مانجو, mango, mangoes
-lemon: ليمون, lemon, lemons
-orange: برتقال, orange, oranges
-mandarin: يوسفي, mandarin, mandarins, tangerine, tangerines
-apple: تفاح, apple, apples
-pear: كمثرى, pear, pears
-plum: برقوق, بخارى, plum, plums
-peach: خوخ, peach, peaches
-pomegranate: رمان, pomegranate, pomegranates
-grape: عنب, grape, grapes
-melon: شمام, melon, melons
-watermelon: حبحب, بطيخ, watermelon, watermelons
-lettuce: خس, lettuce
-corchorus: ملوخية, corchorus, molokhia, molokhiya, molokheya, jute mallow
-watercress: جرجير, watercress, rocket, arugula
-cabbage: ملفوف, cabbage, cabbages
-spinach: سبانخ, spinach
-pepper: فلفل, pepper, peppers, chili, chilli, capsicum
-cucumber: خيار, cucumber, cucumbers
-eggplant: باذنجان, eggplant, eggplants, aubergine, aubergines
-tomatoes: طماطم, طماطة, tomato, tomatoes
-pumpkin: قرع, pumpkin, pumpkins
-zucchini: كوسة, zucchini, zucchinis, courgette, courgettes
-okra: بامية, okra
-green_beans: فاصوليا, green bean, green beans, bean, beans
-carrots: جزر, carrot, carrots
-garlic: ثوم, garlic
-onion: بصل, onion, onions
-olives: زيتون, olive, olives
-potatoes: بطاطس, بطاطا, potato, potatoes
-corn: ذرة, corn, sweet corn, sweetcorn
-parsley: بقدونس, parsley
-""")
-PREMIUM = _words("organic عضوي عضوية hydroponic مائي هيدروبونيك baby شيري صغير")
-BUNDLE_ROOTS = _words("corchorus watercress spinach parsley")
+FIRST_ROOTS = _by_word({
+    "tomatoes": ("طماطم", "طماطة", "tomato", "tomatoes"),
+    "pepper": ("فلفل", "pepper", "peppers", "chili", "chilli", "capsicum"),
+    "eggplant": ("باذنجان", "eggplant", "eggplants", "aubergine", "aubergines"),
+    "cucumber": ("خيار", "cucumber", "cucumbers"),
+    "zucchini": ("كوسة", "zucchini", "zucchinis", "courgette", "courgettes"),
+    "green_beans": ("فاصوليا", "green bean", "green beans"),
+})
+ROOTS = _by_word({
+    "banana": ("موز", "banana", "bananas"),
+    "dates": ("تمر", "date", "dates", "رطب", "rotab", "rutab", "إخلاص", "ikhlas"),
+    "fig": ("تين", "fig", "figs"),
+    "mango": ("منجا", "مانجو", "mango", "mangoes"),
+    "lemon": ("ليمون", "lemon", "lemons"),
+    "orange": ("برتقال", "orange", "oranges"),
+    "mandarin": ("يوسفي", "mandarin", "mandarins", "tangerine", "tangerines"),
+    "apple": ("تفاح", "apple", "apples"),
+    "pear": ("كمثرى", "pear", "pears"),
+    "plum": ("برقوق", "بخارى", "plum", "plums"),
+    "peach": ("خوخ", "peach", "peaches"),
+    "pomegranate": ("رمان", "pomegranate", "pomegranates"),
+    "grape": ("عنب", "grape", "grapes"),
+    "melon": ("شمام", "melon", "melons"),
+    "watermelon": ("حبحب", "بطيخ", "watermelon", "watermelons"),
+    "lettuce": ("خس", "lettuce"),
+    "corchorus": ("ملوخية", "corchorus", "molokhia", "molokhiya", "molokheya", "jute mallow"),
+    "watercress": ("جرجير", "watercress", "rocket", "arugula"),
+    "cabbage": ("ملفوف", "cabbage", "cabbages"),
+    "spinach": ("سبانخ", "spinach"),
+    "pepper": ("فلفل", "pepper", "peppers", "chili", "chilli", "capsicum"),
+    "cucumber": ("خيار", "cucumber", "cucumbers"),
+    "eggplant": ("باذنجان", "eggplant", "eggplants", "aubergine", "aubergines"),
+    "tomatoes": ("طماطم", "طماطة", "tomato", "tomatoes"),
+    "pumpkin": ("قرع", "pumpkin", "pumpkins"),
+    "zucchini": ("كوسة", "zucchini", "zucchinis", "courgette", "courgettes"),
+    "okra": ("بامية", "okra"),
+    "green_beans": ("فاصوليا", "green bean", "green beans", "bean", "beans"),
+    "carrots": ("جزر", "carrot", "carrots"),
+    "garlic": ("ثوم", "garlic"),
+    "onion": ("بصل", "onion", "onions"),
+    "olives": ("زيتون", "olive", "olives"),
+    "potatoes": ("بطاطس", "بطاطا", "potato", "potatoes"),
+    "corn": ("ذرة", "corn", "sweet corn", "sweetcorn"),
+    "parsley": ("بقدونس", "parsley"),
+})
+PREMIUM = ("organic", "عضوي", "عضوية", "hydroponic", "مائي", "هيدروبونيك", "baby", "شيري", "صغير")
+BUNDLE_ROOTS = ("corchorus", "watercress", "spinach", "parsley")
 #: Words that tell a variant, of a product's and of an anchor's text.
 PRODUCE_WORDS = {
-    "sliced": (_words("slice slices sliced شرائح مقطع قطع tray صحن"), _words("slice slices شرائح مقطع")),
-    "apple_red": (("red", "أحمر", "احمر", "royal gala", "gala", "رويال جالا"), _words("red احمر أحمر")),
-    "apple_yellow": (_words("yellow أصفر اصفر golden جولدن"), _words("yellow اصفر أصفر golden")),
-    "apple_green": (_words("green أخضر اخضر granny جراني"), _words("green اخضر أخضر")),
-    "chili": (_words("chili chilli hot حار شطة حراق"), _words("chili chilli حار شطة")),
-    "sweet": (_words("sweet bell بارد رومي capsicum"), _words("sweet bell بارد رومي")),
-    "onion_red": (_words("red أحمر احمر حمراء"), _words("red أحمر احمر")),
-    "onion_white": (_words("white أبيض ابيض بيضاء"), _words("white أبيض ابيض مستورد")),
-    "onion_green": (_words("green spring أخضر اخضر"), _words("green spring أخضر اخضر")),
+    "sliced": (("slice", "slices", "sliced", "شرائح", "مقطع", "قطع", "tray", "صحن"), ("slice", "slices", "شرائح", "مقطع")),
+    "apple_red": (("red", "أحمر", "احمر", "royal gala", "gala", "رويال جالا"), ("red", "احمر", "أحمر")),
+    "apple_yellow": (("yellow", "أصفر", "اصفر", "golden", "جولدن"), ("yellow", "اصفر", "أصفر", "golden")),
+    "apple_green": (("green", "أخضر", "اخضر", "granny", "جراني"), ("green", "اخضر", "أخضر")),
+    "chili": (("chili", "chilli", "hot", "حار", "شطة", "حراق"), ("chili", "chilli", "حار", "شطة")),
+    "sweet": (("sweet", "bell", "بارد", "رومي", "capsicum"), ("sweet", "bell", "بارد", "رومي")),
+    "onion_red": (("red", "أحمر", "احمر", "حمراء"), ("red", "أحمر", "احمر")),
+    "onion_white": (("white", "أبيض", "ابيض", "بيضاء"), ("white", "أبيض", "ابيض", "مستورد")),
+    "onion_green": (("green", "spring", "أخضر", "اخضر"), ("green", "spring", "أخضر", "اخضر")),
 }
 PINK_LADY = ("pink lady", "بينك ليدي")
-LOCAL_WORDS = _words("محلي وطني local ksa سعودي")
-IMPORTED_WORDS = _words("مستورد imported")
-BUNDLE_UNITS = _words("bundle حزمة ربطة")
-BUNDLE_WORDS = _words("حزمة ربطة bundle bunch")
+LOCAL_WORDS = ("محلي", "وطني", "local", "ksa", "سعودي")
+IMPORTED_WORDS = ("مستورد", "imported")
+BUNDLE_UNITS = ("bundle", "حزمة", "ربطة")
+BUNDLE_WORDS = ("حزمة", "ربطة", "bundle", "bunch")
 MARKS = "ً-ٟ"

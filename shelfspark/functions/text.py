@@ -53,14 +53,26 @@ def compatible(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F،-ٴٹ-ۓ]"), nfkc(c)).otherwise(c)
 
 
+#: Escapes of page scripts and what they stand for, after html entities.
+_SCRIPT_ESCAPES = (('\\"', '"'), ("\\u0026", "&"), ("\\u003c", "<"), ("\\u003e", ">"), ("\\u0027", "'"))
+
+
 def decode_page(c: Column) -> Column:
     """Html entities, then escaped quotes and the script escapes of ``& < > '``."""
     out = html_unescape(c)
-    for escaped, plain in (('\\"', '"'), ("\\u0026", "&"), ("\\u003c", "<"), ("\\u003e", ">"), ("\\u0027", "'")):
+    for escaped, plain in _SCRIPT_ESCAPES:
         out = F.replace(out, F.lit(escaped), F.lit(plain))
     return out
 
 
+def decoded_page(page: str) -> str:
+    """``decode_page`` of one text."""
+    out = html.unescape(page)
+    for escaped, plain in _SCRIPT_ESCAPES:
+        out = out.replace(escaped, plain)
+    return out
+
+
 def dairy_text(c: Column) -> Column:
     lower = F.lower(compatible(text_or_empty(c)))
     folded = F.translate(lower, "٠١٢٣٤٥٦٧٨٩أإآى", "0123456789اااي")
@@ -183,13 +195,38 @@ def url_basename(c: Column) -> Column:
     return F.substring_index(F.substring_index(c, "?", 1), "/", -1)
 
 
-def conflicting_tokens(a: Column, b: Column) -> Column:
-    """Whether two beverages' tokens tell different variants."""
-    of = lambda t, group: F.array_sort(F.array_intersect(t, _array(group)))
+def _bits() -> dict[str, int]:
+    words = [w for group in (*tables.DISCRIMINATORS, tables.FLAVOURS, ("diet_var",)) for w in group]
+    return {w: 1 << i for i, w in enumerate(dict.fromkeys(words))}
+
+
+def _mask(words: Iterable[str]) -> Column:
+    bits = _bits()
+    return F.lit(sum(bits[w] for w in words)).cast("long")
+
+
+def variants(tokens: Column) -> Column:
+    """The variant words among a beverage's tokens as bits of a long."""
+    bits = F.create_map(*[x for w, bit in _bits().items() for x in (F.lit(w), F.lit(bit).cast("long"))])
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda seen, w: seen.bitwiseOR(F.coalesce(F.try_element_at(bits, w), F.lit(0).cast("long"))))
+
+
+def variant_keys(mask: Column) -> tuple[Column, Column]:
+    """Whether a flavour is named, and whether a diet variant is: compatible beverages have both alike."""
+    return mask.bitwiseAND(_mask(tables.FLAVOURS)) != 0, mask.bitwiseAND(_mask(("diet_var",))) != 0
+
+
+def conflicting_variants(a: Column, b: Column) -> Column:
+    """Whether two beverages' variant bits tell different variants."""
     out = F.lit(False)
     for group in tables.DISCRIMINATORS:
-        x, y = of(a, group), of(b, group)
-        out = out | ((F.size(x) > 0) & (F.size(y) > 0) & (x != y))
-    x, y = of(a, tables.FLAVOURS), of(b, tables.FLAVOURS)
-    out = out | ((F.size(x) > 0) != (F.size(y) > 0))
-    return out | (F.array_contains(a, "diet_var") != F.array_contains(b, "diet_var"))
+        x, y = a.bitwiseAND(_mask(group)), b.bitwiseAND(_mask(group))
+        out = out | ((x != 0) & (y != 0) & (x != y))
+    for x, y in zip(variant_keys(a), variant_keys(b), strict=True):
+        out = out | (x != y)
+    return out
+
+
+def conflicting_tokens(a: Column, b: Column) -> Column:
+    """Whether two beverages' tokens tell different variants."""
+    return conflicting_variants(variants(a), variants(b))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,17 +38,24 @@ def with_columns_if_absent(df: DataFrame, **types: str) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in types.items() if c not in df.columns})
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrites replace the partitions that they write to and no others."""
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
 def replace_snapshot(spark: SparkSession, rows: DataFrame, table: str, date: dt.date, column: str = "snapshot_date") -> None:
     """Replace one day of a date-partitioned Parquet table; other days stay, and no rows clear the day."""
     day = rows.withColumn(column, F.lit(date)) if column not in rows.columns else rows.where(F.col(column) == F.lit(date))
     names = spark.table(table).columns
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{date.isoformat()}')")
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with dynamic_overwrite(spark):
         day.select(*names).write.mode("overwrite").insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def snapshot_replaced(kept: DataFrame, today: DataFrame, date: str, column: str = "snapshot_date") -> DataFrame:

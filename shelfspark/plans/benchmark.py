@@ -16,7 +16,7 @@ NAME_WEIGHT, ROOT_WEIGHT, FUZZY_THRESHOLD = 0.7, 0.3, 0.70
 def unique_lookup(clusters: DataFrame, key: Column, value: str) -> DataFrame:
     """``key, value`` for keys that name one cluster; an ambiguous or empty key names none."""
     named = clusters.select(key.alias("key"), F.col(value).alias("value")).where("key <> ''")
-    return named.groupBy("key").agg(F.count_distinct("value").alias("n"), F.first("value").alias("value")).where("n = 1").drop("n")
+    return named.groupBy("key").agg(F.count_distinct("value").alias("n"), F.max("value").alias("value")).where("n = 1").drop("n")
 
 
 def prioritised(records: DataFrame, lookups: list[tuple[Column, DataFrame]], out: str) -> DataFrame:

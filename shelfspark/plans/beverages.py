@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ CONFIDENCE = {
     "brand_package_token": 0.88,
 }
 _FEATURES = [
-    "uid", "store", "price", "pack_qty", "total_size_value", "size_unit", "codes", "prefixes", "families", "tokens", "norm_brand", "ord",
+    "uid", "store", "price", "pack_qty", "total_size_value", "size_unit", "codes", "prefixes", "families", "tokens", "variants", "norm_brand", "ord",
 ]
 
 
@@ -30,7 +32,7 @@ def features(products: DataFrame) -> DataFrame:
         products.withColumn("codes", barcode.canonical(F.col("barcodes")))
         .withColumns({"prefixes": barcode.prefixes(F.col("codes")), "families": barcode.families(F.col("codes"))})
         .withColumn("tokens", text.core_tokens(text.full_text(F.col("name_en"), F.col("name_ar"))))
-        .withColumn("norm_brand", text.beverage_brand(F.col("brand")))
+        .withColumns({"norm_brand": text.beverage_brand(F.col("brand")), "variants": text.variants(F.col("tokens"))})
     )
 
 
@@ -43,7 +45,7 @@ def compatible(a: str = "a", b: str = "b") -> Column:
         & numbers.packages_match(
             c(a, "pack_qty"), c(a, "total_size_value"), c(a, "size_unit"), c(b, "pack_qty"), c(b, "total_size_value"), c(b, "size_unit")
         )
-        & ~text.conflicting_tokens(c(a, "tokens"), c(b, "tokens"))
+        & ~text.conflicting_variants(c(a, "variants"), c(b, "variants"))
     )
 
 
@@ -61,27 +63,73 @@ def tier(a: str = "a", b: str = "b") -> Column:
     )
 
 
-def pair_edges(featured: DataFrame) -> DataFrame:
-    """``a_uid, b_uid, tier`` of tied products of two stores, a before b in store order.
-
-    Every tie shares a barcode or a brand, so pairs come from two equi-joins, never from all pairs. A pair
-    with a common barcode is taken from the barcode join alone.
-    """
+def code_edges(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid, tier`` of compatible products of two stores with a common barcode, by an equi-join on it."""
     a, b = both_sides(featured, _FEATURES)
-    ordered = F.col("a_ord.store") < F.col("b_ord.store")
-    by_code = (
+    shared = (
         a.withColumn("code", F.explode("a_codes"))
         .join(b.withColumn("code", F.explode("b_codes")), "code")
-        .where(ordered)
+        .where(F.col("a_ord.store") < F.col("b_ord.store"))
         .drop("code")
         .dropDuplicates(["a_uid", "b_uid"])
     )
+    return shared.where(compatible()).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier"))
+
+
+#: Width of a band of log sizes; sizes within 5 % of the larger lie in one band or in neighbours.
+_SIZE_BAND = -math.log(0.95) * 1.000001
+
+
+def brand_edges(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid, tier`` of compatible products of two stores with one brand and no common barcode.
+
+    What compatible products must have alike is part of the join's key: brand, pack, whether a flavour and a diet
+    variant are named and, where both sizes are known, the band of the log size (or a neighbour). A product without a
+    size fits any; pairs with such a one come from joins without the band.
+    """
+    flavoured, diet = text.variant_keys(F.col("variants"))
+    sized = F.coalesce(F.col("total_size_value") > 0, F.lit(False)) & (F.col("total_size_value") < float("inf"))
+    keyed = featured.where("norm_brand <> 'unbranded'").select(
+        *_FEATURES,
+        F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet"),
+        F.when(sized, F.floor(F.log("total_size_value") / _SIZE_BAND)).alias("band"),
+    )
+    names = [*_FEATURES, "pack", "flavoured", "diet", "band"]
+    a, b = both_sides(keyed, names)
+    alike = (F.col("a_norm_brand") == F.col("b_norm_brand")) & (F.col("a_ord.store") < F.col("b_ord.store"))
+    for c in ("pack", "flavoured", "diet"):
+        alike = alike & (F.col(f"a_{c}") == F.col(f"b_{c}"))
+    # Dealt out by count: pairs are many where rows are few, so partitions must not be merged by their bytes.
+    parts = int(featured.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = lambda df, *keys: df.repartition(parts, "a_norm_brand", "a_pack", "a_flavoured", "a_diet", *keys)
+    near = a.where("a_band IS NOT NULL").withColumn("near", F.explode(F.array(F.col("a_band") - 1, F.col("a_band"), F.col("a_band") + 1)))
+    by_size = deal(near, "near").join(b.where("b_band IS NOT NULL"), alike & (F.col("near") == F.col("b_band"))).drop("near")
+    unsized = deal(a.where("a_band IS NULL")).join(b, alike).unionByName(deal(a.where("a_band IS NOT NULL")).join(b.where("b_band IS NULL"), alike))
     apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
-    by_brand = a.where("a_norm_brand <> 'unbranded'").join(b, (F.col("a_norm_brand") == F.col("b_norm_brand")) & ordered)
-    tied = by_code.where(compatible()).unionByName(by_brand.where(compatible() & apart))
+    tied = by_size.unionByName(unsized).where(compatible() & apart)
     return tied.withColumn("tier", tier()).where("tier IS NOT NULL").select("a_uid", "b_uid", "tier")
 
 
+def pair_edges(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid, tier`` of tied products of two stores, a before b in store order.
+
+    Every tie shares a barcode or a brand, so pairs come from equi-joins, never from all pairs. A pair
+    with a common barcode is taken from the barcode join alone.
+    """
+    return code_edges(featured).unionByName(brand_edges(featured))
+
+
+def triangles(edges: DataFrame, prices: DataFrame) -> DataFrame:
+    """Trios (a column for each store) whose three pairs are all edges, with prices ``p0, p1, p2`` (``prices``: uid, price)."""
+    store = lambda c: F.substring_index(c, "_", 1)
+    link = lambda x, y: edges.where((store("a_uid") == x) & (store("b_uid") == y)).select(F.col("a_uid").alias(x), F.col("b_uid").alias(y))
+    a, b, c = STORES
+    trios = link(a, b).join(link(a, c), a).join(link(b, c), [b, c])
+    for i, s in enumerate(STORES):
+        trios = trios.join(prices.withColumnsRenamed({"uid": s, "price": f"p{i}"}), s)
+    return trios.select(*STORES, "p0", "p1", "p2")
+
+
 def representatives(featured: DataFrame, components: DataFrame) -> DataFrame:
     """One product for each (component, store), with the component's canonical product.
 

@@ -154,6 +154,96 @@ def unit_normalise(spark, sf):
     return _t(spark, sf, "part").select("p_partkey", unit.alias("unit"), (F.col("p_size") * factor).alias("value"))
 
 
+_SIX = "CASE p_size % 6 WHEN 0 THEN {} WHEN 1 THEN {} WHEN 2 THEN {} WHEN 3 THEN {} WHEN 4 THEN {} ELSE {} END"
+
+
+@_query(
+    f"""
+    SELECT p_partkey, CAST({_SIX.format("p_size", 1, "p_size", 1, 1, 1)} AS INTEGER) AS pack_qty,
+      {_SIX.format("300.0", "300.0", _exact2("(CAST(336 AS DOUBLE) / p_size)"), "p_size * 1000.0", _exact2("(p_size * CAST(28.3495 AS DOUBLE))"), "NULL")} AS unit_size_value,
+      {_SIX.format("300.0 * p_size", "300.0", "336.0", "p_size * 1000.0", _exact2("(p_size * CAST(28.3495 AS DOUBLE))"), "NULL")} AS total_size_value,
+      {_SIX.format("'ml'", "'ml'", "'g'", "'g'", "'g'", "NULL")} AS size_unit
+    FROM part"""
+)
+def tamimi_sizes(spark, sf):
+    n = F.col("p_size").cast("string")
+    forms = (("Juice ", " X 250-300 ML"), ("Juice 250-300 ML", None), ("Cheese ", " Portions-336 G"), ("Rice ", "K"), ("Cream ", "Oz"))
+    words = F.concat(F.lit("Farm "), n, F.lit(" eggs"))
+    for i, (before, after) in reversed(list(enumerate(forms))):
+        words = F.when(F.col("p_size") % 6 == i, F.lit(before) if after is None else F.concat(F.lit(before), n, F.lit(after))).otherwise(words)
+    named = _t(spark, sf, "part").select("p_partkey", words.alias("words"))
+    return named.select("p_partkey", size.tamimi_size(F.col("words")).alias("s")).select("p_partkey", "s.*")
+
+
+@_query(
+    """
+    SELECT p_partkey, CAST(CASE p_size % 4 WHEN 1 THEN p_size ELSE 1 END AS INTEGER) AS pack_qty,
+      CASE p_size % 4 WHEN 0 THEN p_size * 1.0 WHEN 1 THEN 20.0 WHEN 2 THEN 1000.0 ELSE p_size * 1000.0 END AS unit_size_value,
+      CASE p_size % 4 WHEN 0 THEN p_size * 1.0 WHEN 1 THEN p_size * 20.0 WHEN 2 THEN 1000.0 ELSE p_size * 1000.0 END AS total_size_value,
+      CASE p_size % 4 WHEN 3 THEN 'ml' ELSE 'g' END AS size_unit
+    FROM part"""
+)
+def panda_sizes(spark, sf):
+    """Size fields, a multipack in the name, an offered kilogram, a size in the name."""
+    k, n = F.col("p_size") % 4, F.col("p_size").cast("string")
+    name = F.when(k == 1, F.concat(F.lit("Tea "), n, F.lit(" × 20 G"))).when(k == 3, F.concat(F.lit("Water "), n, F.lit(" Ltr"))).otherwise("Cheese")
+    options = F.array(
+        F.struct(F.lit("0.5").alias("quantity_value"), F.lit("0.5 KG").alias("quantity_name")), F.struct(F.lit("1").alias("quantity_value"), F.lit("1 KG").alias("quantity_name"))
+    )
+    raw = _t(spark, sf, "part").select("p_partkey", name.alias("name"), F.when(k == 0, n).alias("size"), F.when(k == 0, "gm").alias("unit"), (k == 2).alias("weighted"), options.alias("options"))
+    s = size.panda_size(F.col("name"), F.col("size"), F.col("unit"), size.kilo_option(F.col("weighted"), F.col("options")))
+    return raw.select("p_partkey", s.alias("s")).select("p_partkey", "s.*")
+
+
+@_query(
+    """
+    SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS n, CASE p_size % 3 WHEN 0 THEN p_size * 1.0 WHEN 1 THEN 3.0 END AS price
+    FROM part"""
+)
+def weighted_options(spark, sf):
+    """Two options of a weighed product, one beside an empty one, and those of a product that isn't weighed."""
+    k = F.col("p_size") % 3
+    kind = "struct<quantity_value:string,quantity_name:string,price:string,undiscounted_price:string>"
+    option = lambda *v: F.struct(*[x.cast("string").alias(c) for x, c in zip(v, ("quantity_value", "quantity_name", "price", "undiscounted_price"), strict=True)]).cast(kind)
+    none = F.lit(None)
+    full = F.array(option(F.lit("1"), F.lit("1 KG"), F.col("p_size"), none), option(F.lit("2"), F.lit(" "), none, none))
+    one = F.array(option(none, F.lit(" "), F.lit("x"), none), option(F.lit("0.5"), F.lit("half"), F.lit("3"), F.lit("4")))
+    raw = _t(spark, sf, "part").select("p_partkey", (k < 2).alias("weighted"), F.when(k == 0, full).otherwise(one).alias("options"))
+    clean = raw.select("p_partkey", size.weighted_options(F.col("weighted"), F.col("options")).alias("o"))
+    return clean.select("p_partkey", F.size("o").alias("n"), F.get("o", F.lit(0))["price"].alias("price"))
+
+
+@_query(
+    f"""
+    WITH l AS (SELECT *, l_extendedprice * l_discount AS off FROM lineitem)
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_discount,
+      {_exact2("(l_extendedprice - off)")} AS price, CASE WHEN off > 0 THEN {_exact2("l_extendedprice")} END AS original_price,
+      CASE WHEN off > 0 THEN {_exact2("off")} END AS amount, CASE WHEN off > 0 THEN {_exact2("(off / l_extendedprice * 100)")} END AS percentage
+    FROM l"""
+)
+def retail_prices(spark, sf):
+    """A price that is a listed one less a discount."""
+    m = numbers.listed_price(F.col("l_extendedprice").cast("string"), (F.col("l_extendedprice") * F.col("l_discount")).cast("string"))
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount"]
+    rows = _t(spark, sf, "lineitem").select(*keys, m.alias("m"))
+    return rows.select(*keys, "m.price", "m.original_price", F.col("m.discount_amount").alias("amount"), F.col("m.discount_percentage").alias("percentage"))
+
+
+@_query(
+    """
+    SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_partkey WHEN 1 THEN p_partkey ELSE -1 END AS id,
+      CASE p_size % 4 WHEN 0 THEN 1234.5 WHEN 1 THEN 7.25 WHEN 2 THEN CAST(p_size AS DOUBLE) END AS price
+    FROM part"""
+)
+def ids_and_reference_prices(spark, sf):
+    """Ids as texts and numbers (-1: none); the first price that parses of four columns."""
+    k, s = F.col("p_partkey"), F.col("p_size") % 4
+    raw = F.when(k % 4 == 0, k.cast("string")).when(k % 4 == 1, F.concat(F.lit(" "), k.cast("string"), F.lit(" "))).when(k % 4 == 2, F.concat(k.cast("string"), F.lit(".0"))).otherwise("x1")
+    none = F.lit(None).cast("string")
+    price = numbers.reference_price(F.when(s == 0, "1,234.50").otherwise(""), F.when(s == 1, "7.25").otherwise("-"), none, F.when(s == 2, F.col("p_size").cast("string")).otherwise(none))
+    return _t(spark, sf, "part").select("p_partkey", F.coalesce(numbers.integer_id(raw), F.lit(-1)).alias("id"), price.alias("price"))
+
+
 _DIGITS = "[CAST(x AS INTEGER) FOR x IN string_split(lpad(CAST(p_partkey AS VARCHAR), 12, '0'), '')]"
 _CHECK = f"CAST((10 - (list_sum([{_DIGITS}[i] * CASE WHEN i % 2 = 1 THEN 1 ELSE 3 END FOR i IN range(1, 13)]) % 10)) % 10 AS VARCHAR)"
 
@@ -163,6 +253,17 @@ def barcode_checkdigit(spark, sf):
     return _t(spark, sf, "part").select("p_partkey", barcode.check_digit(F.lpad(F.col("p_partkey").cast("string"), 12, "0")).alias("check_digit"))
 
 
+@_query(
+    f"""
+    WITH c AS (SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS code, {_CHECK} AS digit FROM part)
+    SELECT p_partkey, array_to_string(list_sort(list_distinct([code, '0' || code, code || digit])), ',') AS codes FROM c"""
+)
+def image_barcodes(spark, sf):
+    """Barcodes off the file name of an image."""
+    url = F.concat(F.lit("https://x.example/628999999999/"), F.lpad(F.col("p_partkey").cast("string"), 12, "0"), F.lit("_1.jpg?v=2"))
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(barcode.from_image(url), ",").alias("codes"))
+
+
 @_query(
     f"""
     SELECT p_partkey, {_CHECK} = '7' AND p_partkey > 0 AS as_seven, p_partkey > 0 AS completed FROM part"""
@@ -422,12 +523,13 @@ def history_append(spark, sf):
 
 # ---------------------------------------------------------------- matching
 
-_PRODUCT_SQL = f"""
+_PART_SQL = f"""
 p AS (
   SELECT {_STORE} || '_' || CAST(p_partkey AS VARCHAR) AS uid, {_STORE} AS store, p_partkey % 3 AS ord, p_partkey, p_brand AS brand, p_retailprice AS price,
     CAST((p_partkey // 3) % 50 + 1 AS DOUBLE) AS size, p_partkey // 3 AS code, left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 8) AS prefix,
     left('62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0'), 11) AS family, {_TOKENS} AS tokens
-  FROM part),
+  FROM part)"""
+_PRODUCT_SQL = f"""{_PART_SQL},
 e AS (
   SELECT a.uid AS a_uid, b.uid AS b_uid, a.ord AS a_ord, b.ord AS b_ord,
     CASE WHEN a.code = b.code THEN 'exact_barcode'
@@ -443,7 +545,7 @@ e AS (
 
 @_query(f"WITH {_PRODUCT_SQL} SELECT a_uid, b_uid, tier FROM e WHERE tier IS NOT NULL")
 def pair_edges(spark, sf):
-    return beverages.pair_edges(beverages.features(_products(spark, sf)))
+    return beverages.pair_edges(materialize(beverages.features(_products(spark, sf))))
 
 
 _SPARSE_SQL = "SELECT p_partkey AS src, p_partkey + 7 AS dst FROM part WHERE p_partkey % 10 < 4 AND p_size < 40"
@@ -466,9 +568,11 @@ def components_all_parts(spark, sf):
     return connected_components(_t(spark, sf, "part").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") + 7).alias("dst")))
 
 
-_TRIO_SQL = f"""
-{_PRODUCT_SQL},
-x AS (SELECT * FROM e WHERE tier = 'exact_barcode'),
+_TRIO_SQL = f"""{_PART_SQL},
+x AS MATERIALIZED (
+  SELECT a.uid AS a_uid, b.uid AS b_uid, a.ord AS a_ord, b.ord AS b_ord
+  FROM p a JOIN p b ON a.code = b.code AND a.ord < b.ord AND greatest(a.price, b.price) / least(a.price, b.price) <= 1.55
+    AND abs(a.size - b.size) / greatest(a.size, b.size) <= 0.05),
 t AS (
   SELECT b.uid AS bindawood, q.uid AS panda, m.uid AS tamimi, b.price AS p0, q.price AS p1, m.price AS p2
   FROM x bp JOIN x bt ON bp.a_uid = bt.a_uid AND bp.b_ord = 1 AND bt.b_ord = 2 AND bp.a_ord = 0
@@ -479,15 +583,8 @@ t AS (
 
 def _exact_trios(spark, sf) -> DataFrame:
     """Triangles of exact barcode edges."""
-    e = pair_edges(spark, sf).where("tier = 'exact_barcode'")
-    store = lambda c: F.substring_index(c, "_", 1)
-    link = lambda x, y: e.where((store("a_uid") == x) & (store("b_uid") == y)).select(F.col("a_uid").alias(x), F.col("b_uid").alias(y))
-    a, b, c = STORES
-    trios = link(a, b).join(link(a, c), a).join(link(b, c), [b, c])
-    price = _products(spark, sf).select("uid", "price")
-    for i, s in enumerate(STORES):
-        trios = trios.join(price.withColumnsRenamed({"uid": s, "price": f"p{i}"}), s)
-    return trios.select(*STORES, "p0", "p1", "p2")
+    products = _products(spark, sf)
+    return beverages.triangles(materialize(beverages.code_edges(beverages.features(products))), products.select("uid", "price"))
 
 
 @_query(f"WITH {_TRIO_SQL} SELECT * FROM t")
@@ -539,7 +636,18 @@ def trio_reciprocal(spark, sf):
     return accepted.select(*STORES, "score")
 
 
-@_query()
+@_query(
+    f"""
+    WITH RECURSIVE {_WINNER_SQL.strip().lstrip()},
+    d AS (SELECT *, row_number() OVER (ORDER BY score DESC, bindawood, panda, tamimi) AS i FROM c),
+    w(i, used, taken) AS (
+      SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), false
+      UNION ALL
+      SELECT d.i, CASE WHEN list_has_any(w.used, [d.bindawood, d.panda, d.tamimi]) THEN w.used ELSE list_concat(w.used, [d.bindawood, d.panda, d.tamimi]) END,
+        NOT list_has_any(w.used, [d.bindawood, d.panda, d.tamimi])
+      FROM w JOIN d ON d.i = w.i + 1)
+    SELECT bindawood, panda, tamimi, score FROM d JOIN w USING (i) WHERE taken"""
+)
 def greedy_assignment(spark, sf):
     ranked = _brand_trios(spark, sf).withColumn("o1", -F.col("score"))
     return assign.greedy_one_to_one(ranked, list(STORES), ["o1", *STORES]).select(*STORES, "score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,7 +84,7 @@ def package_conflicts(a: Column, b: Column) -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(hit, F.lit(False)), F.lit(k)) for k, hit in rules.items()]))
 
 
-def _evidence(df: DataFrame) -> DataFrame:
+def evidence(df: DataFrame) -> DataFrame:
     """``level, tier, score, confidence`` of pairs (a_*, b_*) that positively match."""
     a, b = F.col("a_attrs"), F.col("b_attrs")
     pa, pb = F.col("a_package"), F.col("b_package")
@@ -120,23 +122,35 @@ def _evidence(df: DataFrame) -> DataFrame:
     )
 
 
+#: Width of a band of log sizes; totals that are close lie in one band or in neighbours.
+_SIZE_BAND = -math.log(0.98) * 1.000001
+
+
 def pair_edges(profiled: DataFrame) -> DataFrame:
     """Edges between stores. Branded products pair by brand; a pair with an unbranded side can only pass by a valid
-    barcode, so it comes from an equi-join on codes filled to 14 digits."""
+    barcode, so it comes from an equi-join on codes filled to 14 digits.
+
+    A match needs equal units and close totals, so both joins have the unit and the band of the log total in their key.
+    """
     names = ["uid", "store", "attrs", "package", "tokens", "codes", "valid"]
-    side = lambda p, s: profiled.where(F.col("store") == s).select(*[F.col(c).alias(f"{p}_{c}") for c in names])
+    sized = profiled.where("package.unit IS NOT NULL AND package.total > 0 AND package.total < double('inf')").withColumn(
+        "band", F.floor(F.log("package.total") / _SIZE_BAND)
+    )
+    side = lambda p, s: sized.where(F.col("store") == s).select(*[F.col(c).alias(f"{p}_{c}") for c in (*names, "band")])
+    fits = (F.col("near") == F.col("b_band")) & (F.col("a_package.unit") == F.col("b_package.unit"))
     out = None
     for x, y in _PAIRS:
         a, b = side("a", x), side("b", y)
-        branded = a.where("a_attrs.brand <> 'unbranded'").join(b, F.col("a_attrs.brand") == F.col("b_attrs.brand"))
+        a = a.withColumn("near", F.explode(F.array(F.col("a_band") - 1, F.col("a_band"), F.col("a_band") + 1)))
+        branded = a.where("a_attrs.brand <> 'unbranded'").join(b, (F.col("a_attrs.brand") == F.col("b_attrs.brand")) & fits)
         coded = (
-            a.withColumn("code", F.explode(barcode.filled(F.col("a_valid"))))
-            .join(b.withColumn("code", F.explode(barcode.filled(F.col("b_valid")))), "code")
+            a.withColumn("a_code", F.explode(barcode.filled(F.col("a_valid"))))
+            .join(b.withColumn("b_code", F.explode(barcode.filled(F.col("b_valid")))), (F.col("a_code") == F.col("b_code")) & fits)
             .where("a_attrs.brand = 'unbranded' OR b_attrs.brand = 'unbranded'")
-            .drop("code")
+            .drop("a_code", "b_code")
             .dropDuplicates(["a_uid", "b_uid"])
         )
-        edges = _evidence(branded.unionByName(coded))
+        edges = evidence(branded.unionByName(coded))
         out = edges if out is None else out.unionByName(edges)
     return out
 
@@ -230,7 +244,9 @@ def with_history(gold: DataFrame, run_date: str, previous: DataFrame | None) ->
     if previous is None:
         return gold.withColumn("price_history", F.array(today))
     key = F.coalesce("barcode", "product_name_en")
-    named = previous.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.last(within_stores("price_history", STORES)).alias("_old"))
+    # Of clusters with one key, that of the largest first product's id counts.
+    last = F.struct(F.col("stores_data.bindawood.raw_product_id").alias("anchor"), F.size("price_history").alias("days"))
+    named = previous.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.max_by(within_stores("price_history", STORES), last).alias("_old"))
     anchors = previous.select(
         F.col("stores_data.bindawood.raw_product_id").alias("_anchor"), F.map_entries(F.transform_values("stores_data", lambda _, v: v["raw_product_id"])).alias("_ids")
     )
@@ -242,7 +258,7 @@ def with_history(gold: DataFrame, run_date: str, previous: DataFrame | None) ->
 
 def audit(products: DataFrame, gold: DataFrame) -> DataFrame:
     """One row a flag of a stored cluster: ``anchor, kind, detail``."""
-    profiled = profiles(products)
+    profiled = materialize(profiles(products))
     ids = gold.select(F.col("stores_data.bindawood.raw_product_id").alias("anchor"), F.explode("stores_data").alias("store", "data"))
     rows = ids.select("anchor", "store", F.col("data.raw_product_id").alias("id")).join(
         profiled.select("store", "id", F.struct("attrs", "package", "codes", "valid", "barcodes", "price", "discount_amount", "original_price").alias("p")),
@@ -310,7 +326,7 @@ def loss_class(removed: DataFrame, products: DataFrame) -> DataFrame:
     pairs = a.join(b, "anchor").where("a_store < b_store")
     conflict = (F.size(semantic_conflicts(F.col("a_attrs"), F.col("b_attrs"))) > 0) | (F.size(package_conflicts(F.col("a_package"), F.col("b_package"))) > 0)
     conflicts = pairs.groupBy("anchor").agg(F.max(conflict.cast("int")).alias("conflict"))
-    tied = pairs.join(_evidence(pairs).select("a_uid", "b_uid"), ["a_uid", "b_uid"], "left_semi").groupBy("anchor").agg(F.count("*").alias("edges"))
+    tied = pairs.join(evidence(pairs).select("a_uid", "b_uid"), ["a_uid", "b_uid"], "left_semi").groupBy("anchor").agg(F.count("*").alias("edges"))
     kind = (
         F.when(F.coalesce("n", F.lit(0)) != 3, "C_missing_silver_product").when(F.col("conflict") == 1, "A_explicit_conflict")
         .when(F.coalesce("edges", F.lit(0)) < 3, "C_insufficient_identity_evidence").otherwise("C_ambiguous_or_stronger_competitor")

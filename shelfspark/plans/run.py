@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfspark.plans import beverages, benchmark, dairy, produce, silver, warehouse
 from shelfspark.plans.matching import union_stores
 from shelfspark.schemas import BRONZE_BINDAWOOD, BRONZE_PANDA, BRONZE_TAMIMI, REFERENCE_PRICES, STORES
-from shelfspark.sources.files import _exists, json_array
+from shelfspark.sources.files import _exists, branch_files, json_array, write_export
 
 CATEGORIES = ("beverages", "dairy_and_eggs", "fruits_and_vegetables")
 _CLEAN = {"bindawood": (silver.bindawood, BRONZE_BINDAWOOD), "panda": (silver.panda, BRONZE_PANDA), "tamimi": (silver.tamimi, BRONZE_TAMIMI)}
@@ -96,6 +96,17 @@ class Run:
         gold = warehouse.union_gold(read("dairy"), read("beverages"), read("produce"))
         warehouse.load(self.spark, self.database, gold, warehouse.reference_rows(read("reference")), self.date)
 
+    def branches(self) -> int:
+        """Coordinates of all branches from ``reference/*_branches.json`` into the warehouse."""
+        warehouse.create_tables(self.spark, self.database)
+        return warehouse.sync_branches(self.spark, self.database, branch_files(self.spark, self._path("reference", "*_branches.json")))
+
+    def export(self, name: str) -> str:
+        """A gold table as one JSON array."""
+        path = self._path("export", name)
+        write_export(self.spark.read.parquet(self._path("gold", name)), path)
+        return path
+
     def all(self, log: Callable[[str], None] = print) -> dict[str, float]:
         """All stages in an order that ``DEPENDS`` allows; the first failure ends the run."""
         took: dict[str, float] = {}

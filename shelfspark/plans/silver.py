@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions import barcode, size
-from shelfspark.functions.numbers import best_branch_price, discount, round2, safe_float, tolerant
+from shelfspark.functions.numbers import best_branch_price, discount, listed_price, safe_float
 from shelfspark.functions.text import first_word, full_text, or_none
 from shelfspark.operators.dedupe import first_wins
 
@@ -27,8 +27,7 @@ def tamimi(raw: DataFrame, category: Column) -> DataFrame:
     variant = F.coalesce(F.col("variant"), F.get("variants", F.lit(0)))
     df = raw.withColumn("v", variant).withColumn("name", F.coalesce(or_none(F.col("v.fullName")), or_none(F.col("name"))))
     first = F.get("v.storeSpecificData", F.lit(0))
-    mrp, off = F.coalesce(tolerant(first["mrp"]), F.lit(0.0)), F.coalesce(tolerant(first["discount"]), F.lit(0.0))
-    sold, cut = mrp > 0, (mrp > 0) & (off > 0)
+    paid = listed_price(first["mrp"], first["discount"])
     return _finish(
         df.where("name IS NOT NULL").select(
             F.coalesce(or_none(F.col("v.id")), or_none(F.col("id"))).alias("id"),
@@ -38,10 +37,7 @@ def tamimi(raw: DataFrame, category: Column) -> DataFrame:
             F.lit(None).cast("string").alias("name_ar"),
             F.col("brand.name").alias("brand"),
             barcode.with_short_form(F.coalesce("v.barcodes", F.array().cast("array<string>"))).alias("barcodes"),
-            F.when(sold, round2(mrp - off)).alias("price"),
-            F.when(cut, round2(mrp)).alias("original_price"),
-            F.when(cut, round2(off)).alias("discount_amount"),
-            F.when(cut, round2(off / mrp * 100)).alias("discount_percentage"),
+            *[paid[c].alias(c) for c in ("price", "original_price", "discount_amount", "discount_percentage")],
             size.tamimi_size(full_text(F.col("name"), F.col("v.name"))).alias("size"),
             F.get("v.images", F.lit(0)).alias("image_url"),
             "pos",

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from shelfspark.functions.text import decode_page
+from shelfspark.functions.text import decode_page, decoded_page
+from shelfspark.schemas import BRANCHES
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -36,9 +37,16 @@ def unwrap(v):
     return F.when(F.schema_of_variant(found).startswith("ARRAY"), found).otherwise(F.raise_error(F.lit("no array of records")).cast("variant"))
 
 
-def write_export(df: DataFrame, path: str) -> None:
-    """JSON export beside the Parquet layers."""
-    df.write.mode("overwrite").json(path)
+def write_export(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """One JSON array beside the Parquet layers, for readers outside; layers stay Parquet because an array is one value."""
+    rows = df.select(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order or [])], F.struct(*df.columns).alias("row")).alias("r"))
+    listed = rows.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"]).alias("rows"))
+    listed.select(F.to_json("rows", {"ignoreNullFields": "false", "pretty": "true"})).coalesce(1).write.mode("overwrite").text(path)
+
+
+def branch_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Branches of files that hold one JSON array each."""
+    return spark.read.schema(BRANCHES).option("multiLine", True).json(paths)
 
 
 def embedded_products(pages: DataFrame, html: str = "html", back: int = 20_000) -> DataFrame:
@@ -59,6 +67,11 @@ def embedded_products(pages: DataFrame, html: str = "html", back: int = 20_000)
     return marked.select(*others, "_decoded").mapInPandas(run, schema)
 
 
+def objects_in(html: str | None, back: int = 20_000) -> Iterator[str]:
+    """The products of one page, as ``embedded_products`` finds them."""
+    return _objects(decoded_page(html or ""), back)
+
+
 def _objects(text: str, back: int) -> Iterator[str]:
     mark, at = '"varieties":', text.find('"varieties":')
     seen = set()

@@ -1,6 +1,7 @@
-"""A paged source as a Python data source: one partition a category, filters pushed to it.
+"""Saved pages as a Python data source: one partition a category, filters pushed to it.
 
-Pages are files ``<folder>/<category>/<page>.json`` (an array each). A category ends at its first empty or
+Pages are files on storage that driver and executors see as a folder (a service is read by ``remote``):
+``<folder>/<category>/<page>.json`` (an array each). A category ends at its first empty or
 missing page or after ``pages`` pages; a page that can't be read ends it and keeps what came before.
 """
 
@@ -11,7 +12,7 @@ import os
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 
 class _Category(InputPartition):
@@ -27,10 +28,16 @@ class _Reader(DataSourceReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
             if isinstance(f, EqualTo) and f.attribute == ("category",):
-                self.categories = [f.value]
+                self._only([f.value])
+            elif isinstance(f, In) and f.attribute == ("category",):
+                self._only(list(f.value))
             else:
                 yield f
 
+    def _only(self, names: list[str]) -> None:
+        """Several filters hold together."""
+        self.categories = [c for c in names if self.categories is None or c in self.categories]
+
     def partitions(self) -> list[InputPartition]:
         names = self.categories if self.categories is not None else sorted(os.listdir(self.folder))
         return [_Category(n) for n in names]
@@ -65,11 +72,6 @@ class PagedSource(DataSource):
         return _Reader(self.options)
 
 
-def first_with_hits(candidates: list[str], count) -> str | None:
-    """The first facet for which ``count`` finds rows."""
-    return next((c for c in candidates if count(c) > 0), None)
-
-
 def register(spark: SparkSession) -> None:
     """Makes the source known, with filters pushed down to it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Frames of at most this many narrow rows may be broadcast after a count has shown it.
-BROADCAST_ROWS = 1_000_000
+#: Frames of at most this many rows and bytes may be broadcast after both have been measured.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder (a default only where that is unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/shelfspark-checkpoints"
+    """A fresh folder below the cluster's shared checkpoint folder (a default only in local mode, where that is unset)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"{tempfile.gettempdir()}/shelfspark-checkpoints"
     return f"{base.rstrip('/')}/shelfspark-{uuid.uuid4().hex}"
 
 
@@ -27,9 +33,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it holds at most ``limit`` rows, else unchanged (shuffle join).
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 16
+        return F.coalesce(F.array_size(c), F.lit(0)) * 8 + 16
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 16
+    return F.lit(8)
 
-    ``df`` should be cheap to count: a written table or a tiny input.
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it holds at most ``limit`` rows of ``most`` bytes in all, else unchanged (shuffle join).
+
+    ``df`` should be cheap to read: a written table or a tiny input.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0)).cast("long")
+    size = df.limit(limit + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size["n"] <= limit and size["bytes"] <= most else df
