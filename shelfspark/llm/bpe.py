@@ -71,8 +71,10 @@ class TrieEncoder:
         #: Left id in the upper, right id in the lower half of the key.
         self.may_follow: dict[int, bool] = {}
         #: Words with their tokens: those met since the last turn of generations, and those of the one before.
-        self.known: dict[str, tuple[list[int], str]] = {}
-        self.older: dict[str, tuple[list[int], str]] = {}
+        self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+        self.decoded: dict[str, str] = {}
+        self.older_decoded: dict[str, str] = {}
         self.letters = 0
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -123,7 +125,13 @@ class TrieEncoder:
         names, end, last = self.names, len(self.end), self._last
         inner, inner_sizes, final, final_sizes = self.inner, self.inner_sizes, self.final, self.final_sizes
         for word in sorted(words):
-            shared, size = 0, len(word)
+            size = len(word)
+            if (token := final.get(word)) is not None:
+                # A token of its own needs no states of its prefixes.
+                self.known[word], self.decoded[word] = [token], names[token]
+                self.letters += size
+                continue
+            shared = 0
             most = min(len(before), size - 1)
             while shared < most and before[shared] == word[shared]:
                 shared += 1
@@ -138,7 +146,8 @@ class TrieEncoder:
                 out.append(token)
                 at -= len(names[token])
             out.reverse()
-            self.known[word] = (out, " ".join([names[t] for t in out]))
+            self.known[word] = out
+            self.decoded[word] = " ".join([names[t] for t in out])
             self.letters += size
 
     def words(self, text: str) -> list[str]:
@@ -172,7 +181,7 @@ class TrieEncoder:
 
     def forget(self) -> None:
         """Empty the memories of words and pairs."""
-        self.known, self.older, self.letters = {}, {}, 0
+        self.known, self.older, self.decoded, self.older_decoded, self.letters = {}, {}, {}, {}, 0
         self.may_follow.clear()
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
@@ -180,24 +189,22 @@ class TrieEncoder:
         rows = [self.pieces(t or "") for t in texts]
         if self.letters > CACHE_LETTERS:
             # Words in use come back from the older generation, the others go.
-            self.known, self.older, self.letters = {}, self.known, 0
+            self.older, self.older_decoded = self.known, self.decoded
+            self.known, self.decoded, self.letters = {}, {}, 0
         new = set()
-        for w in {w for r in rows for w in r}.difference(self.known):
+        for w in set().union(*rows).difference(self.known):
             before = self.older.get(w)
             if before is None:
                 new.add(w)
             else:
-                self.known[w] = before
+                self.known[w], self.decoded[w] = before, self.older_decoded[w]
                 self.letters += len(w)
         for w in [w for w in new if w[0] == "\0"]:
             new.discard(w)
-            self.known[w] = ([self.special[w[1:]]], w[1:])
+            self.known[w], self.decoded[w] = [self.special[w[1:]]], w[1:]
         self.learn(list(new))
-        known, out = self.known, []
-        for r in rows:
-            found = [known[w] for w in r]
-            out.append((list(chain.from_iterable([ids for ids, _ in found])), " ".join([text for _, text in found])))
-        return out
+        ids, text = self.known.__getitem__, self.decoded.__getitem__
+        return [(list(chain.from_iterable(map(ids, r))), " ".join(map(text, r))) for r in rows]
 
 
 def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
