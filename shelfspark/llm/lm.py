@@ -174,9 +174,10 @@ def class_of(head: Head, classes: np.ndarray, tokens: np.ndarray) -> tuple[np.nd
 
 
 def log_softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = bias + w[f[:, 0]]
+    z = np.take(w, f[:, 0], axis=0)
+    z += bias
     for k in range(1, f.shape[1]):
-        z += w[f[:, k]]
+        z += np.take(w, f[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
@@ -191,16 +192,23 @@ class Trainer:
 
     def step(self, f: np.ndarray, y: np.ndarray) -> None:
         n, k = f.shape
-        p = np.exp(log_softmax(self.w, self.bias, f))
+        p = log_softmax(self.w, self.bias, f)
+        np.exp(p, out=p)
         p[np.arange(n), y] -= 1
         flat = f.ravel()
-        order = np.argsort(flat, kind="stable")
-        sorted_ = flat[order]
-        begin = np.concatenate([[0], np.flatnonzero(np.diff(sorted_)) + 1])
-        rows = sorted_[begin]
-        grad = np.add.reduceat(p[order // k], begin, axis=0) / np.sqrt(np.diff(np.append(begin, len(flat))))[:, None].astype(np.float32)
+        order = np.argsort(flat.astype(np.uint16) if len(self.w) <= 1 << 16 else flat, kind="stable")  # short keys are sorted by radix
+        fresh = np.ones(n * k, bool)
+        fresh[1:] = flat[order[1:]] != flat[order[:-1]]
+        rows = flat[order[fresh]]
+        at = np.empty(n * k, np.int64)
+        at[order] = np.cumsum(fresh) - 1
+        # Class by class: sums by row of features, over the root of how often the row occurs.
+        grad = np.empty((p.shape[1], len(rows)))
+        for c, own in enumerate(np.ascontiguousarray(p.T)):
+            grad[c] = np.bincount(at, weights=np.repeat(own, k), minlength=len(rows))
+        grad = np.ascontiguousarray((grad / np.sqrt(np.bincount(at))).T, np.float32)
         self.g2[rows] += (grad * grad).mean(axis=1)
-        self.w[rows] -= self.rate * grad / np.sqrt(self.g2[rows])[:, None]
+        self.w[rows] -= grad * (self.rate / np.sqrt(self.g2[rows]))[:, None]
 
 
 def train(training: DataFrame, head: Head, classes: np.ndarray, bias: np.ndarray, rows: int, shards: int, blocks: int = 64) -> np.ndarray:
