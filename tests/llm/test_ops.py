@@ -534,3 +534,38 @@ def test_decontamination_slots_both_ways_and_brief_items(spark):
     bench = spark.createDataFrame([(7, item), (8, "short one"), (9, ""), (10, "Yes.")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
     assert got == {(2, 7): "reparameterised", (3, 7): "reparameterised", (4, 8): "verbatim", (8, 8): "verbatim", (6, 10): "verbatim"}
+
+
+def test_language_model_is_a_distribution():
+    """Given a history, classes sum to 1, and so do the words of every class."""
+    rng = np.random.default_rng(2)
+    w, bias = rng.normal(size=(64, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
+    assert np.exp(lm.log_softmax(w, bias, rng.integers(0, 64, (50, 4)))).sum(axis=1) == pytest.approx(np.ones(50), rel=1e-4)
+    counts = np.sort(rng.integers(1, 1000, 500))[::-1]
+    head = lm.Head.of(rng.integers(0, 1 << 62, 500).astype(np.uint64), counts)
+    classes = lm._classes(head, rng.integers(0, 50, (500, lm.ANCHORS)))
+    in_class = np.bincount(classes, weights=head.counts, minlength=lm.CLASSES)
+    total = np.bincount(classes, weights=10 ** lm.word_logs(head, classes, in_class), minlength=lm.CLASSES)
+    assert total[np.unique(classes)] == pytest.approx(np.ones(len(np.unique(classes))))
+    tail = np.array([5, 1, 1, 2, 0])  # the last stands for words never seen
+    assert sum((c + 0.5) / (9 + 0.5 * (4 + 1)) for c in tail) == pytest.approx(1.0)
+
+
+def test_feature_rows_grow_with_the_tokens():
+    rows = [lm.feature_rows(10**k) for k in range(0, 13)]
+    assert rows == sorted(rows) and rows[0] == 1024 and rows[7] < rows[9] < rows[12]
+
+
+def test_long_conversations_take_near_linear_time(spark):
+    import time
+
+    def took(n):
+        rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn <', id, '> of a long talk') AS text")
+        done = chat.format_chat(rows)
+        start = time.perf_counter()
+        got = done.select(F.length("formatted").alias("n"), F.length(chat.loss_text(F.col("formatted"), F.col("loss_spans"))).alias("l")).first()
+        assert got.l == sum(len(f"turn <{i}> of a long talk") for i in range(1, n, 2))
+        return time.perf_counter() - start
+
+    took(2000)
+    assert took(40_000) < 8 * took(10_000) + 2
