@@ -655,9 +655,8 @@ def greedy_assignment(spark, sf):
 
 @_query()
 def beverage_match(spark, sf):
-    """The whole beverage matcher; brand blocks of the pseudo-catalogue are narrowed by size."""
-    p = _products(spark, sf).withColumn("brand", F.concat("brand", F.col("total_size_value").cast("int").cast("string")))
-    return beverages.match(p).select("product_name_en", "brand", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
+    """The whole beverage matcher over the brands as they are: 25, so each holds a large share of the products."""
+    return beverages.match(_products(spark, sf)).select("product_name_en", "brand", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
 
 @_query()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.plans import beverages, benchmark, dairy, produce, silver, warehouse
+from shelfspark.plans.dag import only_run, run_tasks
 from shelfspark.plans.matching import union_stores
 from shelfspark.schemas import BRONZE_BINDAWOOD, BRONZE_PANDA, BRONZE_TAMIMI, REFERENCE_PRICES, STORES
 from shelfspark.sources.files import _exists, branch_files, json_array, write_export
@@ -38,10 +39,22 @@ class Run:
         return "/".join((self.folder, *parts))
 
     def silver(self) -> None:
-        for store, (clean, schema) in _CLEAN.items():
-            for category in CATEGORIES:
-                raw = json_array(self.spark, self._path("bronze", store, f"{category}_raw.json"), schema)
-                clean(raw, F.lit(category)).write.mode("overwrite").parquet(self._path("silver", store, category))
+        for store in _CLEAN:
+            self.silver_of(store)
+
+    def silver_of(self, store: str) -> None:
+        clean, schema = _CLEAN[store]
+        for category in CATEGORIES:
+            raw = json_array(self.spark, self._path("bronze", store, f"{category}_raw.json"), schema)
+            clean(raw, F.lit(category)).write.mode("overwrite").parquet(self._path("silver", store, category))
+
+    def coverage(self) -> DataFrame:
+        """Totals of every silver table and how many rows have barcodes, a discount, a size."""
+        out = None
+        for category in CATEGORIES:
+            own = silver.counts(self._products(category)).withColumn("category", F.lit(category))
+            out = own if out is None else out.unionByName(own)
+        return out
 
     def _products(self, category: str) -> DataFrame:
         return union_stores(*[self.spark.read.parquet(self._path("silver", s, category)) for s in STORES])
@@ -107,6 +120,14 @@ class Run:
         write_export(self.spark.read.parquet(self._path("gold", name)), path)
         return path
 
+    def side_by_side(self, retries: int = 1, pause: float = 120.0, log: Callable[[str], None] = print) -> dict[str, float]:
+        """All stages as a graph: stores and matchers run side by side, a failed task is tried again, one run at a time."""
+        stores = {f"silver_{s}": (lambda s=s: self.silver_of(s)) for s in _CLEAN}
+        tasks = stores | {name: getattr(self, name) for name in DEPENDS if name != "silver"}
+        depends = {name: tuple(stores) if needs == ("silver",) else needs for name, needs in DEPENDS.items()}
+        with only_run(self.spark, self.folder):
+            return run_tasks(tasks, depends, retries, pause, log=log)
+
     def all(self, log: Callable[[str], None] = print) -> dict[str, float]:
         """All stages in an order that ``DEPENDS`` allows; the first failure ends the run."""
         took: dict[str, float] = {}

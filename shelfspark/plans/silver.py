@@ -24,8 +24,8 @@ def _finish(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def tamimi(raw: DataFrame, category: Column) -> DataFrame:
     """Rows without a name are dropped; a price is mrp less discount, where mrp is above 0."""
-    variant = F.coalesce(F.col("variant"), F.get("variants", F.lit(0)))
-    df = raw.withColumn("v", variant).withColumn("name", F.coalesce(or_none(F.col("v.fullName")), or_none(F.col("name"))))
+    df = flatten_variants(raw).withColumnRenamed("variant", "v")
+    df = df.withColumn("name", F.coalesce(or_none(F.col("v.fullName")), or_none(F.col("name"))))
     first = F.get("v.storeSpecificData", F.lit(0))
     paid = listed_price(first["mrp"], first["discount"])
     return _finish(
@@ -119,9 +119,7 @@ def in_category(raw: DataFrame, ids: list[str], slugs: list[str]) -> DataFrame:
 
 def flatten_variants(raw: DataFrame) -> DataFrame:
     """One row a variant; a product without variants keeps its row."""
-    return raw.select("*", F.posexplode_outer("variants").alias("variant_pos", "one")).withColumn(
-        "variant", F.coalesce("one", "variant")
-    ).drop("one", "variants")
+    return raw.withColumn("one", F.explode_outer("variants")).withColumn("variant", F.coalesce("one", "variant")).drop("one", "variants")
 
 
 def counts(silver: DataFrame) -> DataFrame:

@@ -56,3 +56,18 @@ def test_export_is_one_array_and_branches_are_read(spark, tmp_path):
     (tmp_path / "b_branches.json").write_text("[]")
     (row,) = branch_files(spark, str(tmp_path / "*_branches.json")).collect()
     assert (row.id, row.brand, row.LATITUDE) == (1, "Big Shop", 1.5)
+
+
+def test_variants_become_rows_and_are_counted(spark):
+    from pyspark.sql import functions as F
+
+    from shelfspark.plans import silver
+    from shelfspark.schemas import BRONZE_TAMIMI
+
+    variant = lambda i, mrp: {"id": i, "fullName": f"Juice {i} 200 ML", "barcodes": ["6281000000014"], "storeSpecificData": [{"mrp": mrp, "discount": "1"}]}
+    items = [{"id": "1", "name": "Juice", "variants": [variant("a", "5"), variant("b", "6")]}, {"id": "2", "name": "Tea", "variant": variant("c", None)}, {"id": "3", "name": "Plain"}]
+    raw = spark.createDataFrame(items, BRONZE_TAMIMI).withColumn("pos", F.col("id").cast("int"))
+    rows = silver.tamimi(raw, F.lit("beverages"))
+    assert sorted((r.id, r.price, r.discount_amount) for r in rows.collect()) == [("3", None, None), ("a", 4.0, 1.0), ("b", 5.0, 1.0), ("c", None, None)]
+    (total,) = silver.counts(rows).collect()
+    assert (total.n, total.with_barcodes, total.with_discount, total.with_size) == (4, 3, 2, 3)
