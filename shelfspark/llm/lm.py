@@ -291,16 +291,23 @@ def score_texts(docs: DataFrame, trainers: int | None = None) -> DataFrame:
 
     def company(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         out = np.zeros(classed * ANCHORS, np.int64)
+        held, n = [np.zeros(0, np.int64)], 0
         for batch in chunks(batches, 0):
             tokens, offsets = token_stream(batch.column(0))
             at = head.find(tokens)
             rank = np.where(at >= 0, head.rank[at], HEAD) if len(head.rank) else at
             owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             for k in (1, 2):
+                together = owner[k:] == owner[:-k]
                 for x, y in ((rank[k:], rank[:-k]), (rank[:-k], rank[k:])):
-                    ok = (owner[k:] == owner[:-k]) & (x < classed) & (y < beside)
-                    out += np.bincount(x[ok] * ANCHORS + y[ok], minlength=len(out))
-        return out
+                    ok = np.flatnonzero(together & (x < classed) & (y < beside))
+                    held.append(x[ok] * ANCHORS + y[ok])
+                    n += len(ok)
+            if n > len(out):
+                # As many pairs as counts: adding them up costs no more than finding them.
+                out += np.bincount(np.concatenate(held), minlength=len(out))
+                held, n = [np.zeros(0, np.int64)], 0
+        return out + np.bincount(np.concatenate(held), minlength=len(out))
 
     met = _summed(training, company, np.int64) if classed else np.zeros(0, np.int64)
     classes = _classes(head, met.reshape(-1, ANCHORS))
