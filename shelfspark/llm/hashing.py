@@ -60,9 +60,9 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the n + 1 word offsets of the texts."""
-    inside = ~_SPACE[raw]
+def words(raw: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the n + 1 word offsets of the texts; ``outside`` marks the bytes between words."""
+    inside = ~outside[raw]
     starts = inside.copy()
     ends = inside.copy()
     starts[1:] &= ~inside[:-1]

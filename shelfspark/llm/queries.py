@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, decontaminate, licences, lm, neardup, suffixdedup, topk, toxicity, warc
+from shelfspark.llm import bpe, chat, decontaminate, divergence, licences, lm, media, neardup, suffixdedup, topk, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +126,48 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), w AS (
+  SELECT row_id, lang, source,
+    translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d
+), k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM w GROUP BY ALL HAVING count(DISTINCT row_id) >= 3),
+s AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (coalesce(n.n, 0) + s.v) AS p, 1 + (1000000000 * (k.total + 1)) // (s.n + s.v) AS q
+  FROM g JOIN k USING (lang) JOIN s USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+      SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE c > 0 AND p > q
+), o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op12_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(media.store(_table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_license_scans": op2_license_scans,
@@ -137,5 +179,8 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_media_columns": op12_media_columns,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
-ORACLE_SQL = {"op1_chat_formatting": OP1_SQL, "op4_warc": OP4_SQL, "op9_exact_topk": OP9_SQL}
+ORACLE_SQL = {"op1_chat_formatting": OP1_SQL, "op4_warc": OP4_SQL, "op9_exact_topk": OP9_SQL, "op11_source_divergence": OP11_SQL}

@@ -6,12 +6,12 @@ import pytest
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_warc", "op9_exact_topk"])
+@pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_warc", "op9_exact_topk", "op11_source_divergence"])
 def test_same_rows_as_sql(spark, name):
     from shelfspark.llm.queries import ORACLE_SQL, QUERIES
 
     con = duckdb.connect()
-    for t in ("conversations", "pages", "embeddings"):
+    for t in ("conversations", "pages", "embeddings", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     expected = con.execute(ORACLE_SQL[name])
     columns = [d[0] for d in expected.description]
