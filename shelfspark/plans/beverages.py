@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions import barcode, numbers, similarity, text
 from shelfspark.operators.assign import greedy_one_to_one
 from shelfspark.operators.components import connected_components
+from shelfspark.operators.grid import Axis, grid_join
+from shelfspark.operators.triangles import by_part
+from shelfspark.operators.triangles import triangles as list_triangles
 from shelfspark.plans.matching import attach_members, both_sides, gold_columns, truthy_ratio
 from shelfspark.schemas import STORES
 from shelfspark.storage import materialize
@@ -63,50 +64,32 @@ def tier(a: str = "a", b: str = "b") -> Column:
     )
 
 
-def code_edges(featured: DataFrame) -> DataFrame:
-    """``a_uid, b_uid, tier`` of compatible products of two stores with a common barcode, by an equi-join on it."""
-    a, b = both_sides(featured, _FEATURES)
-    shared = (
-        a.withColumn("code", F.explode("a_codes"))
-        .join(b.withColumn("code", F.explode("b_codes")), "code")
-        .where(F.col("a_ord.store") < F.col("b_ord.store"))
-        .drop("code")
-        .dropDuplicates(["a_uid", "b_uid"])
-    )
-    return shared.where(compatible()).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier"))
+#: Compatible products' sizes are within 5 % of the larger, their prices within a ratio.
+_SIZE, _PRICE = Axis("total_size_value", 1 / 0.95), Axis("price", 1.55)
 
 
-#: Width of a band of log sizes; sizes within 5 % of the larger lie in one band or in neighbours.
-_SIZE_BAND = -math.log(0.95) * 1.000001
+def code_edges(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid, tier`` of compatible products of two stores with a common barcode, by an equi-join on it."""
+    a, b = (side.withColumn(f"{p}_code", F.explode(f"{p}_codes")) for p, side in zip("ab", both_sides(featured, _FEATURES), strict=True))
+    exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible()
+    return grid_join(a, b, ["code"], [_SIZE, _PRICE], "uid", exact).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier")).distinct()
 
 
 def brand_edges(featured: DataFrame) -> DataFrame:
     """``a_uid, b_uid, tier`` of compatible products of two stores with one brand and no common barcode.
 
-    What compatible products must have alike is part of the join's key: brand, pack, whether a flavour and a diet
-    variant are named and, where both sizes are known, the band of the log size (or a neighbour). A product without a
-    size fits any; pairs with such a one come from joins without the band.
+    What compatible products must have alike is the join's key: brand, pack, whether a flavour and a diet variant are
+    named. Size and price are the axes of a grid, of which a product without the one still has the other.
     """
     flavoured, diet = text.variant_keys(F.col("variants"))
-    sized = F.coalesce(F.col("total_size_value") > 0, F.lit(False)) & (F.col("total_size_value") < float("inf"))
     keyed = featured.where("norm_brand <> 'unbranded'").select(
-        *_FEATURES,
-        F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet"),
-        F.when(sized, F.floor(F.log("total_size_value") / _SIZE_BAND)).alias("band"),
-    )
-    names = [*_FEATURES, "pack", "flavoured", "diet", "band"]
-    a, b = both_sides(keyed, names)
-    alike = (F.col("a_norm_brand") == F.col("b_norm_brand")) & (F.col("a_ord.store") < F.col("b_ord.store"))
-    for c in ("pack", "flavoured", "diet"):
-        alike = alike & (F.col(f"a_{c}") == F.col(f"b_{c}"))
-    # Dealt out by count: pairs are many where rows are few, so partitions must not be merged by their bytes.
-    parts = int(featured.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deal = lambda df, *keys: df.repartition(parts, "a_norm_brand", "a_pack", "a_flavoured", "a_diet", *keys)
-    near = a.where("a_band IS NOT NULL").withColumn("near", F.explode(F.array(F.col("a_band") - 1, F.col("a_band"), F.col("a_band") + 1)))
-    by_size = deal(near, "near").join(b.where("b_band IS NOT NULL"), alike & (F.col("near") == F.col("b_band"))).drop("near")
-    unsized = deal(a.where("a_band IS NULL")).join(b, alike).unionByName(deal(a.where("a_band IS NOT NULL")).join(b.where("b_band IS NULL"), alike))
+        *_FEATURES, F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet")
+    )
+    alike = ["norm_brand", "pack", "flavoured", "diet"]
+    a, b = both_sides(keyed, [*_FEATURES, *alike[1:]])
     apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
-    tied = by_size.unionByName(unsized).where(compatible() & apart)
+    exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible() & apart
+    tied = grid_join(a, b, alike, [_SIZE, _PRICE], "uid", exact)
     return tied.withColumn("tier", tier()).where("tier IS NOT NULL").select("a_uid", "b_uid", "tier")
 
 
@@ -121,10 +104,7 @@ def pair_edges(featured: DataFrame) -> DataFrame:
 
 def triangles(edges: DataFrame, prices: DataFrame) -> DataFrame:
     """Trios (a column for each store) whose three pairs are all edges, with prices ``p0, p1, p2`` (``prices``: uid, price)."""
-    store = lambda c: F.substring_index(c, "_", 1)
-    link = lambda x, y: edges.where((store("a_uid") == x) & (store("b_uid") == y)).select(F.col("a_uid").alias(x), F.col("b_uid").alias(y))
-    a, b, c = STORES
-    trios = link(a, b).join(link(a, c), a).join(link(b, c), [b, c])
+    trios = by_part(list_triangles(edges, "a_uid", "b_uid"), lambda n: F.substring_index(n, "_", 1), STORES)
     for i, s in enumerate(STORES):
         trios = trios.join(prices.withColumnsRenamed({"uid": s, "price": f"p{i}"}), s)
     return trios.select(*STORES, "p0", "p1", "p2")

@@ -669,10 +669,12 @@ def dairy_match(spark, sf):
     return dairy.match(p, "2024-01-01").select("product_name_en", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
 
+_PRODUCE_WORDS = [w for w, r in tables.ROOTS.items() if w.isascii() and " " not in w and r not in ("pepper",)][:25]
+
+
 def _references(spark, sf) -> DataFrame:
     n = _t(spark, sf, "nation")
-    words = [w for w, r in tables.ROOTS.items() if w.isascii() and " " not in w and r not in ("pepper",)][:25]
-    name = F.try_element_at(F.array(*[F.lit(w) for w in words]), (F.col("n_nationkey") + 1).cast("int"))
+    name = F.try_element_at(F.array(*[F.lit(w) for w in _PRODUCE_WORDS]), (F.col("n_nationkey") + 1).cast("int"))
     return n.select(
         F.col("n_nationkey").cast("string").alias("gastat_id"), F.concat(F.lit("صنف "), name).alias("item_name_ar"), name.alias("item_name_en"), F.lit(2024).alias("Year"),
         F.lit("كجم").alias("unit_ar"), F.lit("1,400.5").alias("Dec"), F.lit(None).cast("string").alias("Nov"), F.lit(None).cast("string").alias("Oct"),
@@ -681,19 +683,50 @@ def _references(spark, sf) -> DataFrame:
 
 
 def _produce(spark, sf) -> DataFrame:
-    words = [w for w, r in tables.ROOTS.items() if w.isascii() and " " not in w and r not in ("pepper",)][:25]
-    name = F.try_element_at(F.array(*[F.lit(w) for w in words]), (F.expr("(p_partkey div 3) % 25") + 1).cast("int"))
+    name = F.try_element_at(F.array(*[F.lit(w) for w in _PRODUCE_WORDS]), (F.expr("(p_partkey div 3) % 25") + 1).cast("int"))
     p = _t(spark, sf, "part").select(F.concat_ws("_", F.expr(_STORE), F.col("p_partkey").cast("string")).alias("uid"), name.alias("word"))
     return _products(spark, sf).join(p, "uid").withColumns({"name_en": F.col("word"), "total_size_value": F.lit(1000.0)}).drop("word")
 
 
-@_query()
+# No guard bears on these words, so a product's score is its nearness in price to 1400.5.
+_PRODUCE_SQL = f"""
+WITH RECURSIVE v(i, word, root) AS (VALUES {", ".join(f"({i}, '{w}', '{tables.ROOTS[w]}')" for i, w in enumerate(_PRODUCE_WORDS))}),
+a AS (SELECT n_nationkey, word AS key, root, CAST(1400.5 AS DOUBLE) AS b FROM nation JOIN v ON v.i = n_nationkey),
+q AS (SELECT p_partkey AS k, p_partkey % 3 AS s, root, {_exact2("p_retailprice")} AS kg FROM part JOIN v ON v.i = (p_partkey // 3) % 25),
+m AS (SELECT key, a.root, b, k, s, kg, CAST(1 AS DOUBLE) + greatest(CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) - abs(kg - b) / b) AS score
+  FROM q JOIN a USING (root) WHERE abs(kg - b) / b <= CAST(0.8 AS DOUBLE)),
+r AS (SELECT *, row_number() OVER (PARTITION BY key, s ORDER BY score DESC, k) AS i FROM m),
+t AS (SELECT x.key, x.root, x.b, x.k AS k0, y.k AS k1, z.k AS k2, x.kg AS p0, y.kg AS p1, z.kg AS p2, x.i AS i0, y.i AS i1, z.i AS i2,
+    greatest(x.kg, y.kg, z.kg) / least(x.kg, y.kg, z.kg) AS spread, x.score + y.score + z.score AS total
+  FROM r x JOIN r y ON x.key = y.key AND x.s = 0 AND y.s = 1 JOIN r z ON x.key = z.key AND z.s = 2 WHERE x.i <= 3 AND y.i <= 3 AND z.i <= 3),
+u AS (SELECT *, total - spread * CAST(0.5 AS DOUBLE) AS metric FROM t WHERE spread <= CAST(2.2 AS DOUBLE)),
+c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY metric DESC, i0, i1, i2) AS place FROM u) WHERE place = 1),
+d AS (SELECT *, row_number() OVER (ORDER BY metric DESC, spread, key) AS i FROM c),
+w(i, used, taken) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), false
+  UNION ALL
+  SELECT d.i, CASE WHEN list_has_any(w.used, [d.k0, d.k1, d.k2]) THEN w.used ELSE list_concat(w.used, [d.k0, d.k1, d.k2]) END, NOT list_has_any(w.used, [d.k0, d.k1, d.k2])
+  FROM w JOIN d ON d.i = w.i + 1),
+g AS (SELECT *, (p0 + p1 + p2) / 3 AS mean, greatest(p0, p1, p2) AS high, least(p0, p1, p2) AS low FROM d JOIN w USING (i) WHERE taken),
+h AS (SELECT *, {_exact2("mean")} AS avg_price, high - low AS diff FROM g), o AS (SELECT *, avg_price - b AS above FROM h)
+"""
+
+
+@_query(
+    f"""
+    {_PRODUCE_SQL} SELECT key AS gastat_key, root AS commodity_root, avg_price, low AS min_price, high AS max_price, {_exact2("diff")} AS price_diff,
+      b AS gastat_benchmark_price, {_exact2("above")} AS variance_from_benchmark, CAST(k0 AS VARCHAR) AS anchor FROM o"""
+)
 def produce_match(spark, sf):
     gold = produce.match(_produce(spark, sf), _references(spark, sf), "2024-01-01")
     return gold.select("gastat_key", "commodity_root", "current_pricing.*", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
 
-@_query()
+@_query(
+    f"""
+    {_PRODUCE_SQL} SELECT CAST(n_nationkey AS VARCHAR) AS gastat_id, a.key AS item_name_en, CAST(CASE WHEN k0 IS NULL THEN 0 ELSE 1 END AS INTEGER) AS match_count,
+      CASE WHEN k0 IS NULL THEN '' ELSE '62810' || lpad(CAST(k0 // 3 AS VARCHAR), 7, '0') END AS barcodes FROM a LEFT JOIN o ON a.key = o.key"""
+)
 def benchmark_enrich(spark, sf):
     gold = produce.match(_produce(spark, sf), _references(spark, sf), "2024-01-01")
     return benchmark.enrich(_references(spark, sf), materialize(gold)).select("gastat_id", "item_name_en", "match_count", F.array_join("matched_barcodes", ",").alias("barcodes"))
@@ -835,3 +868,18 @@ def category_filter(spark, sf):
         F.array(node(F.col("p_brand"))).alias("categories"),
     )
     return in_category(p, ["7"], ["ECONOMY", "Brand#7", "Brand#3"]).select("p_partkey", "p_name")
+
+
+@_query("SELECT p_partkey, p_name FROM part WHERE p_type = 'ECONOMY' OR string_split(p_name, ' ')[2] = 'ring' OR p_size = 7 OR p_brand = 'Brand#17'")
+def category_ancestors(spark, sf):
+    """Parts whose category, one of its five levels of parents or a listed category is wanted."""
+    from shelfspark.plans.silver import in_category_of_any_depth
+
+    word = lambda i: F.coalesce(F.get(F.split("p_name", " "), F.lit(i)), F.lit(""))
+    node = F.struct(F.lit(0).alias("id"), F.col("p_type").alias("slug"))
+    for slug in (F.lit("goods"), word(1), word(0), F.lit("parts")):
+        node = F.struct(F.lit(0).alias("id"), slug.alias("slug"), node.alias("parentCategory"))
+    node = F.struct(F.col("p_size").alias("id"), F.lit("size").alias("slug"), node.alias("parentCategory"))
+    listed = F.to_json(F.array(F.struct(F.col("p_brand").alias("slug"))))
+    p = _t(spark, sf, "part").select("p_partkey", "p_name", F.parse_json(F.to_json(node)).alias("primaryCategory"), F.parse_json(listed).alias("categories"))
+    return in_category_of_any_depth(p, ["7"], ["ECONOMY", "ring", "Brand#17"]).select("p_partkey", "p_name")

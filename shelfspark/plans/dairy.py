@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from shelfspark.functions import barcode, size, tables, text
 from shelfspark.functions.numbers import close, round2
 from shelfspark.operators.merge import append_history, within_stores
-from shelfspark.plans.matching import attach_members, gold_columns
+from shelfspark.operators.grid import Axis, grid_join
+from shelfspark.operators.triangles import by_part, triangles
+from shelfspark.plans.matching import attach_members, both_sides, gold_columns
 from shelfspark.schemas import STORES
 from shelfspark.storage import materialize
 
@@ -20,6 +22,33 @@ _GROUPS = list(tables.ATTRIBUTES)
 ATTRIBUTES = ["brand", "family", *_GROUPS, *tables.FEATURES, "flavor", "flavored"]
 DEFINING = [*tables.FEATURES, "flavor", "fat", "processing", "cheese_type", "form", "egg_size", "color", "texture", "milk_source", "cream_use", "salt"]
 _NOT_SHARED = ("brand", "family", "enriched", "flavored")
+#: Values of each attribute but brand and flavour, and where its number starts in the packed attributes (0: unknown).
+_VALUES = {k: list(dict.fromkeys(v for v, _ in rules)) for k, rules in (("family", tables.FAMILIES), *tables.ATTRIBUTES.items())} | {
+    k: [False, True] for k in (*tables.FEATURES, "flavored")
+}
+_PLACES = dict(zip(_VALUES, [0, *accumulate(len(v).bit_length() for v in _VALUES.values())], strict=False))
+_FLAVOURS = [*tables.DAIRY_FLAVOURS, "plain"]
+
+
+def _field(key: str) -> int:
+    """All bits of an attribute in the packed attributes."""
+    return ((1 << len(_VALUES[key]).bit_length()) - 1) << _PLACES[key]
+
+
+def _long(x: int) -> Column:
+    return F.lit(x).cast("long")
+
+
+def _packed(attrs: Column) -> list[Column]:
+    """``kinds``: the number of each attribute's value; ``known``: all bits of attributes that are known; ``tastes``: a bit a flavour."""
+    kinds, known = _long(0), _long(0)
+    for key, values in _VALUES.items():
+        number = F.create_map(*[x for i, v in enumerate(values, 1) for x in (F.lit(v), _long(i << _PLACES[key]))])
+        kinds = kinds + F.coalesce(F.try_element_at(number, attrs[key]), _long(0))
+        known = known + F.when(attrs[key].isNotNull(), _long(_field(key))).otherwise(_long(0))
+    taste = F.create_map(*[x for i, v in enumerate(_FLAVOURS) for x in (F.lit(v), _long(1 << i))])
+    tastes = F.aggregate(F.coalesce(attrs["flavor"], F.array().cast("array<string>")), _long(0), lambda s, v: s + F.element_at(taste, v))
+    return [kinds.alias("kinds"), known.alias("known"), tastes.alias("tastes")]
 
 
 def profiles(products: DataFrame) -> DataFrame:
@@ -45,6 +74,7 @@ def profiles(products: DataFrame) -> DataFrame:
     fields.append(F.when(some | words.rlike(f"(?U){tables.FLAVOURED}"), True).alias("flavored"))
     return (
         df.withColumn("attrs", F.struct(*fields))
+        .withColumn("attrs", F.struct("attrs.*", *_packed(F.col("attrs"))))
         .withColumn(
             "package",
             size.dairy_package(
@@ -70,7 +100,14 @@ def semantic_conflicts(a: Column, b: Column) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def package_conflicts(a: Column, b: Column) -> Column:
+def conflicting(a: Column, b: Column) -> Column:
+    """Whether ``semantic_conflicts`` would name any, by the packed attributes."""
+    kinds = a["kinds"].bitwiseXOR(b["kinds"]).bitwiseAND(a["known"]).bitwiseAND(b["known"]) != 0
+    tastes = (a["tastes"] != 0) & (b["tastes"] != 0) & (a["tastes"] != b["tastes"])
+    return kinds | tastes | ((a["brand"] != b["brand"]) & (a["brand"] != "unbranded") & (b["brand"] != "unbranded"))
+
+
+def _package_rules(a: Column, b: Column) -> dict[str, Column]:
     on = lambda c: F.coalesce(c != 0, F.lit(False))
     same_unit = a["unit"].eqNullSafe(b["unit"])
     near = on(a["total"]) & on(b["total"]) & same_unit & close(a["total"], b["total"])
@@ -81,34 +118,44 @@ def package_conflicts(a: Column, b: Column) -> Column:
         "explicit_count": on(a["count"]) & on(b["count"]) & (a["count"] != b["count"]),
         "pack_qty": on(a["pack"]) & on(b["pack"]) & (a["pack"] != b["pack"]) & ~((loose(a) | loose(b)) & near),
     }
-    return F.array_compact(F.array(*[F.when(F.coalesce(hit, F.lit(False)), F.lit(k)) for k, hit in rules.items()]))
+    return {k: F.coalesce(hit, F.lit(False)) for k, hit in rules.items()}
+
+
+def package_conflicts(a: Column, b: Column) -> Column:
+    return F.array_compact(F.array(*[F.when(hit, F.lit(k)) for k, hit in _package_rules(a, b).items()]))
 
 
 def evidence(df: DataFrame) -> DataFrame:
     """``level, tier, score, confidence`` of pairs (a_*, b_*) that positively match."""
     a, b = F.col("a_attrs"), F.col("b_attrs")
     pa, pb = F.col("a_package"), F.col("b_package")
-    shared = sum(
-        (F.coalesce(a[k] == b[k], F.lit(False)).cast("int") for k in ATTRIBUTES if k not in _NOT_SHARED), F.lit(0)
-    )
-    same_defining = F.lit(True)
-    for k in DEFINING:
-        same_defining = same_defining & a[k].eqNullSafe(b[k])
+    clash = conflicting(a, b)
+    for hit in _package_rules(pa, pb).values():
+        clash = clash | hit
     sized = (pa["unit"] == pb["unit"]) & (pa["total"] != 0) & (pb["total"] != 0) & close(pa["total"], pb["total"])
-    df = df.where(sized & (F.size(package_conflicts(pa, pb)) == 0) & (F.size(semantic_conflicts(a, b)) == 0))
+    df = df.where(sized & ~clash)
+    # No attribute that both know differs from here on, so what both know is what they share.
+    both = a["known"].bitwiseAND(b["known"])
+    shared = sum((F.when(both.bitwiseAND(_long(_field(k))) != 0, 1).otherwise(0) for k in _VALUES if k not in _NOT_SHARED), F.lit(0))
+    shared = shared + F.when((a["tastes"] != 0) & (b["tastes"] != 0), 1).otherwise(0)
+    defining = sum(_field(k) for k in DEFINING if k != "flavor")
+    same_defining = (a["kinds"].bitwiseXOR(b["kinds"]).bitwiseAND(_long(defining)) == 0) & (a["tastes"] == b["tastes"])
+    family = (a["brand"] != "unbranded") & (a["brand"] == b["brand"]) & (_known_family(a) & _known_family(b))
     df = df.withColumns(
         {
             "code_level": barcode.evidence(F.col("a_codes"), F.col("a_valid"), F.col("b_codes"), F.col("b_valid")),
-            "similarity": text.dice(F.col("a_tokens"), F.col("b_tokens")),
+            "common": F.size(F.array_intersect("a_tokens", "b_tokens")),
             "shared": shared,
-            "family": F.coalesce((a["brand"] != "unbranded") & (a["brand"] == b["brand"]) & (a["family"] == b["family"]), F.lit(False)),
+            "family": F.coalesce(family, F.lit(False)),
+            "alike": same_defining,
         }
     )
-    some = F.size(F.array_intersect("a_tokens", "b_tokens")) > 0
+    words = F.size("a_tokens") + F.size("b_tokens")
+    df = df.withColumn("similarity", F.when(words > 0, 2 * F.col("common") / words).otherwise(0.0))
     level = (
         F.when(F.col("code_level") >= 3, F.col("code_level"))
         .when(F.expr("family AND code_level = 2 AND (shared >= 1 OR similarity >= 0.65)"), 2)
-        .when(F.expr("family AND similarity >= 0.80 AND shared >= 1") & some & same_defining, 1)
+        .when(F.expr("family AND similarity >= 0.80 AND shared >= 1 AND common > 0 AND alike"), 1)
     )
     names = F.when(F.col("level") == 4, "exact_barcode").when(F.col("level") == 3, "normalized_barcode").when(
         F.col("level") == 2, "barcode_body_multifactor"
@@ -122,37 +169,28 @@ def evidence(df: DataFrame) -> DataFrame:
     )
 
 
-#: Width of a band of log sizes; totals that are close lie in one band or in neighbours.
-_SIZE_BAND = -math.log(0.98) * 1.000001
+def _known_family(attrs: Column) -> Column:
+    return attrs["known"].bitwiseAND(_long(_field("family"))) != 0
 
 
 def pair_edges(profiled: DataFrame) -> DataFrame:
     """Edges between stores. Branded products pair by brand; a pair with an unbranded side can only pass by a valid
     barcode, so it comes from an equi-join on codes filled to 14 digits.
 
-    A match needs equal units and close totals, so both joins have the unit and the band of the log total in their key.
+    A match needs equal units and close totals: the unit is part of both joins' key, and the total the axis of their grid.
     """
     names = ["uid", "store", "attrs", "package", "tokens", "codes", "valid"]
-    sized = profiled.where("package.unit IS NOT NULL AND package.total > 0 AND package.total < double('inf')").withColumn(
-        "band", F.floor(F.log("package.total") / _SIZE_BAND)
+    sized = profiled.where("package.unit IS NOT NULL AND package.total > 0 AND package.total < double('inf')").select(
+        *names, F.col("attrs.brand").alias("brand"), F.col("package.unit").alias("unit"), F.col("package.total").alias("total")
     )
-    side = lambda p, s: sized.where(F.col("store") == s).select(*[F.col(c).alias(f"{p}_{c}") for c in (*names, "band")])
-    fits = (F.col("near") == F.col("b_band")) & (F.col("a_package.unit") == F.col("b_package.unit"))
-    out = None
-    for x, y in _PAIRS:
-        a, b = side("a", x), side("b", y)
-        a = a.withColumn("near", F.explode(F.array(F.col("a_band") - 1, F.col("a_band"), F.col("a_band") + 1)))
-        branded = a.where("a_attrs.brand <> 'unbranded'").join(b, (F.col("a_attrs.brand") == F.col("b_attrs.brand")) & fits)
-        coded = (
-            a.withColumn("a_code", F.explode(barcode.filled(F.col("a_valid"))))
-            .join(b.withColumn("b_code", F.explode(barcode.filled(F.col("b_valid")))), (F.col("a_code") == F.col("b_code")) & fits)
-            .where("a_attrs.brand = 'unbranded' OR b_attrs.brand = 'unbranded'")
-            .drop("a_code", "b_code")
-            .dropDuplicates(["a_uid", "b_uid"])
-        )
-        edges = evidence(branded.unionByName(coded))
-        out = edges if out is None else out.unionByName(edges)
-    return out
+    a, b = both_sides(sized, sized.columns)
+    code = lambda df, p: df.withColumn(f"{p}_code", F.explode(barcode.filled(F.col(f"{p}_valid"))))
+    apart, total = F.col("a_store") < F.col("b_store"), [Axis("total", 1 / 0.98)]
+    branded = lambda df, p: df.where(F.col(f"{p}_brand") != "unbranded")
+    by_brand = evidence(grid_join(branded(a, "a"), branded(b, "b"), ["brand", "unit"], total, "uid", apart))
+    loose = apart & ((F.col("a_brand") == "unbranded") | (F.col("b_brand") == "unbranded"))
+    by_code = evidence(grid_join(code(a, "a"), code(b, "b"), ["code", "unit"], total, "uid", loose))
+    return by_brand.unionByName(by_code.distinct())
 
 
 def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
@@ -165,11 +203,14 @@ def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
         )
         for x, y in _PAIRS
     }
-    only = {k: v.select(*k) for k, v in link.items()}
+    # All three edges, or two strong ones: a hub's weak edges need not meet one another. Strong edges need a common barcode body.
+    full = by_part(triangles(edges, "a_uid", "b_uid"), store, STORES)
+    strong = {k: v.where(F.col(f"e_{k[0]}_{k[1]}.level") >= 2).select(*k) for k, v in link.items()}
     wedges = (
-        only[_PAIRS[0]].join(only[_PAIRS[1]], "bindawood").select(*STORES)
-        .union(only[_PAIRS[0]].join(only[_PAIRS[2]], "panda").select(*STORES))
-        .union(only[_PAIRS[1]].join(only[_PAIRS[2]], "tamimi").select(*STORES))
+        full
+        .union(strong[_PAIRS[0]].join(strong[_PAIRS[1]], "bindawood").select(*STORES))
+        .union(strong[_PAIRS[0]].join(strong[_PAIRS[2]], "panda").select(*STORES))
+        .union(strong[_PAIRS[1]].join(strong[_PAIRS[2]], "tamimi").select(*STORES))
         .distinct()
     )
     for k, v in link.items():
@@ -179,8 +220,9 @@ def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
         wedges = wedges.join(own, s)
     clean = F.lit(True)
     for x, y in _PAIRS:
-        clean = clean & (F.size(semantic_conflicts(F.col(f"{x}_attrs"), F.col(f"{y}_attrs"))) == 0)
-        clean = clean & (F.size(package_conflicts(F.col(f"{x}_package"), F.col(f"{y}_package"))) == 0)
+        clean = clean & ~conflicting(F.col(f"{x}_attrs"), F.col(f"{y}_attrs"))
+        for hit in _package_rules(F.col(f"{x}_package"), F.col(f"{y}_package")).values():
+            clean = clean & ~hit
     found = F.array_compact(F.array(*[F.col(f"e_{x}_{y}") for x, y in _PAIRS]))
     df = wedges.where(clean).withColumn("found", found)
     strong = F.sort_array(F.filter("found", lambda e: e["level"] >= 2), asc=False)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import barcode, size
 from shelfspark.functions.numbers import best_branch_price, discount, listed_price, safe_float
-from shelfspark.functions.text import first_word, full_text, or_none
+from shelfspark.functions.text import first_word, full_text, or_none, squeeze
 from shelfspark.operators.dedupe import first_wins
+from shelfspark.storage import materialize, small
 
 _SIZES = ("pack_qty", "unit_size_value", "total_size_value", "size_unit")
 _COLUMNS = (
@@ -117,6 +118,40 @@ def in_category(raw: DataFrame, ids: list[str], slugs: list[str]) -> DataFrame:
     return raw.where(F.exists(nodes, lambda n: F.coalesce(n["id"].isin(ids), F.lit(False)) | F.coalesce(n["slug"].isin(slugs), F.lit(False))))
 
 
+def category_nodes(chains: DataFrame) -> DataFrame:
+    """``chain, depth, id, slug`` of a category (variant ``chain_node``) and all its parents, whatever their number.
+
+    A recursive query takes one level a step; a chain ends at a parent that is missing or no object. Give it distinct
+    chains: Spark ends a recursion after 100 levels, or ``spark.sql.cteRecursionRowLimit`` rows (a million).
+    """
+    return chains.sparkSession.sql(
+        """
+        WITH RECURSIVE walk(chain, node, depth) AS (
+          SELECT chain, chain_node, 1 FROM {chains} WHERE schema_of_variant(chain_node) LIKE 'OBJECT%'
+          UNION ALL
+          SELECT chain, try_variant_get(node, '$.parentCategory', 'variant'), depth + 1 FROM walk
+          WHERE schema_of_variant(try_variant_get(node, '$.parentCategory', 'variant')) LIKE 'OBJECT%'
+        )
+        SELECT chain, depth, try_variant_get(node, '$.id', 'string') AS id, try_variant_get(node, '$.slug', 'string') AS slug FROM walk""",
+        chains=chains,
+    )
+
+
+def in_category_of_any_depth(raw: DataFrame, ids: list[str], slugs: list[str]) -> DataFrame:
+    """``in_category`` for records whose ``primaryCategory`` and ``categories`` are variants, so that parents may nest to any depth.
+
+    Products share few categories: chains are told apart by their JSON, walked once each, and joined back.
+    """
+    wanted = lambda i, s: F.coalesce(i.isin(ids), F.lit(False)) | F.coalesce(squeeze(s).isin(slugs), F.lit(False))
+    keyed = raw.withColumn("_chain", F.to_json("primaryCategory"))
+    chains = materialize(keyed.where("_chain IS NOT NULL").select(F.col("_chain").alias("chain")).distinct()).withColumn("chain_node", F.parse_json("chain"))
+    hits = category_nodes(chains).where(wanted(F.col("id"), F.col("slug"))).select(F.col("chain").alias("_chain"), F.lit(True).alias("_hit")).distinct()
+    listed = F.try_variant_get("categories", "$", "array<variant>")
+    of = lambda c, k: F.try_variant_get(c, f"$.{k}", "string")
+    own = F.exists(F.coalesce(listed, F.array().cast("array<variant>")), lambda c: wanted(of(c, "id"), of(c, "slug")))
+    return keyed.join(small(materialize(hits)), "_chain", "left").where(F.col("_hit") | own).select(*raw.columns)
+
+
 def flatten_variants(raw: DataFrame) -> DataFrame:
     """One row a variant; a product without variants keeps its row."""
     return raw.withColumn("one", F.explode_outer("variants")).withColumn("variant", F.coalesce("one", "variant")).drop("one", "variants")

@@ -12,6 +12,12 @@ from pyspark.sql.types import ArrayType, StructType
 
 from shelfspark.functions.text import decode_page, decoded_page
 from shelfspark.schemas import BRANCHES
+from shelfspark.sources.arrays import array_records
+from shelfspark.storage import materialize
+
+
+#: Rows that an export keeps in one file.
+EXPORT_ROWS = 100_000
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -22,12 +28,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def json_array(spark: SparkSession, path: str, schema: str, required: bool = False) -> DataFrame:
     """Rows of a file that holds one JSON array, or an object with ``records`` or ``products``, with their place ``pos``.
 
-    A missing file gives no rows unless it is required.
+    The array is read by as many tasks as Spark splits the file into; a file whose array comes after other keys, or holds no
+    objects at all, is read as one value. A missing file gives no rows unless it is required.
     """
     if not _exists(spark, path) and not required:
         return spark.createDataFrame([], f"{schema}, pos int")
+    kind = StructType.fromDDL(schema)
+    found = array_records(spark, path)
+    if found is not None:
+        return found.select(F.from_json(F.to_json(F.parse_json("text")), kind).alias("row"), "pos").select("row.*", "pos")
     whole = spark.read.text(path, wholetext=True).select(unwrap(F.parse_json("value")).alias("rows"))
-    items = whole.select(F.from_json(F.to_json("rows"), ArrayType(StructType.fromDDL(schema))).alias("rows"))
+    items = whole.select(F.from_json(F.to_json("rows"), ArrayType(kind)).alias("rows"))
     return items.select(F.posexplode("rows").alias("pos", "row")).select("row.*", "pos")
 
 
@@ -38,10 +49,19 @@ def unwrap(v):
 
 
 def write_export(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """One JSON array beside the Parquet layers, for readers outside; layers stay Parquet because an array is one value."""
-    rows = df.select(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order or [])], F.struct(*df.columns).alias("row")).alias("r"))
-    listed = rows.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"]).alias("rows"))
-    listed.select(F.to_json("rows", {"ignoreNullFields": "false", "pretty": "true"})).coalesce(1).write.mode("overwrite").text(path)
+    """One JSON array beside the Parquet layers, for readers outside: a folder of text files that make it up in the order of their names.
+
+    A row is a line, in the given order; tasks hold ranges of rows, and up to ``EXPORT_ROWS`` rows make one file. Only the
+    least place comes to the driver, since a comma stands before every row but the first.
+    """
+    spark = df.sparkSession
+    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    rows = materialize(sorted_.select(line.alias("value"), F.monotonically_increasing_id().alias("at")))
+    first, n = rows.agg(F.min("at"), F.count("*")).first()
+    value = F.when(F.col("at") == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value")
+    whole = rows.select(value, "at").unionByName(spark.createDataFrame([("[", -1), ("]", (1 << 63) - 1)], "value string, at long"))
+    whole.repartitionByRange(1 + n // EXPORT_ROWS, "at").sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
 
 
 def branch_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:

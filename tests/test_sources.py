@@ -71,3 +71,91 @@ def test_variants_become_rows_and_are_counted(spark):
     assert sorted((r.id, r.price, r.discount_amount) for r in rows.collect()) == [("3", None, None), ("a", 4.0, 1.0), ("b", 5.0, 1.0), ("c", None, None)]
     (total,) = silver.counts(rows).collect()
     assert (total.n, total.with_barcodes, total.with_discount, total.with_size) == (4, 3, 2, 3)
+
+
+def _records(n):
+    import random
+
+    rng = random.Random(n)
+    odd = ['}', '{"', '\\', '"', "é{", "a]b", "\n", ",", "🙂", "\\\\", '\\"}']
+    value = lambda: "".join(rng.choice(odd) for _ in range(rng.randrange(6)))
+    return [{"id": str(i), "name": value() * (400 if i % 17 == 5 else 1), "x": [{"y": value()}, {"y": None}], "z": {"k": {}}} for i in range(n)]
+
+
+SCHEMA = "id string, name string, x array<struct<y: string>>"
+
+
+def _plain(rows):
+    return [(r["id"], r["name"], [y["y"] for y in r["x"]], i) for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("shape", ["bare", "pretty", "records", "trailing"])
+def test_one_array_is_read_by_several_tasks(spark, tmp_path, shape):
+    from shelfspark.sources.arrays import array_records
+    from shelfspark.sources.files import json_array
+
+    rows = _records(200)
+    text = {
+        "bare": json.dumps(rows, ensure_ascii=False), "pretty": json.dumps(rows, indent=2), "records": json.dumps({"records": rows, "n": 200, "meta": [{"id": "no"}]}),
+        "trailing": ' { "products" : ' + json.dumps(rows, ensure_ascii=False, indent=1) + ', "more": [{}, {"a": [{"id": "no"}]}] } \n',
+    }[shape]
+    path = str(tmp_path / "rows.json")
+    (tmp_path / "rows.json").write_text(text, encoding="utf-8")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("700b", "5000b", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            if size == "700b":
+                assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() > 20
+                assert array_records(spark, path) is not None
+            got = sorted((r.pos, r.id, r.name, [y.y for y in r.x]) for r in json_array(spark, path, SCHEMA).collect())
+            assert got == [(i, a, b, c) for a, b, c, i in _plain(rows)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_arrays_of_other_kinds(spark, tmp_path):
+    from shelfspark.sources.files import json_array
+
+    read = lambda text: [(r.id, r.pos) for r in (json_array(spark, str(tmp_path / "a.json"), "id string").orderBy("pos").collect() if (tmp_path / "a.json").write_text(text) else [])]
+    assert read("[]") == [] and read('{"records": [ ]}') == []
+    assert read('{"n": 1, "records": [{"id": "a"}]}') == [("a", 0)] and read('[{"id": 7}]') == [("7", 0)]
+    for bad in ('[{"id": 1}, 5, {"id": 2}]', '[{"id": 1}, {"id": ', '[{"id": 1}, {"id": }]', '{"id": 1}', '[{"id": 1}'):
+        with pytest.raises(Exception):  # noqa: B017 - Spark's or Python's own
+            read(bad)
+
+
+def test_export_of_maps_and_of_many_files(spark, tmp_path, monkeypatch):
+    from shelfspark.sources import files
+
+    df = spark.range(500).selectExpr("id", "map('a', struct(id AS v, CAST(NULL AS STRING) AS w)) AS stores_data", "array(id) AS l").repartition(7)
+    expected = [{"id": i, "stores_data": {"a": {"v": i, "w": None}}, "l": [i]} for i in range(500)]
+    for n in (files.EXPORT_ROWS, 100):
+        monkeypatch.setattr(files, "EXPORT_ROWS", n)
+        files.write_export(df, str(tmp_path / f"out{n}"), ["id"])
+        parts = sorted((tmp_path / f"out{n}").glob("part-*"))
+        assert json.loads("".join(p.read_text() for p in parts)) == expected and len(parts) == 1 + 500 // n
+    files.write_export(df.limit(0), str(tmp_path / "none"), ["id"])
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == []
+
+
+def test_category_parents_of_any_depth(spark):
+    from pyspark.sql import functions as F
+
+    from shelfspark.plans.silver import in_category_of_any_depth
+
+    def chain(*slugs):
+        node = None
+        for s in reversed(slugs):
+            node = {"id": len(s), "slug": s} | ({"parentCategory": node} if node is not None else {})
+        return node
+
+    rows = [
+        (1, chain("a", "b", "c", "d", "e", " wanted "), []), (2, chain("a", "b"), [{"slug": "wanted"}]), (3, chain("a", "b", "c", "d", "e", "f", "g"), [5, "x"]),
+        (4, chain(*"abcdefgh", "x" * 99, "y"), None), (5, None, None), (6, "wanted", {"slug": "wanted"}), (7, {"slug": "a", "parentCategory": "wanted"}, [{"id": "99"}]),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(p), json.dumps(c)) for i, p, c in rows], "i long, p string, c string")
+    raw = df.select("i", F.parse_json("p").alias("primaryCategory"), F.parse_json("c").alias("categories"))
+    assert sorted(r.i for r in in_category_of_any_depth(raw, ["99"], ["wanted"]).collect()) == [1, 2, 4, 7]
