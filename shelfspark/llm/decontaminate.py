@@ -5,6 +5,7 @@ canonical tokens are hash-joined with those of the benchmark; an item is found i
 least ``min_containment`` of its distinct windows occur there and, along a well aligned diagonal,
 every slot value of the item stands for one value in the document. Capitals tell names, so each window
 has a second form that takes names as words in lower case: a copy in other letter case is found by it.
+A window with fewer than two words is no template, since any row of numbers would fill it: it keeps its values.
 """
 
 from __future__ import annotations
@@ -60,22 +61,33 @@ def _forms(tokenised: DataFrame, raw: str) -> DataFrame:
     return tokenised.withColumns({"canonical": F.transform(raw, _canonical), "folded": F.transform(raw, _folded)})
 
 
-def _placed(n: int) -> Column:
+def _placed(n: int, raw: str) -> Column:
     """``pos, key, folded`` of all windows of ``n`` tokens: the place and the hashes of both forms."""
-    both = F.arrays_zip(_windows("canonical", n).alias("key"), _windows("folded", n).alias("folded"))
+    both = F.arrays_zip(_windows("canonical", n, raw).alias("key"), _windows("folded", n, raw).alias("folded"))
     return F.transform(both, lambda w, i: F.struct(i.alias("pos"), w["key"].alias("key"), w["folded"].alias("folded")))
 
 
-def _windows(column: str, n: int) -> Column:
+#: Words that make a window a template.
+_TEMPLATE_WORDS = 2
+
+
+def _windows(column: str, n: int, raw: str) -> Column:
     """Hashes of all windows of ``n`` tokens, in order; a shorter text is one window, an empty one none.
 
-    Takes a column's name: an expression here would be computed again for each window.
+    A window with too few words for a template is hashed by its tokens' values. Takes columns' names: an
+    expression here would be computed again for each window.
     """
-    canonical = F.col(column)
-    size = F.size(canonical)
-    one = lambda i: F.xxhash64(*[F.get(canonical, i + k) for k in range(n)])
-    return F.when(size == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), one)
+    form, literal = F.col(column), F.col(raw)
+    size = F.size(form)
+    part = lambda tokens, i: [F.get(tokens, i + k) for k in range(n)]
+    template = lambda i: F.xxhash64(*part(form, i))
+    values = lambda i: F.xxhash64(*[_value(x) for x in part(literal, i)])
+    worded = lambda i: sum((F.coalesce((x > _UNIT).cast("int"), F.lit(0)) for x in part(form, i)), F.lit(0)) >= _TEMPLATE_WORDS
+    at = F.sequence(F.lit(0), F.greatest(size - n, F.lit(0)))
+    # Most texts have too few numbers, names and units for such a window anywhere.
+    rare = (size >= n) & (F.size(F.filter(form, lambda x: x <= _UNIT)) <= n - _TEMPLATE_WORDS)
+    return F.when(size == 0, F.array().cast("array<bigint>")).when(rare, F.transform(at, template)).otherwise(
+        F.transform(at, lambda i: F.when(worded(i), template(i)).otherwise(values(i)))
     )
 
 
@@ -84,7 +96,8 @@ def contamination(
 ) -> DataFrame:
     """Leaks, a row for each (doc_id, item_id): ``n_windows, n_hit, containment, n_slots, n_changed, kind``.
 
-    A window counts once, whether its canonical or its folded form occurs in the document.
+    A window counts once, whether its canonical or its folded form occurs in the document; one with fewer than two words
+    (rows of numbers) only with its own values.
     ``kind`` is ``verbatim`` or, where slots hold other values than the item's, ``reparameterised``. Within a document
     one value stands for one value of the item, and unlike names or units stay unlike; numbers may meet.
     Null texts count as empty. An item of fewer than ``min_words`` tokens is found in a document that holds
@@ -95,7 +108,7 @@ def contamination(
     """
     searched = materialize(benchmark.where(F.col("item_id").isNotNull()).select("item_id", tokens(F.col("text")).alias("raw")))
     items = searched.where(F.size("raw") >= min_words)
-    b = _forms(items, "raw").select("item_id", F.explode(_placed(n)).alias("w"))
+    b = _forms(items, "raw").select("item_id", F.explode(_placed(n, "raw")).alias("w"))
     # A window's key is its canonical form; either form finds it.
     forms = F.explode(F.array_distinct(F.array("w.key", "w.folded")))
     item_windows = materialize(b.select("item_id", F.col("w.pos").alias("item_pos"), F.col("w.key").alias("key"), forms.alias("window")))
@@ -108,7 +121,7 @@ def contamination(
     shorter = sorted(row[0] for row in items.select(length).where((length > 0) & (length < n)).distinct().collect())
 
     found = _forms(source.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw").select(
-        "doc_id", F.explode(F.array_distinct(F.concat(*[_windows(c, k) for k in (n, *shorter) for c in ("canonical", "folded")]))).alias("window")
+        "doc_id", F.explode(F.array_distinct(F.concat(*[_windows(c, k, "doc_raw") for k in (n, *shorter) for c in ("canonical", "folded")]))).alias("window")
     )
     hits = (
         found.join(small(distinct), "window").groupBy("doc_id", "item_id").agg(F.count_distinct("key").alias("n_hit"))
@@ -123,7 +136,7 @@ def contamination(
     likely_docs = source.join(small(likely.select("doc_id").distinct()), "doc_id", "left_semi")
     again = (
         _forms(likely_docs.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw")
-        .select("doc_id", "doc_raw", F.explode(F.concat(*[_placed(k) for k in (n, *shorter)])).alias("w"))
+        .select("doc_id", "doc_raw", F.explode(F.concat(*[_placed(k, "doc_raw") for k in (n, *shorter)])).alias("w"))
         .select("doc_id", "doc_raw", F.col("w.pos").alias("doc_pos"), F.col("w.key").alias("doc_key"), F.explode(F.array_distinct(F.array("w.key", "w.folded"))).alias("window"))
     )
     part = lambda raw, at: F.slice(raw, F.col(at) + 1, n)

@@ -1,7 +1,7 @@
 """Exact top-k inner products by an impact-ordered, score-at-a-time index.
 
-Vectors are dealt to shards, and each shard is indexed once: the components of a dimension are posted by
-quantised impact (their size in steps of the shard's largest), so a posting segment holds the rows
+Vectors are dealt to shards, and each shard is indexed for a range of queries: the components of a dimension are posted by
+quantised impact (their size on a logarithmic scale down from the shard's largest), so a posting segment holds the rows
 of one dimension and impact. A block of queries takes up segments by descending impact over all dimensions.
 It adds them to approximate scores and stops when what is left and the rounding of impacts can't lift
 any row outside a set of possible members to a query's k-th score, and scoring that set is cheaper than going on.
@@ -20,19 +20,22 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm.util import materialize, mapped
 
-#: Vectors of a shard and queries of a block: what one task holds.
-SHARD, QUERY_BLOCK = 16384, 256
+#: Vectors of a shard and queries of a block, and blocks that a task answers with one index.
+SHARD, QUERY_BLOCK, BLOCKS = 16384, 256, 64
 
-#: Steps of quantised impact, and the share of postings after which queries look for their proof.
-LEVELS, LOOK = 32, 0.2
+#: Steps of quantised impact, each so much smaller than the one before, and the share of postings after which queries look for their proof.
+LEVELS, FALL, LOOK = 64, 2**0.25, 0.1
+
+#: Lengths of vectors stay below, so that no inner product leaves a long.
+LONGEST = 2.0**31
 
 
 class ImpactIndex:
     """One shard: integer vectors (rows of one length) and their postings by descending quantised impact.
 
     ``segments[l]`` lists, for impact ``LEVELS - l``, (dimension, rows with a positive component, rows with a
-    negative one). A component of impact ``i`` has a size in ((i - 1) * step, i * step] and counts as the middle;
-    zeros aren't posted. ``rest[l]`` is, for each row, the length of what its postings down to that level leave
+    negative one). A component there has a size in (bounds[l + 1], bounds[l]] and counts as the middle; zeros
+    aren't posted. ``rest[l]`` is, for each row, the length of what its postings down to that level leave
     out: the unseen components and the rounding of the seen ones. By Cauchy-Schwarz a row's score lies
     within ``rest * |query|`` of its sum.
     """
@@ -43,13 +46,16 @@ class ImpactIndex:
         n, dims = self.vectors.shape
         x = self.vectors.astype(float)
         size = np.abs(x)
-        self.top = size.max(axis=0, initial=0)
-        self.step = max(float(self.top.max(initial=0)), 1.0) / LEVELS
-        impact = np.minimum(np.ceil(size / self.step), LEVELS).astype(np.int16)
+        bounds = max(float(size.max(initial=0)), 1.0) * FALL ** -np.arange(LEVELS + 1.0)
+        bounds[-1] = 0
+        self.middle = (bounds[:-1] + bounds[1:]) / 2
+        #: No posting counts for more than this in its dimension.
+        self.top = np.maximum(size.max(axis=0, initial=0), bounds[-2]) * FALL
+        level_of = (np.searchsorted(-bounds, -size.ravel(), side="right") - 1).astype(np.int16).reshape(n, dims)
         self.segments: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(LEVELS)]
         for d in range(dims):
-            by = np.argsort(-impact[:, d], kind="stable").astype(np.int32)
-            cuts = np.searchsorted(-impact[by, d], np.arange(-LEVELS, 1))
+            by = np.argsort(level_of[:, d], kind="stable").astype(np.int32)
+            cuts = np.searchsorted(level_of[by, d], np.arange(LEVELS + 1))
             for level, (start, end) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if end > start:
                     rows = by[start:end]
@@ -61,13 +67,13 @@ class ImpactIndex:
         self.touched = 0
         self.rest = np.zeros((LEVELS, n), np.float32)
         squares = (x * x).sum(axis=1)
+        length = np.sqrt(squares)
         for level, segments in enumerate(self.segments):
-            middle = (LEVELS - level - 0.5) * self.step
             for d, up, down in segments:
                 for rows in (up, down):
-                    squares[rows] += (size[rows, d] - middle) ** 2 - size[rows, d] ** 2
+                    squares[rows] += (size[rows, d] - self.middle[level]) ** 2 - size[rows, d] ** 2
             # Rounded up, as sums in single precision and the differences above may err.
-            self.rest[level] = np.sqrt(np.maximum(squares, 0)) * (1 + 1e-6) + 1e-6 * np.sqrt((x * x).sum(axis=1))
+            self.rest[level] = np.sqrt(np.maximum(squares, 0)) * (1 + 1e-6) + 1e-6 * length
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query ids and scores of the k best rows but ``own``, ties to the smaller id."""
@@ -82,7 +88,7 @@ class ImpactIndex:
         open_ = np.arange(m)
         looked = self.vectors.size
         for level in range(LEVELS):
-            middle = np.float32((LEVELS - level - 0.5) * self.step)
+            middle = np.float32(self.middle[level])
             asked = queries[open_].astype(np.float32)
             for d, up, down in self.segments[level]:
                 add = asked[:, d] * middle
@@ -132,23 +138,31 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
     Components become floor(scale * x) with x as double. Vectors that are null or hold null or non-finite
     components take no part, nor do null ids; vectors of another length than the query's are no
     candidates. Rows of one id are the first in order. Fewer than k candidates give them all; an empty
-    table gives no rows; other columns are ignored.
+    table gives no rows; other columns are ignored. Vectors of scaled length 2^31 or more take no part, as their inner
+    products might leave a long.
 
-    Each shard is one key: its vectors are read first and indexed, then query blocks are answered one after
-    another. The k best of each shard are merged by a window over (query, shards) rows.
+    A shard and a range of query blocks are one key, so a task's work is bounded: its vectors are read first and indexed,
+    then blocks are answered one after another. The k best of each shard are merged by a window over (query, shards) rows.
     """
     clean = materialize(
         vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL")
         .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
         .where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
+        .where(F.aggregate("x", F.lit(0.0), lambda s, v: s + (F.abs(v) * scale + 1) * (F.abs(v) * scale + 1)) < LONGEST**2)
         .select("vec_id", F.transform("x", lambda v: F.floor(v * scale)).alias("x"))
         .groupBy("vec_id")
         .agg(F.min("x").alias("x"))
         .withColumn("dims", F.size("x"))
     )
-    sizes = {r["dims"]: r["n"] for r in clean.groupBy("dims").agg(F.count("*").alias("n")).collect()}
-    shards = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, -(-n // SHARD))]), "dims"), F.lit(1)) if sizes else F.lit(1)
-    index = clean.select("dims", F.pmod(F.xxhash64("vec_id"), shards).cast("int").alias("shard"), F.lit(0).alias("turn"), "vec_id", "x", F.lit(None).cast("binary").alias("block"))
+    mine = F.col("vec_id") % every == 0
+    sizes = clean.groupBy("dims").agg(F.count("*").alias("n"), F.count_if(mine).alias("m")).collect()  # as many rows as lengths
+    by_dims = lambda f: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["dims"], f(r))]), "dims"), F.lit(1)) if sizes else F.lit(1)
+    shards = by_dims(lambda r: -(-r["n"] // SHARD))
+    ranges = by_dims(lambda r: max(1, -(-r["m"] // (QUERY_BLOCK * BLOCKS))))
+    index = clean.select(
+        "dims", F.pmod(F.xxhash64("vec_id"), shards).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), (ranges - 1).cast("int"))).alias("range"),
+        F.lit(0).alias("turn"), "vec_id", "x", F.lit(None).cast("binary").alias("block"),
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,9 +174,9 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
                 blocks = [_pack(ids[a : a + QUERY_BLOCK], x[a : a + QUERY_BLOCK]) for a in starts]
                 yield pa.RecordBatch.from_arrays([pa.array([d] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], ["dims", "block"])
 
-    asked = clean.where(F.col("vec_id") % every == 0).transform(mapped(pack, "dims int, block binary"))
+    asked = clean.where(mine).transform(mapped(pack, "dims int, block binary"))
     asked = asked.select(
-        "dims", F.explode(F.sequence(F.lit(0), (shards - 1).cast("int"))).alias("shard"), F.lit(1).alias("turn"),
+        "dims", F.explode(F.sequence(F.lit(0), (shards - 1).cast("int"))).alias("shard"), F.pmod(F.xxhash64("block"), ranges).cast("int").alias("range"), F.lit(1).alias("turn"),
         F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<bigint>").alias("x"), "block",
     )
 
@@ -172,13 +186,13 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = np.stack([batch.column(c).to_numpy() for c in ("dims", "shard", "turn")])
+            columns = np.stack([batch.column(c).to_numpy() for c in ("dims", "shard", "range", "turn")])
             cuts = [0, *(np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                dims, shard, turn = columns[:, start].tolist()
+                dims, shard, part, turn = columns[:, start].tolist()
                 piece = batch.slice(start, end - start)
-                if (dims, shard) != key:
-                    key, index, held = (dims, shard), None, []
+                if (dims, shard, part) != key:
+                    key, index, held = (dims, shard, part), None, []
                 if turn == 0:
                     held.append((piece.column("vec_id").to_numpy(), _matrix(piece, "x", dims) if dims else np.zeros((piece.num_rows, 0), np.int64)))
                     continue
@@ -194,7 +208,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float
                     arrays = [np.repeat(data[:m], sizes), *(np.concatenate([f[i] for f in found]) for i in range(2))]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], ["query_id", "vec_id", "score"])
 
-    found = index.unionByName(asked).repartition("dims", "shard").sortWithinPartitions("dims", "shard", "turn").transform(
+    found = index.unionByName(asked).repartition("dims", "shard", "range").sortWithinPartitions("dims", "shard", "range", "turn").transform(
         mapped(run, "query_id long, vec_id long, score long")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
