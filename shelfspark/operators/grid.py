@@ -49,9 +49,13 @@ def _cells(df: DataFrame, prefix: str, axes: list[Axis], others: list[int]) -> D
     return df.withColumns({"_a": F.col(left), "_b": F.col(right)}).drop("_own", "_other")
 
 
-def _masks(df: DataFrame, prefix: str, axes: list[Axis]) -> list[int]:
-    own = sum((F.when(axis.band(prefix).isNotNull(), 1 << i).otherwise(0) for i, axis in enumerate(axes)), F.lit(0))
-    return sorted(r[0] for r in df.select(own.alias("m")).distinct().collect())  # at most two to the number of axes
+def _masks(a: DataFrame, b: DataFrame, axes: list[Axis]) -> tuple[list[int], list[int]]:
+    """Which axes are known together in the rows of either side: at most two to the number of axes."""
+    if not axes:
+        return [0], [0]
+    own = lambda p: sum((F.when(axis.band(p).isNotNull(), 1 << i).otherwise(0) for i, axis in enumerate(axes)), F.lit(0))
+    found = a.select(F.lit("a").alias("side"), own("a").alias("m")).union(b.select(F.lit("b"), own("b"))).distinct().collect()
+    return sorted(r.m for r in found if r.side == "a"), sorted(r.m for r in found if r.side == "b")
 
 
 def grid_join(a: DataFrame, b: DataFrame, alike: list[str], axes: list[Axis], row: str, residual: Column, pairs: int = PAIRS) -> DataFrame:
@@ -62,7 +66,7 @@ def grid_join(a: DataFrame, b: DataFrame, alike: list[str], axes: list[Axis], ro
     its pairs need, and a cell of more than ``pairs`` pairs is dealt out, a's rows by ``row`` and b's to each part.
     Both sides should be cheap to read, as they are read for the count and for the join.
     """
-    masks_a, masks_b = _masks(a, "a", axes), _masks(b, "b", axes)
+    masks_a, masks_b = _masks(a, b, axes)
     a, b = _cells(a, "a", axes, masks_b), _cells(b, "b", axes, masks_a)
     keys = [f"_key{i}" for i in range(len(alike))]
     cell = [*keys, "_a", "_b", *[f"_band{i}" for i in range(len(axes))]]
@@ -71,11 +75,10 @@ def grid_join(a: DataFrame, b: DataFrame, alike: list[str], axes: list[Axis], ro
 
     counted = a.groupBy(*cell).agg(F.count("*").alias("_n")).join(b.groupBy(*cell).agg(F.count("*").alias("_m")), cell)
     cells = counted.select(*cell, (F.col("_n") * F.col("_m")).alias("_pairs"))
-    heavy = materialize(cells.groupBy((F.col("_pairs") > pairs).alias("_heavy"), *[F.when(F.col("_pairs") > pairs, F.col(c)).alias(c) for c in cell]).agg(F.sum("_pairs").alias("_pairs")))
-    total = heavy.agg(F.sum("_pairs"), F.max("_heavy")).first()
-    parts = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total[0] or 0) // pairs))
-    if total[1]:
-        hot = small(heavy.where("_heavy").select(*cell, F.ceil(F.col("_pairs") / pairs).cast("int").alias("_parts")))
+    total, most = cells.agg(F.coalesce(F.sum("_pairs"), F.lit(0)), F.coalesce(F.max("_pairs"), F.lit(0))).first()
+    parts = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // pairs))
+    if most > pairs:
+        hot = small(materialize(cells.where(F.col("_pairs") > pairs).select(*cell, F.ceil(F.col("_pairs") / pairs).cast("int").alias("_parts"))))
         n = F.coalesce("_parts", F.lit(1))
         a = a.join(hot, cell, "left").withColumn("_part", F.pmod(F.xxhash64(f"a_{row}"), n).cast("int")).drop("_parts")
         b = b.join(hot, cell, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts")

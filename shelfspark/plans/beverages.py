@@ -72,7 +72,7 @@ def code_edges(featured: DataFrame) -> DataFrame:
     """``a_uid, b_uid, tier`` of compatible products of two stores with a common barcode, by an equi-join on it."""
     a, b = (side.withColumn(f"{p}_code", F.explode(f"{p}_codes")) for p, side in zip("ab", both_sides(featured, _FEATURES), strict=True))
     exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible()
-    return grid_join(a, b, ["code"], [_SIZE, _PRICE], "uid", exact).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier")).distinct()
+    return grid_join(a, b, ["code"], [], "uid", exact).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier")).distinct()
 
 
 def brand_edges(featured: DataFrame) -> DataFrame:

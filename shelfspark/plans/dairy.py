@@ -57,7 +57,8 @@ def profiles(products: DataFrame) -> DataFrame:
     df = products.withColumns(
         {"words": text.dairy_text(text.full_text(F.col("name_en"), F.col("name_ar"))), "label": text.dairy_text(name), "dairy_brand": text.dairy_brand(F.col("brand"))}
     )
-    df = df.withColumn("family", text.first_rule(F.col("words"), tables.FAMILIES))
+    # Written after each step: Spark would otherwise make one projection of all rules, too large for generated code.
+    df = materialize(df).withColumn("family", text.first_rule(F.col("words"), tables.FAMILIES))
     words, family = F.col("words"), F.col("family")
     fields = [F.col("dairy_brand").alias("brand"), family.alias("family")]
     for key, rules in tables.ATTRIBUTES.items():
@@ -72,9 +73,9 @@ def profiles(products: DataFrame) -> DataFrame:
     some = F.size(flavours) > 0
     fields.append(F.when(some, flavours).when(words.rlike(f"(?U){tables.PLAIN}"), F.array(F.lit("plain"))).alias("flavor"))
     fields.append(F.when(some | words.rlike(f"(?U){tables.FLAVOURED}"), True).alias("flavored"))
+    df = materialize(df.withColumn("attrs", F.struct(*fields)))
     return (
-        df.withColumn("attrs", F.struct(*fields))
-        .withColumn("attrs", F.struct("attrs.*", *_packed(F.col("attrs"))))
+        df.withColumn("attrs", F.struct("attrs.*", *_packed(F.col("attrs"))))
         .withColumn(
             "package",
             size.dairy_package(
