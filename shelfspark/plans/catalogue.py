@@ -442,6 +442,129 @@ def html_json_extract(spark, sf):
     return found.select("page_id", F.variant_get("p", "$.id", "bigint").alias("product_id"), F.variant_get("p", "$.name", "string").alias("name"))
 
 
+# ---------------------------------------------------------------- raw records to silver
+
+
+def _percent(amount: str, whole: str) -> str:
+    return f"({amount}) / ({whole}) * 100"
+
+
+@_query(
+    f"""
+    WITH v AS (
+      SELECT p_partkey AS pos, 0 AS i, 'v' || p_partkey AS id, p_name AS title, p_brand AS brand, '0062810' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS code,
+        p_partkey % 5 = 0 AS weighed, p_partkey % 3 = 0 AS arabic, p_size AS size,
+        CASE WHEN p_partkey % 5 = 0 THEN p_retailprice * 2 ELSE p_retailprice END AS now,
+        CASE WHEN p_partkey % 5 = 0 THEN p_retailprice * 2 + 10 WHEN p_partkey % 2 = 0 THEN p_retailprice + 25.5 ELSE p_retailprice END AS then_ FROM part
+      UNION ALL
+      SELECT p_partkey, 1, 'v' || (p_partkey + 1), p_name, p_brand, '7', false, p_partkey % 3 = 0, p_size, CAST(1.5 AS DOUBLE), CAST(NULL AS DOUBLE) FROM part WHERE p_partkey % 7 = 0),
+    w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos, i) AS place FROM v) WHERE place = 1),
+    r AS (SELECT *, {_exact2("now")} AS price, {_exact2("then_")} AS original_price FROM w),
+    d AS (SELECT *, CASE WHEN original_price > price THEN original_price - price END AS less FROM r),
+    a AS (SELECT *, {_exact2("less")} AS discount_amount FROM d),
+    q AS (SELECT *, {_percent("discount_amount", "original_price")} AS part FROM a)
+    SELECT id, CASE WHEN NOT arabic THEN title END AS name_en, CASE WHEN arabic THEN title END AS name_ar, brand, CASE WHEN code = '7' THEN code ELSE code || ',' || ltrim(code, '0') END AS barcodes,
+      price, original_price, discount_amount, {_exact2("part")} AS discount_percentage, CAST(CASE WHEN weighed THEN 1000 ELSE size END AS DOUBLE) AS total_size_value, 'g' AS size_unit, weighed AS is_weighted
+    FROM q"""
+)
+def silver_panda(spark, sf):
+    """Parts as one retailer's raw records: varieties, weighed ones with a 1 kg option, repeated ids, two locales."""
+    from shelfspark.plans import silver
+
+    s = lambda c: c.cast("string")
+    key, price = F.col("p_partkey"), F.col("p_retailprice")
+    option = F.struct(
+        F.lit("1").alias("quantity_value"), F.lit("1 KG").alias("quantity_name"), s(price * 2).alias("price"), s(price * 2 + 10).alias("undiscounted_price")
+    )
+    none = F.array().cast("array<struct<quantity_value:string,quantity_name:string,price:string,undiscounted_price:string>>")
+
+    def variety(i, code, now, before, weighed):
+        return F.struct(
+            F.lit(None).cast("string").alias("id"), F.concat(F.lit("v"), s(i)).alias("sku"), F.lit(None).cast("string").alias("description"), code.alias("barcode"),
+            s(now).alias("price"), s(before).alias("undiscounted_price"), s(F.col("p_size")).alias("size"), F.lit("g").alias("unit"), weighed.alias("wighted"),
+            F.lit(None).cast("string").alias("weighted_interval"), F.when(weighed, F.array(option)).otherwise(none).alias("weighted_options"),
+            F.lit(None).cast("string").alias("imageURL"), F.array().cast("array<string>").alias("images"),
+        )
+
+    own = variety(
+        key, F.concat(F.lit("0062810"), F.lpad(s(key), 7, "0")), price, F.when(key % 2 == 0, price + 25.5).otherwise(price), key % 5 == 0
+    )
+    other = variety(key + 1, F.lit("7"), F.lit(1.5), F.lit(None).cast("double"), F.lit(False))
+    raw = _t(spark, sf, "part").select(
+        s(key).alias("id"), F.col("p_name").alias("name"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.when(key % 3 == 0, "ar").otherwise("en").alias("_source_locale"),
+        F.when(key % 7 == 0, F.array(own, other)).otherwise(F.array(own)).alias("varieties"), key.alias("pos"),
+    )
+    rows = silver.panda(raw, F.lit("beverages"))
+    return rows.select(
+        "id", "name_en", "name_ar", "brand", F.array_join("barcodes", ",").alias("barcodes"), "price", "original_price", "discount_amount", "discount_percentage", "total_size_value", "size_unit", "is_weighted"
+    )
+
+
+@_query(
+    f"""
+    WITH v AS (
+      SELECT 't' || p_partkey || CASE WHEN p_partkey % 4 = 0 THEN 'a' ELSE '' END AS id, p_partkey, p_name || ' ' || p_size || ' ML' AS name_en, p_brand AS brand, p_retailprice AS mrp,
+        CASE WHEN p_partkey % 2 = 0 THEN 10.25::DOUBLE ELSE 0 END AS less, p_size FROM part WHERE p_partkey % 6 <> 1
+      UNION ALL SELECT 't' || p_partkey || 'b', p_partkey, p_name || ' ' || p_size || ' ML', p_brand, p_retailprice + 1, 10.25, p_size FROM part WHERE p_partkey % 4 = 0 AND p_partkey % 6 <> 1),
+    r AS (SELECT *, mrp - less AS paid, {_percent("less", "mrp")} AS part FROM v)
+    SELECT id, name_en, brand, {_exact2("paid")} AS price, CASE WHEN less > 0 THEN {_exact2("mrp")} END AS original_price, CASE WHEN less > 0 THEN less END AS discount_amount,
+      CASE WHEN less > 0 THEN {_exact2("part")} END AS discount_percentage, CAST(p_size AS DOUBLE) AS total_size_value, 'ml' AS size_unit FROM r"""
+)
+def silver_tamimi(spark, sf):
+    """Parts as one retailer's raw records: listed prices less discounts, two variants for some, some without a name."""
+    from shelfspark.plans import silver
+
+    s = lambda c: c.cast("string")
+    key, price = F.col("p_partkey"), F.col("p_retailprice")
+    nameless = key % 6 == 1
+    sized = F.concat(s(F.col("p_size")), F.lit(" ML"))
+
+    def variant(mark, mrp, less):
+        return F.struct(
+            F.concat(F.lit("t"), s(key), mark).alias("id"), sized.alias("name"), F.when(~nameless, F.concat_ws(" ", "p_name", sized)).alias("fullName"),
+            F.array().cast("array<string>").alias("barcodes"), F.array().cast("array<string>").alias("images"), F.array(F.struct(s(mrp).alias("mrp"), s(less).alias("discount"))).alias("storeSpecificData"),
+        )
+
+    less = F.when(key % 2 == 0, 10.25).otherwise(0.0)
+    one, two = variant(F.when(key % 4 == 0, "a").otherwise(""), price, less), variant(F.lit("b"), price + 1, F.lit(10.25))
+    raw = _t(spark, sf, "part").select(
+        s(key).alias("id"), F.lit("").alias("name"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.when(key % 4 != 0, one).alias("variant"),
+        F.when(key % 4 == 0, F.array(one, two)).alias("variants"), key.alias("pos"),
+    )
+    rows = silver.tamimi(raw, F.lit("beverages"))
+    return rows.select("id", "name_en", "brand", "price", "original_price", "discount_amount", "discount_percentage", "total_size_value", "size_unit")
+
+
+@_query(
+    f"""
+    WITH v AS (
+      SELECT 'm' || p_partkey AS id, p_name || ' ' || p_size || ' g' AS name_en, CASE WHEN p_partkey % 5 = 0 THEN string_split(p_name, ' ')[1] ELSE p_brand END AS brand, p_size,
+        CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 5 WHEN p_partkey % 2 = 0 THEN p_retailprice ELSE p_retailprice + 5 END AS now,
+        CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 9 END AS then_ FROM part),
+    r AS (SELECT *, {_exact2("now")} AS price, {_exact2("then_")} AS original_price FROM v), d AS (SELECT *, original_price - price AS less FROM r),
+    a AS (SELECT *, {_exact2("less")} AS discount_amount FROM d), q AS (SELECT *, {_percent("discount_amount", "original_price")} AS part FROM a)
+    SELECT id, name_en, brand, price, original_price, discount_amount, {_exact2("part")} AS discount_percentage, CAST(p_size AS DOUBLE) AS total_size_value, 'g' AS size_unit FROM q"""
+)
+def silver_bindawood(spark, sf):
+    """Parts as one retailer's raw records: prices by branch, one of them closed for half of the parts, brands told by the name."""
+    from shelfspark.plans import silver
+
+    s = lambda c: c.cast("string")
+    key, price = F.col("p_partkey"), F.col("p_retailprice")
+    branch = lambda open_, now, before: F.struct(open_.alias("available"), F.lit(None).cast("boolean").alias("in_stock"), s(now).alias("price"), s(before).alias("original_price"))
+    null = F.lit(None).cast("string")
+    raw = _t(spark, sf, "part").select(
+        s(key).alias("objectID"), F.concat(F.lit("m"), s(key)).alias("master_id"), F.concat_ws(" ", "p_name", s(F.col("p_size")), F.lit("g")).alias("full_name_en"), null.alias("name_en"),
+        null.alias("full_name_ar"), null.alias("name_ar"), F.when(key % 5 != 0, F.col("p_brand")).alias("brand_en"), F.lit("").alias("brand_ar"), null.alias("image"),
+        F.array().cast("array<string>").alias("barcodes"), F.lit("1").alias("price"), null.alias("original_price"),
+        F.create_map(
+            F.lit("a"), branch(F.lit(None).cast("boolean"), price + 5, F.when(key % 3 == 0, price + 9)), F.lit("b"), branch(key % 2 == 0, price, F.lit(None).cast("double"))
+        ).alias("inventory_modifiers"), key.alias("pos"),
+    )
+    rows = silver.bindawood(raw, F.lit("dairy_and_eggs"))
+    return rows.select("id", "name_en", "brand", "price", "original_price", "discount_amount", "discount_percentage", "total_size_value", "size_unit")
+
+
 # ---------------------------------------------------------------- dedupe, windows, aggregates
 
 _LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -659,12 +782,42 @@ def beverage_match(spark, sf):
     return beverages.match(_products(spark, sf)).select("product_name_en", "brand", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
 
-@_query()
+# All parts are fresh full fat milk of one size: a pair shares two attributes and no word but those of its part's name.
+_DAIRY_SQL = f"""
+WITH p AS (
+  SELECT {_STORE} || '_' || CAST(p_partkey AS VARCHAR) AS uid, p_partkey AS k, p_partkey % 3 AS s, p_brand AS brand, p_name AS name, p_retailprice AS price,
+    string_split(p_name, ' ') AS w, '62810' || lpad(CAST(p_partkey // 3 AS VARCHAR), 7, '0') AS code FROM part),
+v AS (SELECT *, list_sum([CAST(code[i] AS INTEGER) * CASE WHEN i % 2 = 1 THEN 3 ELSE 1 END FOR i IN range(1, 13)]) % 10 = 0 AS valid FROM p),
+f AS (
+  SELECT a.uid AS a, b.uid AS b, a.s AS s, b.s AS r, CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) / 2 AS sim,
+    CASE WHEN a.code = b.code AND a.valid THEN 4 WHEN a.code = b.code THEN 2 ELSE 1 END AS level
+  FROM v a JOIN v b ON a.brand = b.brand AND a.s < b.s AND (a.code = b.code OR a.name = b.name)),
+e AS (SELECT *, round_even((100 * level + 2 + sim) * 100000, 0) / 100000 AS score, CASE level WHEN 4 THEN CAST(1 AS DOUBLE) WHEN 2 THEN 0.96 ELSE 0.92 END AS sure FROM f),
+x AS (
+  SELECT m.a AS bindawood, m.b AS panda, n.b AS tamimi, m.level * 100.0 + n.level * 100.0 + o.level * 100.0 AS levels,
+    m.score % 100 + n.score % 100 + o.score % 100 AS rests, list_sort([m.score, n.score, o.score]) AS scores,
+    list_sort([m.level, n.level, o.level]) AS kinds, least(m.sure, n.sure, o.sure) AS least_sure
+  FROM e m JOIN e n ON m.a = n.a AND m.s = 0 AND m.r = 1 AND n.r = 2 JOIN e o ON o.a = m.b AND o.b = n.b),
+t AS (
+  -- Two strong pairs share a barcode, and with it the third.
+  SELECT *, CASE WHEN kinds[2] >= 2 THEN kinds[2] ELSE kinds[1] END AS weakest FROM x),
+y AS (SELECT *, CAST(weakest * 1000 + levels + rests AS DOUBLE) AS score FROM t),
+u AS (SELECT *, unnest([bindawood, panda, tamimi]) AS uid FROM y),
+z AS (SELECT *, row_number() OVER g AS i, lead(score) OVER g AS nxt FROM u WINDOW g AS (PARTITION BY uid ORDER BY score DESC, bindawood, panda, tamimi)),
+c AS (
+  SELECT bindawood, panda, tamimi, weakest, least_sure FROM z WHERE i = 1 AND (nxt IS NULL OR score - nxt >= 1) GROUP BY ALL HAVING count(*) = 3)
+SELECT 'fresh full fat milk ' || b.name AS product_name_en,
+  CASE weakest WHEN 4 THEN 'exact_barcode' WHEN 2 THEN 'barcode_body_multifactor' ELSE 'dairy_brand_token' END AS match_tier,
+  CAST(least_sure AS DOUBLE) AS confidence_score, round_even((b.price + q.price + m.price) / 3 * 100, 0) / 100 AS avg_price, CAST(b.k AS VARCHAR) AS anchor
+FROM c JOIN p b ON b.uid = bindawood JOIN p q ON q.uid = panda JOIN p m ON m.uid = tamimi
+"""
+
+
+@_query(_DAIRY_SQL)
 def dairy_match(spark, sf):
-    """Parts as milk; each three neighbours are one product of one brand."""
-    brand = F.concat(F.lit("farm"), F.expr("CAST(id AS BIGINT) div 3").cast("string"))
+    """Parts as milk, over the brands as they are: 25, so each holds a large share of the products."""
     p = _products(spark, sf).withColumns(
-        {"name_en": F.concat(F.lit("fresh full fat milk "), "name_en"), "brand": brand, "total_size_value": F.lit(1000.0), "unit_size_value": F.lit(1000.0)}
+        {"name_en": F.concat(F.lit("fresh full fat milk "), "name_en"), "total_size_value": F.lit(1000.0), "unit_size_value": F.lit(1000.0)}
     )
     return dairy.match(p, "2024-01-01").select("product_name_en", "match_tier", "confidence_score", "price_metrics.avg_price", F.col("stores_data.bindawood.raw_product_id").alias("anchor"))
 
