@@ -67,7 +67,7 @@ def _placed(n: int, raw: str) -> Column:
     return F.transform(both, lambda w, i: F.struct(i.alias("pos"), w["key"].alias("key"), w["folded"].alias("folded")))
 
 
-#: Words that make a window a template.
+#: Words that make a window a template (``_windows`` has the case of two).
 _TEMPLATE_WORDS = 2
 
 
@@ -84,8 +84,10 @@ def _windows(column: str, n: int, raw: str) -> Column:
     values = lambda i: F.xxhash64(*[_value(x) for x in part(literal, i)])
     worded = lambda i: sum((F.coalesce((x > _UNIT).cast("int"), F.lit(0)) for x in part(form, i)), F.lit(0)) >= _TEMPLATE_WORDS
     at = F.sequence(F.lit(0), F.greatest(size - n, F.lit(0)))
-    # Most texts have too few numbers, names and units for such a window anywhere.
-    rare = (size >= n) & (F.size(F.filter(form, lambda x: x <= _UNIT)) <= n - _TEMPLATE_WORDS)
+    # In most texts no window has so few words: the order of marks and words tells.
+    few = "|".join(["m" * (n - 1), *("m" * i + "w" + "m" * (n - 1 - i) for i in range(1, n - 1))])
+    order = F.array_join(F.transform(form, lambda x: F.when(x <= _UNIT, "m").otherwise("w")), "")
+    rare = (size >= n) & ~order.rlike(few)
     return F.when(size == 0, F.array().cast("array<bigint>")).when(rare, F.transform(at, template)).otherwise(
         F.transform(at, lambda i: F.when(worded(i), template(i)).otherwise(values(i)))
     )

@@ -15,7 +15,7 @@ def test_rows_of_numbers_are_leaks_only_with_their_values(spark):
         (1, "Scores were 90 71 15 22 6 in that order."), (2, "The powers " + numbers + " are well known."), (3, table), (4, "1 2 3 4 5 6 7 8 9 10 11 12"), (5, numbers.replace("64", "65")),
         (6, "7 7 7 " + numbers + " 2048 4096"), (7, "On 3 May 12 13 14 15 16"), (8, "Alice Bob Carla Dan Erin Frank Gina"), (9, "x " + numbers.replace(" ", ", ")),
     ]
-    bench = spark.createDataFrame([(7, numbers), (8, "Sum 3 4 5 6 7 8 9"), (9, "Anna Ben Cleo Doris Emil Fritz")], "item_id long, text string")
+    bench = spark.createDataFrame([(7, numbers), (8, "Sum 13 4 25 6 17 8 9"), (9, "Anna Ben Cleo Doris Emil Fritz")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.kind, r.containment) for r in decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
     assert got == dict.fromkeys(((2, 7), (6, 7), (9, 7)), ("verbatim", 1.0))
 
