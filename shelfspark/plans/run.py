@@ -10,18 +10,21 @@ import datetime as dt
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.plans import beverages, benchmark, dairy, produce, silver, warehouse
 from shelfspark.plans.dag import only_run, run_tasks
 from shelfspark.plans.matching import union_stores
 from shelfspark.schemas import BRONZE_BINDAWOOD, BRONZE_PANDA, BRONZE_TAMIMI, REFERENCE_PRICES, STORES
-from shelfspark.sources.files import _exists, branch_files, json_array, write_export
+from shelfspark.sources.files import _exists, branch_files, json_array, replace_folder, write_export
 
 CATEGORIES = ("beverages", "dairy_and_eggs", "fruits_and_vegetables")
 _CLEAN = {"bindawood": (silver.bindawood, BRONZE_BINDAWOOD), "panda": (silver.panda, BRONZE_PANDA), "tamimi": (silver.tamimi, BRONZE_TAMIMI)}
 
+#: Stores whose raw file always holds products: none in it is a failed fetch.
+_NEVER_EMPTY = ("panda",)
+
 #: Stage -> stages it needs: all silver before the matchers, produce before enrichment, all gold before the load.
 DEPENDS = {
     "silver": (), "beverages": ("silver",), "dairy": ("silver",), "produce": ("silver",), "enrich": ("produce",),
@@ -34,6 +37,8 @@ class Run:
 
     def __init__(self, spark: SparkSession, folder: str, run_date: dt.date, database: str = "warehouse_db"):
         self.spark, self.folder, self.date, self.database = spark, folder.rstrip("/"), run_date, database
+        #: What was seen while each silver table was written, by store and category.
+        self.counted: dict[tuple[str, str], dict[str, int]] = {}
 
     def _path(self, *parts: str) -> str:
         return "/".join((self.folder, *parts))
@@ -43,17 +48,34 @@ class Run:
             self.silver_of(store)
 
     def silver_of(self, store: str) -> None:
+        """One store's silver tables. A raw file without products ends the run where a store never has none; the table stays then."""
         clean, schema = _CLEAN[store]
         for category in CATEGORIES:
-            raw = json_array(self.spark, self._path("bronze", store, f"{category}_raw.json"), schema)
-            clean(raw, F.lit(category)).write.mode("overwrite").parquet(self._path("silver", store, category))
+            raw, place = self._path("bronze", store, f"{category}_raw.json"), self._path("silver", store, category)
+            fetched, staged = _exists(self.spark, raw), self._path("silver", store, f"_{category}")
+            seen = Observation()
+            rows = clean(json_array(self.spark, raw, schema), F.lit(category)).observe(seen, *silver.measures())
+            rows.write.mode("overwrite").parquet(staged)
+            counted = seen.get
+            if fetched and not counted["n"] and store in _NEVER_EMPTY:
+                raise ValueError(f"no products found: {store}, {category}")
+            replace_folder(self.spark, staged, place)
+            self.counted[store, category] = counted
 
     def coverage(self) -> DataFrame:
-        """Totals of every silver table and how many rows have barcodes, a discount, a size."""
-        out = None
-        for category in CATEGORIES:
-            own = silver.counts(self._products(category)).withColumn("category", F.lit(category))
-            out = own if out is None else out.unionByName(own)
+        """Totals of every silver table and how many rows have barcodes, a discount, a size.
+
+        Tables that this run has written were counted on the way; others are read.
+        """
+        names = ("n", "with_barcodes", "with_discount", "with_size")
+        ddl = f"store string, {', '.join(f'{n} long' for n in names)}, category string"
+        known = [(store, *[seen[n] for n in names], category) for (store, category), seen in self.counted.items()]
+        out = self.spark.createDataFrame([r for r in known if r[1]], ddl)
+        for store in _CLEAN:
+            for category in CATEGORIES:
+                if (store, category) not in self.counted:
+                    own = silver.counts(self.spark.read.parquet(self._path("silver", store, category)))
+                    out = out.unionByName(own.withColumn("category", F.lit(category)))
         return out
 
     def _products(self, category: str) -> DataFrame:
@@ -104,7 +126,10 @@ class Run:
         self._write("reference", benchmark.enrich(self._records(), self.spark.read.parquet(self._path("gold", "produce"))))
 
     def load(self) -> None:
+        """Branches first, where their files are there, then dimension, references and the day's facts."""
         warehouse.create_tables(self.spark, self.database)
+        if _exists(self.spark, self._path("reference")):
+            self.branches()
         read = lambda n: self.spark.read.parquet(self._path("gold", n))
         gold = warehouse.union_gold(read("dairy"), read("beverages"), read("produce"))
         warehouse.load(self.spark, self.database, gold, warehouse.reference_rows(read("reference")), self.date)

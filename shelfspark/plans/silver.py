@@ -157,11 +157,16 @@ def flatten_variants(raw: DataFrame) -> DataFrame:
     return raw.withColumn("one", F.explode_outer("variants")).withColumn("variant", F.coalesce("one", "variant")).drop("one", "variants")
 
 
-def counts(silver: DataFrame) -> DataFrame:
-    """Totals of a silver table and how many rows have barcodes, a discount, a size."""
-    return silver.groupBy("store").agg(
-        F.count("*").alias("n"),
+def measures() -> list[Column]:
+    """Rows of a silver table and how many of them have barcodes, a discount, a size; for an aggregation or an observation."""
+    return [
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.size("barcodes") > 0).alias("with_barcodes"),
         F.count_if(F.coalesce(F.col("discount_amount") != 0, F.lit(False))).alias("with_discount"),
         F.count_if(F.coalesce(F.col("unit_size_value") != 0, F.lit(False))).alias("with_size"),
-    )
+    ]
+
+
+def counts(silver: DataFrame) -> DataFrame:
+    """Totals of a silver table and how many rows have barcodes, a discount, a size."""
+    return silver.groupBy("store").agg(*measures())

@@ -25,6 +25,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def replace_folder(spark: SparkSession, staged: str, place: str) -> None:
+    """The folder ``staged`` takes the place of ``place``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(place), True)
+    if not files.rename(path(staged), path(place)):
+        raise OSError(f"{staged} could not become {place}")
+
+
 def json_array(spark: SparkSession, path: str, schema: str, required: bool = False) -> DataFrame:
     """Rows of a file that holds one JSON array, or an object with ``records`` or ``products``, with their place ``pos``.
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.plans.run import Run
@@ -44,6 +45,34 @@ def test_two_days(spark, tmp_path):
     assert run.audit().count() == 0
     assert [r.change for r in run.dairy(dry_run=True).collect()] == ["same"]
     assert spark.table("dw_run.fct_price_snapshots").count() == 2 and spark.table("dw_run.dim_matched_products").count() == 1
+    for name, row in (("beverages", drink), ("dairy", milk), ("produce", fruit), ("reference", ref)):
+        (part,) = (tmp_path / "export" / name).glob("part-*") if run.export(name) else ()
+        (out,) = json.loads(part.read_text())
+        assert list(out) == list(row.asDict()) and ("stores_data" not in out or set(out["stores_data"]) == {"bindawood", "panda", "tamimi"})
+    assert sorted((r.store, r.category, r.n, r.with_barcodes) for r in first.coverage().collect()) == sorted((r.store, r.category, r.n, r.with_barcodes) for r in run.coverage().collect())
+    assert len(first.counted) == 9 and not run.counted
+
+
+def test_branches_come_with_the_load_and_no_products_end_a_run(spark, tmp_path):
+    from shelfspark.plans import warehouse
+
+    _bronze(tmp_path)
+    (tmp_path / "reference").mkdir()
+    (tmp_path / "reference" / "a_branches.json").write_text(json.dumps([{"id": 1, "brand": "Big Shop", "LATITUDE": 24.5, "LONGITUDE": 46.5}]))
+    run = Run(spark, str(tmp_path), dt.date(2024, 1, 1), "dw_branches")
+    warehouse.create_tables(spark, "dw_branches")
+    spark.sql("INSERT INTO dw_branches.dim_branches VALUES ('Big_Shop_1', 'Big Shop', 'Riyadh', 'One')")
+    run.silver_of("panda")
+    assert run.counted["panda", "beverages"] == {"n": 1, "with_barcodes": 1, "with_discount": 0, "with_size": 1}
+    (tmp_path / "bronze" / "panda" / "dairy_and_eggs_raw.json").write_text("[]")
+    (tmp_path / "bronze" / "panda" / "fruits_and_vegetables_raw.json").unlink()
+    with pytest.raises(ValueError, match="no products found: panda, dairy_and_eggs"):
+        run.silver_of("panda")
+    assert spark.read.parquet(str(tmp_path / "silver" / "panda" / "dairy_and_eggs")).count() == 1
+    with pytest.raises(Exception, match="gold"):  # noqa: B017 - no gold yet, but branches are done
+        run.load()
+    (row,) = spark.table("dw_branches.dim_branches").collect()
+    assert (row.branch_key, row.latitude, row.longitude) == ("Big_Shop_1", 24.5, 46.5)
 
 
 def test_stream(spark, tmp_path):

@@ -159,3 +159,44 @@ def test_category_parents_of_any_depth(spark):
     df = spark.createDataFrame([(i, json.dumps(p), json.dumps(c)) for i, p, c in rows], "i long, p string, c string")
     raw = df.select("i", F.parse_json("p").alias("primaryCategory"), F.parse_json("c").alias("categories"))
     assert sorted(r.i for r in in_category_of_any_depth(raw, ["99"], ["wanted"]).collect()) == [1, 2, 4, 7]
+
+
+def test_a_service_is_asked_for_what_is_needed(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from shelfspark.sources.service import service
+
+    log = str(tmp_path / "requests")
+    goods = {"tea": [{"id": i, "brand": "A" if i % 5 == 0 else "B", "price": i} for i in range(23)], "milk": [{"id": 100, "brand": "A", "price": 1}], "none": []}
+
+    def fetch(query, offset, limit, filters, fields):
+        with open(log, "a") as f:
+            f.write(json.dumps([query, offset, limit, filters, fields]) + "\n")
+        if query == "broken" and offset >= 4:
+            raise TimeoutError("gone")
+        found = [x for x in goods.get(query, goods["tea"]) if all(x[k] in v for k, v in filters.items())]
+        return {"items": [{k: x[k] for k in fields or x} for x in found[offset : offset + limit]], "count": len(found)}
+
+    def asked():
+        lines = [json.loads(x) for x in (tmp_path / "requests").read_text().splitlines()] if (tmp_path / "requests").exists() else []
+        (tmp_path / "requests").unlink(missing_ok=True)
+        return lines
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(service("shop", fetch, {"hot": ["none", "tea"], "dairy": ["milk"], "bad": ["broken"]}, size=4, per_task=2))
+    read = lambda schema=None: (spark.read.schema(schema) if schema else spark.read).format("shop").load()
+    rows = read().where("category IN ('hot', 'dairy')")
+    assert rows.rdd.getNumPartitions() == 4
+    assert [q[0] for q in asked()] == ["none", "tea", "milk"]
+    got = sorted((r.category, r.page, r.pos, json.loads(r.item)["id"]) for r in rows.collect())
+    assert got == [("dairy", 1, 0, 100), *[("hot", i // 4 + 1, i % 4, i) for i in range(23)]]
+    every = asked()
+    assert {q[0] for q in every} == {"tea", "milk"} and all(q[3:] == [{}, None] for q in every)
+    few = read("category string, page int, id long, brand string").where("category = 'hot' AND brand = 'A'")
+    assert sorted(r.id for r in few.collect()) == [0, 5, 10, 15, 20]
+    less = asked()
+    pages = lambda qs: [q for q in qs if q[0] == "tea" and q[2] == 4]
+    assert len(pages(every)) >= 6 and 2 <= len(pages(less)) < 6 and all(q[3:] == [{"brand": ["A"]}, ["id", "brand"]] for q in less)
+    bad = read().where("category = 'bad'").select("page", "error", F.col("item").isNull().alias("empty")).collect()
+    assert sorted((r.page, r.error, r.empty) for r in bad if r.error) == [(2, "TimeoutError: gone", True), (3, "TimeoutError: gone", True), (5, "TimeoutError: gone", True)]
+    assert sum(r.error is None for r in bad) == 4 and read().where("category = 'nothing'").count() == 0
