@@ -69,14 +69,17 @@ def grid_join(a: DataFrame, b: DataFrame, alike: list[str], axes: list[Axis], ro
     masks_a, masks_b = _masks(a, b, axes)
     a, b = _cells(a, "a", axes, masks_b), _cells(b, "b", axes, masks_a)
     keys = [f"_key{i}" for i in range(len(alike))]
-    cell = [*keys, "_a", "_b", *[f"_band{i}" for i in range(len(axes))]]
+    # Without columns that hold one value: Spark drops those from a join's keys, and then deals its rows out anew.
+    used = [i for i in range(len(axes)) if any(m & n & (1 << i) for m in masks_a for n in masks_b)]
+    cell = [*keys, *(["_a"] if len(masks_a) > 1 else []), *(["_b"] if len(masks_b) > 1 else []), *[f"_band{i}" for i in used]]
     a = a.withColumns({k: F.col(f"a_{c}") for k, c in zip(keys, alike, strict=True)})
     b = b.withColumns({k: F.col(f"b_{c}") for k, c in zip(keys, alike, strict=True)})
 
     counted = a.groupBy(*cell).agg(F.count("*").alias("_n")).join(b.groupBy(*cell).agg(F.count("*").alias("_m")), cell)
     cells = counted.select(*cell, (F.col("_n") * F.col("_m")).alias("_pairs"))
     total, most = cells.agg(F.coalesce(F.sum("_pairs"), F.lit(0)), F.coalesce(F.max("_pairs"), F.lit(0))).first()
-    parts = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // pairs))
+    usual = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, -(-total // pairs))
     if most > pairs:
         hot = small(materialize(cells.where(F.col("_pairs") > pairs).select(*cell, F.ceil(F.col("_pairs") / pairs).cast("int").alias("_parts"))))
         n = F.coalesce("_parts", F.lit(1))
@@ -84,4 +87,7 @@ def grid_join(a: DataFrame, b: DataFrame, alike: list[str], axes: list[Axis], ro
         b = b.join(hot, cell, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts")
         cell = [*cell, "_part"]
     # Dealt out by count: pairs are many where rows are few, so partitions must not be merged by their bytes.
-    return a.repartition(parts, *cell).join(b, cell).drop(*cell).where(residual)
+    # Many pairs of few rows must not become a broadcast join either, which reads the dealt rows where they were made.
+    drop = {*cell, "_a", "_b", *[f"_band{i}" for i in range(len(axes))]}
+    a, b = (df.drop(*(drop - set(cell))) for df in (a, b))
+    return a.repartition(parts, *cell).join(b.hint("merge") if parts > usual else b, cell).drop(*cell).where(residual)
