@@ -45,3 +45,15 @@ def test_top_k_over_ranges_of_queries_and_large_components(spark, monkeypatch):
             best = sorted((-int((kept[q] * x).sum()), i) for i, x in kept.items() if i != q)[:10]
             expected += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
     assert got == sorted(expected)
+
+
+def test_empty_tables_give_no_rows(spark):
+    import public_tokenizers
+
+    from shelfspark.llm import bpe, lm, toxicity
+
+    none = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity_scores(none, labels).count() == 0
+    assert bpe.digests(bpe.encode(none, public_tokenizers.path("word_bpe_49k.json"))).count() == 0
+    assert lm.score_texts(none).count() == 0
