@@ -68,29 +68,67 @@ def tier(a: str = "a", b: str = "b") -> Column:
 _SIZE, _PRICE = Axis("total_size_value", 1 / 0.95), Axis("price", 1.55)
 
 
+def _sides(featured: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join of two stores' products: a is never of the last store, b never of the first."""
+    a, b = both_sides(featured, columns)
+    return a.where(F.col("a_store") != STORES[-1]), b.where(F.col("b_store") != STORES[0])
+
+
 def code_edges(featured: DataFrame) -> DataFrame:
     """``a_uid, b_uid, tier`` of compatible products of two stores with a common barcode, by an equi-join on it."""
-    a, b = (side.withColumn(f"{p}_code", F.explode(f"{p}_codes")) for p, side in zip("ab", both_sides(featured, _FEATURES), strict=True))
+    a, b = (side.withColumn(f"{p}_code", F.explode(f"{p}_codes")) for p, side in zip("ab", _sides(featured, _FEATURES), strict=True))
     exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible()
     return grid_join(a, b, ["code"], [], "uid", exact).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier")).distinct()
 
 
+def tie_keys(side: str) -> Column:
+    """What a product of side a or b shares with each that it may be tied to by its brand: a kind and the values alike.
+
+    ``p``: a barcode prefix and a word; ``f``: a barcode family; ``t``: two words, since an overlap of 0.60 of two words or
+    more takes two. A name of one word meets others by it (``=`` if both are, ``<`` if a's is, ``>`` if b's is).
+    """
+    tokens, n = F.col("tokens"), F.size("tokens")
+    key = lambda *parts: F.concat_ws(" ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    prefixed = F.flatten(F.transform("prefixes", lambda p: F.transform(tokens, lambda t: key("p", p, t))))
+    two = F.flatten(F.transform(tokens, lambda x, i: F.transform(F.slice(tokens, i + 2, n), lambda y: key("t", x, y))))
+    own, other = ("<", ">") if side == "a" else (">", "<")
+    marks = F.when(n == 1, F.array(F.lit("="), F.lit(own))).otherwise(F.array(F.lit(other)))
+    one = F.flatten(F.transform(tokens, lambda t: F.transform(marks, lambda m: key(m, t))))
+    return F.concat(prefixed, F.transform("families", lambda f: key("f", f)), two, one)
+
+
+def _tie_key() -> Column:
+    """Of the keys that a pair with a ``tier`` shares, the one under which it counts."""
+    common = lambda c: F.array_sort(F.array_intersect(f"a_{c}", f"b_{c}"))
+    least = lambda c, i=0: F.get(common(c), F.lit(i))
+    lone = F.when(F.size("a_tokens") == F.size("b_tokens"), "=").when(F.size("a_tokens") == 1, "<").otherwise(">")
+    return (
+        F.when(F.col("tier") == "gs1_prefix_match", F.concat_ws(" ", F.lit("p"), least("prefixes"), least("tokens")))
+        .when(F.col("tier") == "near_barcode_package_match", F.concat_ws(" ", F.lit("f"), least("families")))
+        .when(F.least(F.size("a_tokens"), F.size("b_tokens")) == 1, F.concat_ws(" ", lone, least("tokens")))
+        .otherwise(F.concat_ws(" ", F.lit("t"), least("tokens"), least("tokens", 1)))
+    )
+
+
 def brand_edges(featured: DataFrame) -> DataFrame:
     """``a_uid, b_uid, tier`` of compatible products of two stores with one brand and no common barcode.
 
-    What compatible products must have alike is the join's key: brand, pack, whether a flavour and a diet variant are
-    named. Size and price are the axes of a grid, of which a product without the one still has the other.
+    What tied products must have alike is the join's key: brand, pack, whether a flavour and a diet variant are named, and
+    what ties them (``tie_keys``), so that a brand's products meet only those they are likely tied to. Size and price are the
+    axes of a grid, of which a product without the one still has the other.
     """
     flavoured, diet = text.variant_keys(F.col("variants"))
     keyed = featured.where("norm_brand <> 'unbranded'").select(
-        *_FEATURES, F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet")
-    )
-    alike = ["norm_brand", "pack", "flavoured", "diet"]
-    a, b = both_sides(keyed, [*_FEATURES, *alike[1:]])
+        *_FEATURES, F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet"),
+        tie_keys("a").alias("a_keys"), tie_keys("b").alias("b_keys"),
+    )
+    alike = ["norm_brand", "pack", "flavoured", "diet", "tie"]
+    sides = _sides(keyed, [*_FEATURES, *alike[1:-1], "a_keys", "b_keys"])
+    a, b = (side.withColumn(f"{p}_tie", F.explode(f"{p}_{p}_keys")).drop(f"{p}_a_keys", f"{p}_b_keys") for p, side in zip("ab", sides, strict=True))
     apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
     exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible() & apart
-    tied = grid_join(a, b, alike, [_SIZE, _PRICE], "uid", exact)
-    return tied.withColumn("tier", tier()).where("tier IS NOT NULL").select("a_uid", "b_uid", "tier")
+    tied = grid_join(a, b, alike, [_SIZE, _PRICE], "uid", exact).withColumn("tier", tier()).where("tier IS NOT NULL")
+    return tied.where(F.col("a_tie") == _tie_key()).select("a_uid", "b_uid", "tier")
 
 
 def pair_edges(featured: DataFrame) -> DataFrame:

@@ -81,3 +81,35 @@ def test_packed_attributes_tell_the_same_conflicts(spark):
     )
     found = pairs.groupBy("clash", "named").count().collect()
     assert {(r.clash, r.named) for r in found} == {(True, True), (False, False)}
+
+
+def test_a_brands_products_meet_only_those_they_may_be_tied_to(spark, monkeypatch):
+    from shelfspark.plans import beverages
+    from shelfspark.schemas import STORES
+
+    rng = random.Random(3)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = []
+    for i in range(450):
+        name = " ".join(rng.sample(words[:9], rng.randrange(1, 4)) if i < 90 else rng.sample(words, 3))
+        code = f"6281000{i % 2}{rng.randrange(200):04d}" if i < 90 else f"6281{rng.randrange(10_000):04d}{i:04d}"
+        rows.append((f"{STORES[i % 3]}_{i}", STORES[i % 3], i % 3, i, name, "Brand", [code] if i % 7 else [code, f"9{code}"], 10.0, 1, 500.0, "ml"))
+    df = spark.createDataFrame(rows, "uid string, store string, s int, pos int, name_en string, brand string, barcodes array<string>, price double, pack_qty int, total_size_value double, size_unit string")
+    featured = beverages.features(df.withColumns({"name_ar": F.lit(None).cast("string"), "ord": F.struct(F.col("s").alias("store"), "pos")})).localCheckpoint()
+
+    a, b = both_sides(featured, beverages._FEATURES)
+    apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
+    theta = a.crossJoin(b).where((F.col("a_ord.store") < F.col("b_ord.store")) & beverages.compatible() & apart).withColumn("tier", beverages.tier())
+    expected = sorted(tuple(r) for r in theta.where("tier IS NOT NULL").select("a_uid", "b_uid", "tier").collect())
+    got = sorted(tuple(r) for r in beverages.brand_edges(featured).collect())
+    assert got == expected and len({t for *_, t in got}) == 3
+
+    met = []
+
+    def counted(a, b, alike, axes, row, residual):
+        met.append(grid.grid_join(a, b, alike, axes, row, F.col("a_store") < F.col("b_store")).count())
+        return grid.grid_join(a, b, alike, axes, row, residual)
+
+    monkeypatch.setattr(beverages, "grid_join", counted)
+    beverages.brand_edges(featured)
+    assert met[0] < 450 * 449 / 3 / 4
