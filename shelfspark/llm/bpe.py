@@ -10,8 +10,10 @@ are complete.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -30,9 +32,9 @@ CACHE_LETTERS, CACHE_PAIRS = 600_000, 200_000
 
 _NEVER = 1 << 60
 
-#: Letters at a token's end by which candidates are looked up, and the lengths below that.
+#: Letters at a text's end by which candidates are looked up, and the ends that each of two tables remembers (together about 8 MB).
 _TAIL = 4
-_SHORT = tuple(range(_TAIL - 1, 0, -1))
+CACHE_ENDS = 12_000
 
 #: Characters of words that aren't printable.
 _CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
@@ -41,6 +43,18 @@ _CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _PLAIN_BELOW = "\u0130"
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Without the search for cycles: nothing here makes any, and it would walk through all remembered words again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class TrieEncoder:
     """Encodes words of one BPE vocabulary with word ends (a ``tokenizers`` JSON file)."""
 
@@ -48,7 +62,6 @@ class TrieEncoder:
         with open(path, encoding="utf-8") as f:
             text = f.read()
         spec = json.loads(text)
-        self.library = Tokenizer.from_str(text)
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
@@ -63,6 +76,11 @@ class TrieEncoder:
         self.inner = {s: i for s, i in self.ids.items() if not s.endswith(self.end)}
         self.final = {s[: -len(self.end)]: i for s, i in self.ids.items() if s.endswith(self.end)}
         self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
+        #: End of a text -> lengths of longer tokens that end so, and (length, token) of those within it; both falling.
+        self.inner_ends: dict[str, tuple[tuple[int, ...], tuple[tuple[int, int], ...]]] = {}
+        self.final_ends: dict[str, tuple[tuple[int, ...], tuple[tuple[int, int], ...]]] = {}
+        # Only its normaliser and splits are used, so it gets no vocabulary.
+        self.library = Tokenizer.from_str(json.dumps(spec | {"model": model | {"vocab": {}, "merges": [], "unk_token": None}, "added_tokens": [], "post_processor": None}))
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         # White space as the library's engine has it: U+001C to U+001F are none.
         self.word = regex.compile(splits[0].replace(r"\s", r"\t-\r \x85\p{Z}"))
@@ -102,20 +120,31 @@ class TrieEncoder:
         self.may_follow[left << 32 | right] = found
         return found
 
-    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], sizes: dict[str, tuple[int, ...]]) -> int:
+    def _ends(self, tail: str, table: dict[str, int], sizes: dict[str, tuple[int, ...]], ends: dict) -> tuple:
+        if len(ends) > CACHE_ENDS:
+            ends.clear()
+        own = tuple([(n, table[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in table])
+        found = ends[tail] = (sizes.get(tail, ()), own)
+        return found
+
+    def _last(self, text: str, n: int, states: list[int], table: dict[str, int], sizes: dict[str, tuple[int, ...]], ends: dict) -> int:
         """State of ``text[:n]``, given those of all shorter prefixes."""
         may_follow = self.may_follow
-        for size in sizes.get(text[n - _TAIL : n], _SHORT) if n >= _TAIL else _SHORT:
-            if size > n:
-                continue
-            start = n - size
-            token = table.get(text[start:n])
-            if token is not None:
-                if start == 0:
+        tail = text[n - _TAIL : n] if n > _TAIL else text[:n]
+        longer, own = ends.get(tail) or self._ends(tail, table, sizes, ends)
+        for size in longer:
+            if size <= n and (token := table.get(text[n - size : n])) is not None:
+                if size == n:
                     return token
-                found = may_follow.get(states[start] << 32 | token)
-                if self.follows(states[start], token) if found is None else found:
+                found = may_follow.get(states[n - size] << 32 | token)
+                if self.follows(states[n - size], token) if found is None else found:
                     return token
+        for size, token in own:
+            if size == n:
+                return token
+            found = may_follow.get(states[n - size] << 32 | token)
+            if self.follows(states[n - size], token) if found is None else found:
+                return token
         raise ValueError(f"no token ends {text[:n]!r}")
 
     def learn(self, words: list[str]) -> None:
@@ -123,7 +152,8 @@ class TrieEncoder:
         states: list[int] = [-1]
         before = ""
         names, end, last = self.names, len(self.end), self._last
-        inner, inner_sizes, final, final_sizes = self.inner, self.inner_sizes, self.final, self.final_sizes
+        inner, inner_sizes, inner_ends = self.inner, self.inner_sizes, self.inner_ends
+        final, final_sizes, final_ends = self.final, self.final_sizes, self.final_ends
         for word in sorted(words):
             size = len(word)
             if (token := final.get(word)) is not None:
@@ -137,9 +167,9 @@ class TrieEncoder:
                 shared += 1
             del states[shared + 1 :]
             for n in range(len(states), size):
-                states.append(last(word, n, states, inner, inner_sizes))
+                states.append(last(word, n, states, inner, inner_sizes, inner_ends))
             before = word
-            token = last(word, size, states, final, final_sizes)
+            token = last(word, size, states, final, final_sizes, final_ends)
             out, at = [token], size - (len(names[token]) - end)
             while at > 0:
                 token = states[at]
@@ -183,9 +213,15 @@ class TrieEncoder:
         """Empty the memories of words and pairs."""
         self.known, self.older, self.decoded, self.older_decoded, self.letters = {}, {}, {}, {}, 0
         self.may_follow.clear()
+        self.inner_ends.clear()
+        self.final_ends.clear()
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
         """(ids, decoded text) of each text."""
+        with _no_cycles():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
         rows = [self.pieces(t or "") for t in texts]
         if self.letters > CACHE_LETTERS:
             # Words in use come back from the older generation, the others go.
@@ -208,12 +244,12 @@ class TrieEncoder:
 
 
 def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
-    """For the last ``_TAIL`` characters of tokens the falling lengths of tokens that end so, then the shorter ones."""
+    """For the last ``_TAIL`` characters of longer tokens the falling lengths of tokens that end so."""
     out: dict[str, set[int]] = {}
     for t in tokens:
-        if len(t) >= _TAIL:
+        if len(t) > _TAIL:
             out.setdefault(t[-_TAIL:], set()).add(len(t))
-    return {tail: (*sorted(sizes, reverse=True), *_SHORT) for tail, sizes in out.items()}
+    return {tail: (*sorted(sizes, reverse=True),) for tail, sizes in out.items()}
 
 
 def _byte_names() -> list[str]:

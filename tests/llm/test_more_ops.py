@@ -57,3 +57,26 @@ def test_empty_tables_give_no_rows(spark):
     assert toxicity.toxicity_scores(none, labels).count() == 0
     assert bpe.digests(bpe.encode(none, public_tokenizers.path("word_bpe_49k.json"))).count() == 0
     assert lm.score_texts(none).count() == 0
+
+
+def test_encoding_looks_up_tails_and_leaves_the_collector_alone(monkeypatch):
+    """Tails beyond the memory are looked up anew, the library object holds no second vocabulary, and no search for cycles runs amid a batch."""
+    import gc
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shelfspark.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, library = bpe.TrieEncoder(path), Tokenizer.from_file(path)
+    assert enc.library.get_vocab_size() == 0
+    monkeypatch.setattr(bpe, "CACHE_ENDS", 3)
+    texts = ["Straße naïve thecatinthehat, onoredtion!", "ab abc abcd abcde abcdef", "Ünïcödé ǅungla ﬁn — 日本語 \x01 <|endoftext|> x", None, "a" * 300]
+    seen, learn = [], enc.learn
+    monkeypatch.setattr(enc, "learn", lambda words: (seen.append(gc.isenabled()), learn(words)))
+    assert gc.isenabled()
+    for (ids, decoded), text in zip(enc.encode_batch(texts), texts, strict=True):
+        expected = library.encode(text or "", add_special_tokens=False).ids
+        assert ids == expected and decoded == library.decode(expected, skip_special_tokens=False)
+    assert seen == [False] and gc.isenabled()
