@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 #: Frames of at most this many rows and bytes may be broadcast after both have been measured.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
+#: Size of a batch of wide rows between the JVM and a Python worker.
+BATCH_BYTES = 4_000_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder (a default only in local mode, where that is unset)."""
@@ -33,6 +36,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``BATCH_BYTES`` at most, a row at least (a session setting, changed only where it has Spark's default)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def _bytes(c: Column, kind: T.DataType) -> Column:
     """About the bytes of a value."""
     if isinstance(kind, (T.StringType, T.BinaryType)):

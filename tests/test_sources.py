@@ -200,3 +200,19 @@ def test_a_service_is_asked_for_what_is_needed(spark, tmp_path):
     bad = read().where("category = 'bad'").select("page", "error", F.col("item").isNull().alias("empty")).collect()
     assert sorted((r.page, r.error, r.empty) for r in bad if r.error) == [(2, "TimeoutError: gone", True), (3, "TimeoutError: gone", True), (5, "TimeoutError: gone", True)]
     assert sum(r.error is None for r in bad) == 4 and read().where("category = 'nothing'").count() == 0
+
+
+def test_wide_pages_come_in_bounded_batches(spark):
+    """400 pages of 100 kB are no batch of 40 MB; all their products are found."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from shelfspark.sources import files
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    product = '{"id":1,"name":"n","varieties":[{"id":2}]}'
+    pages = spark.range(0, 400, 1, 1).select("id", F.concat(F.repeat(F.lit("x"), 100_000), F.lit(product)).alias("html"))
+    assert files.embedded_products(pages).select("id").distinct().count() == 400
+    found = pages.mapInPandas(lambda frames: (pd.DataFrame({"n": [int(f["html"].str.len().sum())]}) for f in frames), "n long")
+    assert found.agg(F.max("n")).first()[0] < 8_000_000
