@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import barcode, size, tables, text
 from shelfspark.functions.numbers import close, round2
-from shelfspark.operators.merge import append_history, within_stores
+from shelfspark.operators.dedupe import top_n
 from shelfspark.operators.grid import Axis, grid_join
+from shelfspark.operators.merge import append_history, within_stores
 from shelfspark.operators.triangles import by_part, triangles
 from shelfspark.plans.matching import attach_members, both_sides, gold_columns
 from shelfspark.schemas import STORES
@@ -174,19 +175,27 @@ def _known_family(attrs: Column) -> Column:
     return attrs["known"].bitwiseAND(_long(_field("family"))) != 0
 
 
+#: What tells a pair's evidence, and the measure that matching products have alike.
+_PAIRED, _TOTAL = ("uid", "store", "attrs", "package", "tokens", "codes", "valid"), Axis("total", 1 / 0.98)
+
+
+def _sized(profiled: DataFrame) -> DataFrame:
+    """Products with a unit and a total, without which none matches."""
+    return profiled.where("package.unit IS NOT NULL AND package.total > 0 AND package.total < double('inf')").select(
+        *_PAIRED, F.col("attrs.brand").alias("brand"), F.col("package.unit").alias("unit"), F.col("package.total").alias("total")
+    )
+
+
 def pair_edges(profiled: DataFrame) -> DataFrame:
     """Edges between stores. Branded products pair by brand; a pair with an unbranded side can only pass by a valid
     barcode, so it comes from an equi-join on codes filled to 14 digits.
 
     A match needs equal units and close totals: the unit is part of both joins' key, and the total the axis of their grid.
     """
-    names = ["uid", "store", "attrs", "package", "tokens", "codes", "valid"]
-    sized = profiled.where("package.unit IS NOT NULL AND package.total > 0 AND package.total < double('inf')").select(
-        *names, F.col("attrs.brand").alias("brand"), F.col("package.unit").alias("unit"), F.col("package.total").alias("total")
-    )
+    sized = _sized(profiled)
     a, b = both_sides(sized, sized.columns)
     code = lambda df, p: df.withColumn(f"{p}_code", F.explode(barcode.filled(F.col(f"{p}_valid"))))
-    apart, total = F.col("a_store") < F.col("b_store"), [Axis("total", 1 / 0.98)]
+    apart, total = F.col("a_store") < F.col("b_store"), [_TOTAL]
     branded = lambda df, p: df.where(F.col(f"{p}_brand") != "unbranded")
     by_brand = evidence(grid_join(branded(a, "a"), branded(b, "b"), ["brand", "unit"], total, "uid", apart))
     loose = apart & ((F.col("a_brand") == "unbranded") | (F.col("b_brand") == "unbranded"))
@@ -194,47 +203,49 @@ def pair_edges(profiled: DataFrame) -> DataFrame:
     return by_brand.unionByName(by_code.distinct())
 
 
-def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
-    """Trios of two edges at least that pass all guards, with ``tier, confidence, score``."""
-    store = lambda c: F.substring_index(c, "_", 1)
-    kind = edges.withColumns({"x": store(F.col("a_uid")), "y": store(F.col("b_uid"))})
-    link = {
+def _store(c: Column) -> Column:
+    return F.substring_index(c, "_", 1)
+
+
+def _linked(edges: DataFrame) -> dict[tuple[str, str], DataFrame]:
+    """Edges of each two stores: a column for each store's end and the edge's evidence ``e_x_y``."""
+    kind = edges.withColumns({"x": _store(F.col("a_uid")), "y": _store(F.col("b_uid"))})
+    return {
         (x, y): kind.where((F.col("x") == x) & (F.col("y") == y)).select(
             F.col("a_uid").alias(x), F.col("b_uid").alias(y), F.struct("score", "level", "tier", "confidence").alias(f"e_{x}_{y}")
         )
         for x, y in _PAIRS
     }
-    # All three edges, or two strong ones: a hub's weak edges need not meet one another. Strong edges need a common barcode body.
-    full = by_part(triangles(edges, "a_uid", "b_uid"), store, STORES)
-    strong = {k: v.where(F.col(f"e_{k[0]}_{k[1]}.level") >= 2).select(*k) for k, v in link.items()}
-    wedges = (
-        full
-        .union(strong[_PAIRS[0]].join(strong[_PAIRS[1]], "bindawood").select(*STORES))
-        .union(strong[_PAIRS[0]].join(strong[_PAIRS[2]], "panda").select(*STORES))
-        .union(strong[_PAIRS[1]].join(strong[_PAIRS[2]], "tamimi").select(*STORES))
-        .distinct()
-    )
-    for k, v in link.items():
-        wedges = wedges.join(v, list(k), "left")
-    for s in STORES:
-        own = profiled.where(F.col("store") == s).select(F.col("uid").alias(s), F.col("attrs").alias(f"{s}_attrs"), F.col("package").alias(f"{s}_package"))
-        wedges = wedges.join(own, s)
+
+
+def _strong_wedges(strong: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """Trios of two strong edges at least."""
+    bp, bt, pt = (strong[k].select(*k) for k in _PAIRS)
+    return bp.join(bt, "bindawood").select(*STORES).union(bp.join(pt, "panda").select(*STORES)).union(bt.join(pt, "tamimi").select(*STORES))
+
+
+def _guarded(trios: DataFrame) -> DataFrame:
+    """Trios (with each store's ``_attrs`` and ``_package``) whose pairs don't conflict, and whether they are ``uniform``."""
     clean = F.lit(True)
     for x, y in _PAIRS:
         clean = clean & ~conflicting(F.col(f"{x}_attrs"), F.col(f"{y}_attrs"))
         for hit in _package_rules(F.col(f"{x}_package"), F.col(f"{y}_package")).values():
             clean = clean & ~hit
-    found = F.array_compact(F.array(*[F.col(f"e_{x}_{y}") for x, y in _PAIRS]))
-    df = wedges.where(clean).withColumn("found", found)
-    strong = F.sort_array(F.filter("found", lambda e: e["level"] >= 2), asc=False)
-    df = df.withColumn("strong", strong)
     uniform = F.col("bindawood_attrs.brand") == F.col("panda_attrs.brand")
     uniform = uniform & (F.col("panda_attrs.brand") == F.col("tamimi_attrs.brand"))
     uniform = uniform & F.col("bindawood_attrs.family").eqNullSafe(F.col("panda_attrs.family"))
     uniform = uniform & F.col("panda_attrs.family").eqNullSafe(F.col("tamimi_attrs.family"))
+    return trios.where(clean).withColumn("uniform", uniform)
+
+
+def _weighed(trios: DataFrame) -> DataFrame:
+    """``tier, confidence, score`` of guarded trios with the evidence of their edges (null: none)."""
+    df = trios.withColumn("found", F.array_compact(F.array(*[F.col(f"e_{x}_{y}") for x, y in _PAIRS])))
+    strong = F.sort_array(F.filter("found", lambda e: e["level"] >= 2), asc=False)
+    df = df.withColumn("strong", strong)
     df = df.withColumn(
         "relevant",
-        F.when(F.size("strong") >= 2, F.when(uniform, F.slice("strong", 1, 2))).when(F.size("found") == 3, F.col("found")),
+        F.when(F.size("strong") >= 2, F.when(F.col("uniform"), F.slice("strong", 1, 2))).when(F.size("found") == 3, F.col("found")),
     ).where("relevant IS NOT NULL")
     sure = F.array_min(F.transform("relevant", lambda e: e["confidence"]))
     weakest = F.array_min("relevant")
@@ -247,6 +258,114 @@ def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
     )
 
 
+def candidate_trios(edges: DataFrame, profiled: DataFrame) -> DataFrame:
+    """Trios of two edges at least that pass all guards, with ``tier, confidence, score``."""
+    link = _linked(edges)
+    # All three edges, or two strong ones: a hub's weak edges need not meet one another. Strong edges need a common barcode body.
+    full = by_part(triangles(edges, "a_uid", "b_uid"), _store, STORES)
+    wedges = full.union(_strong_wedges({k: v.where(F.col(f"e_{k[0]}_{k[1]}.level") >= 2) for k, v in link.items()})).distinct()
+    for k, v in link.items():
+        wedges = wedges.join(v, list(k), "left")
+    for s in STORES:
+        own = profiled.where(F.col("store") == s).select(F.col("uid").alias(s), F.col("attrs").alias(f"{s}_attrs"), F.col("package").alias(f"{s}_package"))
+        wedges = wedges.join(own, s)
+    return _weighed(_guarded(wedges))
+
+
+def kinds(profiled: DataFrame) -> DataFrame:
+    """Products that can match, with ``kind``: one for all products of a store whose attributes, package and tokens are equal.
+
+    Whether two products match without a common barcode, and their score then, is told by their kinds.
+    """
+    alike = F.sha2(F.to_json(F.struct("attrs", "package", "tokens")), 256)
+    return _sized(profiled).withColumn("kind", F.concat_ws("_", "store", alike))
+
+
+def kind_edges(first: DataFrame) -> DataFrame:
+    """Edges of level 1 between kinds (``first``: a product of each kind), of which each two products that share no code have the same.
+
+    A similarity of 0.80 takes two thirds of either's tokens, so one of the first n - ceil(2n / 3) + 1 of n sorted tokens is common.
+    """
+    none = F.array().cast("array<string>")
+    n = F.size("tokens")
+    named = first.where("attrs.brand <> 'unbranded'").select(
+        F.col("kind").alias("uid"), "store", "attrs", "package", "tokens", none.alias("codes"), none.alias("valid"), "brand", "unit", "total",
+        F.explode(F.slice("tokens", F.lit(1), n - F.expr("(2 * size(tokens) + 2) div 3").cast("int") + 1)).alias("token"),
+    )
+    a, b = both_sides(materialize(named), named.columns)
+    apart = F.col("a_store") < F.col("b_store")
+    return evidence(grid_join(a, b, ["brand", "unit", "token"], [_TOTAL], "uid", apart)).distinct()
+
+
+def code_edges(sized: DataFrame) -> DataFrame:
+    """Edges of level 2 and more: products that share a code, a valid one filled to 14 digits, or a 13-digit code's body."""
+    body = F.transform(F.filter("codes", lambda c: F.length(c) == 13), lambda c: F.concat(F.lit("b"), F.left(c, F.lit(12))))
+    keys = F.concat(F.transform(barcode.filled(F.col("valid")), lambda c: F.concat(F.lit("f"), c)), F.transform("codes", lambda c: F.concat(F.lit("c"), c)), body)
+    keyed = materialize(sized.select(*_PAIRED, "unit", "total", F.explode(F.array_distinct(keys)).alias("code")))
+    a, b = both_sides(keyed, keyed.columns)
+    found = materialize(evidence(grid_join(a, b, ["code", "unit"], [_TOTAL], "uid", F.col("a_store") < F.col("b_store"))))
+    return found.where("level >= 2").distinct()
+
+
+def leading_trios(profiled: DataFrame) -> DataFrame:
+    """Of ``candidate_trios`` all of two strong edges, and of the others enough for ``reciprocal_best``: each product's two best scores.
+
+    A pair of products has its strong edge, else that of its kinds, so trios without a strong edge score alike throughout three
+    kinds, and trios of one strong edge by its level. A product that has a trio that is left out has two with other members of
+    the same kinds, listed here, that score no less; the best trio of a product that leads by any margin is never left out. So a
+    product is listed with two products of either other kind, a strong edge with two products of a third kind, and the two
+    strongest edges between two kinds with all products of the third: a number of trios in proportion to the products.
+    """
+    members = materialize(kinds(profiled))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("uid"))
+    firsts = materialize(members.withColumn("place", place).where("place <= 2"))
+    weak = materialize(kind_edges(firsts.where("place = 1")))
+    of = members.select("uid", "kind")
+    strong = materialize(
+        code_edges(members).join(of.withColumnsRenamed({"uid": "a_uid", "kind": "a_kind"}), "a_uid").join(of.withColumnsRenamed({"uid": "b_uid", "kind": "b_kind"}), "b_uid")
+    )
+    k = {s: f"{s}_kind" for s in STORES}
+    own = {s: members.where(F.col("store") == s).select(F.col("uid").alias(s), F.col("kind").alias(k[s])) for s in STORES}
+    two = {s: firsts.where(F.col("store") == s).select(F.col("uid").alias(s), F.col("kind").alias(k[s]), F.col("place").alias(f"{s}_place")) for s in STORES}
+    link, kind_link = _linked(strong), {p: e.withColumnsRenamed(k) for p, e in _linked(weak).items()}
+    tied = {
+        (x, y): strong.where((_store(F.col("a_uid")) == x) & (_store(F.col("b_uid")) == y)).select(
+            F.col("a_uid").alias(x), F.col("b_uid").alias(y), F.col("a_kind").alias(k[x]), F.col("b_kind").alias(k[y]), "level"
+        )
+        for x, y in _PAIRS
+    }
+    columns = [*STORES, *k.values()]
+    full = materialize(by_part(triangles(weak, "a_uid", "b_uid"), _store, STORES).withColumnsRenamed(k))
+    out = _strong_wedges(link)
+    for s in STORES:
+        out = out.join(own[s], s)
+    out = out.select(*columns)
+    for x, y in _PAIRS:
+        (z,) = set(STORES) - {x, y}
+        # Two kinds tied by a strong edge and both alike to the third need not be alike themselves.
+        side = lambda s: kind_link[(z, s) if (z, s) in kind_link else (s, z)].select(k[z], k[s])  # noqa: B023, E731
+        mixed = tied[x, y].select(k[x], k[y]).distinct().join(side(x), k[x]).join(side(y), [k[z], k[y]])
+        trios = full.union(mixed.select(*full.columns)).distinct()
+        best = top_n(tied[x, y], [k[x], k[y]], [F.desc("level"), F.col(x), F.col(y)], 2)
+        for edges, third in ((tied[x, y], two[z]), (best, own[z])):
+            out = out.union(edges.join(trios, [k[x], k[y]]).join(third, k[z]).select(*columns))
+        few = full.join(two[x], k[x]).join(two[y], k[y]).where(F.col(f"{x}_place") + F.col(f"{y}_place") <= 3)
+        out = out.union(few.join(own[z], k[z]).select(*columns))
+    out = materialize(out.distinct())
+    threes = out.select(*k.values()).distinct()
+    for s in STORES:
+        threes = threes.join(
+            firsts.where("place = 1").select(F.col("kind").alias(k[s]), F.col("attrs").alias(f"{s}_attrs"), F.col("package").alias(f"{s}_package")), k[s]
+        )
+    threes = _guarded(threes).select(*k.values(), "uniform")
+    for (x, y), e in kind_link.items():
+        threes = threes.join(e.withColumnRenamed(f"e_{x}_{y}", f"w_{x}_{y}"), [k[x], k[y]], "left")
+    out = out.join(materialize(threes), list(k.values()))
+    for (x, y), e in link.items():
+        out = out.join(e, [x, y], "left").withColumn(f"e_{x}_{y}", F.coalesce(f"e_{x}_{y}", f"w_{x}_{y}"))
+    return _weighed(out)
+
+
 def reciprocal_best(trios: DataFrame, margin: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """Accepted trios, and products whose two best trios lie within the margin.
 
@@ -263,8 +382,9 @@ def reciprocal_best(trios: DataFrame, margin: float = 1.0) -> tuple[DataFrame, D
 
 def match(products: DataFrame, run_date: str, previous: DataFrame | None = None) -> DataFrame:
     """Gold rows with price history; raises while read if the quality gate fails."""
-    profiled = materialize(profiles(products))
-    accepted, _ = reciprocal_best(materialize(candidate_trios(materialize(pair_edges(profiled)), profiled)))
+    # Dealt out first: a table of few and small files would be read, and its rules tried, by few tasks.
+    profiled = materialize(profiles(products.repartition("uid")))
+    accepted, _ = reciprocal_best(materialize(leading_trios(profiled)))
     full = attach_members(accepted, profiled, ("package",))
     pack = F.col("bindawood_product.package")
     gold = full.select(

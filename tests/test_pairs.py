@@ -113,3 +113,30 @@ def test_a_brands_products_meet_only_those_they_may_be_tied_to(spark, monkeypatc
     monkeypatch.setattr(beverages, "grid_join", counted)
     beverages.brand_edges(featured)
     assert met[0] < 450 * 449 / 3 / 4
+
+
+def test_leading_trios_decide_as_all_trios_do(spark):
+    from shelfspark.schemas import STORES
+    from shelfspark.storage import materialize
+
+    rng = random.Random(11)
+    # The first code is valid, the second isn't, the third has the first one's body.
+    codes = ["6281000000014", "6281000000015", "6281000000028", "6281000000031"]
+    rows = []
+    for i in range(200):
+        words = rng.sample(["alpha", "beta", "gamma", "delta", "omega"], rng.choice([1, 2, 3])) if i < 110 else ["kappa"]
+        code = rng.choice(codes) if i < 110 and rng.random() < 0.25 else f"628{i:010d}"
+        brand = rng.choice(["Almarai", "Almarai", "Nadec", None]) if i < 110 else f"brand{i % 9}"
+        name = f"{rng.choice(['fresh', 'fresh', 'uht'])} full fat milk {' '.join(words)}"
+        rows.append((f"{STORES[i % 3]}_{i}", STORES[i % 3], name, brand, [code], rng.choice([1000.0, 1000.0, 1010.0, None])))
+    rows += [(f"{s}_x{i}", s, "fresh full fat milk sigma", "Hot", [f"629{i:010d}"], 1000.0) for i in range(120) for s in [STORES[i % 3]]]
+    df = spark.createDataFrame(rows, "uid string, store string, name_en string, brand string, barcodes array<string>, total_size_value double").selectExpr(
+        "*", "CAST(NULL AS STRING) AS name_ar", "'ml' AS size_unit", "total_size_value AS unit_size_value", "1 AS pack_qty"
+    )
+    profiled = materialize(dairy.profiles(df))
+    every, leading = materialize(dairy.candidate_trios(materialize(dairy.pair_edges(profiled)), profiled)), materialize(dairy.leading_trios(profiled))
+    assert leading.join(every, every.columns, "left_anti").count() == 0 and leading.count() == leading.distinct().count()
+    assert leading.count() < 12_000 < 40**3 < every.count()
+    rows_of = lambda frame: sorted(tuple(r) for r in frame.collect())
+    (won, unsure), (won_of, unsure_of) = dairy.reciprocal_best(every), dairy.reciprocal_best(leading)
+    assert rows_of(won_of) == rows_of(won) and rows_of(won) and rows_of(unsure_of) == rows_of(unsure) and len({r.tier for r in won.collect()}) > 1
