@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,20 +84,31 @@ def code_edges(featured: DataFrame) -> DataFrame:
     return grid_join(a, b, ["code"], [], "uid", exact).select("a_uid", "b_uid", F.lit("exact_barcode").alias("tier")).distinct()
 
 
-def tie_keys(side: str) -> Column:
-    """What a product of side a or b shares with each that it may be tied to by its brand: a kind and the values alike.
+def name_keys(side: str) -> Column:
+    """What a product of side a or b shares with each whose words overlap by 0.60: a kind and the values alike.
 
-    ``p``: a barcode prefix and a word; ``f``: a barcode family; ``t``: two words, since an overlap of 0.60 of two words or
-    more takes two. A name of one word meets others by it (``=`` if both are, ``<`` if a's is, ``>`` if b's is).
+    ``t``: two words, since an overlap of 0.60 of two words or more takes two. A name of one word meets others by it
+    (``=`` if both are, ``<`` if a's is, ``>`` if b's is).
     """
     tokens, n = F.col("tokens"), F.size("tokens")
     key = lambda *parts: F.concat_ws(" ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
-    prefixed = F.flatten(F.transform("prefixes", lambda p: F.transform(tokens, lambda t: key("p", p, t))))
     two = F.flatten(F.transform(tokens, lambda x, i: F.transform(F.slice(tokens, i + 2, n), lambda y: key("t", x, y))))
     own, other = ("<", ">") if side == "a" else (">", "<")
     marks = F.when(n == 1, F.array(F.lit("="), F.lit(own))).otherwise(F.array(F.lit(other)))
     one = F.flatten(F.transform(tokens, lambda t: F.transform(marks, lambda m: key(m, t))))
-    return F.concat(prefixed, F.transform("families", lambda f: key("f", f)), two, one)
+    return F.concat(two, one)
+
+
+def code_keys() -> Column:
+    """What a product shares with each that it is tied to by barcode and brand: a prefix and a word (``p``), or a family (``f``)."""
+    key = lambda *parts: F.concat_ws(" ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    prefixed = F.flatten(F.transform("prefixes", lambda p: F.transform("tokens", lambda t: key("p", p, t))))
+    return F.concat(prefixed, F.transform("families", lambda f: key("f", f)))
+
+
+def tie_keys(side: str) -> Column:
+    """What a product of side a or b shares with each that it may be tied to by its brand: a kind and the values alike."""
+    return F.concat(code_keys(), name_keys(side))
 
 
 def _tie_key() -> Column:
@@ -110,6 +124,22 @@ def _tie_key() -> Column:
     )
 
 
+#: What products tied by their brand have alike, the last being one of their keys.
+_ALIKE = ["norm_brand", "pack", "flavoured", "diet", "tie"]
+
+
+def _keyed_sides(rows: DataFrame, columns: list[str], keys: Callable[[str], Column]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join of branded rows: a row for each of its ``keys``, with what else must be alike."""
+    flavoured, diet = text.variant_keys(F.col("variants"))
+    keyed = rows.where("norm_brand <> 'unbranded'").select(
+        *columns, F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet"),
+        keys("a").alias("a_keys"), keys("b").alias("b_keys"),
+    )
+    sides = _sides(keyed, [*columns, *_ALIKE[1:-1], "a_keys", "b_keys"])
+    a, b = (side.withColumn(f"{p}_tie", F.explode(f"{p}_{p}_keys")).drop(f"{p}_a_keys", f"{p}_b_keys") for p, side in zip("ab", sides, strict=True))
+    return a, b
+
+
 def brand_edges(featured: DataFrame) -> DataFrame:
     """``a_uid, b_uid, tier`` of compatible products of two stores with one brand and no common barcode.
 
@@ -117,17 +147,10 @@ def brand_edges(featured: DataFrame) -> DataFrame:
     what ties them (``tie_keys``), so that a brand's products meet only those they are likely tied to. Size and price are the
     axes of a grid, of which a product without the one still has the other.
     """
-    flavoured, diet = text.variant_keys(F.col("variants"))
-    keyed = featured.where("norm_brand <> 'unbranded'").select(
-        *_FEATURES, F.coalesce(F.nullif(F.col("pack_qty"), F.lit(0)), F.lit(1)).alias("pack"), flavoured.alias("flavoured"), diet.alias("diet"),
-        tie_keys("a").alias("a_keys"), tie_keys("b").alias("b_keys"),
-    )
-    alike = ["norm_brand", "pack", "flavoured", "diet", "tie"]
-    sides = _sides(keyed, [*_FEATURES, *alike[1:-1], "a_keys", "b_keys"])
-    a, b = (side.withColumn(f"{p}_tie", F.explode(f"{p}_{p}_keys")).drop(f"{p}_a_keys", f"{p}_b_keys") for p, side in zip("ab", sides, strict=True))
+    a, b = _keyed_sides(featured, _FEATURES, tie_keys)
     apart = ~F.coalesce(F.arrays_overlap("a_codes", "b_codes"), F.lit(False))
     exact = (F.col("a_ord.store") < F.col("b_ord.store")) & compatible() & apart
-    tied = grid_join(a, b, alike, [_SIZE, _PRICE], "uid", exact).withColumn("tier", tier()).where("tier IS NOT NULL")
+    tied = grid_join(a, b, _ALIKE, [_SIZE, _PRICE], "uid", exact).withColumn("tier", tier()).where("tier IS NOT NULL")
     return tied.where(F.col("a_tie") == _tie_key()).select("a_uid", "b_uid", "tier")
 
 
@@ -140,6 +163,77 @@ def pair_edges(featured: DataFrame) -> DataFrame:
     return code_edges(featured).unionByName(brand_edges(featured))
 
 
+#: What tells whether a product is tied to another by brand and words, but its price.
+_ALIKE_CELL = ("store", "norm_brand", "pack_qty", "total_size_value", "size_unit", "variants", "tokens")
+#: Two prices of one band of the logarithm, or of two neighbours, are within the ratio of 1.55.
+_BAND = math.log(1.55) / 2 * 0.999999
+
+
+def price_cells(featured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Branded products as ``uid, price, cell``, and their cells: products of a store that differ in name, package and variants in
+    nothing and whose prices lie in one ``band``.
+
+    ``anyhow`` are cells of products without a price, which go with any price; a price that isn't finite has no band. ``low`` and
+    ``high`` are the least and the largest price, ``low_uid`` and ``high_uid`` their products, ``uid`` any.
+    """
+    price = F.col("price")
+    known = F.coalesce(price > 0, F.lit(False))
+    banded = featured.where("norm_brand <> 'unbranded'").select(
+        "uid", "price", *_ALIKE_CELL, F.col("ord.store").alias("place"), (~known).alias("anyhow"), F.when(known & (price < float("inf")), F.floor(F.log(price) / _BAND)).alias("band")
+    )
+    own = [*_ALIKE_CELL, "place", "anyhow", "band"]
+    members = materialize(banded.withColumn("cell", F.sha2(F.to_json(F.struct(*own)), 256)))
+    at = F.when(F.col("band").isNotNull(), F.struct("price", "uid"))
+    cells = members.groupBy("cell", *own).agg(F.min("uid").alias("uid"), F.min(at).alias("least"), F.max(at).alias("most"))
+    cells = cells.select(
+        "cell", "uid", *own, F.col("least.price").alias("low"), F.col("least.uid").alias("low_uid"), F.col("most.price").alias("high"), F.col("most.uid").alias("high_uid")
+    )
+    return members.select("uid", "price", "cell"), materialize(cells)
+
+
+def name_links(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid``: links that connect the same products as all pairs of one brand whose words overlap by 0.60, and fewer.
+
+    What but the price decides such a pair is alike throughout a cell. If all prices of two cells go together, all their products
+    are connected: each is linked to one of its cell, and those two to each other. Of two cells further apart, the products that reach
+    the nearest price of the other are linked to it.
+    """
+    members, cells = price_cells(featured)
+    c = lambda p, n: F.col(f"{p}_{n}")
+    a, b = _keyed_sides(cells, cells.columns, name_keys)
+    all_near = c("a", "anyhow") | c("b", "anyhow") | F.coalesce(F.abs(c("a", "band") - c("b", "band")) <= 1, F.lit(False))
+    some_near = F.coalesce(numbers.price_ratio_ok(F.greatest("a_low", "b_low"), F.least("a_high", "b_high")), F.lit(False)) & c("a", "band").isNotNull() & c("b", "band").isNotNull()
+    packed = numbers.packages_match(*[c(p, n) for p in "ab" for n in ("pack_qty", "total_size_value", "size_unit")])
+    exact = (c("a", "place") < c("b", "place")) & (all_near | some_near) & packed & ~text.conflicting_variants(c("a", "variants"), c("b", "variants"))
+    exact = exact & (text.overlap_coefficient(c("a", "tokens"), c("b", "tokens")) >= 0.60)
+    met = grid_join(a, b, _ALIKE, [_SIZE, Axis("low", 1.55**1.5)], "cell", exact)
+    ends = [f"{p}_{n}" for p in "ab" for n in ("cell", "uid", "low", "low_uid", "high", "high_uid")]
+    pairs = materialize(met.select(*ends, all_near.alias("all_near")).distinct())
+    whole, part = pairs.where("all_near"), pairs.where("NOT all_near")
+    joined = whole.select(F.col("a_cell").alias("cell"), F.col("a_uid").alias("b_uid")).union(whole.select("b_cell", "b_uid")).distinct()
+    out = whole.select("a_uid", "b_uid").union(members.join(joined, "cell").select(F.col("uid").alias("a_uid"), "b_uid"))
+    upper = F.col("a_low") < F.col("b_low")
+    end = lambda below, n: F.when(upper == below, F.col(f"a_{n}")).otherwise(F.col(f"b_{n}"))
+    steps = part.select(end(True, "cell").alias("lower"), end(True, "high").alias("high"), end(True, "high_uid").alias("a_uid"), end(False, "cell").alias("higher"), end(False, "low").alias("low"), end(False, "low_uid").alias("b_uid"))
+    alone = members.join(joined, "cell", "left_anti")
+    up = steps.join(alone, F.col("cell") == F.col("lower")).where(numbers.price_ratio_ok(F.col("price"), F.col("low"))).select(F.col("uid").alias("a_uid"), "b_uid")
+    down = steps.join(alone, F.col("cell") == F.col("higher")).where(numbers.price_ratio_ok(F.col("high"), F.col("price"))).select("a_uid", F.col("uid").alias("b_uid"))
+    return out.union(steps.select("a_uid", "b_uid")).union(up).union(down)
+
+
+def code_links(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid`` of compatible products of one brand that only a barcode prefix or family and fewer words tie."""
+    a, b = _keyed_sides(featured, _FEATURES, lambda _: code_keys())
+    few = text.overlap_coefficient(F.col("a_tokens"), F.col("b_tokens")) < 0.60
+    tied = grid_join(a, b, _ALIKE, [_SIZE, _PRICE], "uid", (F.col("a_ord.store") < F.col("b_ord.store")) & compatible() & few)
+    return tied.where(tier().isNotNull()).select("a_uid", "b_uid")
+
+
+def links(featured: DataFrame) -> DataFrame:
+    """``a_uid, b_uid`` with the components of ``pair_edges``, but in proportion to the products where many have one name and brand."""
+    return code_edges(featured).select("a_uid", "b_uid").union(code_links(featured)).union(name_links(featured)).where("a_uid <> b_uid")
+
+
 def triangles(edges: DataFrame, prices: DataFrame) -> DataFrame:
     """Trios (a column for each store) whose three pairs are all edges, with prices ``p0, p1, p2`` (``prices``: uid, price)."""
     trios = by_part(list_triangles(edges, "a_uid", "b_uid"), lambda n: F.substring_index(n, "_", 1), STORES)
@@ -183,11 +277,12 @@ def _with_features(trios: DataFrame, featured: DataFrame) -> DataFrame:
 
 
 def component_trios(featured: DataFrame, edges: DataFrame) -> DataFrame:
-    """Valid trios of components that reach all three stores; a component that fails is dropped whole."""
+    """Valid trios of components that reach all three stores, with the ``tier`` of their pairs; a component that fails is dropped whole."""
     parts = connected_components(edges, "a_uid", "b_uid")
     reps = representatives(featured, parts)
     wide = reps.groupBy("component").pivot("store", list(STORES)).agg(F.first("uid")).dropna(subset=list(STORES))
-    return _with_features(wide, featured).where(_trio_valid()).select(*STORES)
+    tiers = [tier(x, y) for x, y in (("bindawood", "panda"), ("bindawood", "tamimi"), ("panda", "tamimi"))]
+    return _with_features(wide, featured).where(_trio_valid()).select(*STORES, cluster_tier(*tiers).alias("tier"))
 
 
 def cluster_tier(t01: Column, t02: Column, t12: Column) -> Column:
@@ -243,12 +338,9 @@ def supplemental_trios(featured: DataFrame, used: DataFrame) -> DataFrame:
 
 def match(products: DataFrame) -> DataFrame:
     """Gold rows of three-store beverage clusters (products as ``union_stores`` gives them)."""
-    featured = materialize(features(products))
-    edges = materialize(pair_edges(featured))
-    trios = component_trios(featured, edges)
-    for i, (x, y) in enumerate((("bindawood", "panda"), ("bindawood", "tamimi"), ("panda", "tamimi"))):
-        trios = trios.join(edges.select(F.col("a_uid").alias(x), F.col("b_uid").alias(y), F.col("tier").alias(f"t{i}")), [x, y], "left")
-    first = materialize(trios.select(*STORES, cluster_tier(F.col("t0"), F.col("t1"), F.col("t2")).alias("tier")))
+    # Dealt out first: a table of few and small files would be read, and its features told, by few tasks.
+    featured = materialize(features(products.repartition("uid")))
+    first = materialize(component_trios(featured, links(featured)))
     used = first.select(F.explode(F.array(*STORES)).alias("uid")).distinct()
     clusters = first.unionByName(supplemental_trios(featured, used))
     full = attach_members(clusters, products)

@@ -140,3 +140,42 @@ def test_leading_trios_decide_as_all_trios_do(spark):
     rows_of = lambda frame: sorted(tuple(r) for r in frame.collect())
     (won, unsure), (won_of, unsure_of) = dairy.reciprocal_best(every), dairy.reciprocal_best(leading)
     assert rows_of(won_of) == rows_of(won) and rows_of(won) and rows_of(unsure_of) == rows_of(unsure) and len({r.tier for r in won.collect()}) > 1
+
+
+def test_links_connect_what_all_pairs_connect(spark):
+    from shelfspark.plans import beverages
+    from shelfspark.schemas import STORES
+
+    rng = random.Random(6)
+    words = ["lemon", "zero", "cola", "water", "mango", "classic", "light"]
+    rows = []
+    for i in range(520):
+        names = rng.sample(words, rng.randrange(1, 4))
+        # Brands of sparse prices hold chains of products that only step by step reach one another.
+        price = rng.choice([None, 0.0, float("nan"), float("inf")]) if rng.random() < 0.03 else 10 * 1.55 ** (rng.randrange(0, 64) / 8 + rng.choice([0, 1e-9, 0.06]))
+        code = f"62810{rng.randrange(10**6):06d}" if i % 4 else f"628100{i % 7}{rng.randrange(10**4):04d}"
+        brand = f"brand {i % 26}"
+        rows.append((i, " ".join(names), brand, [code], price, rng.choice([1, 1, None, 6]), rng.choice([500.0, 510.0, 540.0, None, 0.0]), rng.choice(["ml", "ml", "g", None])))
+    rows += [(1000 + i, "orange juice", "Hot", [f"9{i:010d}"], 10.0 + i % 3, 1, 500.0, "ml") for i in range(400)]
+    df = spark.createDataFrame(rows, "pos long, name_en string, brand string, barcodes array<string>, price double, pack_qty int, total_size_value double, size_unit string").withColumns(
+        {"name_ar": F.lit(None).cast("string"), "store": F.element_at(F.array(*[F.lit(s) for s in STORES]), (F.col("pos") % 3 + 1).cast("int"))}
+    ).withColumns({"uid": F.concat_ws("_", "store", "pos"), "ord": F.struct((F.col("pos") % 3).alias("store"), "pos")})
+    featured = beverages.features(df).localCheckpoint()
+
+    def parts(edges):
+        of = {}
+
+        def root(x):
+            while of.setdefault(x, x) != x:
+                x = of[x]
+            return x
+
+        for a, b in edges:
+            of[max(root(a), root(b))] = min(root(a), root(b))
+        return {x: root(x) for x in of}
+
+    every = [(r.a_uid, r.b_uid) for r in beverages.pair_edges(featured).select("a_uid", "b_uid").collect()]
+    linked = [(r.a_uid, r.b_uid) for r in beverages.links(featured).collect()]
+    assert parts(linked) == parts(every) and len(set(parts(every).values())) > 30
+    hot = {f"{STORES[(1000 + i) % 3]}_{1000 + i}" for i in range(400)}
+    assert sum(a in hot for a, _ in linked) < 600 < 50_000 < sum(a in hot for a, _ in every)
