@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfspark.functions import tables
-from shelfspark.functions.numbers import round2, safe_float, tolerant
+from shelfspark.functions.numbers import let, round2, safe_float, tolerant
 from shelfspark.functions.text import western_digits
 
 _NUM = r"(\d+(?:\.\d+)?)"
@@ -82,6 +82,10 @@ def tamimi_size(text: Column) -> Column:
     t = western_digits(F.coalesce(text, F.lit("")))
     # 100 kg or more on a shelf is a slip for grams.
     t = F.regexp_replace(t, r"(?iU)(?<![\d.])(0*[1-9]\d{2,}(?:\.\d+)?)\s*(?:kg|kilogram|kilo)\b", "$1 G")
+    return let(t, _tamimi_size)
+
+
+def _tamimi_size(t: Column) -> Column:
     words, units = f"(?:{tables.TAMIMI_UNIT_WORDS})", tables.TAMIMI_UNITS
     span = rf"{_NUM}\s*-\s*{_NUM}\s*({words})"
     multi_range, range_ = Rung(t, rf"(\d+){_TIMES}{span}"), Rung(t, span)
@@ -100,7 +104,10 @@ def tamimi_size(text: Column) -> Column:
 
 
 def bindawood_size(text: Column, category: Column) -> Column:
-    t = western_digits(F.coalesce(text, F.lit("")))
+    return let(western_digits(F.coalesce(text, F.lit(""))), lambda t: _bindawood_size(t, category))
+
+
+def _bindawood_size(t: Column, category: Column) -> Column:
     fluid, ounce = Rung(t, rf"{_NUM}\s*fl\.?\s*oz\b"), Rung(t, rf"{_NUM}\s*(?:oz|ounce|ounces)\b")
     liquid = F.coalesce(category == "beverages", F.lit(False))
     return _first(
@@ -121,7 +128,10 @@ def kilo_option(weighted: Column, options: Column) -> Column:
 
 
 def panda_size(name: Column, size: Column, unit: Column, kilo: Column) -> Column:
-    t = F.replace(F.lower(name), F.lit("×"), F.lit("x"))
+    return let(F.replace(F.lower(name), F.lit("×"), F.lit("x")), lambda t: _panda_size(t, size, unit, kilo))
+
+
+def _panda_size(t: Column, size: Column, unit: Column, kilo: Column) -> Column:
     words, units = tables.PANDA_UNIT_WORDS, tables.PANDA_UNITS
     multi, single = Rung(t, rf"(\d+)\s*x\s*{_NUM}\s*({words})\b"), Rung(t, rf"{_NUM}\s*({words})\b")
     own = F.lower(F.trim(unit))

@@ -18,20 +18,26 @@ _COLUMNS = (
 )
 
 
+def _firsts(df: DataFrame, key: Column) -> DataFrame:
+    """The first row of each ``key``. It goes before the columns are made, which are many patterns a row: so none is made for a repeated
+    row, and the rows are dealt out over all tasks, whatever files they come from."""
+    return first_wins(df.withColumn("_key", key).where("_key IS NOT NULL"), ["_key"], ["pos"])
+
+
 def _finish(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    sized = df.select("*", *[F.col(f"size.{c}").alias(c) for c in _SIZES])
-    return first_wins(sized.where("id IS NOT NULL"), ["id"], ["pos"]).select(*_COLUMNS, *extra, "pos")
+    return df.select("*", *[F.col(f"size.{c}").alias(c) for c in _SIZES]).select(*_COLUMNS, *extra, "pos")
 
 
 def tamimi(raw: DataFrame, category: Column) -> DataFrame:
     """Rows without a name are dropped; a price is mrp less discount, where mrp is above 0."""
     df = flatten_variants(raw).withColumnRenamed("variant", "v")
     df = df.withColumn("name", F.coalesce(or_none(F.col("v.fullName")), or_none(F.col("name"))))
+    df = _firsts(df.where("name IS NOT NULL"), F.coalesce(or_none(F.col("v.id")), or_none(F.col("id"))))
     first = F.get("v.storeSpecificData", F.lit(0))
     paid = listed_price(first["mrp"], first["discount"])
     return _finish(
-        df.where("name IS NOT NULL").select(
-            F.coalesce(or_none(F.col("v.id")), or_none(F.col("id"))).alias("id"),
+        df.select(
+            F.col("_key").alias("id"),
             F.lit("tamimi").alias("store"),
             category.alias("category"),
             F.trim("name").alias("name_en"),
@@ -48,14 +54,15 @@ def tamimi(raw: DataFrame, category: Column) -> DataFrame:
 
 def bindawood(raw: DataFrame, category: Column) -> DataFrame:
     """Nameless rows are kept; the brand defaults to the English name's first word."""
-    df = raw.withColumn("name_en", F.coalesce(or_none(F.col("full_name_en")), or_none(F.col("name_en")))).withColumn(
+    df = _firsts(raw, F.coalesce(or_none(F.col("master_id")), F.col("objectID")))
+    df = df.withColumn("name_en", F.coalesce(or_none(F.col("full_name_en")), or_none(F.col("name_en")))).withColumn(
         "name_ar", F.coalesce(or_none(F.col("full_name_ar")), or_none(F.col("name_ar")))
     )
     df = df.withColumn("best", best_branch_price(F.col("inventory_modifiers"), F.col("price"), F.col("original_price")))
     listed = F.filter(F.transform(F.coalesce("barcodes", F.array().cast("array<string>")), lambda c: F.trim(c)), lambda c: c != "")
     return _finish(
         df.select(
-            F.coalesce(or_none(F.col("master_id")), F.col("objectID")).alias("id"),
+            F.col("_key").alias("id"),
             F.lit("bindawood").alias("store"),
             category.alias("category"),
             F.trim("name_en").alias("name_en"),
@@ -75,6 +82,8 @@ def panda(raw: DataFrame, category: Column) -> DataFrame:
     df = raw.select("*", F.posexplode("varieties").alias("variety_pos", "v")).withColumn(
         "title", F.coalesce(or_none(F.col("name")), or_none(F.col("v.description")))
     )
+    df = df.where("title IS NOT NULL").withColumn("pos", F.struct("pos", "variety_pos"))
+    df = _firsts(df, F.coalesce(or_none(F.col("v.sku")), or_none(F.col("v.id"))))
     df = df.withColumn("kilo", size.kilo_option(F.col("v.wighted"), F.col("v.weighted_options")))
     weighed = F.col("kilo").isNotNull()
     price = F.when(weighed, safe_float(F.col("kilo.price"))).otherwise(safe_float(F.col("v.price")))
@@ -83,8 +92,8 @@ def panda(raw: DataFrame, category: Column) -> DataFrame:
     amount, percent = discount(F.col("sale"), F.col("before"))
     arabic = F.coalesce(F.col("_source_locale") == "ar", F.lit(False))
     return _finish(
-        df.where("title IS NOT NULL").select(
-            F.coalesce(or_none(F.col("v.sku")), or_none(F.col("v.id"))).alias("id"),
+        df.select(
+            F.col("_key").alias("id"),
             F.lit("panda").alias("store"),
             category.alias("category"),
             F.when(~arabic, F.trim("title")).alias("name_en"),
@@ -100,7 +109,7 @@ def panda(raw: DataFrame, category: Column) -> DataFrame:
             F.coalesce("v.wighted", F.lit(False)).alias("is_weighted"),
             safe_float(F.col("v.weighted_interval")).alias("weighted_interval"),
             size.weighted_options(F.col("v.wighted"), F.col("v.weighted_options")).alias("weighted_options"),
-            F.struct("pos", "variety_pos").alias("pos"),
+            "pos",
         ),
         ("is_weighted", "weighted_interval", "weighted_options"),
     )

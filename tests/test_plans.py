@@ -121,3 +121,12 @@ def test_branches(spark):
         warehouse.sync_branches(spark, "dwb", row(2, 1.0))
     with pytest.raises(Exception, match="bad coordinates"):
         warehouse.sync_branches(spark, "dwb", row(1, 100.0))
+
+
+def test_sizes_are_told_once_repeated_rows_are_gone(spark, tmp_path, monkeypatch):
+    told = silver.size.tamimi_size
+    bad = lambda text: F.when(text.contains("Again"), F.raise_error(F.lit("a repeated row's size was told")).cast("string")).otherwise(text)
+    monkeypatch.setattr(silver.size, "tamimi_size", lambda text: told(bad(text)))
+    items = [{"id": 1, "name": name, "variant": {"id": "v1", "fullName": name, "storeSpecificData": [{"mrp": 5}]}} for name in ("Juice 250 ML", "Again 1 L", "Again 2 L")]
+    (row,) = silver.tamimi(bronze(spark, tmp_path, items, BRONZE_TAMIMI), F.lit("beverages")).collect()
+    assert (row.id, row.name_en, row.total_size_value, row.price) == ("v1", "Juice 250 ML", 250.0, 5.0)
