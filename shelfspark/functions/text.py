@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from shelfspark.functions import tables
+from shelfspark.functions.numbers import let
 
 
 def text_or_empty(c: Column) -> Column:
@@ -187,8 +188,8 @@ def _roots(words: dict[str, str]) -> list[tuple[str, str]]:
 
 
 def commodity_root(c: Column) -> Column:
-    clean = produce_text(c)
-    return F.coalesce(first_rule(clean, _roots(tables.FIRST_ROOTS)), first_rule(clean, _roots(tables.ROOTS)))
+    rules = _roots(tables.FIRST_ROOTS) + _roots(tables.ROOTS)
+    return let(produce_text(c), lambda clean: first_rule(clean, rules))
 
 
 def url_basename(c: Column) -> Column:

@@ -38,8 +38,9 @@ def anchors(records: DataFrame) -> DataFrame:
 
 def produce_features(products: DataFrame) -> DataFrame:
     """Products of a known root with a price, with what their text says."""
-    df = products.withColumn("words", text.produce_text(text.full_text(F.col("name_en"), F.col("name_ar"))))
-    df = df.withColumn("root", text.commodity_root(F.col("words"))).withColumn(
+    # Dealt out, as a table of few and small files would be read by few tasks, and written, as the filter on it would tell a root anew.
+    df = products.repartition("uid").withColumn("words", text.produce_text(text.full_text(F.col("name_en"), F.col("name_ar"))))
+    df = materialize(df.withColumn("root", text.commodity_root(F.col("words")))).withColumn(
         "kg_price", kg_price(F.col("price"), F.col("total_size_value"), F.col("unit_size_value"), F.col("size_unit"))
     )
     w = F.col("words")

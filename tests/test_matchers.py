@@ -162,6 +162,12 @@ def test_produce_guards(spark, name, anchor, price, found):
     assert gold.count() == found
 
 
+def test_a_products_root_is_told_once(spark):
+    found = produce.produce_features(fruit(spark, (B, "Yellow apple", 10), (P, "mango", 10), (T, "stone", 10)))
+    assert "rlike" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted((r.store, r.root) for r in found.collect()) == [(B, "apple"), (P, "mango")]
+
+
 def test_kilogram_prices(spark):
     row = spark.range(1).select(numbers.kg_price(F.lit(6.0), F.lit(500.0), F.lit(500.0), F.lit("g")).alias("p")).first()
     assert row.p == 12.0
