@@ -32,9 +32,9 @@ CACHE_LETTERS, CACHE_PAIRS = 600_000, 200_000
 
 _NEVER = 1 << 60
 
-#: Letters at a text's end by which candidates are looked up, and the ends that each of two tables remembers (together about 8 MB).
+#: Letters at a text's end by which candidates are looked up, and the ends that each of two tables remembers (together about 12 MB).
 _TAIL = 4
-CACHE_ENDS = 12_000
+CACHE_ENDS = 30_000
 
 #: Characters of words that aren't printable.
 _CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
@@ -123,7 +123,11 @@ class TrieEncoder:
     def _ends(self, tail: str, table: dict[str, int], sizes: dict[str, tuple[int, ...]], ends: dict) -> tuple:
         if len(ends) > CACHE_ENDS:
             ends.clear()
-        own = tuple([(n, table[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in table])
+        rest = tail[1:]
+        # Most ends are no token, and share what is told of the rest of them.
+        own = (ends.get(rest) or self._ends(rest, table, sizes, ends))[1] if rest else ()
+        if (token := table.get(tail)) is not None:
+            own = ((len(tail), token), *own)
         found = ends[tail] = (sizes.get(tail, ()), own)
         return found
 

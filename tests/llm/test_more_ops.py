@@ -80,3 +80,16 @@ def test_encoding_looks_up_tails_and_leaves_the_collector_alone(monkeypatch):
         expected = library.encode(text or "", add_special_tokens=False).ids
         assert ids == expected and decoded == library.decode(expected, skip_special_tokens=False)
     assert seen == [False] and gc.isenabled()
+
+
+def test_ends_share_what_is_told_of_their_rest():
+    import public_tokenizers
+
+    from shelfspark.llm import bpe
+
+    enc = bpe.TrieEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    table, ends = enc.inner, enc.inner_ends
+    for tail in ("zqxj", "atio", "s"):
+        _, own = enc._ends(tail, table, enc.inner_sizes, ends)
+        assert own == tuple((n, table[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in table)
+    assert "zqxj" not in table and ends["zqxj"][1] is ends["qxj"][1]
