@@ -27,20 +27,29 @@ _WORD = r"[\p{L}\p{N}\p{M}]"
 _NUM = r"\d+(?:[.,:/]\d+)*"
 
 
-def tokens(text: Column) -> Column:
-    """Canonical tokens with their values: words in lower case, or a type mark followed by the value."""
+def _marked(text: Column) -> Column:
+    """The text in lower case with type marks before names, numbers and units."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", " ")
-    # A capital within a sentence opens a name; the first word of a sentence doesn't tell.
-    t = F.regexp_replace(t, r"(?<=[^.!?\s]\s{1,2})\p{Lu}" + _WORD + "*", _NAME + "$0")
+    # A capital within a sentence opens a name; the first word of a sentence doesn't tell. What is rare is looked for
+    # first, before what stands to its left.
+    t = F.regexp_replace(t, r"(?=\p{Lu})(?<=[^.!?\s]\s{1,2})\p{Lu}" + _WORD + "*", _NAME + "$0")
     t = F.lower(t)
     units = "|".join(UNITS.split())
     numbered = F.regexp_replace(
-        F.regexp_replace(t, rf"(?<!{_WORD})({_NUM})\s?{_NAME}?({units}|[%$€£])(?!{_WORD})", f"{_NUMBER}$1 {_UNIT}$2"),
-        rf"(?<![\p{{L}}\p{{N}}\p{{M}}.,:/{_NUMBER}])({_NUM})(?!{_WORD})",
+        F.regexp_replace(t, rf"(?=\d)(?<!{_WORD})({_NUM})\s?{_NAME}?({units}|[%$€£])(?!{_WORD})", f"{_NUMBER}$1 {_UNIT}$2"),
+        rf"(?=\d)(?<![\p{{L}}\p{{N}}\p{{M}}.,:/{_NUMBER}])({_NUM})(?!{_WORD})",
         f"{_NUMBER}$1",
     )
-    t = F.when(t.rlike(r"\d"), numbered).otherwise(t)
-    return F.regexp_extract_all(t, F.lit(f"{_NUMBER}{_NUM}|{_UNIT}[^\\s\u0001-\u0003]+|{_NAME}?{_WORD}+"), F.lit(0))
+    return F.when(t.rlike(r"\d"), numbered).otherwise(t)
+
+
+def _split(marked: Column) -> Column:
+    return F.regexp_extract_all(marked, F.lit(f"{_NUMBER}{_NUM}|{_UNIT}[^\\s\u0001-\u0003]+|{_NAME}?{_WORD}+"), F.lit(0))
+
+
+def tokens(text: Column) -> Column:
+    """Canonical tokens with their values: words in lower case, or a type mark followed by the value."""
+    return _split(_marked(text))
 
 
 def _canonical(x: Column) -> Column:
@@ -71,11 +80,11 @@ def _placed(n: int, raw: str) -> Column:
 _TEMPLATE_WORDS = 2
 
 
-def _windows(column: str, n: int, raw: str) -> Column:
+def _windows(column: str, n: int, raw: str, wordy: Column | None = None) -> Column:
     """Hashes of all windows of ``n`` tokens, in order; a shorter text is one window, an empty one none.
 
     A window with too few words for a template is hashed by its tokens' values. Takes columns' names: an
-    expression here would be computed again for each window.
+    expression here would be computed again for each window. ``wordy`` tells texts that are known to have words alone.
     """
     form, literal = F.col(column), F.col(raw)
     size = F.size(form)
@@ -85,12 +94,29 @@ def _windows(column: str, n: int, raw: str) -> Column:
     worded = lambda i: sum((F.coalesce((x > _UNIT).cast("int"), F.lit(0)) for x in part(form, i)), F.lit(0)) >= _TEMPLATE_WORDS
     at = F.sequence(F.lit(0), F.greatest(size - n, F.lit(0)))
     # Most texts have too few numbers, names and units for such a window anywhere.
-    rare = (size >= n) & (F.size(F.filter(form, lambda x: x <= _UNIT)) <= n - _TEMPLATE_WORDS)
+    few = F.size(F.filter(form, lambda x: x <= _UNIT)) <= n - _TEMPLATE_WORDS
+    rare = (size >= n) & (few if wordy is None else wordy | few)
     return F.when(size == 0, F.array().cast("array<bigint>")).when(rare, F.transform(at, template)).otherwise(
         F.transform(at, lambda i: F.when(worded(i), template(i)).otherwise(values(i)))
     )
 
 
+def _searched(source: DataFrame, lengths: list[int]) -> DataFrame:
+    """``doc_id, window``: hashes of the windows of these lengths of all documents, in both forms."""
+    marked, raw = F.col("marked"), F.col("doc_raw")
+    # Most texts have words alone, which are their own canonical form, and without names both forms are the same.
+    named = marked.contains(_NAME)
+    split = source.select("doc_id", _marked(F.col("text")).alias("marked")).select(
+        "doc_id", named.alias("named"), (named | marked.contains(_NUMBER) | marked.contains(_UNIT)).alias("typed"), _split(marked).alias("doc_raw")
+    )
+    forms = split.withColumns(
+        {"canonical": F.when(F.col("typed"), F.transform(raw, _canonical)).otherwise(raw), "folded": F.when(F.col("named"), F.transform(raw, _folded))}
+    )
+    canonical, folded = ([_windows(c, k, "doc_raw", ~F.col("typed")) for k in lengths] for c in ("canonical", "folded"))
+    windows = F.when(F.col("named"), F.concat(*canonical, *folded)).otherwise(F.concat(*canonical))
+    return forms.select("doc_id", F.explode(F.array_distinct(windows)).alias("window"))
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, n: int = 5, min_containment: float = 0.75, min_words: int = 4
 ) -> DataFrame:
@@ -120,9 +146,7 @@ def contamination(
     length = F.size("raw")
     shorter = sorted(row[0] for row in items.select(length).where((length > 0) & (length < n)).distinct().collect())
 
-    found = _forms(source.select("doc_id", tokens(F.col("text")).alias("doc_raw")), "doc_raw").select(
-        "doc_id", F.explode(F.array_distinct(F.concat(*[_windows(c, k, "doc_raw") for k in (n, *shorter) for c in ("canonical", "folded")]))).alias("window")
-    )
+    found = _searched(source, [n, *shorter])
     hits = (
         found.join(small(distinct), "window").groupBy("doc_id", "item_id").agg(F.count_distinct("key").alias("n_hit"))
     )

@@ -93,3 +93,14 @@ def test_ends_share_what_is_told_of_their_rest():
         _, own = enc._ends(tail, table, enc.inner_sizes, ends)
         assert own == tuple((n, table[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in table)
     assert "zqxj" not in table and ends["zqxj"][1] is ends["qxj"][1]
+
+
+def test_windows_of_texts_without_names_are_told_once(spark):
+    texts = ["", "one", "one two three", "one two three four five six seven", "he paid 5 kg of rice to Bob Stone for 12 days in May",
+             "1 2 3 4 5 6 7 8", "it has 3 4 5 6 7 8 units of it", "ask Ann Bob Carl Dora Emil Fritz now", None]
+    source = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = decontaminate._searched(source, [5, 4])
+    forms = decontaminate._forms(source.select("doc_id", decontaminate.tokens(F.col("text")).alias("raw")), "raw")
+    every = F.concat(*[decontaminate._windows(c, k, "raw") for k in (5, 4) for c in ("canonical", "folded")])
+    want = forms.select("doc_id", F.explode(F.array_distinct(every)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
