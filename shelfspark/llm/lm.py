@@ -38,6 +38,9 @@ TAIL = _CLUSTERS * _BINS + _LEVELS
 END_CLASS = TAIL + 1
 CLASSES = END_CLASS + 1
 
+#: Bits of a hash by which the head is looked up.
+_PREFIX = 19
+
 _END = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
 _FOLDS, _FOLD = 5, 1
@@ -83,19 +86,33 @@ class Head:
     hashes: np.ndarray
     counts: np.ndarray
     rank: np.ndarray
+    #: First place of a hash with the same upper ``_PREFIX`` bits or more; how many places have the same, at most.
+    first: np.ndarray
+    most: int
 
     @staticmethod
     def of(hashes: np.ndarray, counts: np.ndarray) -> Head:
         """From words by falling count."""
         order = np.argsort(hashes)
-        return Head(hashes[order], counts[order], order)
+        held = np.bincount((hashes >> np.uint64(64 - _PREFIX)).astype(np.int64), minlength=1 << _PREFIX)
+        return Head(hashes[order], counts[order], order, (np.cumsum(held) - held).astype(np.int32), int(held.max()))
 
     def find(self, tokens: np.ndarray) -> np.ndarray:
         """Places of tokens, -1 outside the head."""
         if not len(self.hashes):
             return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, at, -1)
+        last = len(self.hashes) - 1
+        # Hashes are spread evenly: a token's prefix leads to its place or a few before it.
+        at = np.minimum(np.take(self.first, (tokens >> np.uint64(64 - _PREFIX)).astype(np.int64)), last).astype(np.int64)
+        there = np.take(self.hashes, at)
+        behind = np.flatnonzero(there < tokens)
+        for _ in range(self.most):
+            behind = behind[at[behind] < last]
+            if not len(behind):
+                break
+            at[behind] += 1
+            behind = behind[np.take(self.hashes, at[behind]) < tokens[behind]]
+        return np.where(np.take(self.hashes, at) == tokens, at, -1)
 
 
 def _summed(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], np.ndarray], kind: type, blocks: int = 64) -> np.ndarray:
@@ -173,16 +190,47 @@ def class_of(head: Head, classes: np.ndarray, tokens: np.ndarray) -> tuple[np.nd
     return at, np.where(at >= 0, classes[at] if len(classes) else 0, np.where(tokens == _END, END_CLASS, TAIL))
 
 
-def log_softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+def _raised(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Sums of weights by class, less the largest of each row."""
     z = np.take(w, f[:, 0], axis=0)
     z += bias
     for k in range(1, f.shape[1]):
         z += np.take(w, f[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    z = _raised(w, bias, f)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
+
+
+def log_softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    z = _raised(w, bias, f)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+#: Runs up to this long are added up side by side, longer ones each by itself.
+_SHORT = 24
+
+
+def _sums(p: np.ndarray, of: np.ndarray, starts: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``of`` of ``p`` by runs, given their starts and lengths."""
+    out = np.take(p, of[starts], axis=0)
+    left = np.flatnonzero((times > 1) & (times <= _SHORT))
+    for i in range(1, _SHORT):
+        if not len(left):
+            break
+        out[left] += np.take(p, of[starts[left] + i], axis=0)
+        left = left[times[left] > i + 1]
+    for r in np.flatnonzero(times > _SHORT).tolist():
+        out[r] = np.take(p, of[starts[r] : starts[r] + times[r]], axis=0).sum(axis=0, dtype=np.float64)
+    return out
+
+
 class Trainer:
     """AdaGrad over batches of (features, class), from weights ``w``."""
 
@@ -192,21 +240,18 @@ class Trainer:
 
     def step(self, f: np.ndarray, y: np.ndarray) -> None:
         n, k = f.shape
-        p = log_softmax(self.w, self.bias, f)
-        np.exp(p, out=p)
+        p = softmax(self.w, self.bias, f)
         p[np.arange(n), y] -= 1
         flat = f.ravel()
         order = np.argsort(flat.astype(np.uint16) if len(self.w) <= 1 << 16 else flat, kind="stable")  # short keys are sorted by radix
         fresh = np.ones(n * k, bool)
         fresh[1:] = flat[order[1:]] != flat[order[:-1]]
         rows = flat[order[fresh]]
-        at = np.empty(n * k, np.int64)
-        at[order] = np.cumsum(fresh) - 1
-        # Class by class: sums by row of features, over the root of how often the row occurs.
-        grad = np.empty((p.shape[1], len(rows)))
-        for c, own in enumerate(np.ascontiguousarray(p.T)):
-            grad[c] = np.bincount(at, weights=np.repeat(own, k), minlength=len(rows))
-        grad = np.ascontiguousarray((grad / np.sqrt(np.bincount(at))).T, np.float32)
+        # Sums by row of features, over the root of how often the row occurs.
+        starts = np.flatnonzero(fresh)
+        times = np.diff(np.append(starts, n * k))
+        grad = _sums(p, order // k, starts, times)
+        grad /= np.sqrt(times.astype(np.float32))[:, None]
         self.g2[rows] += (grad * grad).mean(axis=1)
         self.w[rows] -= grad * (self.rate / np.sqrt(self.g2[rows]))[:, None]
 

@@ -104,3 +104,23 @@ def test_windows_of_texts_without_names_are_told_once(spark):
     every = F.concat(*[decontaminate._windows(c, k, "raw") for k in (5, 4) for c in ("canonical", "folded")])
     want = forms.select("doc_id", F.explode(F.array_distinct(every)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_head_words_are_found_by_prefix_and_gradients_added_up_by_runs():
+    from shelfspark.llm import lm
+
+    rng = np.random.default_rng(4)
+    near = np.uint64(7) << np.uint64(60)  # hashes of one prefix
+    hashes = np.unique(np.concatenate([rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2), near + np.arange(0, 40, 2, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)]))
+    head = lm.Head.of(rng.permutation(hashes), np.ones(len(hashes), np.int64))
+    assert head.most >= 20
+    tokens = np.concatenate([hashes, hashes + np.uint64(1), near + np.arange(60, dtype=np.uint64), rng.integers(0, 1 << 63, 5000).astype(np.uint64)])
+    place = {h: i for i, h in enumerate(hashes.tolist())}
+    assert head.find(tokens).tolist() == [place.get(t, -1) for t in tokens.tolist()]
+    assert lm.Head.of(hashes[:0], np.zeros(0, np.int64)).find(tokens[:3]).tolist() == [-1] * 3
+
+    times = np.array([1, 2, 3, lm._SHORT, lm._SHORT + 1, 700, 1])
+    p, of = rng.normal(size=(300, 7)).astype(np.float32), rng.integers(0, 300, times.sum())
+    starts = np.cumsum(times) - times
+    want = [p[of[a : a + n]].astype(float).sum(axis=0) for a, n in zip(starts, times, strict=True)]
+    assert np.allclose(lm._sums(p, of, starts, times), want, atol=1e-4)
