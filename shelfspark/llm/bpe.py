@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gc
 import json
+import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
@@ -19,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +43,7 @@ _CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 #: Texts of characters below this one (Latin letters, nothing to compose) need no Unicode tables.
 _PLAIN_BELOW = "\u0130"
+_BEYOND = re.compile(f"[{_PLAIN_BELOW}-\U0010ffff]")
 
 
 @contextmanager
@@ -84,6 +87,8 @@ class TrieEncoder:
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         # White space as the library's engine has it: U+001C to U+001F are none.
         self.word = regex.compile(splits[0].replace(r"\s", r"\t-\r \x85\p{Z}"))
+        #: The same for texts of characters below ``_PLAIN_BELOW``, with the classes' members spelt out: the plain engine is faster.
+        self.plain_word = re.compile(_spelt(splits[0]))
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.bytes_as = _byte_names()
         #: Left id in the upper, right id in the lower half of the key.
@@ -187,16 +192,16 @@ class TrieEncoder:
     def words(self, text: str) -> list[str]:
         """Normalised words of a text without special tokens."""
         if text.isascii():
-            found = self.word.findall(text.lower())
+            found = self.plain_word.findall(text.lower())
             return self._named(found) if _CONTROL.search(text) else found
-        if max(text) >= _PLAIN_BELOW:
+        if _BEYOND.search(text):
             # Composition, case and classes of letters here depend on the library's Unicode version.
             whole = self.library.normalizer.normalize_str(text)
             return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(whole)]
         as_ = self.bytes_as
         return [
             w if w.isascii() and w.isprintable() else "".join([as_[b] for b in w.encode()])
-            for w in self.word.findall(text.lower())
+            for w in self.plain_word.findall(text.lower())
         ]
 
     def pieces(self, text: str) -> list[str]:
@@ -222,17 +227,23 @@ class TrieEncoder:
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
         """(ids, decoded text) of each text."""
+        ends, ids, decoded = self.encode_columns(texts)
+        return [(ids[a:b].tolist(), d) for a, b, d in zip(ends[:-1], ends[1:], decoded.to_pylist(), strict=True)]
+
+    def encode_columns(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The n + 1 offsets of the texts' ids, all ids in a row, and the decoded texts."""
         with _no_cycles():
             return self._encode(texts)
 
-    def _encode(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         rows = [self.pieces(t or "") for t in texts]
         if self.letters > CACHE_LETTERS:
             # Words in use come back from the older generation, the others go.
             self.older, self.older_decoded = self.known, self.decoded
             self.known, self.decoded, self.letters = {}, {}, 0
         new = set()
-        for w in set().union(*rows).difference(self.known):
+        distinct = list(set().union(*rows))
+        for w in set(distinct).difference(self.known):
             before = self.older.get(w)
             if before is None:
                 new.add(w)
@@ -243,8 +254,20 @@ class TrieEncoder:
             new.discard(w)
             self.known[w], self.decoded[w] = [self.special[w[1:]]], w[1:]
         self.learn(list(new))
-        ids, text = self.known.__getitem__, self.decoded.__getitem__
-        return [(list(chain.from_iterable(map(ids, r))), " ".join(map(text, r))) for r in rows]
+        # A word is looked up once a batch; places tell what stands where.
+        place = dict(zip(distinct, range(len(distinct)), strict=True)).__getitem__
+        words = np.zeros(len(rows) + 1, np.int32)
+        np.cumsum([len(r) for r in rows], out=words[1:])
+        at = np.fromiter(map(place, chain.from_iterable(rows)), np.int32, int(words[-1]))
+        told = [self.known[w] for w in distinct]
+        size = np.fromiter(map(len, told), np.int64, len(told))
+        flat = np.fromiter(chain.from_iterable(told), np.int32, int(size.sum()))
+        first, own = np.cumsum(size) - size, size[at]
+        until = np.concatenate([[0], np.cumsum(own)])
+        ids = flat[np.repeat(first[at] - until[:-1], own) + np.arange(until[-1])]
+        texts_of = pa.array([self.decoded[w] for w in distinct], pa.string()).take(pa.array(at))
+        decoded = pc.binary_join(pa.ListArray.from_arrays(pa.array(words), texts_of), " ")
+        return until[words].astype(np.int32), ids, decoded
 
 
 def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
@@ -256,6 +279,14 @@ def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
     return {tail: (*sorted(sizes, reverse=True),) for tail, sizes in out.items()}
 
 
+def _spelt(pattern: str) -> str:
+    """A pattern with the members below ``_PLAIN_BELOW`` of its classes of letters, numbers and white space."""
+    held = [chr(c) for c in range(ord(_PLAIN_BELOW))]
+    for name, kind in ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", r"[\t-\r \x85\p{Z}]")):
+        pattern = pattern.replace(name, "".join(re.escape(c) for c in held if regex.fullmatch(kind, c)))
+    return pattern
+
+
 def _byte_names() -> list[str]:
     """The character that stands for each byte: itself if printable, else the next from U+0100 on."""
     names, extra = [], 0x100
@@ -284,17 +315,9 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in chunks(batches, 1):
-            done = enc.encode_batch(batch.column(1).to_pylist())
-            ends = np.zeros(len(done) + 1, np.int32)
-            np.cumsum([len(ids) for ids, _ in done], out=ends[1:])
-            flat = np.fromiter(chain.from_iterable([ids for ids, _ in done]), np.int32, int(ends[-1]))
+            ends, ids, decoded = enc.encode_columns(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.array([text for _, text in done], pa.string()),
-                ],
-                [id_col, "ids", "decoded"],
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), decoded], [id_col, "ids", "decoded"]
             )
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -124,3 +124,26 @@ def test_head_words_are_found_by_prefix_and_gradients_added_up_by_runs():
     starts = np.cumsum(times) - times
     want = [p[of[a : a + n]].astype(float).sum(axis=0) for a, n in zip(starts, times, strict=True)]
     assert np.allclose(lm._sums(p, of, starts, times), want, atol=1e-4)
+
+
+def test_a_batch_is_put_together_from_its_distinct_words():
+    import public_tokenizers
+    import regex
+    from tokenizers import Tokenizer
+
+    from shelfspark.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, library = bpe.TrieEncoder(path), Tokenizer.from_file(path)
+    texts = ["", None, "the the théâtre's it'll 12³ ½ª µ^ a]b-c\\d", "<|endoftext|>the<|endoftext|>", "\x1c\x1d \x85\xa0x \x00", "the 日本 théâtre"]
+    texts += [chr(c) + "a" + chr(c) + "1" + chr(c) + chr(c) for c in range(0x130)]
+    ends, ids, decoded = enc.encode_columns(texts)
+    for i, text in enumerate(texts):
+        expected = library.encode(text or "", add_special_tokens=False).ids
+        assert ids[ends[i] : ends[i + 1]].tolist() == expected
+        assert decoded[i].as_py() == library.decode(expected, skip_special_tokens=False)
+    # The spelt classes part texts as the properties do.
+    every = "".join(chr(c) + "a" + chr(c) + " 1" for c in range(0x130))
+    assert enc.plain_word.findall(every) == enc.word.findall(every) and not regex.search(r"\\p", enc.plain_word.pattern)
+    none = enc.encode_columns([])
+    assert none[0].tolist() == [0] and len(none[1]) == 0 and len(none[2]) == 0
