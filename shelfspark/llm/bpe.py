@@ -2,10 +2,10 @@
 
 The distinct words of a batch are walked as a trie in depth-first order (sorted words: each shares its
 longest common prefix with the one before). A node's state is the last token of its prefix's encoding:
-the one token that ends the prefix and may stand after the state of what is left of it. States on the
-shared path are kept, so a prefix is worked out once; a word's tokens are read by stepping back from
-its final state. A token may stand after another if no merge across their border comes before both
-are complete.
+the one token that ends the prefix and may stand after the state of what is left of it. A state is
+worked out when a token after it is tried. States on the shared path are kept, so a prefix is worked
+out once at most; a word's tokens are read by stepping back from its final state. A token may stand
+after another if no merge across their border comes before both are complete.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,12 @@ from tokenizers import Tokenizer
 
 from shelfspark.llm.util import chunks, mapped
 
-#: Letters of the words that a generation of remembered words holds (two are kept, about 60 MB), and token pairs
+#: Letters of the words that a generation of remembered words holds (two are kept, about 50 MB), and token pairs
 #: kept with whether they may stand together (about 30 MB).
-CACHE_LETTERS, CACHE_PAIRS = 600_000, 200_000
+CACHE_LETTERS, CACHE_PAIRS = 900_000, 200_000
+
+#: Bytes of the texts that share one walk.
+WALK_BYTES = 2_000_000
 
 _NEVER = 1 << 60
 
@@ -38,6 +41,13 @@ _NEVER = 1 << 60
 _TAIL = 4
 CACHE_ENDS = 30_000
 
+#: In longer words states are worked out from the front, as each that is asked for may ask for one before it.
+_DEEP = 200
+
+#: The pattern whose matches are told by runs of characters of one class, and these classes.
+_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+
 #: Characters of words that aren't printable.
 _CONTROL = regex.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
@@ -89,6 +99,11 @@ class TrieEncoder:
         self.word = regex.compile(splits[0].replace(r"\s", r"\t-\r \x85\p{Z}"))
         #: The same for texts of characters below ``_PLAIN_BELOW``, with the classes' members spelt out: the plain engine is faster.
         self.plain_word = re.compile(_spelt(splits[0]))
+        self.by_runs = splits[0] == _RUNS
+        #: Characters below ``_PLAIN_BELOW``: their lower case, and its class.
+        self.lower = np.array([ord(chr(c).lower()) for c in range(ord(_PLAIN_BELOW))], np.uint16)
+        self.kinds = np.array([_kind(chr(c)) for c in range(ord(_PLAIN_BELOW))], np.uint8)
+        self.name_of = pa.array([self.names.get(i, "") for i in range(max(self.names) + 1)], pa.string())
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.bytes_as = _byte_names()
         #: Left id in the upper, right id in the lower half of the key.
@@ -96,8 +111,6 @@ class TrieEncoder:
         #: Words with their tokens: those met since the last turn of generations, and those of the one before.
         self.known: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
-        self.decoded: dict[str, str] = {}
-        self.older_decoded: dict[str, str] = {}
         self.letters = 0
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -137,7 +150,7 @@ class TrieEncoder:
         return found
 
     def _last(self, text: str, n: int, states: list[int], table: dict[str, int], sizes: dict[str, tuple[int, ...]], ends: dict) -> int:
-        """State of ``text[:n]``, given those of all shorter prefixes."""
+        """State of ``text[:n]``; those of shorter prefixes that it needs and that aren't known are filled in."""
         may_follow = self.may_follow
         tail = text[n - _TAIL : n] if n > _TAIL else text[:n]
         longer, own = ends.get(tail) or self._ends(tail, table, sizes, ends)
@@ -145,14 +158,20 @@ class TrieEncoder:
             if size <= n and (token := table.get(text[n - size : n])) is not None:
                 if size == n:
                     return token
-                found = may_follow.get(states[n - size] << 32 | token)
-                if self.follows(states[n - size], token) if found is None else found:
+                left = states[n - size]
+                if left < 0:
+                    left = states[n - size] = self._last(text, n - size, states, self.inner, self.inner_sizes, self.inner_ends)
+                found = may_follow.get(left << 32 | token)
+                if self.follows(left, token) if found is None else found:
                     return token
         for size, token in own:
             if size == n:
                 return token
-            found = may_follow.get(states[n - size] << 32 | token)
-            if self.follows(states[n - size], token) if found is None else found:
+            left = states[n - size]
+            if left < 0:
+                left = states[n - size] = self._last(text, n - size, states, self.inner, self.inner_sizes, self.inner_ends)
+            found = may_follow.get(left << 32 | token)
+            if self.follows(left, token) if found is None else found:
                 return token
         raise ValueError(f"no token ends {text[:n]!r}")
 
@@ -167,7 +186,7 @@ class TrieEncoder:
             size = len(word)
             if (token := final.get(word)) is not None:
                 # A token of its own needs no states of its prefixes.
-                self.known[word], self.decoded[word] = [token], names[token]
+                self.known[word] = [token]
                 self.letters += size
                 continue
             shared = 0
@@ -175,8 +194,11 @@ class TrieEncoder:
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del states[shared + 1 :]
-            for n in range(len(states), size):
-                states.append(last(word, n, states, inner, inner_sizes, inner_ends))
+            states += [-1] * (size - len(states))
+            if size > _DEEP:
+                for n in range(1, size):
+                    if states[n] < 0:
+                        states[n] = last(word, n, states, inner, inner_sizes, inner_ends)
             before = word
             token = last(word, size, states, final, final_sizes, final_ends)
             out, at = [token], size - (len(names[token]) - end)
@@ -186,7 +208,6 @@ class TrieEncoder:
                 at -= len(names[token])
             out.reverse()
             self.known[word] = out
-            self.decoded[word] = " ".join([names[t] for t in out])
             self.letters += size
 
     def words(self, text: str) -> list[str]:
@@ -220,7 +241,7 @@ class TrieEncoder:
 
     def forget(self) -> None:
         """Empty the memories of words and pairs."""
-        self.known, self.older, self.decoded, self.older_decoded, self.letters = {}, {}, {}, {}, 0
+        self.known, self.older, self.letters = {}, {}, 0
         self.may_follow.clear()
         self.inner_ends.clear()
         self.final_ends.clear()
@@ -236,38 +257,81 @@ class TrieEncoder:
             return self._encode(texts)
 
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        rows = [self.pieces(t or "") for t in texts]
+        distinct, at, count = self._parted(texts)
         if self.letters > CACHE_LETTERS:
             # Words in use come back from the older generation, the others go.
-            self.older, self.older_decoded = self.known, self.decoded
-            self.known, self.decoded, self.letters = {}, {}, 0
-        new = set()
-        distinct = list(set().union(*rows))
-        for w in set(distinct).difference(self.known):
-            before = self.older.get(w)
-            if before is None:
-                new.add(w)
-            else:
-                self.known[w], self.decoded[w] = before, self.older_decoded[w]
+            self.older, self.known, self.letters = self.known, {}, 0
+        new = []
+        for w in [w for w in distinct if w not in self.known]:
+            if (before := self.older.get(w)) is not None:
+                self.known[w] = before
                 self.letters += len(w)
-        for w in [w for w in new if w[0] == "\0"]:
-            new.discard(w)
-            self.known[w], self.decoded[w] = [self.special[w[1:]]], w[1:]
-        self.learn(list(new))
+            elif w[0] == "\0":
+                self.known[w] = [self.special[w[1:]]]
+            else:
+                new.append(w)
+        self.learn(new)
         # A word is looked up once a batch; places tell what stands where.
-        place = dict(zip(distinct, range(len(distinct)), strict=True)).__getitem__
-        words = np.zeros(len(rows) + 1, np.int32)
-        np.cumsum([len(r) for r in rows], out=words[1:])
-        at = np.fromiter(map(place, chain.from_iterable(rows)), np.int32, int(words[-1]))
-        told = [self.known[w] for w in distinct]
+        told = list(map(self.known.__getitem__, distinct))
         size = np.fromiter(map(len, told), np.int64, len(told))
         flat = np.fromiter(chain.from_iterable(told), np.int32, int(size.sum()))
         first, own = np.cumsum(size) - size, size[at]
         until = np.concatenate([[0], np.cumsum(own)])
         ids = flat[np.repeat(first[at] - until[:-1], own) + np.arange(until[-1])]
-        texts_of = pa.array([self.decoded[w] for w in distinct], pa.string()).take(pa.array(at))
-        decoded = pc.binary_join(pa.ListArray.from_arrays(pa.array(words), texts_of), " ")
-        return until[words].astype(np.int32), ids, decoded
+        words = np.concatenate([[0], np.cumsum(count)])
+        texts_of = _joined(self.name_of.take(pa.array(flat)), np.append(first, len(flat))).take(pa.array(at))
+        return until[words].astype(np.int32), ids, _joined(texts_of, words)
+
+    def _parted(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct pieces of all texts, the place among them of each piece, and the number of pieces of each text."""
+        texts = [t or "" for t in texts]
+        others = [i for i, t in enumerate(texts) if not self.by_runs or not t.isascii() and _BEYOND.search(t) or self.marks is not None and "<|" in t]
+        rows = [self.pieces(texts[i]) for i in others]
+        for i in others:
+            texts[i] = ""
+        distinct, at, count = self._runs(texts)
+        if others:
+            place = dict(zip(distinct, range(len(distinct)), strict=True))
+            more = [place.setdefault(w, len(place)) for w in chain.from_iterable(rows)]
+            held = np.repeat(np.arange(len(texts)), count)
+            count[others] = [len(r) for r in rows]
+            order = np.argsort(np.concatenate([held, np.repeat(others, count[others])]), kind="stable")
+            distinct, at = list(place), np.concatenate([at, np.array(more, np.int32)])[order]
+        return distinct, at, count
+
+    def _runs(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The same for the words of texts without marks, of characters below ``_PLAIN_BELOW``: runs of one class, each number by itself."""
+        codes = self.lower[np.frombuffer("\n".join(texts).encode("utf-16-le"), np.uint16)]
+        kind = self.kinds[codes]
+        held = kind != _SPACE
+        starts = held.copy()
+        starts[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+        # A contraction takes its letters from the run after the apostrophe.
+        marks = np.flatnonzero(starts & (codes == ord("'")))
+        ahead = np.append(codes, np.zeros(2, np.uint16))
+        a, b = ahead[marks + 1], ahead[marks + 2]
+        short = np.isin(a, [ord(c) for c in "stmd"])
+        long = np.isin(a, [ord(c) for c in "rv"]) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+        starts[marks[short | long] + 1] = False
+        until = np.concatenate([marks[short] + 2, marks[long] + 3])
+        until = until[until < len(codes)]
+        starts[until] = held[until]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.searchsorted(np.flatnonzero(starts), np.cumsum(lengths + 1))
+        kept, bounds = codes[held], np.append(np.flatnonzero(starts[held]), np.count_nonzero(held))
+        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(kept)]).dictionary_encode()
+        words = coded.dictionary
+        whole, at = b"".join(words.to_pylist()).decode("utf-16-le"), np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy() // 2)]).tolist()
+        as_ = self.bytes_as
+        distinct = [whole[a:b] for a, b in pairwise(at)]
+        if not (whole.isascii() and whole.isprintable()):
+            distinct = [w if w.isascii() and w.isprintable() else "".join([as_[c] for c in w.encode()]) for w in distinct]
+        return distinct, coded.indices.to_numpy(), np.diff(ends, prepend=0)
+
+
+def _joined(texts: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The texts between each two bounds, with a space between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), texts), " ")
 
 
 def _sizes(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
@@ -287,6 +351,12 @@ def _spelt(pattern: str) -> str:
     return pattern
 
 
+def _kind(c: str) -> int:
+    if regex.fullmatch(r"[\t-\r \x85\p{Z}]", c):
+        return _SPACE
+    return _LETTER if regex.fullmatch(r"\p{L}", c) else _NUMBER if regex.fullmatch(r"\p{N}", c) else _OTHER
+
+
 def _byte_names() -> list[str]:
     """The character that stands for each byte: itself if printable, else the next from U+0100 on."""
     names, extra = [], 0x100
@@ -314,7 +384,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, WALK_BYTES):
             ends, ids, decoded = enc.encode_columns(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), decoded], [id_col, "ids", "decoded"]

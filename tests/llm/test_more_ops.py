@@ -147,3 +147,50 @@ def test_a_batch_is_put_together_from_its_distinct_words():
     assert enc.plain_word.findall(every) == enc.word.findall(every) and not regex.search(r"\\p", enc.plain_word.pattern)
     none = enc.encode_columns([])
     assert none[0].tolist() == [0] and len(none[1]) == 0 and len(none[2]) == 0
+
+
+def test_states_are_worked_out_when_asked_for(monkeypatch):
+    """A walk works out only the states that its tokens ask for, and long words none too deep."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shelfspark.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, library = bpe.TrieEncoder(path), Tokenizer.from_file(path)
+    asked, last = [], enc._last
+    monkeypatch.setattr(enc, "_last", lambda text, n, *rest: (asked.append(text[:n]), last(text, n, *rest))[1])
+    words = ["ononhewhthedontion", "ononhewhthedontions", "enlichheitenkeitgeach"]
+    enc.learn(words)
+    prefixes = {w[:n] for w in words for n in range(1, len(w) + 1)}
+    assert 0 < len(asked) < len(prefixes) * 2 // 3 and len(asked) == len(set(asked))
+    base = "onthezqingerationq" * 20
+    texts = [base[:n] for n in range(190, 215)] + [base, "onredtion" * 3000, *words]
+    for text, (ids, _) in zip(texts, enc.encode_batch(texts), strict=True):
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_a_batch_are_told_by_runs():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shelfspark.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, library = bpe.TrieEncoder(path), Tokenizer.from_file(path)
+    ends = ["", "'", "'s", "'r", "'re", "'L", "'LL"]
+    texts = ["it's we'RE they'll I'd ''s 's's 'see 'red 'l 12'3", "'", "x\x1c\x1d'm\x85\xa0'T", " \n", "", "Ünï½²ª'ß's\xad\x00\x7f×"]
+    texts += [a + b + c for a in ends for b in ("", "s", "1", " ", "é", "¿", "'", "\n") for c in ends]
+    texts += [chr(c) + "'s" + chr(c) + chr(c) + "1" + chr(c) for c in range(0x130)]
+    distinct, at, count = enc._runs(texts)
+    assert len(set(distinct)) == len(distinct)
+    assert [distinct[i] for i in at] == [w for t in texts for w in enc.words(t)]
+    assert count.tolist() == [len(enc.words(t)) for t in texts]
+    mixed = ["日本 the", "it's", "<|endoftext|>the 日本", None, "the"]
+    for text, (ids, decoded) in zip(texts + mixed, enc.encode_batch(texts + mixed), strict=True):
+        expected = library.encode(text or "", add_special_tokens=False).ids
+        assert ids == expected and decoded == library.decode(expected, skip_special_tokens=False)
+    assert [enc.encode_batch(t) for t in ([], [None], [" "])] == [[], [([], "")], [([], "")]]
+    # Another pattern is matched as it stands.
+    enc.by_runs = False
+    assert enc.encode_batch(texts[:6]) == bpe.TrieEncoder(path).encode_batch(texts[:6])
